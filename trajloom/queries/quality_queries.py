@@ -319,7 +319,7 @@ def arm_trajectories(spark: SparkSession, sf: str) -> DataFrame:
 
 XS, ZS = sweep.axis_grid(0.15, 0.35, 0.05), sweep.axis_grid(0.0, 0.2, 0.05)
 GRID = f"""
-fx_x as (select unnest({XS}) as x, unnest(range({len(XS)})) as ix), fx_z as (select unnest({ZS}) as z, unnest(range({len(ZS)})) as iz),
+fx_x as (select unnest({XS}::double[]) as x, unnest(range({len(XS)})) as ix), fx_z as (select unnest({ZS}::double[]) as z, unnest(range({len(ZS)})) as iz),
 fx_grid as (select x, z, cast(ix * {len(ZS)} + iz as integer) as ord from fx_x cross join fx_z),"""
 PER_CLIP = """,
 fx_pt as (
