@@ -218,7 +218,7 @@ def safe_stats(df: DataFrame, col: str, by: Sequence[str] = (), q: float = 0.95)
         }
     ).drop("_p")
     bracket = base.select(*by, "_lo", "_hi", "_k0", "_k1")
-    with_b = _attach(data.filter(F.col("_v").isNotNull()), bracket, by)
+    with_b = _attach(data.filter(F.col("_v").isNotNull()), bracket, by, salt=F.col("_v"))
     # equal values collapse to one row with a count before anything is ordered
     inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
     sides = with_b.groupBy(*by).agg(
@@ -230,7 +230,7 @@ def safe_stats(df: DataFrame, col: str, by: Sequence[str] = (), q: float = 0.95)
         ((F.col("_below") <= F.col("_k0")) & (F.col("_below") + F.col("_inside") > F.col("_k1"))).alias("_ok"),
         "_below",
     )
-    cand = _attach(with_b, sides, by).filter(~F.col("_ok") | inside)
+    cand = _attach(with_b, sides, by, salt=F.col("_v")).filter(~F.col("_ok") | inside)
     distinct = cand.groupBy(*by, "_v").agg(
         F.count(F.lit(1)).alias("_c"),
         F.first("_k0").alias("_k0"),
@@ -252,12 +252,22 @@ def safe_stats(df: DataFrame, col: str, by: Sequence[str] = (), q: float = 0.95)
     return done.select(*by, "n", "mean", value.alias("p95"), "max")
 
 
-def _attach(df: DataFrame, small: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join group facts on the group columns; without groups the facts are a single row."""
-    if by:
+SALTS = 64
+
+
+def _attach(df: DataFrame, small: DataFrame, by: Sequence[str], how: str = "inner", salt: Column | None = None) -> DataFrame:
+    """Join group facts on the group columns; without groups the facts are a single row.
+
+    ``salt`` spreads a large group over ``SALTS`` tasks (the facts are repeated),
+    so that neither this join nor an aggregate after it meets a whole group at once.
+    """
+    if not by:
+        one = F.lit(1)
+        return df.withColumn("_one", one).join(F.broadcast(small.withColumn("_one", one)), "_one", how).drop("_one")
+    if salt is None:
         return df.join(small, list(by), how)
-    one = F.lit(1)
-    return df.withColumn("_one", one).join(F.broadcast(small.withColumn("_one", one)), "_one", how).drop("_one")
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return df.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(SALTS)).cast("int")).join(copies, [*by, "_salt"], how).drop("_salt")
 
 
 # ---------------------------------------------------------------- consistency

@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import reliable
-from .blocks import KEYS
+from .blocks import KEYS, spread_blocks
 
-FRAMES = 1024
+FRAMES = 16384  # nine minutes at 30 frames per second
 LANES = 256
+CELLS = 1 << 19  # frames a task holds as dense arrays at a time
 TOL = 1e-12
 
 Arrays = dict[str, np.ndarray]
@@ -86,7 +87,7 @@ def pack(
     rest = [c for c in df.columns if c not in keys and c != "frame_index"] if carry else []
     wanted = ["frame_index", *rest, *[c for c in inputs if c not in rest and c != "frame_index"]]
     grouped = (
-        df.withColumn("_block", F.expr(f"cast(frame_index div {int(block)} as bigint)"))
+        spread_blocks(df, keys, block)
         .groupBy(*keys, "_block")
         .agg(F.sort_array(F.collect_list(F.struct(*wanted))).alias("_rows"))
     )
@@ -174,8 +175,12 @@ def _run(p: Packed, kernels: Sequence[Kernel], emit: Sequence[str], keep: Sequen
             start = np.concatenate([[0], np.cumsum(n)])
             out_state = np.full((rows, last), np.nan)
             order = np.argsort(-n, kind="stable")
-            for i in range(0, rows, LANES):
-                take = order[i : i + LANES]
+            done = 0
+            while done < rows:
+                # sorted by length, so the first lane tells how many of its kind fit
+                width = max(1, min(LANES, CELLS // int(n[order[done]])))
+                take = order[done : done + width]
+                done += width
                 with np.errstate(all="ignore"):
                     x, st = group(take, n, cols, const, state_in)
                 out_state[take] = st

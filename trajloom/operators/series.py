@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import clean_signal, is_finite
-from .blocks import BLOCK, KEYS, after, before, block_window, onward, upto, with_block, with_context
+from .blocks import BLOCK, KEYS, after, before, block_window, onward, spread_blocks, upto, with_context
 
 
 def interp_gaps(
@@ -36,7 +36,7 @@ def interp_gaps(
     ok = F.coalesce(F.col(valid), F.lit(False)) & F.col(col).isNotNull()
     point = F.when(ok, F.struct(F.col("frame_index").alias("f"), F.col(col).alias("v")))
     ctx = with_context(
-        with_block(df, block),
+        spread_blocks(df, keys, block),
         keys,
         {"_lo": F.min(point), "_hi": F.max(point)},
         lambda w, _: {
@@ -73,7 +73,7 @@ def moving_median(
     start = F.col("_block") * block
     offset = F.col("frame_index") - start
     ctx = with_context(
-        with_block(df, block),
+        spread_blocks(df, keys, block),
         keys,
         {
             "_head": F.sort_array(F.collect_list(F.when(offset < k, point))),
@@ -112,7 +112,7 @@ def ffill_signal(
     out = out or col
     known = F.when(is_finite(F.col(col)), F.col(col))
     ctx = with_context(
-        with_block(df, block),
+        spread_blocks(df, keys, block),
         keys,
         {"_tail": F.max(F.when(known.isNotNull(), F.struct(F.col("frame_index").alias("f"), known.alias("v"))))},
         lambda w, whole: {
@@ -160,7 +160,7 @@ def frame_delta(
 ) -> DataFrame:
     """Absolute change of a vector since the previous frame; NULL on the first frame."""
     ctx = with_context(
-        with_block(df, block),
+        spread_blocks(df, keys, block),
         keys,
         {"_end": F.max_by(F.struct(F.col(col).alias("v")), "frame_index")},
         lambda w, _: {"_prev": F.lag("_end").over(w)},
@@ -218,7 +218,7 @@ def nearest_flagged(
     """Index of the nearest flagged frame in either direction; a tie takes the lower index."""
     hit = F.when(F.coalesce(F.col(flag), F.lit(False)), F.col("frame_index"))
     ctx = with_context(
-        with_block(df, block),
+        spread_blocks(df, keys, block),
         keys,
         {"_lo": F.min(hit), "_hi": F.max(hit)},
         lambda w, _: {

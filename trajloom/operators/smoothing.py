@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import clean_signal, clip_bounds, is_finite
@@ -144,11 +144,8 @@ def nearest_equivalent(v: np.ndarray, ref: np.ndarray, wraps: int) -> np.ndarray
     return np.where(usable[:, None], best, v)
 
 
-def unwrap_kernel(src: str, out: str, dim: int, wraps: int, at: int = 0, real: str | None = None) -> Kernel:
-    """Carry the last valid vector; ``at`` is where the rotation starts in ``src``.
-
-    ``real`` names frame numbers: padding (negative ones) is not carried.
-    """
+def unwrap_kernel(src: str, out: str, dim: int, wraps: int, at: int = 0) -> Kernel:
+    """Carry the last valid vector; ``at`` is where the rotation starts in ``src``."""
 
     def step(x, _, active, state):
         values = x[src]
@@ -158,8 +155,6 @@ def unwrap_kernel(src: str, out: str, dim: int, wraps: int, at: int = 0, real: s
             m = active[t]
             v = values[t, :m, at : at + 3]
             good = np.isfinite(values[t, :m]).all(axis=1)
-            if real is not None:
-                good &= x[real][t, :m, 0] >= 0
             seen = np.isfinite(cur[:m]).all(axis=1)
             pick = np.where((good & seen)[:, None], nearest_equivalent(v, cur[:m], wraps), v)
             y[t, :m, at : at + 3] = pick
@@ -259,83 +254,137 @@ def _white(q: float, dt: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return (q * dt**4 / 4.0, q * dt**3 / 2.0, q * dt**2)
 
 
+def _advance(s: np.ndarray, z: np.ndarray, dt: np.ndarray, cfg: PoseFilter) -> np.ndarray:
+    """One filter step of ``[n, 18]`` states on observations ``z`` (NaN: none).
+
+    The noise is the same for the three axes of position and of rotation, so the
+    12x12 covariance is two 2x2 blocks: a state is 6 values, 6 velocities and
+    3 + 3 covariance entries.
+    """
+    pos, vel = s[:, :6] + dt[:, None] * s[:, 6:12], s[:, 6:12]
+    cp = _predict(s[:, 12], s[:, 13], s[:, 14], dt, _white(cfg.q_pos, dt))
+    cr = _predict(s[:, 15], s[:, 16], s[:, 17], dt, _white(cfg.q_rot, dt))
+    seen = np.isfinite(z).all(axis=1)
+    z = np.where(seen[:, None], z, pos)
+    turned = nearest_equivalent(z[:, 3:], pos[:, 3:], cfg.wraps)
+    innov = np.concatenate([z[:, :3], turned], axis=1) - pos
+    far_p, far_r = np.zeros(len(s), bool), np.zeros(len(s), bool)
+    if cfg.gate_pos is not None and cfg.gate_pos > 0:
+        far_p = np.linalg.norm(innov[:, :3], axis=1) > cfg.gate_pos
+    if cfg.gate_rot is not None and cfg.gate_rot > 0:
+        far_r = np.linalg.norm(innov[:, 3:], axis=1) > cfg.gate_rot
+    use = seen & ~(far_p & far_r)
+    k1p, k2p, up = _correct(*cp, np.where(far_p, cfg.r_pos * cfg.outlier_scale, cfg.r_pos))
+    k1r, k2r, ur = _correct(*cr, np.where(far_r, cfg.r_rot * cfg.outlier_scale, cfg.r_rot))
+    k1, k2 = _by_axis(k1p, k1r), _by_axis(k2p, k2r)
+    out = np.empty_like(s)
+    out[:, :6] = np.where(use[:, None], pos + k1 * innov, pos)
+    out[:, 6:12] = np.where(use[:, None], vel + k2 * innov, vel)
+    for i in range(3):
+        out[:, 12 + i] = np.where(use, up[i], cp[i])
+        out[:, 15 + i] = np.where(use, ur[i], cr[i])
+    return out
+
+
+def _by_axis(p: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """A position and a rotation factor spread over the six axes."""
+    return np.concatenate([np.repeat(p[:, None], 3, axis=1), np.repeat(r[:, None], 3, axis=1)], axis=1)
+
+
+def _back(f: np.ndarray, nxt: np.ndarray, dt: np.ndarray, cfg: PoseFilter) -> np.ndarray:
+    """Smoothed state ``[n, 12]`` of a frame from its filtered and the next smoothed state."""
+    cp, cr = (f[:, 12], f[:, 13], f[:, 14]), (f[:, 15], f[:, 16], f[:, 17])
+    gp = _rts_gain(cp, _predict(*cp, dt, _white(cfg.q_pos, dt)), dt)
+    gr = _rts_gain(cr, _predict(*cr, dt, _white(cfg.q_rot, dt)), dt)
+    g = [_by_axis(p, r) for p, r in zip(gp, gr)]
+    dpos = nxt[:, :6] - (f[:, :6] + dt[:, None] * f[:, 6:12])
+    dvel = nxt[:, 6:12] - f[:, 6:12]
+    return np.concatenate([f[:, :6] + g[0] * dpos + g[1] * dvel, f[:, 6:12] + g[2] * dpos + g[3] * dvel], axis=1)
+
+
+def _lane_facts(obs: np.ndarray, const: dict, active: np.ndarray, cfg: PoseFilter):
+    """Frame interval, start values and frame count of the clip each lane belongs to.
+
+    For a clip of several blocks they come as constants, else from the lane.
+    """
+    steps, lanes = obs.shape[:2]
+    dt = const["dt"][:, 0] if "dt" in const else np.full(lanes, 1.0 / max(cfg.fps, 1e-6))
+    if "count" in const:
+        return dt, const["init"], const["count"][:, 0]
+    count = (active[:, None] > np.arange(lanes)[None, :]).sum(axis=0)
+    good = np.isfinite(obs).all(axis=2)
+    init, rows = np.full((lanes, 12), np.nan), np.arange(lanes)
+    some = good.any(axis=0)
+    init[some, :6] = obs[good.argmax(axis=0), rows][some]
+    init[some, 6:] = 0.0
+    later = good.copy()
+    later[0] = False
+    second = later.argmax(axis=0)
+    # Without padding, a clip that starts valid starts with the velocity to its next valid pose.
+    moving = ((cfg.edge_pad <= 0) | (count <= 1)) & good[0] & later.any(axis=0)
+    gap = np.maximum(second * dt, 1e-8)
+    init[moving, 6:] = ((obs[second, rows] - obs[0]) / gap[:, None])[moving]
+    return dt, init, count
+
+
 def pose_forward(src: str, cfg: PoseFilter) -> Kernel:
     """Forward filter over unwrapped observations (xyz, rotation vector).
 
-    The noise is the same for the three axes of position and of rotation, so the
-    12x12 covariance is two 2x2 blocks: state = 6 values, 6 velocities, 3 + 3
-    covariance entries.
+    The leading padding repeats the first pose, so it leaves the state as it is
+    and only settles the covariance: it needs no frames. The last observation is
+    carried along for the trailing padding.
     """
 
     def step(x, const, active, state):
         obs = x[src]
-        rate = const["dt"][:, 0]
-        start = np.concatenate(
-            [const["init"], np.tile([0.01, 0.0, 1.0, 0.01, 0.0, 1.0], (obs.shape[1], 1))], axis=1
-        )
-        cur = np.where(np.isnan(state).any(axis=1, keepdims=True), start, state)
-        filt = np.full((*obs.shape[:2], 18), np.nan)
+        dt, init, count = _lane_facts(obs, const, active, cfg)
+        start = np.concatenate([init, np.tile([0.01, 0.0, 1.0, 0.01, 0.0, 1.0], (len(init), 1))], axis=1)
+        padded = start.copy()
+        for _ in range(cfg.edge_pad):
+            padded = _advance(padded, init[:, :6], dt, cfg)
+        start[:, 12:] = np.where((count > 1)[:, None], padded[:, 12:], start[:, 12:])
+        start = np.concatenate([start, np.full((len(start), 6), np.nan)], axis=1)
+        cur = np.where(np.isnan(state[:, :18]).any(axis=1, keepdims=True), start, state)
+        filt = np.full((*obs.shape[:2], 24), np.nan)
         for t in range(len(active)):
             m = active[t]
-            s, dt = cur[:m], rate[:m]
-            qp, qr = _white(cfg.q_pos, dt), _white(cfg.q_rot, dt)
-            pos = s[:, :6] + dt[:, None] * s[:, 6:12]
-            vel = s[:, 6:12]
-            cp = _predict(s[:, 12], s[:, 13], s[:, 14], dt, qp)
-            cr = _predict(s[:, 15], s[:, 16], s[:, 17], dt, qr)
             z = obs[t, :m]
-            seen = np.isfinite(z).all(axis=1)
-            z = np.where(seen[:, None], z, pos)
-            turned = nearest_equivalent(z[:, 3:], pos[:, 3:], cfg.wraps)
-            innov = np.concatenate([z[:, :3], turned], axis=1) - pos
-            far_p = np.zeros(m, bool)
-            if cfg.gate_pos is not None and cfg.gate_pos > 0:
-                far_p = np.linalg.norm(innov[:, :3], axis=1) > cfg.gate_pos
-            far_r = np.zeros(m, bool)
-            if cfg.gate_rot is not None and cfg.gate_rot > 0:
-                far_r = np.linalg.norm(innov[:, 3:], axis=1) > cfg.gate_rot
-            use = seen & ~(far_p & far_r)
-            rp = np.where(far_p, cfg.r_pos * cfg.outlier_scale, cfg.r_pos)
-            rr = np.where(far_r, cfg.r_rot * cfg.outlier_scale, cfg.r_rot)
-            k1p, k2p, up = _correct(*cp, rp)
-            k1r, k2r, ur = _correct(*cr, rr)
-            k1 = np.concatenate([np.repeat(k1p[:, None], 3, 1), np.repeat(k1r[:, None], 3, 1)], axis=1)
-            k2 = np.concatenate([np.repeat(k2p[:, None], 3, 1), np.repeat(k2r[:, None], 3, 1)], axis=1)
-            nxt = np.empty_like(s)
-            nxt[:, :6] = np.where(use[:, None], pos + k1 * innov, pos)
-            nxt[:, 6:12] = np.where(use[:, None], vel + k2 * innov, vel)
-            for i in range(3):
-                nxt[:, 12 + i] = np.where(use, up[i], cp[i])
-                nxt[:, 15 + i] = np.where(use, ur[i], cr[i])
-            cur[:m] = nxt
-            filt[t, :m] = nxt
+            cur[:m, :18] = _advance(cur[:m, :18], z, dt[:m], cfg)
+            cur[:m, 18:] = np.where(np.isfinite(z).all(axis=1, keepdims=True), z, cur[:m, 18:])
+            filt[t, :m] = cur[:m]
         return {"_filt": filt}, cur
 
-    return Kernel(step, {"_filt": 18}, 18)
+    return Kernel(step, {"_filt": 24}, 24)
 
 
-def pose_backward(cfg: PoseFilter) -> Kernel:
-    """Backward (RTS) pass over the filtered states."""
+def pose_backward(src: str, cfg: PoseFilter) -> Kernel:
+    """Backward (RTS) pass over the filtered states, started behind the trailing padding."""
+
+    def tail(f: np.ndarray, dt: np.ndarray) -> np.ndarray:
+        """Smoothed state of the first padding frame."""
+        states, s = [], f[:, :18]
+        for _ in range(cfg.edge_pad):
+            s = _advance(s, f[:, 18:], dt, cfg)
+            states.append(s)
+        nxt = states[-1][:, :12]
+        for s in reversed(states[:-1]):
+            nxt = _back(s, nxt, dt, cfg)
+        return nxt
 
     def step(x, const, active, state):
         filt = x["_filt"]
-        rate = const["dt"][:, 0]
+        dt, _, count = _lane_facts(x[src], const, active, cfg)
         out = np.full((*filt.shape[:2], 6), np.nan)
         cur = state.copy()
         for t in range(len(active) - 1, -1, -1):
             m = active[t]
-            f, dt = filt[t, :m], rate[:m]
-            qp, qr = _white(cfg.q_pos, dt), _white(cfg.q_rot, dt)
-            gp = _rts_gain((f[:, 12], f[:, 13], f[:, 14]), _predict(f[:, 12], f[:, 13], f[:, 14], dt, qp), dt)
-            gr = _rts_gain((f[:, 15], f[:, 16], f[:, 17]), _predict(f[:, 15], f[:, 16], f[:, 17], dt, qr), dt)
-            g = [np.concatenate([np.repeat(p[:, None], 3, 1), np.repeat(r[:, None], 3, 1)], 1) for p, r in zip(gp, gr)]
-            dpos = cur[:m, :6] - (f[:, :6] + dt[:, None] * f[:, 6:12])
-            dvel = cur[:m, 6:] - f[:, 6:12]
-            smooth = np.concatenate(
-                [f[:, :6] + g[0] * dpos + g[1] * dvel, f[:, 6:12] + g[2] * dpos + g[3] * dvel], axis=1
-            )
-            first = np.isnan(cur[:m]).any(axis=1, keepdims=True)
-            cur[:m] = np.where(first, f[:, :12], smooth)
+            f = filt[t, :m]
+            new = np.flatnonzero(np.isnan(cur[:m]).any(axis=1))
+            ends = new[(count[new] > 1)] if cfg.edge_pad > 0 else new[:0]
+            if len(ends):
+                cur[ends] = tail(f[ends], dt[ends])
+            lone = np.isnan(cur[:m]).any(axis=1, keepdims=True)
+            cur[:m] = np.where(lone, f[:, :12], _back(f, cur[:m], dt[:m], cfg))
             out[t, :m, :3] = cur[:m, :3]
             out[t, :m, 3:] = canonical_rotvec(cur[:m, 3:6])
         return {"_smooth": out}, cur
@@ -343,44 +392,51 @@ def pose_backward(cfg: PoseFilter) -> Kernel:
     return Kernel(step, {"_smooth": 6}, 12, reverse=True)
 
 
-def _clip_facts(p: Packed, col: str, long: bool) -> DataFrame:
-    """Add what the pose filter must know about the whole clip to each packed row.
-
-    ``_first`` and ``_last`` valid pose, the ``_second`` valid one, the block bounds
-    and the frame count. A clip of one block needs no shuffle for that.
-    """
+def _with_clip_facts(p: Packed, col: str, cfg: PoseFilter, rate: Column) -> Packed:
+    """Constants of clips longer than a block: start pose and velocity, frame count."""
     dim = p.dims[col]
     flat = F.col(f"_x_{col}")
     items = F.transform(
         F.sequence(F.lit(0), F.size("_frames") - 1),
         lambda i: F.struct(F.col("_frames")[i].alias("f"), F.slice(flat, i * dim + 1, dim).alias("v")),
     )
-    good = F.filter(items, lambda r: F.forall(r["v"], is_finite))
-    df = p.df.withColumn("_good", good).withColumns(
-        {
-            "_first": F.get("_good", F.lit(0)),
-            "_second": F.get(F.filter("_good", lambda r: r["f"] > 0), F.lit(0)),
-            "_last": F.get("_good", F.size("_good") - 1),
-            "_count": F.element_at("_frames", -1) + 1,
-        }
+    df = reliable(p.df)
+    slim = df.select(
+        *p.keys,
+        "_block",
+        F.filter(items, lambda r: F.forall(r["v"], is_finite)).alias("_good"),
+        (F.element_at("_frames", -1) + 1).alias("_count"),
+        F.greatest(F.lit(1.0) / F.greatest(rate, F.lit(1e-6)), F.lit(1e-8)).alias("_dt"),
+    ).select(
+        *p.keys,
+        "_block",
+        F.get("_good", F.lit(0)).alias("_first"),
+        F.get(F.filter("_good", lambda r: r["f"] > 0), F.lit(0)).alias("_second"),
+        "_count",
+        "_dt",
     )
-    if not long:
-        return df.drop("_good").withColumns({"_head": F.lit(True), "_end": F.lit(True)})
-    df = reliable(df.drop("_good"))
-    slim = df.select(*p.keys, "_block", "_first", "_second", "_last", "_count")
-    w = Window.partitionBy(*p.keys)
-    ordered = w.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = Window.partitionBy(*p.keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     facts = slim.select(
         *p.keys,
         "_block",
-        F.first("_first", ignorenulls=True).over(ordered).alias("_first"),
-        F.first("_second", ignorenulls=True).over(ordered).alias("_second"),
-        F.last("_last", ignorenulls=True).over(ordered).alias("_last"),
-        F.max("_count").over(w).alias("_count"),
-        (F.col("_block") == F.min("_block").over(w)).alias("_head"),
-        (F.col("_block") == F.max("_block").over(w)).alias("_end"),
+        F.first("_first", ignorenulls=True).over(whole).alias("_a"),
+        F.first("_second", ignorenulls=True).over(whole).alias("_b"),
+        F.max("_count").over(whole).alias("_n"),
+        "_dt",
+    )
+    a, b = F.col("_a"), F.col("_b")
+    padded = (F.col("_n") > 1) if cfg.edge_pad > 0 else F.lit(False)
+    gap = F.greatest(b["f"] * F.col("_dt"), F.lit(1e-8))
+    moving = ~padded & (a["f"] == 0) & b.isNotNull()
+    still = F.array_repeat(F.lit(0.0), 6)
+    speed = F.when(moving, F.zip_with(b["v"], a["v"], lambda q, p: (q - p) / gap)).otherwise(still)
+    consts = facts.select(
+        *p.keys,
+        "_block",
+        F.concat(a["v"], speed).alias("_c_init"),
+        F.array(F.col("_n").cast("double")).alias("_c_count"),
     )
-    return df.drop("_first", "_second", "_last", "_count").join(facts, [*p.keys, "_block"])
+    return Packed(df.join(consts, [*p.keys, "_block"]), p.keys, p.dims, p.rest, {**p.consts, "init": 12, "count": 1})
 
 
 def smooth_pose(
@@ -397,66 +453,25 @@ def smooth_pose(
     """Constant-velocity Kalman filter and backward smoother of pose vectors.
 
     ``fps`` names a column with the clip's frame rate; ``continuous`` unwraps the
-    smoothed rotations along the clip, else their angle is in [0, pi]. Invalid frames are filled as long as the clip has a valid one; a clip without
-    any stays NULL. Both ends are padded with copies of the first and last valid
-    pose.
+    smoothed rotations along the clip, else their angle is in [0, pi]. Invalid
+    frames are filled as long as the clip has a valid one; a clip without any
+    stays NULL. Both ends are padded with copies of the first and last valid pose.
     """
     long = is_long(df, block) if long is None else long
-    p = pack(df, {col: 6, "frame_index": 1}, keys, block)
-    rows = _clip_facts(p, col, long)
-    pad = F.when(F.col("_count") > 1, F.lit(int(cfg.edge_pad))).otherwise(0)
-    hole = F.array_repeat(F.lit(float("nan")), 6)
-    first = F.coalesce(F.col("_first")["v"], hole)
-    last = F.coalesce(F.col("_last")["v"], hole)
-    pre = F.when(F.col("_head"), pad).otherwise(0)
-    post = F.when(F.col("_end"), pad).otherwise(0)
-    # Without padding, a clip that starts valid starts with the velocity to its next valid pose.
-    rate = F.coalesce(F.col("_rest")[0][fps].cast("double"), F.lit(cfg.fps)) if fps else F.lit(float(cfg.fps))
-    dt = F.lit(1.0) / F.greatest(rate, F.lit(1e-6))
-    gap = F.greatest(F.col("_second")["f"] * dt, F.lit(1e-8))
-    moving = (pad == 0) & (F.col("_first")["f"] == 0) & F.col("_second").isNotNull()
-    speed = F.when(moving, F.zip_with(F.col("_second")["v"], first, lambda b, a: (b - a) / gap)).otherwise(
-        F.array_repeat(F.lit(0.0), 6)
-    )
-    rows = rows.withColumns({"_pre": pre, "_post": post}).withColumns(
-        {
-            f"_x_{col}": F.concat(
-                F.flatten(F.array_repeat(first, F.col("_pre"))),
-                F.col(f"_x_{col}"),
-                F.flatten(F.array_repeat(last, F.col("_post"))),
-            ),
-            "_frames": F.concat(
-                F.array_repeat(F.lit(-1), F.col("_pre")), F.col("_frames"), F.array_repeat(F.lit(-1), F.col("_post"))
-            ),
-            "_x_frame_index": F.concat(
-                F.array_repeat(F.lit(-1.0), F.col("_pre")),
-                F.col("_x_frame_index"),
-                F.array_repeat(F.lit(-1.0), F.col("_post")),
-            ),
-            "_c_init": F.concat(first, speed),
-            "_c_dt": F.array(dt),
-            **(
-                {
-                    "_rest": F.concat(
-                        F.array_repeat(F.col("_rest")[0], F.col("_pre")),
-                        F.col("_rest"),
-                        F.array_repeat(F.col("_rest")[0], F.col("_post")),
-                    )
-                }
-                if p.rest
-                else {}
-            ),
-        }
-    )
-    rows = rows.drop("_first", "_second", "_last", "_count", "_head", "_end", "_pre", "_post")
-    padded = Packed(rows, p.keys, p.dims, p.rest, {"init": 12, "dt": 1})
-    kernels = [unwrap_kernel(col, "_obs", 6, cfg.wraps, at=3), pose_forward("_obs", cfg), pose_backward(cfg)]
+    p = pack(df, {col: 6}, keys, block)
+    rate = F.lit(float(cfg.fps))
+    if fps:
+        rate = F.coalesce(F.col("_rest")[0][fps].cast("double"), rate)
+        dt = F.lit(1.0) / F.greatest(rate, F.lit(1e-6))
+        p = Packed(p.df.withColumn("_c_dt", F.array(dt)), p.keys, p.dims, p.rest, {"dt": 1})
+    if long:
+        p = _with_clip_facts(p, col, cfg, rate)
+    kernels = [unwrap_kernel(col, "_obs", 6, cfg.wraps, at=3), pose_forward("_obs", cfg), pose_backward("_obs", cfg)]
     last = "_smooth"
     if continuous:
-        kernels.append(unwrap_kernel("_smooth", "_smooth2", 6, 2, at=3, real="frame_index"))
+        kernels.append(unwrap_kernel("_smooth", "_smooth2", 6, 2, at=3))
         last = "_smooth2"
-    done = scan(padded, kernels, {last: 6}, long)
-    return unpack(done, padded, {last: 6}, {last: out or col}).filter("frame_index >= 0")
+    return unpack(scan(p, kernels, {last: 6}, long), p, {last: 6}, {last: out or col})
 
 
 @dataclass(frozen=True)

@@ -293,10 +293,11 @@ and sample_id in (select sample_id from fx_traj) and sample_id in (select sample
 def publish_index_entries(spark: SparkSession, sf: str) -> DataFrame:
     """Bounded index entries hold every id once."""
     entries = writers.index_entries(writers.publish_index(*outputs(spark, sf), "/out"), per_entry=100)
-    ok = F.max((F.size("sample_ids") <= 100).cast("int")).alias("longest_ok")
-    sizes = entries.agg(F.sum(F.size("sample_ids")).alias("n"), ok)
-    distinct = entries.select(F.explode("sample_ids").alias("s")).distinct().agg(F.count("s").alias("distinct_ids"))
-    return sizes.join(F.broadcast(distinct))  # one row beside one row
+    one = entries.select((F.size("sample_ids") <= 100).cast("int").alias("ok"), F.explode("sample_ids").alias("s"))
+    per_id = one.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("ok").alias("ok"))
+    return per_id.agg(
+        F.sum("c").alias("n"), F.min("ok").alias("longest_ok"), F.count(F.lit(1)).alias("distinct_ids")
+    )
 
 
 @query(given(fx.TASKS, OUTPUTS + " select sample_id from fx_tasks where status = 'completed' and sample_id in (select sample_id from fx_traj)"))
@@ -364,16 +365,15 @@ def processed_outputs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-with fx_e as (
-  select l_orderkey, case when l_linenumber = 1 then cast(l_orderkey as varchar) end as one, list('s' || l_linenumber order by l_linenumber) as many
-  from lineitem group by 1, 2)
+with fx_e as (select case when l_linenumber = 1 then cast(l_orderkey as varchar) end as one, ['s' || l_linenumber, 'p' || l_partkey] as many from lineitem)
 select sample_id, count(*) as n from (select one as sample_id from fx_e where one is not null union all select unnest(many) from fx_e) group by 1""")
 def index_reading(spark: SparkSession, sf: str) -> DataFrame:
-    one = F.when(F.col("l_linenumber") == 1, F.col("l_orderkey").cast("string"))
-    entries = fx.table(spark, sf, "lineitem").groupBy("l_orderkey", one.alias("sample_id")).agg(
-        F.sort_array(F.collect_list(F.concat(F.lit("s"), F.col("l_linenumber").cast("string")))).alias("sample_ids")
+    text = lambda c: F.col(c).cast("string")
+    entries = fx.table(spark, sf, "lineitem").select(
+        F.when(F.col("l_linenumber") == 1, text("l_orderkey")).alias("sample_id"),
+        F.array(F.concat(F.lit("s"), text("l_linenumber")), F.concat(F.lit("p"), text("l_partkey")), F.lit("")).alias("sample_ids"),
     )
-    return readers.index_ids(entries.drop("l_orderkey")).groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"))
+    return readers.index_ids(entries).groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""

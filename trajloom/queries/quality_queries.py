@@ -129,26 +129,35 @@ def passing_clip_ids(spark: SparkSession, sf: str) -> DataFrame:
     return quality.passing_ids(fx.meta(spark, sf), 0.9, 0.05)
 
 
-@query("""
-with fx_o as (
-  select o_custkey, list(case when o_orderstatus = 'P' then null when o_orderstatus = 'O' then 1.0 else 0.0 end) as flags,
-         max(o_totalprice) as top, count(*) as n from orders group by 1)
-select o_custkey, """ + s6("""case when o_custkey % 3 = 0 then n / 100.0 when o_custkey % 3 = 1 then top / 1e6
-  else len(list_filter(flags, lambda f: f > 0.5)) / nullif(len(list_filter(flags, lambda f: f is not null)), 0) end""") + " as ratio from fx_o")
+FLAGS = """,
+fx_f as (select vec_id, label, vec_id // 50 as c, list_transform(embedding[1:8], lambda x: case when x > 0.15 then null when x > 0 then 1.0 else 0.0 end) as flags
+         from embeddings)"""
+
+
+@query(
+    "with "
+    + FLAGS[1:].strip()
+    + " select vec_id, "
+    + s6(
+        """case when label % 3 = 0 then vec_id / 100.0 when label % 3 = 1 then label / 10.0
+  else len(list_filter(flags, lambda f: f > 0.5)) / nullif(len(list_filter(flags, lambda f: f is not null)), 0) end"""
+    )
+    + " as ratio from fx_f"
+)
 def ratio_fallback(spark: SparkSession, sf: str) -> DataFrame:
-    flag = F.when(F.col("o_orderstatus") == "O", 1.0).when(F.col("o_orderstatus") == "F", 0.0).otherwise(F.lit(float("nan")))
-    third = F.pmod("o_custkey", F.lit(3))
-    df = fx.table(spark, sf, "orders").groupBy("o_custkey").agg(
-        F.collect_list(flag).alias("flags"), F.max("o_totalprice").alias("top"), F.count(F.lit(1)).alias("n")
+    flags = F.transform(
+        F.slice("embedding", 1, 8),
+        lambda x: F.when(x > 0.15, F.lit(float("nan"))).when(x > 0, 1.0).otherwise(0.0),
     )
-    df = df.withColumns(
-        {
-            "a": F.when(third == 0, (F.col("n") / 100.0).cast("string")).otherwise("n/a"),
-            "b": F.when(third == 1, F.col("top") / 1e6),
-        }
+    third = F.pmod("label", F.lit(3))
+    df = fx.table(spark, sf, "embeddings").select(
+        "vec_id",
+        F.when(third == 0, (F.col("vec_id") / 100.0).cast("string")).otherwise("n/a").alias("a"),
+        F.when(third == 1, F.col("label") / 10.0).alias("b"),
+        flags.alias("flags"),
     )
     ratio = quality.ratio_with_fallback(F.col("a"), F.col("b"), F.col("flags"))
-    return df.select("o_custkey", q6(ratio).alias("ratio"))
+    return df.select("vec_id", q6(ratio).alias("ratio"))
 
 
 @query("""
