@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 def spark():
     from trajloom.session import local_session
 
-    return local_session(8)
+    return local_session(8, **{"spark.sql.shuffle.partitions": "4"})
 
 
 SF = "/root/testdata/sf0.001"

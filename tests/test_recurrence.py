@@ -201,26 +201,25 @@ def test_unwrap(spark):
 
 
 def long_clips():
-    return {"hot": poses(150), "mid": poses(40), "s": poses(5), "gap": np.vstack([poses(8, 0.0), np.full((70, 6), np.nan), poses(12, 0.0)])}
+    return {"hot": poses(110), "s": poses(5), "gap": np.vstack([poses(8, 0.0), np.full((70, 6), np.nan), poses(12, 0.0)])}
 
 
-@pytest.mark.parametrize("edge_pad", [0, 5])
-def test_pose_smoother_blocks(spark, edge_pad):
-    cfg = smoothing.PoseFilter(edge_pad=edge_pad)
+def test_pose_smoother_blocks(spark):
+    cfg = smoothing.PoseFilter(edge_pad=5)
     df = frame(spark, long_clips())
-    assert is_long(df, 16) and not is_long(df, 4096)
+    assert is_long(df, 40) and not is_long(df, 4096)
     whole = collect(smoothing.smooth_pose(df, "v", cfg, out="s", continuous=True), "s")
-    parts = collect(smoothing.smooth_pose(df, "v", cfg, out="s", continuous=True, block=16), "s")
+    parts = collect(smoothing.smooth_pose(df, "v", cfg, out="s", continuous=True, block=40), "s")
     for cid in whole:
         np.testing.assert_allclose(dense(parts[cid], 6), dense(whole[cid], 6), atol=1e-9, err_msg=cid)
 
 
 def test_other_recurrences_blocks(spark):
-    df = frame(spark, {"hot": np.cumsum(RNG.normal(0, 0.1, (100, 2)), 0), "s": RNG.normal(0, 1, (3, 2))})
+    df = frame(spark, {"hot": np.cumsum(RNG.normal(0, 0.1, (90, 2)), 0), "s": RNG.normal(0, 1, (3, 2))})
     one = df.withColumn("x", F.abs(F.col("v")[0]))
     runs = {
         "joint": lambda b: collect(smoothing.smooth_joints(df, "v", [-9.0] * 2, [9.0] * 2, out="o", block=b), "o"),
-        "ema": lambda b: collect(smoothing.ema_bidir(one, "x", 0.05, 2, out="o", block=b), "o"),
+        "ema": lambda b: collect(smoothing.ema_bidir(one, "x", 0.05, 1, out="o", block=b), "o"),
         "rate": lambda b: collect(smoothing.rate_limit(df, "v", 2, 0.03, out="o", block=b), "o"),
         "unwrap": lambda b: collect(
             smoothing.unwrap_rotvec(
@@ -229,7 +228,7 @@ def test_other_recurrences_blocks(spark):
         ),
     }
     for name, run in runs.items():
-        whole, parts = run(4096), run(16)
+        whole, parts = run(4096), run(40)
         for cid in whole:
             np.testing.assert_allclose(np.array(parts[cid]), np.array(whole[cid]), atol=1e-10, err_msg=name)
 
@@ -305,6 +304,7 @@ def test_rotations():
 
 def test_se3_log_undoes_the_exponential():
     w, v = RNG.normal(0, 1, (20, 3)), RNG.normal(0, 1, (20, 3))
+    w = smoothing.canonical_rotvec(w)
     w[0] = 1e-6
     k = np.zeros((20, 3, 3))
     k[:, 0, 1], k[:, 0, 2], k[:, 1, 2] = -w[:, 2], w[:, 1], -w[:, 0]
@@ -356,12 +356,12 @@ def test_ik_far_target_is_unreachable(spark):
 
 
 def test_ik_blocks(spark):
-    far = reachable_poses(40)
-    far[10:14, :3] += 3.0
+    far = reachable_poses(24)
+    far[8:12, :3] += 3.0
     clips = {"hot": far, "s": reachable_poses(5)}
     df = frame(spark, clips, "pose")
     whole = collect(arm.solve_ik(df, CHAIN), "joint_position")
-    parts = collect(arm.solve_ik(df, CHAIN, block=16), "joint_position")
+    parts = collect(arm.solve_ik(df, CHAIN, block=12), "joint_position")
     for cid in whole:
         np.testing.assert_allclose(np.array(parts[cid]), np.array(whole[cid]), atol=1e-8)
 
@@ -369,7 +369,7 @@ def test_ik_blocks(spark):
 def test_retry_takes_the_nearest_reachable_seed():
     """Unreachable frames restart from the nearest reachable frame; newly reachable ones join the pool."""
     cfg = arm.Solver(max_frame_delta=0.05)
-    q = np.concatenate([np.full((3, 1, 6), 0.2), np.full((3, 1, 6), 0.9)])
+    q = np.concatenate([np.full((3, 1, 6), 0.2), np.full((3, 1, 6), 0.5)])
     r, p = CHAIN.forward(q.reshape(-1, 6))
     pose = np.concatenate([p, arm.matrix_rotvec(r)], axis=1).reshape(6, 1, 6)
     active = np.ones(6, int)
