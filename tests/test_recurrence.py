@@ -220,6 +220,9 @@ def test_other_recurrences_blocks(spark):
     runs = {
         "joint": lambda b: collect(smoothing.smooth_joints(df, "v", [-9.0] * 2, [9.0] * 2, out="o", block=b), "o"),
         "ema": lambda b: collect(smoothing.ema_bidir(one, "x", 0.05, 1, out="o", block=b), "o"),
+        "grip": lambda b: collect(
+            smoothing.smooth_gripper(one.withColumn("x", F.when(F.col("frame_index") % 50 < 4, F.col("x"))), "x", out="o", block=b), "o"
+        ),
         "rate": lambda b: collect(smoothing.rate_limit(df, "v", 2, 0.03, out="o", block=b), "o"),
         "unwrap": lambda b: collect(
             smoothing.unwrap_rotvec(

@@ -141,20 +141,30 @@ class Chain:
     def clip(self, q: np.ndarray) -> np.ndarray:
         return np.clip(q, self.lower, self.upper)
 
+    def turns(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Rotation of joint i at angle a as ``A + sin(a) B + (1 - cos(a)) C``."""
+        out = []
+        for rot, (x, y, z) in zip(self.rot, self.axis):
+            k = np.array([[0.0, -z, y], [z, 0.0, -x], [-y, x, 0.0]])
+            out.append((rot, rot @ k, rot @ k @ k))
+        return out
+
     def forward(self, q: np.ndarray, jacobian: bool = False):
         """Tool pose of joint vectors ``[N, dof]`` and, if asked, the Jacobian in the tool frame."""
         n = len(q)
-        r = np.broadcast_to(np.eye(3), (n, 3, 3))
-        p = np.zeros((n, 3))
+        s, c = np.sin(q)[:, :, None, None], (1.0 - np.cos(q))[:, :, None, None]
+        r, p = np.broadcast_to(np.eye(3), (n, 3, 3)), np.zeros((n, 3))
         axes, origins, j = [], [], 0
-        for i, moves in enumerate(self.moving):
+        for i, (a, b, d) in enumerate(self.turns()):
             p = p + r @ self.off[i]
-            r = r @ self.rot[i]
-            if moves:
-                axes.append(r @ self.axis[i])
-                origins.append(p)
-                r = r @ rotvec_matrix(q[:, j : j + 1] * self.axis[i])
+            if self.moving[i]:
+                r = r @ (a + s[:, j] * b + c[:, j] * d)
+                if jacobian:
+                    axes.append(r @ self.axis[i])  # turning about its axis leaves the axis in place
+                    origins.append(p)
                 j += 1
+            else:
+                r = r @ a
         if not jacobian:
             return r, p
         z = np.stack(axes, axis=1)

@@ -22,14 +22,16 @@ def with_block(df: DataFrame, block: int = BLOCK) -> DataFrame:
     return df.withColumn("_block", F.expr(f"cast(frame_index div {int(block)} as bigint)"))
 
 
-def spread_blocks(df: DataFrame, keys: Sequence[str] = KEYS, block: int = BLOCK) -> DataFrame:
+def spread_blocks(df: DataFrame, keys: Sequence[str] = KEYS, block: int = BLOCK, parts: int | None = None) -> DataFrame:
     """Blocks as shuffle units.
 
     Grouping by (clip, block) would accept an input already partitioned by clip
     and leave a very long clip in one task, so the shuffle is asked for. On any
-    other input it is the one the grouping needs anyway.
+    other input it is the one the grouping needs anyway. ``parts`` fixes the number
+    of tasks where the work is more than the bytes tell.
     """
-    return with_block(df, block).repartition(*keys, "_block")
+    marked = with_block(df, block)
+    return marked.repartition(parts, *keys, "_block") if parts else marked.repartition(*keys, "_block")
 
 
 def block_window(keys: Sequence[str]) -> WindowSpec:

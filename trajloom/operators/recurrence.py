@@ -86,8 +86,11 @@ def pack(
     keys = tuple(keys)
     rest = [c for c in df.columns if c not in keys and c != "frame_index"] if carry else []
     wanted = ["frame_index", *rest, *[c for c in inputs if c not in rest and c != "frame_index"]]
+    # The kernels cost far more per byte than a shuffle read: keep the session's number of
+    # tasks instead of letting it be merged down by size.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grouped = (
-        spread_blocks(df, keys, block)
+        spread_blocks(df, keys, block, parts)
         .groupBy(*keys, "_block")
         .agg(F.sort_array(F.collect_list(F.struct(*wanted))).alias("_rows"))
     )

@@ -13,7 +13,6 @@ from ..functions.cleaning import clean_signal, clip_bounds, is_finite
 from ..session import reliable
 from .blocks import KEYS
 from .recurrence import FRAMES, Kernel, Packed, is_long, pack, recur, scan, unpack
-from .series import interp_gaps, moving_median
 
 TWO_PI = 2.0 * np.pi
 
@@ -99,25 +98,103 @@ class GripperFilter:
     ema_passes: int = 1
 
 
+def fill_kernels(src: str, ok: str, out: str) -> list[Kernel]:
+    """Linear interpolation over invalid frames: the last valid point forward, the next one backward."""
+
+    def carry(x, active, state, times):
+        pts = np.full((*x[src].shape[:2], 2), np.nan)
+        cur = state.copy()
+        for t in times:
+            m = active[t]
+            good = x[ok][t, :m, 0] > 0
+            here = np.concatenate([x["frame_index"][t, :m], x[src][t, :m]], axis=1)
+            cur[:m] = np.where(good[:, None], here, cur[:m])
+            pts[t, :m] = cur[:m]
+        return pts, cur
+
+    def forward(x, _, active, state):
+        pts, cur = carry(x, active, state, range(len(active)))
+        return {"_prev": pts}, cur
+
+    def backward(x, _, active, state):
+        pts, cur = carry(x, active, state, range(len(active) - 1, -1, -1))
+        a, b, f = x["_prev"], pts, x["frame_index"][:, :, 0]
+        line = (b[..., 1] - a[..., 1]) / (b[..., 0] - a[..., 0]) * (f - a[..., 0]) + a[..., 1]
+        y = np.where(np.isnan(a[..., 0]), b[..., 1], np.where(np.isnan(b[..., 0]), a[..., 1], line))
+        y = np.where(x[ok][..., 0] > 0, x[src][..., 0], np.nan_to_num(y))
+        return {out: y[..., None]}, cur
+
+    return [Kernel(forward, {"_prev": 2}, 2), Kernel(backward, {out: 1}, 2, reverse=True)]
+
+
+def median_kernels(src: str, out: str, size: int) -> list[Kernel]:
+    """Centred moving median with replicated edges: the k values behind, then the k values ahead."""
+    k = (size + 1 - size % 2) // 2
+
+    def forward(x, _, active, state):
+        v = x[src]
+        behind = np.full((*v.shape[:2], k), np.nan)
+        cur = state.copy()
+        for t in range(len(active)):
+            m = active[t]
+            cur[:m] = np.where(np.isnan(cur[:m]).any(axis=1, keepdims=True), v[t, :m], cur[:m])
+            behind[t, :m] = cur[:m]
+            cur[:m] = np.concatenate([cur[:m, 1:], v[t, :m]], axis=1)
+        return {"_behind": behind}, cur
+
+    def backward(x, _, active, state):
+        v, y = x[src], np.full_like(x[src], np.nan)
+        cur = state.copy()
+        for t in range(len(active) - 1, -1, -1):
+            m = active[t]
+            cur[:m] = np.where(np.isnan(cur[:m]).any(axis=1, keepdims=True), v[t, :m], cur[:m])
+            y[t, :m, 0] = np.median(np.concatenate([x["_behind"][t, :m], v[t, :m], cur[:m]], axis=1), axis=1)
+            cur[:m] = np.concatenate([cur[:m, 1:], v[t, :m]], axis=1)
+        return {out: y}, cur
+
+    return [Kernel(forward, {"_behind": k}, k), Kernel(backward, {out: 1}, k, reverse=True)]
+
+
+def gripper_kernels(src: str, ok: str, cfg: GripperFilter) -> tuple[list[Kernel], str]:
+    """The whole gripper chain as recurrences, so that it takes one shuffle; returns the last output too."""
+    kernels: list[Kernel] = []
+    if cfg.hold_invalid:
+        kernels += fill_kernels(src, ok, "_filled")
+        src = "_filled"
+    if cfg.median_window > 1:
+        kernels += median_kernels(src, "_median", int(cfg.median_window))
+        src = "_median"
+    for i in range(max(1, int(cfg.ema_passes))):
+        kernels += [ema_kernel(src, f"_ef{i}", cfg.ema_alpha, False), ema_kernel(f"_ef{i}", f"_eb{i}", cfg.ema_alpha, True)]
+        src = f"_eb{i}"
+    return kernels, src
+
+
+def _unit_range(c: str) -> Column:
+    return F.least(F.greatest(F.col(c), F.lit(0.0)), F.lit(1.0))
+
+
 def smooth_gripper(
     df: DataFrame,
     col: str,
     cfg: GripperFilter = GripperFilter(),
     out: str | None = None,
     keys: Sequence[str] = KEYS,
+    block: int = FRAMES,
     long: bool | None = None,
 ) -> DataFrame:
-    """Clean, fill gaps, median, two-way EMA, clip. A single frame passes through all of them unchanged."""
+    """Clean, fill gaps, median, two-way EMA, clip.
+
+    A single frame passes the filters unchanged, as it must: it is only cleaned.
+    """
     out = out or col
-    marked = df.withColumns({"_ok": is_finite(F.col(col)), out: clean_signal(F.col(col))})
+    marked = df.withColumns({"_ok": is_finite(F.col(col)).cast("double"), out: clean_signal(F.col(col))})
     if not cfg.enabled:
         return marked.drop("_ok")
-    filled = interp_gaps(marked, out, "_ok", hold_invalid=cfg.hold_invalid, keys=keys)
-    # One frame is only clipped: gap filling would zero nothing else, as an invalid one is 0 already.
-    middle = moving_median(filled.drop("_ok"), out, cfg.median_window, keys=keys)
-    long = is_long(df) if long is None else long
-    smooth = ema_bidir(middle, out, cfg.ema_alpha, cfg.ema_passes, keys=keys, long=long)
-    return smooth.withColumn(out, F.least(F.greatest(F.col(out), F.lit(0.0)), F.lit(1.0)))
+    kernels, last = gripper_kernels(out, "_ok", cfg)
+    inputs = {out: 1, "_ok": 1, "frame_index": 1}
+    done = recur(marked, inputs, kernels, {last: 1}, {last: out}, keys, block, long)
+    return done.drop("_ok").withColumn(out, _unit_range(out))
 
 
 # ---------------------------------------------------------------- rotation vectors
@@ -458,20 +535,60 @@ def smooth_pose(
     stays NULL. Both ends are padded with copies of the first and last valid pose.
     """
     long = is_long(df, block) if long is None else long
-    p = pack(df, {col: 6}, keys, block)
+    p = _pose_pack(df, {col: 6}, col, cfg, fps, keys, block, long)
+    kernels, last = pose_kernels(col, cfg, continuous)
+    return unpack(scan(p, kernels, {last: 6}, long), p, {last: 6}, {last: out or col})
+
+
+def pose_kernels(col: str, cfg: PoseFilter, continuous: bool) -> tuple[list[Kernel], str]:
+    """Kernels of the pose smoother and the name of their last output."""
+    kernels = [unwrap_kernel(col, "_obs", 6, cfg.wraps, at=3), pose_forward("_obs", cfg), pose_backward("_obs", cfg)]
+    if not continuous:
+        return kernels, "_smooth"
+    return [*kernels, unwrap_kernel("_smooth", "_smooth2", 6, 2, at=3)], "_smooth2"
+
+
+def _pose_pack(
+    df: DataFrame, inputs: dict[str, int], col: str, cfg: PoseFilter, fps: str | None, keys: Sequence[str], block: int, long: bool
+) -> Packed:
+    """Packed frames with the clip constants of the pose smoother."""
+    p = pack(df, inputs, keys, block)
     rate = F.lit(float(cfg.fps))
     if fps:
         rate = F.coalesce(F.col("_rest")[0][fps].cast("double"), rate)
         dt = F.lit(1.0) / F.greatest(rate, F.lit(1e-6))
         p = Packed(p.df.withColumn("_c_dt", F.array(dt)), p.keys, p.dims, p.rest, {"dt": 1})
-    if long:
-        p = _with_clip_facts(p, col, cfg, rate)
-    kernels = [unwrap_kernel(col, "_obs", 6, cfg.wraps, at=3), pose_forward("_obs", cfg), pose_backward("_obs", cfg)]
-    last = "_smooth"
-    if continuous:
-        kernels.append(unwrap_kernel("_smooth", "_smooth2", 6, 2, at=3))
-        last = "_smooth2"
-    return unpack(scan(p, kernels, {last: 6}, long), p, {last: 6}, {last: out or col})
+    return _with_clip_facts(p, col, cfg, rate) if long else p
+
+
+def smooth_hand(
+    df: DataFrame,
+    pose: str,
+    gripper: str,
+    cfg: PoseFilter = PoseFilter(),
+    grip: GripperFilter = GripperFilter(),
+    smooth: bool = True,
+    fps: str | None = None,
+    keys: Sequence[str] = KEYS,
+    block: int = FRAMES,
+    long: bool | None = None,
+) -> DataFrame:
+    """Pose smoothing (or only unwrapping) and gripper smoothing of the same clips in one shuffle."""
+    long = is_long(df, block) if long is None else long
+    marked = df.withColumns({"_ok": is_finite(F.col(gripper)).cast("double"), gripper: clean_signal(F.col(gripper))})
+    inputs = {pose: 6, gripper: 1, "_ok": 1, "frame_index": 1}
+    if smooth:
+        p = _pose_pack(marked, inputs, pose, cfg, fps, keys, block, long)
+        kernels, last = pose_kernels(pose, cfg, continuous=True)
+    else:
+        p = pack(marked, inputs, keys, block)
+        kernels, last = [unwrap_kernel(pose, "_unwrapped", 6, 2, at=3)], "_unwrapped"
+    emit, names = {last: 6}, {last: pose}
+    if grip.enabled:
+        more, signal = gripper_kernels(gripper, "_ok", grip)
+        kernels, emit[signal], names[signal] = kernels + more, 1, gripper
+    done = unpack(scan(p, kernels, emit, long), p, emit, names).drop("_ok")
+    return done.withColumn(gripper, _unit_range(gripper))
 
 
 @dataclass(frozen=True)

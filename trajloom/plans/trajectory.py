@@ -18,7 +18,7 @@ from ..operators.arm import Chain, Solver, solve_ik
 from ..operators.hands import align_workspace, pinch
 from ..operators.quality import reachable_ratio
 from ..operators.recurrence import is_long
-from ..operators.smoothing import GripperFilter, PoseFilter, smooth_gripper, smooth_pose, unwrap_rotvec
+from ..operators.smoothing import GripperFilter, PoseFilter, smooth_hand
 from ..operators.sweep import point_summary, with_grid
 
 SIDES = ("left", "right")
@@ -69,15 +69,13 @@ def retarget(frames: DataFrame, cfg: Retarget = Retarget(), fps: str | None = No
         )
     keep = ["sample_id", "frame_index", "camera_extrinsics", *([fps] if fps else [])]
     rows = df.select(*keep, F.explode(F.array(*sides)).alias("_s")).select(*keep, "_s.*")
-    if cfg.smooth:
-        rows = smooth_pose(rows, "pose", cfg.pose_filter, fps=fps, continuous=True, keys=LONG_KEYS, long=long)
-    else:
-        rows = unwrap_rotvec(rows, "pose", 6, at=3, keys=LONG_KEYS, long=long)
+    rows = smooth_hand(
+        rows, "pose", "gripper_signal", cfg.pose_filter, cfg.gripper, cfg.smooth, fps, LONG_KEYS, long=long
+    )
     # base frames are pure translations: the rotation stays, the position moves
     shift = {s: F.array(*[F.lit(float(v)) for v in (*cfg.bases[s], 0, 0, 0)]) for s in SIDES}
     base = F.when(F.col("side") == "left", shift["left"]).otherwise(shift["right"])
-    rows = rows.withColumn("pose", F.zip_with("pose", base, lambda p, b: p - b))
-    return smooth_gripper(rows, "gripper_signal", cfg.gripper, keys=LONG_KEYS, long=long)
+    return rows.withColumn("pose", F.zip_with("pose", base, lambda p, b: p - b))
 
 
 def base_to_camera(pose_mat: str, side: str, extrinsics: str, df: DataFrame, bases=None, out: str = "camera_m") -> DataFrame:
