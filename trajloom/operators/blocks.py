@@ -42,22 +42,50 @@ def block_window(keys: Sequence[str]) -> WindowSpec:
 def with_context(
     df: DataFrame,
     keys: Sequence[str],
+    block: int,
     summary: dict[str, Column],
     carry: Callable[[WindowSpec, WindowSpec], dict[str, Column]],
 ) -> DataFrame:
     """Attach to every frame what the other blocks of its clip know.
 
-    ``summary`` holds aggregates per block (combined map-side, so the shuffle
-    carries one slim row per block). ``carry`` gets two windows over those slim
-    rows, the ordered one and the whole-clip one, and names the values to attach.
-    The join back is on (clip, block): a long clip spreads over many tasks, and
-    the window functions that follow reuse the same partitioning.
+    ``summary`` holds aggregates per block, combined map-side before their
+    shuffle. ``carry`` gets two windows over those slim rows, the ordered one and
+    the whole-clip one, and names the values to attach. The join back is on (clip,
+    block): a long clip spreads over many tasks, and the window functions that
+    follow reuse that partitioning.
     """
-    slim = df.groupBy(*keys, "_block").agg(*[c.alias(n) for n, c in summary.items()])
+    slim = with_block(df, block).groupBy(*keys, "_block").agg(*[c.alias(n) for n, c in summary.items()])
     whole = Window.partitionBy(*keys)
     carried = carry(whole.orderBy("_block"), whole)
     slim = slim.select(*keys, "_block", *[c.alias(n) for n, c in carried.items()])
-    return df.join(slim, [*keys, "_block"])
+    return spread_blocks(df, keys, block).join(slim, [*keys, "_block"])
+
+
+def with_neighbours(
+    df: DataFrame, keys: Sequence[str], block: int, behind: Column | None, ahead: Column | None, k: int
+) -> DataFrame:
+    """Attach the last ``k`` rows of the block before and the first ``k`` of the block after.
+
+    Frames have no gaps, so these are the rows next to a block border, picked by
+    their number alone: nothing is aggregated over the data, and clips shorter than
+    a block contribute nothing. ``_behind`` and ``_ahead`` are arrays in frame order
+    (NULL at a clip's end).
+    """
+    marked = with_block(df, block)
+    offset = F.col("frame_index") - F.col("_block") * block
+    out = spread_blocks(df, keys, block)
+    for name, value, near, step in (
+        ("_behind", behind, offset >= block - k, 1),
+        ("_ahead", ahead, (offset < k) & (F.col("_block") > 0), -1),
+    ):
+        if value is None:
+            continue
+        rows = marked.filter(near).select(
+            *keys, (F.col("_block") + step).alias("_block"), F.struct("frame_index", value.alias("v")).alias("_r")
+        )
+        border = rows.groupBy(*keys, "_block").agg(F.sort_array(F.collect_list("_r"))["v"].alias(name))
+        out = out.join(border, [*keys, "_block"], "left")
+    return out
 
 
 def before(w: WindowSpec) -> WindowSpec:

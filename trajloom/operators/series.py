@@ -13,7 +13,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import clean_signal, is_finite
-from .blocks import BLOCK, KEYS, after, before, block_window, onward, spread_blocks, upto, with_context
+from .blocks import BLOCK, KEYS, after, before, block_window, onward, upto, with_context, with_neighbours
+
+
+def _ends(ok: Column, value: Column) -> dict[str, Column]:
+    """First and last valid point of a block, as plain numbers so that the aggregate hashes."""
+    at = F.when(ok, F.col("frame_index"))
+    return {"_lo_f": F.min(at), "_lo_v": F.min_by(value, at), "_hi_f": F.max(at), "_hi_v": F.max_by(value, at)}
+
+
+def _end(which: str) -> Column:
+    f, v = F.col(f"_{which}_f"), F.col(f"_{which}_v")
+    return F.when(f.isNotNull(), F.struct(f.alias("f"), v.alias("v")))
 
 
 def interp_gaps(
@@ -36,12 +47,13 @@ def interp_gaps(
     ok = F.coalesce(F.col(valid), F.lit(False)) & F.col(col).isNotNull()
     point = F.when(ok, F.struct(F.col("frame_index").alias("f"), F.col(col).alias("v")))
     ctx = with_context(
-        spread_blocks(df, keys, block),
+        df,
         keys,
-        {"_lo": F.min(point), "_hi": F.max(point)},
+        block,
+        _ends(ok, F.col(col)),
         lambda w, _: {
-            "_prev": F.last("_hi", ignorenulls=True).over(before(w)),
-            "_next": F.first("_lo", ignorenulls=True).over(after(w)),
+            "_prev": F.last(_end("hi"), ignorenulls=True).over(before(w)),
+            "_next": F.first(_end("lo"), ignorenulls=True).over(after(w)),
         },
     )
     w = block_window(keys)
@@ -69,28 +81,14 @@ def moving_median(
     k = size // 2
     if block < k:
         raise ValueError("a block must hold at least half a window")
-    point = F.struct(F.col("frame_index").alias("f"), F.col(col).alias("v"))
-    start = F.col("_block") * block
-    offset = F.col("frame_index") - start
-    ctx = with_context(
-        spread_blocks(df, keys, block),
-        keys,
-        {
-            "_head": F.sort_array(F.collect_list(F.when(offset < k, point))),
-            "_tail": F.sort_array(F.collect_list(F.when(offset >= block - k, point))),
-            "_last": F.max("frame_index"),
-        },
-        lambda w, _: {
-            "_before": F.lag("_tail").over(w),
-            "_after": F.lead("_head").over(w),
-            "_last": F.col("_last"),
-        },
-    )
-    near = F.collect_list(point).over(block_window(keys).rowsBetween(-k, k))
-    ctx = ctx.withColumn("_near", near)
-    left = F.greatest(k - offset, F.lit(0)).cast("int")
-    right = F.greatest(k - (F.col("_last") - F.col("frame_index")), F.lit(0)).cast("int")
-    near, prev, foll = F.col("_near"), F.col("_before"), F.col("_after")
+    point = F.struct(F.col(col).alias("v"))
+    offset = F.col("frame_index") - F.col("_block") * block
+    ctx = with_neighbours(df, keys, block, point, point, k)
+    ctx = ctx.withColumn("_near", F.collect_list(point).over(block_window(keys).rowsBetween(-k, k)))
+    near, prev, foll = F.col("_near"), F.col("_behind"), F.col("_ahead")
+    here = F.least(offset, F.lit(k))  # rows before this one inside the block
+    left = (F.lit(k) - here).cast("int")
+    right = (F.lit(k) - (F.size(near) - 1 - here)).cast("int")
     empty = F.slice(near, 1, 0)
     lead = F.when(left == 0, empty).when(prev.isNull(), F.array_repeat(near[0], left)).otherwise(
         F.slice(prev, F.size(prev) - left + 1, left)
@@ -102,7 +100,7 @@ def moving_median(
     win = F.concat(win, F.array_repeat(F.element_at(win, -1), F.lit(size) - F.size(win)))
     values = F.transform(win, lambda p: p["v"])
     median = F.when(~F.exists(values, lambda v: v.isNull()), F.sort_array(values)[k])
-    return ctx.withColumn(out, median).drop("_block", "_before", "_after", "_last", "_near", "_win")
+    return ctx.withColumn(out, median).drop("_block", "_behind", "_ahead", "_near", "_win")
 
 
 def ffill_signal(
@@ -112,15 +110,16 @@ def ffill_signal(
     out = out or col
     known = F.when(is_finite(F.col(col)), F.col(col))
     ctx = with_context(
-        spread_blocks(df, keys, block),
+        df,
         keys,
-        {"_tail": F.max(F.when(known.isNotNull(), F.struct(F.col("frame_index").alias("f"), known.alias("v"))))},
+        block,
+        {"_tail": F.max_by(known, F.when(known.isNotNull(), F.col("frame_index")))},
         lambda w, whole: {
             "_prev": F.last("_tail", ignorenulls=True).over(before(w)),
             "_any": F.max(F.col("_tail").isNotNull()).over(whole),
         },
     )
-    held = F.coalesce(F.last(known, ignorenulls=True).over(upto(block_window(keys))), F.col("_prev")["v"])
+    held = F.coalesce(F.last(known, ignorenulls=True).over(upto(block_window(keys))), F.col("_prev"))
     value = F.when(F.col("_any"), clean_signal(held))
     return ctx.withColumn(out, value).drop("_block", "_prev", "_any")
 
@@ -159,18 +158,13 @@ def frame_delta(
     df: DataFrame, col: str, out: str = "_delta", keys: Sequence[str] = KEYS, block: int = BLOCK
 ) -> DataFrame:
     """Absolute change of a vector since the previous frame; NULL on the first frame."""
-    ctx = with_context(
-        spread_blocks(df, keys, block),
-        keys,
-        {"_end": F.max_by(F.struct(F.col(col).alias("v")), "frame_index")},
-        lambda w, _: {"_prev": F.lag("_end").over(w)},
-    )
-    w = block_window(keys)
-    prev = F.coalesce(F.lag(F.struct(F.col(col).alias("v"))).over(w), F.col("_prev"))
+    row = F.struct(F.col(col).alias("v"))
+    ctx = with_neighbours(df, keys, block, row, None, 1)
+    prev = F.coalesce(F.lag(row).over(block_window(keys)), F.col("_behind")[0])
     return (
         ctx.withColumn("_prev", prev)
         .withColumn(out, F.zip_with(F.col(col), F.col("_prev")["v"], lambda a, b: F.abs(a - b)))
-        .drop("_block", "_prev")
+        .drop("_block", "_prev", "_behind")
     )
 
 
@@ -218,8 +212,9 @@ def nearest_flagged(
     """Index of the nearest flagged frame in either direction; a tie takes the lower index."""
     hit = F.when(F.coalesce(F.col(flag), F.lit(False)), F.col("frame_index"))
     ctx = with_context(
-        spread_blocks(df, keys, block),
+        df,
         keys,
+        block,
         {"_lo": F.min(hit), "_hi": F.max(hit)},
         lambda w, _: {
             "_prev": F.last("_hi", ignorenulls=True).over(before(w)),
