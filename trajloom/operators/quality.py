@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.cleaning import finite, is_finite, safe_float
 from ..functions.matrix import norm_diff, rot_err_deg
 from .blocks import KEYS
-from .series import continuity
+from .series import delta_stats, frame_deltas, violations
 
 # ---------------------------------------------------------------- aggregates
 
@@ -48,7 +48,6 @@ def error_counts(pos: Column, ori: Column) -> tuple[Column, Column]:
 def clip_summary(
     frames: DataFrame,
     clips: DataFrame | None = None,
-    joint_cols: Sequence[str] = (),
     limits: tuple[Sequence[float], Sequence[float]] | None = None,
     sides: Sequence[str] = ("left", "right"),
     keys: Sequence[str] = KEYS,
@@ -59,41 +58,36 @@ def clip_summary(
     """
     have = set(frames.columns)
     none = F.lit(None)
+    joints = {s: f"{s}_joint_position" for s in sides if f"{s}_joint_position" in have}
+    if joints:
+        frames = frame_deltas(frames, {c: f"_{s}_delta" for s, c in joints.items()}, keys)
     stats: list[Column] = [F.count(F.lit(1)).alias("frame_count")]
     for s in sides:
         if f"{s}_position_error" in have:
             pos, ori = F.col(f"{s}_position_error"), F.col(f"{s}_orientation_error")
-            seen, lost = error_counts(pos, ori)
-            reach = F.col(f"{s}_reachable") if f"{s}_reachable" in have else none.cast("boolean")
-            stats += [
-                reachable_ratio(reach, pos, ori).alias(f"{s}_reachable_ratio"),
-                finite_mean(pos).alias(f"{s}_mean_position_error"),
-                finite_mean(ori).alias(f"{s}_mean_orientation_error"),
-                seen.alias(f"{s}_valid_error_frame_count"),
-                lost.alias(f"{s}_invalid_error_frame_count"),
-            ]
         else:
-            stats += [none.cast("double").alias(f"{s}_{n}") for n in ("reachable_ratio", "mean_position_error", "mean_orientation_error")]
-            stats += [none.cast("bigint").alias(f"{s}_{n}") for n in ("valid_error_frame_count", "invalid_error_frame_count")]
+            pos = ori = none.cast("double")
+        seen, lost = error_counts(pos, ori)
+        reach = F.col(f"{s}_reachable") if f"{s}_reachable" in have else none.cast("boolean")
         hit = F.col(f"{s}_collision") if f"{s}_collision" in have else none.cast("boolean")
-        stats += [collision_count(hit).alias(f"{s}_collision_count"), collision_ratio(hit).alias(f"{s}_collision_ratio")]
-        joint = f"{s}_joint_position"
-        if joint in have and limits is not None:
-            lo, hi = limits
-            over = [
-                F.coalesce(((F.col(joint)[i] < a - 1e-8) | (F.col(joint)[i] > b + 1e-8)).cast("int"), F.lit(0))
-                for i, (a, b) in enumerate(zip(lo, hi))
+        stats += [
+            reachable_ratio(reach, pos, ori).alias(f"{s}_reachable_ratio"),
+            finite_mean(pos).alias(f"{s}_mean_position_error"),
+            finite_mean(ori).alias(f"{s}_mean_orientation_error"),
+            (seen if f"{s}_position_error" in have else none.cast("bigint")).alias(f"{s}_valid_error_frame_count"),
+            (lost if f"{s}_position_error" in have else none.cast("bigint")).alias(f"{s}_invalid_error_frame_count"),
+            collision_count(hit).alias(f"{s}_collision_count"),
+            collision_ratio(hit).alias(f"{s}_collision_ratio"),
+        ]
+        if s in joints:
+            top, mean = delta_stats(F.col(f"_{s}_delta"))
+            stats += [
+                top.alias(f"{s}_continuity_max_abs_delta"),
+                mean.alias(f"{s}_continuity_mean_abs_delta"),
             ]
-            stats.append(F.sum(sum(over[1:], over[0])).alias(f"{s}_limit_violation_count"))
+            if limits is not None:
+                stats.append(F.sum(violations(joints[s], *limits)).alias(f"{s}_limit_violation_count"))
     out = frames.groupBy(*keys).agg(*stats)
-    for s in sides:
-        joint = f"{s}_joint_position"
-        if joint in have:
-            c = continuity(frames.select(*keys, "frame_index", joint), joint, keys=keys)
-            c = c.withColumnsRenamed(
-                {"max_abs_delta": f"{s}_continuity_max_abs_delta", "mean_abs_delta": f"{s}_continuity_mean_abs_delta"}
-            )
-            out = out.join(c, list(keys), "left")
     return out if clips is None else clips.join(out, list(keys), "left")
 
 

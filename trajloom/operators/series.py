@@ -154,56 +154,67 @@ def extend_tail(
     return df.select(*keys, "frame_index", *cols).unionByName(tail)
 
 
-def frame_delta(
-    df: DataFrame, col: str, out: str = "_delta", keys: Sequence[str] = KEYS, block: int = BLOCK
+def frame_deltas(
+    df: DataFrame, cols: dict[str, str], keys: Sequence[str] = KEYS, block: int = BLOCK
 ) -> DataFrame:
-    """Absolute change of a vector since the previous frame; NULL on the first frame."""
-    row = F.struct(F.col(col).alias("v"))
+    """Absolute change of vectors since the previous frame (NULL on the first), all in one pass.
+
+    ``cols`` maps each vector column to the name of its change.
+    """
+    row = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
     ctx = with_neighbours(df, keys, block, row, None, 1)
     prev = F.coalesce(F.lag(row).over(block_window(keys)), F.col("_behind")[0])
-    return (
-        ctx.withColumn("_prev", prev)
-        .withColumn(out, F.zip_with(F.col(col), F.col("_prev")["v"], lambda a, b: F.abs(a - b)))
-        .drop("_block", "_prev", "_behind")
-    )
+    ctx = ctx.withColumn("_prev", prev)
+    outs = {
+        out: F.zip_with(F.col(c), F.col("_prev")[f"v{i}"], lambda a, b: F.abs(a - b)) for i, (c, out) in enumerate(cols.items())
+    }
+    return ctx.withColumns(outs).drop("_block", "_prev", "_behind")
 
 
-def continuity(df: DataFrame, col: str, keys: Sequence[str] = KEYS, block: int = BLOCK) -> DataFrame:
-    """Largest and mean absolute change between frames over all dimensions, per clip.
+def frame_delta(
+    df: DataFrame, col: str, out: str = "_delta", keys: Sequence[str] = KEYS, block: int = BLOCK
+) -> DataFrame:
+    """Absolute change of one vector since the previous frame."""
+    return frame_deltas(df, {col: out}, keys, block)
+
+
+def delta_stats(delta: Column) -> tuple[Column, Column]:
+    """Aggregates over a clip's changes: largest and mean over all dimensions.
 
     One frame or none gives 0, 0; changes that are never finite give NULL, NULL.
     """
-    known = F.filter(F.col("_delta"), is_finite)
-    agg = (
-        frame_delta(df, col, keys=keys, block=block)
-        .withColumn("_known", known)
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_frames"),
-            F.max(F.array_max("_known")).alias("_max"),
-            F.sum(F.aggregate("_known", F.lit(0.0), lambda a, x: a + x)).alias("_sum"),
-            F.sum(F.when(F.col("_known").isNotNull(), F.size("_known"))).alias("_n"),
-        )
-    )
-    still = F.col("_frames") <= 1
-    return agg.select(
-        *keys,
-        F.when(still, 0.0).otherwise(F.col("_max")).alias("max_abs_delta"),
-        F.when(still, 0.0).when(F.col("_n") > 0, F.col("_sum") / F.col("_n")).alias("mean_abs_delta"),
+    known = F.filter(delta, is_finite)
+    still = F.count(F.lit(1)) <= 1
+    total = F.sum(F.aggregate(known, F.lit(0.0), lambda a, x: a + x))
+    n = F.sum(F.when(known.isNotNull(), F.size(known)))
+    return (
+        F.when(still, 0.0).otherwise(F.max(F.array_max(known))),
+        F.when(still, 0.0).when(n > 0, total / n),
     )
 
 
-def limit_violations(
-    df: DataFrame, col: str, lower: Sequence[float], upper: Sequence[float], keys: Sequence[str] = KEYS
-) -> DataFrame:
-    """Values outside their limits (with 1e-8 tolerance) per clip."""
+def continuity(df: DataFrame, col: str, keys: Sequence[str] = KEYS, block: int = BLOCK) -> DataFrame:
+    """Largest and mean absolute change between frames over all dimensions, per clip."""
+    top, mean = delta_stats(F.col("_delta"))
+    deltas = frame_delta(df, col, keys=keys, block=block)
+    return deltas.groupBy(*keys).agg(top.alias("max_abs_delta"), mean.alias("mean_abs_delta"))
+
+
+def violations(col: str, lower: Sequence[float], upper: Sequence[float]) -> Column:
+    """Values of a vector outside their limits (with 1e-8 tolerance)."""
     tol = 1e-8
     per_dim = [
         F.coalesce(((F.col(col)[i] < lo - tol) | (F.col(col)[i] > hi + tol)).cast("int"), F.lit(0))
         for i, (lo, hi) in enumerate(zip(lower, upper))
     ]
-    outside = sum(per_dim[1:], per_dim[0])
-    return df.groupBy(*keys).agg(F.sum(outside).alias("limit_violation_count"))
+    return sum(per_dim[1:], per_dim[0])
+
+
+def limit_violations(
+    df: DataFrame, col: str, lower: Sequence[float], upper: Sequence[float], keys: Sequence[str] = KEYS
+) -> DataFrame:
+    """Values outside their limits per clip."""
+    return df.groupBy(*keys).agg(F.sum(violations(col, lower, upper)).alias("limit_violation_count"))
 
 
 def nearest_flagged(

@@ -12,6 +12,7 @@ from ..functions import camera as cam
 from ..functions import matrix as mx
 from ..functions.vectorized import eef_pose, inv_transform, mat_to_aa, mat_to_pose
 from ..operators import hands
+from ..plans.loading import load_joint_transforms, load_world_hands
 from ..plans.trajectory import base_to_camera
 from .base import given, q6, query, s6, spread, sql_spread
 
@@ -127,6 +128,58 @@ def frame_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return hands.align_frames(part, spine).select(*KEYS, q6(F.col("v")).alias("v"))
 
 
+RIGHT = """,
+fx_two as (
+  select sample_id, frame_index, joint, 'left' as side, cx, cy, cz, confidence from fx_cam where joint not like '%Metacarpal'
+  union all select sample_id, frame_index, joint, 'right', cx, cy, cz, confidence from fx_cam where joint not like '%Metacarpal' and cz > -0.3),
+fx_ok as (
+  select sample_id, frame_index, side, count(*) filter (where joint in ({req})) = {n}
+    and count(*) filter (where joint in ({req}) and confidence >= 0.2) >= least(count(*) filter (where joint in ({req})), 6) as ok
+  from fx_two group by 1, 2, 3),
+fx_tip as (select sample_id, frame_index, side, cx, cy from fx_two where joint = 'IndexFingerTip')""".format(
+    req=", ".join(f"'{j}'" for j in hands.REQUIRED_JOINTS), n=len(hands.REQUIRED_JOINTS)
+)
+
+
+def _side(s: str) -> str:
+    return f"""coalesce((select ok from fx_ok o where o.sample_id = k.sample_id and o.frame_index = k.frame_index and side = '{s}'), false) as {s}_valid,
+  (select {s6("cx")} from fx_tip t join fx_ok o using (sample_id, frame_index, side)
+   where ok and t.sample_id = k.sample_id and t.frame_index = k.frame_index and side = '{s}') as {s}_tip"""
+
+
+@query(given(fx.JOINTS, IN_CAMERA + RIGHT + f" select sample_id, frame_index, {_side('left')}, {_side('right')} from fx_keypoints k"))
+def hand_loading(spark: SparkSession, sf: str) -> DataFrame:
+    """Joint transforms of both hands to masked keypoints; the right hand lacks some joints."""
+    j = fx.joints(spark, sf)
+    left = j.withColumn("joint", F.concat(F.lit("left"), "joint"))
+    right = j.filter(F.col("m")[11] > -0.3).withColumn("joint", F.concat(F.lit("right"), "joint"))
+    camera = fx.camera(spark, sf).withColumnRenamed("camera", "m")
+    out = load_joint_transforms(left.unionByName(right), camera, threshold=0.2, min_required=6)
+    tip = hands.HAND_JOINTS.index("IndexFingerTip")
+    return out.select(
+        *KEYS, "left_valid", q6(F.col("left_keypoints")[tip][0]).alias("left_tip"),
+        "right_valid", q6(F.col("right_keypoints")[tip][0]).alias("right_tip"),
+    )
+
+
+@query(given(fx.KEYPOINTS, f""",
+fx_n as (select *, greatest(sqrt(flat[4]**2+flat[5]**2+flat[6]**2+flat[7]**2), 1e-8) as n from fx_keypoints),
+fx_q as (select *, flat[4]/n as x, flat[5]/n as y, flat[6]/n as z, flat[7]/n as w from fx_n),
+fx_r as (select *, {", ".join(f"{e} as {n}" for e, n in zip(QUAT, R9))},
+         flat[13]-2*flat[1] as dx, flat[14]-2*flat[2] as dy, flat[15]-2*flat[3] as dz from fx_q)
+select sample_id, frame_index, valid as left_valid, {sql_spread([f"case when valid then dx*r{c}+dy*r{c+3}+dz*r{c+6} end" for c in range(3)], XYZ)},
+       480 as image_height from fx_r"""))
+def world_hand_loading(spark: SparkSession, sf: str) -> DataFrame:
+    """World keypoints under a scaled camera track to camera keypoints."""
+    k = fx.keypoints(spark, sf)
+    track = k.select(
+        *KEYS, F.slice("flat", 1, 7).alias("traj"), F.lit(2.0).alias("scale"), F.array(F.lit(500.0)).alias("img_focal"),
+        F.array(F.lit(320.0), F.lit(240.0)).alias("img_center"), F.lit(None).cast("double").alias("fps"),
+    )
+    out = load_world_hands(k.select(*KEYS, F.lit("left").alias("side"), "keypoints", "valid"), track)
+    return out.select(*KEYS, "left_valid", *spread(F.col("left_keypoints")[4], XYZ), "image_height")
+
+
 AA = """,
 fx_v as (select sample_id, frame_index, valid, flat, flat[4]*8 as a, flat[5]*8 as b, flat[6]*8 as c from fx_keypoints),
 fx_w as (select *, sqrt(a*a+b*b+c*c) as t from fx_v),

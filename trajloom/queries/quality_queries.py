@@ -324,6 +324,22 @@ def arm_trajectories(spark: SparkSession, sf: str) -> DataFrame:
     return solve_trajectories(poses, arm.Chain.of(arm.ARM_JOINTS))
 
 
+@query()
+def trajectory_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The fixed 21 columns at the end of the whole chain, built from a config."""
+    from ..plans import builtin  # noqa: F401
+    from ..plans.registry import build_steps
+
+    steps = build_steps(
+        [
+            {"type": "retarget", "params": {"fps": "fps", "center": (0.25, 0.0, 0.1)}},
+            {"type": "inverse_kinematics", "params": {"max_iterations": 24}},
+            {"type": "write_data"},
+        ]
+    )
+    return steps(both_hands(spark, sf)).drop("last_process")
+
+
 # ---------------------------------------------------------------- sweeps
 
 XS, ZS = sweep.axis_grid(0.15, 0.35, 0.05), sweep.axis_grid(0.0, 0.2, 0.05)
