@@ -99,7 +99,8 @@ def isolate(
     """
     keys = list(keys)
     marked = with_block(df, block) if "frame_index" in df.columns else df.withColumn("_block", F.lit(0).cast("bigint"))
-    full = T.StructType(list(schema.fields)).add("error", T.StringType())
+    # an error row has nothing but its keys
+    full = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields]).add("error", T.StringType())
     names = [f.name for f in full.fields]
     absent = [k for k in keys if k not in names]
     if absent:

@@ -140,10 +140,14 @@ def constant_fields(spark: SparkSession, sf: str) -> DataFrame:
     return cl.add_fields(o, {"run": "run1", "version": 7, "o_orderstatus": "x"})
 
 
-@query()
+@query(given(fx.KEYPOINTS, """
+select sample_id, frame_index, list_transform(range(21), lambda i: list_transform(flat[3*i+1:3*i+3], lambda x: round_even(x, 2) + 0.0)) as k, 0.12::double as c
+from fx_keypoints"""))
 def nested_rounding(spark: SparkSession, sf: str) -> DataFrame:
     k = fx.keypoints(spark, sf).select(*KEYS, F.struct(F.col("keypoints").alias("k"), F.lit(0.125).alias("c")).alias("s"))
-    return cl.round_nested(k, 2)
+    out = cl.round_nested(k, 2)
+    # adding 0.0 turns a negative zero into zero
+    return out.select(*KEYS, F.transform("s.k", lambda p: F.transform(p, lambda x: x + 0.0)).alias("k"), F.col("s.c").alias("c"))
 
 
 NUMBERS = """

@@ -61,11 +61,6 @@ def world_to_camera_points(spark: SparkSession, sf: str) -> DataFrame:
     return df.select(*KEYS, *spread(F.col("p"), XYZ))
 
 
-@query()
-def camera_inverse_general(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.camera(spark, sf).select(*KEYS, inv_transform("camera").alias("inv"))
-
-
 INV = ["cos(a)", "sin(a)", "0", "-0.1*cos(a)", "-sin(a)", "cos(a)", "0", "0.1*sin(a)", "0", "0", "1", "0", "0", "0", "0", "1"]
 
 
@@ -77,6 +72,13 @@ def camera_inverse_rigid(spark: SparkSession, sf: str) -> DataFrame:
     return df.select(*KEYS, *[(q6(F.col("inv")[i]) + 0.0).alias(n) for i, n in enumerate(M16)])
 
 
+@query(given(fx.KEYPOINTS, f"""
+select sample_id, frame_index, {sql_spread(INV, M16)} from (select *, frame_index*0.01 as a from fx_keypoints)"""))
+def camera_inverse_general(spark: SparkSession, sf: str) -> DataFrame:
+    df = fx.camera(spark, sf).withColumn("inv", inv_transform("camera"))
+    return df.select(*KEYS, *[(q6(F.col("inv")[i]) + 0.0).alias(n) for i, n in enumerate(M16)])
+
+
 IN_CAMERA = """,
 fx_cam as (
   select *, cos(frame_index*0.01)*(x-0.1)+sin(frame_index*0.01)*y as cx,

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..functions.camera import arr
 from ..operators import arm, clearance, quality, sweep
-from ..plans.registry import when_passed
+from ..plans.registry import isolate, when_passed
 from ..plans.trajectory import Retarget, retarget, solve_trajectories
 from ..plans.trajectory import sweep as sweep_workspace
+from ..sinks.writers import to_trajectory_schema
 from .base import given, q6, query, s6, sql_spread
 from .series_queries import both_hands
 
@@ -109,6 +110,67 @@ def conditional_step(spark: SparkSession, sf: str) -> DataFrame:
     return out.drop("l", "r", "key")
 
 
+@query(given(fx.META, FILTERED + " select sample_id, passed, 'r1' as run, 'render_filter' as last_process from fx_flag"))
+def configured_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Named steps from a config, one of them switched off."""
+    from ..plans import builtin  # noqa: F401
+    from ..plans.registry import build_steps
+
+    steps = build_steps(
+        [
+            {"type": "add_fields", "params": {"fields": {"run": "r1"}}},
+            {"type": "add_fields", "enabled": False, "params": {"fields": {"run": "r2"}}},
+            {"type": "render_filter"},
+        ]
+    )
+    return steps(fx.meta(spark, sf)).select("sample_id", F.col("render_filter_passed").alias("passed"), "run", "last_process")
+
+
+@query(given(fx.SIGNAL, f"""
+select sample_id, max(value) > 99.5 as failed, case when max(value) > 99.5 then 'demo' end as last_process,
+       case when max(value) <= 99.5 then count(*) end as frames, case when max(value) <= 99.5 then {s6("sum(value)")} end as total
+from fx_signal group by 1"""))
+def isolated_step(spark: SparkSession, sf: str) -> DataFrame:
+    """Clips whose step fails become error rows, the others complete."""
+    df = fx.signal(spark, sf).select(*KEYS, "value")
+
+    def step(pdf):
+        if (pdf["value"] > 99.5).any():
+            raise ValueError("value out of range")
+        return pdf
+
+    ok, failed = isolate(df, step, df.schema, "demo")
+    good = ok.groupBy("sample_id").agg(F.count(F.lit(1)).alias("frames"), q6(F.sum("value")).alias("total"))
+    none = F.lit(None).cast("string")
+    return good.withColumns({"failed": F.lit(False), "last_process": none}).unionByName(
+        failed.select("sample_id", F.lit(True).alias("failed"), "last_process"), allowMissingColumns=True
+    )
+
+
+@query(given(fx.QUALITY, f"""
+select sample_id, frame_index, {s6("left_position_error::float::double")} as l, {s6("right_position_error::float::double")} as r,
+       left_reachable, right_collision, null::integer as image_height, {s6("(value / 7)::float::double")} as q from fx_quality"""))
+def trajectory_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows in the fixed schema: floats, NULL for what is missing."""
+    nan = F.lit(float("nan"))
+    df = fx.quality(spark, sf).withColumns(
+        {
+            "left_position_error": F.coalesce("left_position_error", nan),
+            "left_joint_position": F.array(F.col("value") / 7, nan),
+        }
+    )
+    out = to_trajectory_schema(df)
+    return out.select(
+        *KEYS,
+        q6(F.col("left_position_error").cast("double")).alias("l"),
+        q6(F.col("right_position_error").cast("double")).alias("r"),
+        "left_reachable",
+        "right_collision",
+        "image_height",
+        q6(F.col("left_joint_position")[0].cast("double")).alias("q"),
+    )
+
+
 STRICT = """,
 fx_strict as (
   select *, left_reachable_ratio is null or right_reachable_ratio is null as miss,

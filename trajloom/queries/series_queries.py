@@ -252,11 +252,50 @@ def gripper_joint_targets(spark: SparkSession, sf: str) -> DataFrame:
     return df.select(*KEYS, q6(F.col("t")[0]).alias("a"), q6(F.col("t")[1]).alias("b"))
 
 
-@query()
+def kalman_sql(lo: str, hi: str) -> str:
+    """Forward filter and backward smoother of ``fx_obs(sample_id, j, frame_index, z)``, frame by frame."""
+    return f""",
+fx_start as (
+  select o.sample_id, o.j, o.z as q, coalesce(n.z - o.z, 0) as v from fx_obs o
+  left join fx_obs n on n.sample_id = o.sample_id and n.j = o.j and n.frame_index = 1 where o.frame_index = 0),
+fx_kf as (
+  select sample_id, j, cast(-1 as integer) as frame_index, q::double as q, v::double as v, 2e-4::double as a, 0::double as b, 2e-2::double as c from fx_start
+  union all
+  select sample_id, j, frame_index, pq + k1 * (z - pq), v + k2 * (z - pq), (1 - k1) * (1 - k1) * pa + k1 * k1 * 8e-3,
+         (1 - k1) * (pb - k2 * pa) + k1 * k2 * 8e-3, pc - 2 * k2 * pb + k2 * k2 * pa + k2 * k2 * 8e-3
+  from (select *, pa / (pa + 8e-3) as k1, pb / (pa + 8e-3) as k2 from (
+    select o.sample_id, o.j, o.frame_index, o.z, p.q + p.v as pq, p.v, p.a + 2 * p.b + p.c + 5e-5 as pa, p.b + p.c as pb, p.c + 1.5e-3 as pc
+    from fx_kf p join fx_obs o on o.sample_id = p.sample_id and o.j = p.j and o.frame_index = p.frame_index + 1))),
+fx_top as (select sample_id, max(frame_index) as top from fx_obs group by 1),
+fx_ks as (
+  select k.sample_id, k.j, k.frame_index, k.q, k.v from fx_kf k join fx_top t on k.sample_id = t.sample_id and k.frame_index = t.top
+  union all
+  select sample_id, j, frame_index, q + (m11 * pc - m12 * pb) / det * dq + (m12 * pa - m11 * pb) / det * dv,
+         v + (m21 * pc - m22 * pb) / det * dq + (m22 * pa - m21 * pb) / det * dv
+  from (select *, pa * pc - pb * pb as det from (
+    select k.sample_id, k.j, k.frame_index, k.q, k.v, s.q - (k.q + k.v) as dq, s.v - k.v as dv, k.a + 2 * k.b + k.c + 5e-5 as pa, k.b + k.c as pb,
+           k.c + 1.5e-3 as pc, k.a + k.b as m11, k.b as m12, k.b + k.c as m21, k.c as m22
+    from fx_ks s join fx_kf k on k.sample_id = s.sample_id and k.j = s.j and k.frame_index = s.frame_index - 1 where s.frame_index > 0)))
+select sample_id, frame_index, j, {s6(f"least(greatest(q, {lo}), {hi})")} as smooth from fx_ks"""
+
+
+def per_joint(df: DataFrame) -> DataFrame:
+    return df.select(*KEYS, F.posexplode("smooth").alias("j", "s")).select(*KEYS, "j", q6(F.col("s")).alias("smooth"))
+
+
+@query(
+    given(
+        fx.SIGNAL,
+        """,
+fx_obs as (select sample_id, frame_index, cast(unnest([0, 1]) as integer) as j, unnest([0.04, -0.04]) * coalesce(signal, 0) as z from fx_signal)"""
+        + kalman_sql("case when j = 0 then 0 else -0.04 end", "case when j = 0 then 0.04 else 0 end"),
+        recursive=True,
+    )
+)
 def gripper_joint_smoothing(spark: SparkSession, sf: str) -> DataFrame:
     df = fx.signal(spark, sf).select(*KEYS, F.coalesce("signal", F.lit(0.0)).alias("signal"))
     df = df.withColumn("q", gripper_targets(F.col("signal"), [0.0, 0.0], [0.04, -0.04]))
-    return smoothing.smooth_gripper_joints(df, "q", [0.0, 0.0], [0.04, -0.04], out="smooth")
+    return per_joint(smoothing.smooth_gripper_joints(df, "q", [0.0, 0.0], [0.04, -0.04], out="smooth"))
 
 
 def both_hands(spark: SparkSession, sf: str) -> DataFrame:
@@ -287,15 +326,45 @@ def pose_smoothing(spark: SparkSession, sf: str) -> DataFrame:
     return smoothing.smooth_pose(df, "pose", out="smooth")
 
 
-@query()
+TURNS = """,
+fx_ok as (
+  select *, row_number() over (partition by sample_id order by frame_index) as rn, sqrt(a*a + b*b + c*c) as t
+  from (select sample_id, frame_index, flat[1]*20 as a, flat[2]*20 as b, flat[3]*20 as c from fx_keypoints where valid)),
+fx_un as (
+  select sample_id, frame_index, rn, a, b, c from fx_ok where rn = 1
+  union all
+  select sample_id, frame_index, rn, a/t*s, b/t*s, c/t*s from (
+    select o.*, list_min(list_transform(range(-3, 3), lambda k: {'d': (o.a/o.t*(o.t+2*pi()*k) - p.a)**2 + (o.b/o.t*(o.t+2*pi()*k) - p.b)**2
+             + (o.c/o.t*(o.t+2*pi()*k) - p.c)**2, 's': o.t + 2*pi()*k})).s as s
+    from fx_un p join fx_ok o on o.sample_id = p.sample_id and o.rn = p.rn + 1))"""
+
+
+@query(
+    given(
+        fx.KEYPOINTS,
+        TURNS
+        + f""" select k.sample_id, k.frame_index, {s6("a")} as x, {s6("b")} as y, {s6("c")} as z
+from fx_keypoints k left join fx_un u on u.sample_id = k.sample_id and u.frame_index = k.frame_index""",
+        recursive=True,
+    )
+)
 def rotation_unwrapping(spark: SparkSession, sf: str) -> DataFrame:
     k = fx.keypoints(spark, sf)
     df = k.select(*KEYS, F.when(F.col("valid"), F.transform(F.slice("flat", 1, 3), lambda x: x * 20.0)).alias("rotvec"))
-    return smoothing.unwrap_rotvec(df, "rotvec", out="unwrapped")
+    out = smoothing.unwrap_rotvec(df, "rotvec", out="u")
+    return out.select(*KEYS, *[q6(F.col("u")[i]).alias(n) for i, n in enumerate("xyz")])
 
 
-@query()
+@query(
+    given(
+        fx.KEYPOINTS,
+        """,
+fx_obs as (select sample_id, frame_index, cast(unnest(range(6)) as integer) as j, unnest(flat[1:6]) as z from fx_keypoints)"""
+        + kalman_sql("-3", "3"),
+        recursive=True,
+    )
+)
 def joint_smoothing(spark: SparkSession, sf: str) -> DataFrame:
     k = fx.keypoints(spark, sf)
     df = k.select(*KEYS, F.slice("flat", 1, 6).alias("q"))
-    return smoothing.smooth_joints(df, "q", [-3.0] * 6, [3.0] * 6, out="smooth")
+    return per_joint(smoothing.smooth_joints(df, "q", [-3.0] * 6, [3.0] * 6, out="smooth"))
