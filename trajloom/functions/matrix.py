@@ -80,14 +80,18 @@ def pose_to_mat(pose: Column) -> Column:
     return F.when(all_finite(F.slice(pose, 1, 6), 6), rigid(aa_to_mat(F.slice(pose, 4, 3)), pose))
 
 
-def matmul4(a: Column, b: Column) -> Column:
-    """Product of two 4x4 matrices."""
+def product4(a: Column, b: Column) -> Column:
+    """Product of two 4x4 matrices given as plain columns: compiled, nothing is bound."""
+
+    def cell(i: int, j: int) -> Column:
+        return sum((a[4 * i + k] * b[4 * k + j] for k in range(1, 4)), a[4 * i] * b[j])
 
-    def build(a: Column, b: Column) -> Column:
-        cell = lambda i, j: sum((a[4 * i + k] * b[4 * k + j] for k in range(1, 4)), a[4 * i] * b[j])
-        return F.array(*[cell(i, j) for i in range(4) for j in range(4)])
+    return F.array(*[cell(i, j) for i in range(4) for j in range(4)])
 
-    return let(build, a, b)
+
+def matmul4(a: Column, b: Column) -> Column:
+    """Product of two 4x4 matrices given by any expressions."""
+    return let(product4, a, b)
 
 
 def compose(a: Column, b: Column) -> Column:

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.camera import all_finite
+from ..functions.camera import finite_at
 from ..functions.cleaning import is_finite
-from ..functions.matrix import matmul4, position
+from ..functions.matrix import product4
 from .blocks import KEYS
 
 # The 21 hand joints in order (the source also has 4 metacarpals, which are dropped).
@@ -31,36 +31,51 @@ REQUIRED_JOINTS = [
 ]
 
 
-def joint_order(joint: Column, order: Sequence[str] = HAND_JOINTS) -> Column:
-    """0-based position of a joint in the wanted order; others are NULL.
-
-    The order is a short literal array, so selecting joints needs no join.
-    """
-    at = F.array_position(F.array(*[F.lit(j) for j in order]), joint)
-    return F.when(at > 0, (at - 1).cast("int"))
-
-
 def to_camera(joints: DataFrame, camera: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Joint transforms (``m``) in the camera (``inv``): equi-join on clip and frame.
 
     Adds ``cam`` (4x4, NULL unless both are finite) and ``kp``, its translation.
     """
     both = joints.join(camera.select(*keys, "frame_index", "inv"), [*keys, "frame_index"], "left")
-    ok = all_finite(F.slice("m", 1, 12), 12) & all_finite(F.slice("inv", 1, 12), 12)
-    return both.withColumn("cam", F.when(ok, matmul4(F.col("inv"), F.col("m")))).withColumn("kp", position(F.col("cam")))
+    m, inv = F.col("m"), F.col("inv")
+    ok = finite_at(m, range(12)) & finite_at(inv, range(12))
+    cam = F.when(ok, product4(inv, m))
+    kp = F.when(ok, F.array(*[sum((inv[4 * i + k] * m[4 * k + 3] for k in range(1, 4)), inv[4 * i] * m[3]) for i in range(3)]))
+    return both.withColumns({"cam": cam, "kp": kp})
+
+
+def _slots(order: Sequence[str]) -> dict[str, Column]:
+    """One number per joint and axis, so that a frame's rows combine before the shuffle."""
+    kp, joint = F.col("kp"), F.col("joint")
+    return {f"_k{i}_{a}": F.max(F.when(joint == name, kp[a])) for i, name in enumerate(order) for a in range(3)}
+
+
+def _keypoints(count: int) -> Column:
+    def point(i: int) -> Column:
+        axes = [F.col(f"_k{i}_{a}") for a in range(3)]
+        return F.when(axes[0].isNotNull() & axes[1].isNotNull() & axes[2].isNotNull(), F.array(*axes))
 
+    return F.array(*[point(i) for i in range(count)])
 
-def assemble_hand(joints: DataFrame, order: Sequence[str] = HAND_JOINTS, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Long joints to one row per frame with ``keypoints`` in the wanted order; absent joints are NULL."""
-    at = joint_order(F.col("joint"), order)
+
+def assemble_hand(
+    joints: DataFrame,
+    order: Sequence[str] = HAND_JOINTS,
+    keys: Sequence[str] = KEYS,
+    facts: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Long joints to one row per frame with ``keypoints`` in the wanted order; absent joints are NULL.
+
+    ``facts`` are further aggregates per frame to compute in the same pass.
+    """
+    facts = facts or {}
+    slots = _slots(order)
     wide = (
-        joints.withColumn("_at", at)
-        .filter(F.col("_at").isNotNull())
+        joints.filter(F.col("joint").isin(*order))
         .groupBy(*keys, "frame_index")
-        .agg(F.map_from_entries(F.collect_list(F.struct("_at", F.struct(F.col("kp").alias("p"))))).alias("_map"))
+        .agg(*[c.alias(n) for n, c in {**slots, **facts}.items()])
     )
-    slots = F.sequence(F.lit(0), F.lit(len(order) - 1))
-    return wide.withColumn("keypoints", F.transform(slots, lambda i: F.try_element_at(F.col("_map"), i)["p"])).drop("_map")
+    return wide.select(*keys, "frame_index", _keypoints(len(order)).alias("keypoints"), *facts)
 
 
 def mask_invalid(df: DataFrame, keypoints: str, predicted: str) -> DataFrame:
@@ -69,35 +84,41 @@ def mask_invalid(df: DataFrame, keypoints: str, predicted: str) -> DataFrame:
     return df.withColumn("valid", valid).withColumn(keypoints, F.when(F.col("valid"), F.col(keypoints)))
 
 
-def valid_by_confidence(
-    joints: DataFrame,
+def confidence_rule(
     required: Sequence[str] | None = None,
     threshold: float | None = None,
     min_required: int | None = None,
     order: Sequence[str] = HAND_JOINTS,
-    keys: Sequence[str] = KEYS,
-) -> DataFrame:
-    """Frame validity: every required joint finite and enough of them confident.
+) -> Column:
+    """Aggregate over a frame's joints: is the hand valid?
 
-    Without a threshold only the finite rule applies. Unknown names are ignored;
-    an empty list means the defaults.
+    Every required joint must be finite and enough of them confident; without a
+    threshold only the finite rule applies. Unknown names are ignored; an empty
+    list means the defaults.
     """
     names = [n for n in (required or []) if n] or list(REQUIRED_JOINTS)
     needed = [n for n in names if n in order] or list(order)
-    known = F.coalesce(F.forall(F.col("kp"), is_finite), F.lit(False))
-    is_needed = F.col("joint").isin(*needed)
+    known = finite_at(F.col("kp"), range(3))
     counted = F.col("joint").isin(*[n for n in names if n in order] or [""])
-    sure = is_finite(F.col("confidence"))
-    agg = joints.groupBy(*keys, "frame_index").agg(
-        F.count_if(is_needed & known).alias("_finite"),
-        F.count_if(counted & sure).alias("_available"),
-        F.count_if(counted & sure & (F.col("confidence") >= (threshold if threshold is not None else 0.0))).alias("_sure"),
-    )
-    valid = F.col("_finite") >= len(needed)
-    if threshold is not None:
-        least = len(names) if min_required is None else max(0, int(min_required))
-        valid = valid & (F.col("_sure") >= F.least(F.col("_available"), F.lit(least)))
-    return agg.select(*keys, "frame_index", valid.alias("valid"))
+    sure = counted & is_finite(F.col("confidence"))
+    valid = F.count_if(F.col("joint").isin(*needed) & known) >= len(needed)
+    if threshold is None:
+        return valid
+    least = len(names) if min_required is None else max(0, int(min_required))
+    return valid & (F.count_if(sure & (F.col("confidence") >= threshold)) >= F.least(F.count_if(sure), F.lit(least)))
+
+
+def valid_by_confidence(
+    joints: DataFrame,
+    required: Sequence[str] | None = None,
+    threshold: float | None = None,
+    min_required: int | None = None,
+    order: Sequence[str] = HAND_JOINTS,
+    keys: Sequence[str] = KEYS,
+) -> DataFrame:
+    """Frame validity by the confidence rule."""
+    rule = confidence_rule(required, threshold, min_required, order)
+    return joints.groupBy(*keys, "frame_index").agg(rule.alias("valid"))
 
 
 def align_frames(df: DataFrame, spine: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -159,8 +180,8 @@ def align_workspace(
     four numbers per clip, joined back; ``facts`` are further aggregates to carry
     along.
     """
-    px, py, pz = at
-    ok = {s: is_finite(F.col(s)[px]) & is_finite(F.col(s)[py]) & is_finite(F.col(s)[pz]) for s in sides}
+    px, _, pz = at
+    ok = {s: finite_at(F.col(s), at) for s in sides}
     box = {}
     for axis, i in (("x", px), ("z", pz)):
         vals = [F.when(ok[s], F.col(s)[i]) for s in sides]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.camera import build_intrinsics, infer_image_size, resolve_fps
 from ..functions.matrix import let, quat_to_mat, scale_track, world_to_camera
 from ..functions.vectorized import inv_transform
-from ..operators.hands import HAND_JOINTS, assemble_hand, to_camera, valid_by_confidence
+from ..operators.hands import HAND_JOINTS, assemble_hand, confidence_rule, to_camera
 
 SIDES = ("left", "right")
 
@@ -37,8 +37,8 @@ def load_joint_transforms(
     inverse = camera.select("sample_id", "frame_index", inv_transform("m").alias("inv"))
     placed = to_camera(rows, inverse)
     keys = ("sample_id", "side")
-    valid = valid_by_confidence(placed, required, threshold, min_required, keys=keys)
-    hands = assemble_hand(placed, keys=keys).join(valid, [*keys, "frame_index"])
+    valid = confidence_rule(required, threshold, min_required)
+    hands = assemble_hand(placed, keys=keys, facts={"valid": valid})
     one = F.struct(F.when(F.col("valid"), F.col("keypoints")).alias("k"), F.col("valid").alias("v"))
     wide = hands.groupBy("sample_id", "frame_index").agg(
         *[F.first(F.when(F.col("side") == s, one), ignorenulls=True).alias(s) for s in SIDES]
