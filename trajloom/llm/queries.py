@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import contamination
+from .sharding import shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +53,9 @@ _WORDS = r"regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\
 def op1_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Every document against every benchmark window."""
     return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("spans", "items")
+
+
+@query()
+def op6_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document in one of 24 shards."""
+    return shards(table(spark, sf, "documents"))
