@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import contamination
+from .near_dedup import near_duplicates
 from .sharding import shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +56,27 @@ def op1_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("spans", "items")
 
 
+@query(
+    f"""
+    with recursive w as (select doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') w from documents),
+    s as (
+        select distinct doc_id, unnest(case when len(w) < 2 then [array_to_string(w, ' ')]
+               else [w[i] || ' ' || w[i + 1] for i in range(1, len(w))] end) g from w where len(w) > 0),
+    n as (select doc_id, count(*) n from s group by 1),
+    met as (select a.doc_id x, b.doc_id y, count(*) c from s a join s b using (g) group by 1, 2),
+    link as (
+        select x, y from met join n p on p.doc_id = x join n q on q.doc_id = y where 100 * c >= 80 * (p.n + q.n - c)),
+    reach as (select doc_id x, doc_id y from documents union select r.x, l.y from reach r join link l on l.x = r.y),
+    low as (select x doc_id, min(y) component_id from reach group by 1)
+    select doc_id, coalesce(n, 0)::bigint n_shingles, component_id, doc_id = component_id kept
+    from documents join low using (doc_id) left join n using (doc_id)
+    """
+)
+def op2_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Components of documents that share four fifths of their word pairs."""
+    return near_duplicates(table(spark, sf, "documents"), width=2)
+
+
 @query()
 def op6_sharding(spark: SparkSession, sf: str) -> DataFrame:
     """Every document in one of 24 shards."""
