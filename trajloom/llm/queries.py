@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontamination import contamination
 from .near_dedup import near_duplicates
 from .sharding import shards
+from .token_files import read, write
 
+#: Where the public vocabularies lie.
+TOKENIZERS = os.environ.get("TRAJLOOM_TOKENIZERS", "/opt/tokenizers")
+END = 2
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -77,6 +82,12 @@ def op2_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), width=2)
 
 
+@query()
+def op4_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document written to token files and read back."""
+    return read(write(table(spark, sf, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", END))
+
+
 @query()
 def op6_sharding(spark: SparkSession, sf: str) -> DataFrame:
     """Every document in one of 24 shards."""
