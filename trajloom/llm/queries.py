@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import contamination
 from .near_dedup import near_duplicates
+from .packing import pack
 from .sharding import shards
 from .token_files import read, write
 
@@ -88,6 +89,12 @@ def op4_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return read(write(table(spark, sf, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", END))
 
 
+@query()
+def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document in sequences of 1024 ids."""
+    return pack(table(spark, sf, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", END)
+
+
 @query()
 def op6_sharding(spark: SparkSession, sf: str) -> DataFrame:
     """Every document in one of 24 shards."""
