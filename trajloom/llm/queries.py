@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontamination import contamination
 from .near_dedup import near_duplicates
 from .packing import pack
+from .pii import find
 from .sharding import shards
 from .token_files import read, write
 
@@ -99,3 +100,9 @@ def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
 def op6_sharding(spark: SparkSession, sf: str) -> DataFrame:
     """Every document in one of 24 shards."""
     return shards(table(spark, sf, "documents"))
+
+
+@query()
+def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data in every document."""
+    return find(table(spark, sf, "documents"))
