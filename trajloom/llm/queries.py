@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import contamination
+from .embedding_dedup import near_vectors
+from .language import identify
 from .near_dedup import near_duplicates
 from .packing import pack
 from .pii import find
@@ -106,3 +108,29 @@ def op6_sharding(spark: SparkSession, sf: str) -> DataFrame:
 def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
     """Personal data in every document."""
     return find(table(spark, sf, "documents"))
+
+
+@query(
+    """
+    with recursive v as (
+        select vec_id, cast(embedding as double[]) e from embeddings
+        where list_count(embedding) = len(embedding) and list_dot_product(cast(embedding as double[]), cast(embedding as double[])) > 0),
+    link as (
+        select a.vec_id x, b.vec_id y from v a join v b on a.vec_id <> b.vec_id
+        where list_cosine_similarity(a.e, b.e) >= 0.9),
+    reach as (select vec_id x, vec_id y from embeddings union select r.x, l.y from reach r join link l on l.x = r.y),
+    low as (select x vec_id, min(y) component_id from reach group by 1),
+    n as (select x vec_id, count(*) n from link group by 1)
+    select vec_id, coalesce(n, 0)::bigint n_links, component_id, vec_id = component_id kept
+    from embeddings join low using (vec_id) left join n using (vec_id)
+    """
+)
+def op7_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """All vectors against all, at a cosine of 0.9."""
+    return near_vectors(table(spark, sf, "embeddings"))
+
+
+@query()
+def op10_language(spark: SparkSession, sf: str) -> DataFrame:
+    """The language of every document."""
+    return identify(table(spark, sf, "documents"))
