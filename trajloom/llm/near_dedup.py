@@ -41,6 +41,8 @@ MEMBERS = 256
 #: Candidates confirmed first, for each document and other component in a list.
 BEST = 4
 SLICE = 4 << 20
+#: Pairs of a merge compared at once.
+PAIRS = 1 << 20
 #: Up to so many ids are sent to all executors (8 MB); beyond, texts are joined by shuffle.
 SENT_IDS = 1 << 20
 
@@ -229,33 +231,40 @@ def _cross(lists: DataFrame, best: int | None) -> DataFrame:
     )
     rows = own.repartition(parts, "entry", "i", "j").sortWithinPartitions("entry", "i", "j")
 
-    def pairs(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        i, j, o, ids, part, n = (t.column(k).to_numpy() for k in range(1, 7))
+    def pairs(t: pa.Table) -> pa.RecordBatch:
+        """Pairs within all groups of ``t``: every row with the later rows of its group."""
+        keys = np.stack([t.column(k).to_numpy() for k in range(3)])
+        own, ids, part, n = (t.column(k).to_numpy() for k in range(3, 7))
         sig = _matrix(t.column(7).combine_chunks())
-        left = np.flatnonzero(o == i)
-        right = np.flatnonzero(o == j)
-        found: list[tuple] = []
-        for lo in range(0, len(left), 64):
-            x = left[lo : lo + 64]
-            same = np.zeros((len(x), len(right)), np.int16)
-            for c in range(K):
-                same += sig[x, c][:, None] == sig[right, c][None, :]
-            nx, ny = n[x][:, None], n[right][None, :]
-            ok = (same >= T) & (part[x][:, None] != part[right][None, :]) & (5 * np.minimum(nx, ny) >= 4 * np.maximum(nx, ny))
-            u, v = np.nonzero(ok)
+        ends = np.append(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, t.num_rows)
+        later = ends[np.searchsorted(ends, np.arange(t.num_rows), side="right")] - np.arange(t.num_rows) - 1
+        within = keys[1] == keys[2]
+        found: list[np.ndarray] = []
+        turns = np.cumsum(later) // PAIRS
+        for turn in np.unique(turns):
+            rows_ = np.flatnonzero(turns == turn)
+            u = np.repeat(rows_, later[rows_])
+            v = u + 1 + np.arange(len(u)) - np.repeat(np.cumsum(later[rows_]) - later[rows_], later[rows_])
+            ok = (part[u] != part[v]) & (within[u] | (own[u] != own[v])) & (5 * np.minimum(n[u], n[v]) >= 4 * np.maximum(n[u], n[v]))
+            u, v = u[ok], v[ok]
+            same = np.zeros(len(u), np.int16)
+            for at in range(0, len(u), 1 << 16):
+                to = at + (1 << 16)
+                same[at:to] = (sig[u[at:to]] == sig[v[at:to]]).sum(1)
+            u, v, same = u[same >= T], v[same >= T], same[same >= T]
             if best is not None and len(u):
                 keep = np.zeros(len(u), bool)
-                for first, second in ((x[u], right[v]), (right[v], x[u])):
-                    order = np.lexsort((-same[u, v], part[second], first))
+                for first, second in ((u, v), (v, u)):
+                    order = np.lexsort((-same, part[second], first))
                     f, p = first[order], part[second][order]
                     new = np.ones(len(f), bool)
                     new[1:] = (f[1:] != f[:-1]) | (p[1:] != p[:-1])
                     rank = np.arange(len(f)) - np.maximum.accumulate(np.where(new, np.arange(len(f)), 0))
                     keep[order[rank < best]] = True
                 u, v = u[keep], v[keep]
-            found.append((ids[x[u]], ids[right[v]]))
-        a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
-        return np.minimum(a, b), np.maximum(a, b)
+            found.append(np.unique(np.stack((np.minimum(ids[u], ids[v]), np.maximum(ids[u], ids[v]))), axis=1))
+        out = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], names=["a", "b"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -264,13 +273,12 @@ def _cross(lists: DataFrame, best: int | None) -> DataFrame:
             t = t if rest is None else pa.concat_tables([rest, t])
             keys = np.stack([t.column(k).to_numpy() for k in range(3)])
             cut = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
-            for lo, hi in zip(np.concatenate(([0], cut))[:-1], cut):
-                a, c = pairs(t.slice(lo, hi - lo))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c)], names=["a", "b"])
-            rest = t.slice(cut[-1]) if len(cut) else t
+            if len(cut):
+                yield pairs(t.slice(0, cut[-1]))
+                t = t.slice(cut[-1])
+            rest = t
         if rest is not None and rest.num_rows:
-            a, c = pairs(rest)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c)], names=["a", "b"])
+            yield pairs(rest)
 
     return rows.mapInArrow(scan, "a long, b long").where("a <> b").distinct()
 

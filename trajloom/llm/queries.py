@@ -13,6 +13,7 @@ from .language import identify
 from .near_dedup import near_duplicates
 from .packing import pack
 from .pii import find
+from .quality import scored
 from .sharding import shards
 from .token_files import read, write
 
@@ -134,3 +135,9 @@ def op7_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     """The language of every document."""
     return identify(table(spark, sf, "documents"))
+
+
+@query()
+def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """The quality of every document."""
+    return scored(table(spark, sf, "documents"), table(spark, sf, "labels"))
