@@ -217,10 +217,12 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     return stored(rows.mapInArrow(scan, "a long, b long"), "links")
 
 
-def _cross(lists: DataFrame, best: int | None) -> DataFrame:
+def _merged(lists: DataFrame) -> DataFrame:
     """Pairs of different components that collide often enough, from blocks of the lists.
 
-    ``lists`` holds entry, size, id, part (component), n and sig.
+    ``lists`` holds entry, size, id, part (component), n and sig. ``rank`` is the place of
+    the pair among those of one of its documents with the other's component, most
+    collisions first.
     """
     parts = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -252,19 +254,21 @@ def _cross(lists: DataFrame, best: int | None) -> DataFrame:
                 to = at + (1 << 16)
                 same[at:to] = (sig[u[at:to]] == sig[v[at:to]]).sum(1)
             u, v, same = u[same >= T], v[same >= T], same[same >= T]
-            if best is not None and len(u):
-                keep = np.zeros(len(u), bool)
-                for first, second in ((u, v), (v, u)):
-                    order = np.lexsort((-same, part[second], first))
-                    f, p = first[order], part[second][order]
-                    new = np.ones(len(f), bool)
-                    new[1:] = (f[1:] != f[:-1]) | (p[1:] != p[:-1])
-                    rank = np.arange(len(f)) - np.maximum.accumulate(np.where(new, np.arange(len(f)), 0))
-                    keep[order[rank < best]] = True
-                u, v = u[keep], v[keep]
-            found.append(np.unique(np.stack((np.minimum(ids[u], ids[v]), np.maximum(ids[u], ids[v]))), axis=1))
-        out = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], names=["a", "b"])
+            rank = np.full(len(u), np.iinfo(np.int64).max)
+            for first, second in ((u, v), (v, u)):
+                order = np.lexsort((-same, part[second], first))
+                f, p = first[order], part[second][order]
+                new = np.ones(len(f), bool)
+                new[1:] = (f[1:] != f[:-1]) | (p[1:] != p[:-1])
+                nth = np.arange(len(f)) - np.maximum.accumulate(np.where(new, np.arange(len(f)), 0))
+                rank[order] = np.minimum(rank[order], nth)
+            found.append(np.stack((np.minimum(ids[u], ids[v]), np.maximum(ids[u], ids[v]), rank)))
+        out = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
+        order = np.lexsort((out[2], out[1], out[0]))
+        out = out[:, order]
+        new = np.ones(out.shape[1], bool)
+        new[1:] = (out[:2, 1:] != out[:2, :-1]).any(0)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in out[:, new]], names=["a", "b", "rank"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -280,7 +284,8 @@ def _cross(lists: DataFrame, best: int | None) -> DataFrame:
         if rest is not None and rest.num_rows:
             yield pairs(rest)
 
-    return rows.mapInArrow(scan, "a long, b long").where("a <> b").distinct()
+    pairs_ = rows.mapInArrow(scan, "a long, b long, rank long").where("a <> b")
+    return stored(pairs_.groupBy("a", "b").agg(F.min("rank").alias("rank")), "candidates")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 80, id_column: str = "doc_id") -> DataFrame:
@@ -303,18 +308,25 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 80, id_c
     )
     posts = stored(postings(classes, entry_counts(classes)), "postings")
     lists = stored(posts.groupBy("entry").agg(F.min("id").alias("a"), F.count("*").alias("size")).where("size > 1"), "lists")
-    pairs = posts.join(lists, "entry").where("id <> a").select("a", F.col("id").alias("b")).distinct()
     sigs = classes.select("id", "sig")
+    shared = posts.join(lists.select("entry", "a"), "entry").where("id <> a").groupBy("id", "a").count()
+    pairs = shared.groupBy(F.col("id").alias("b")).agg(F.max(F.struct("count", (-F.col("a")).alias("a"))).alias("m"))
+    pairs = pairs.select("b", (-F.col("m.a")).alias("a"))  # the first of a list with which most lists are shared
     pairs = pairs.join(sigs.toDF("b", "sb"), "b").join(sigs.toDF("a", "sa"), "a")
     links = confirmed(_agree(pairs), docs, width, percent)
     nodes = stored(components(links), "nodes")
-    for best in (BEST, None):
-        named = posts.join(lists.select("entry", "size"), "entry").join(nodes.withColumnRenamed("node", "id"), "id", "left")
-        named = named.withColumn("part", F.coalesce("component", "id"))
-        live = named.groupBy("entry").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("entry")
-        rows = named.join(live, "entry").join(classes.select("id", "n", "sig"), "id")
-        found = _cross(rows.select("entry", "size", "id", "part", "n", "sig"), best)
-        new = confirmed(found, docs, width, percent)
+    part = F.coalesce("component", "id").alias("part")
+    named = posts.join(lists.select("entry", "size"), "entry").join(nodes.withColumnRenamed("node", "id"), "id", "left")
+    named = stored(named.select("entry", "size", "id", part), "named")
+    live = named.groupBy("entry").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("entry")
+    found = _merged(named.join(live, "entry").join(classes.select("id", "n", "sig"), "id").select("entry", "size", "id", "part", "n", "sig"))
+    forget(named)
+    for wanted in (F.col("rank") < BEST, F.col("rank") >= BEST):
+        rest = found.where(wanted)
+        for side in ("a", "b"):
+            rest = rest.join(nodes.toDF(side, f"part_{side}"), side, "left")
+        apart = F.coalesce("part_a", "a") != F.coalesce("part_b", "b")
+        new = confirmed(rest.where(apart).select("a", "b"), docs, width, percent)
         if not new.isEmpty():
             links = stored(links.union(new), "links")
             nodes = stored(components(links), "nodes")
