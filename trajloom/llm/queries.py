@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import contamination
 from .embedding_dedup import near_vectors
+from .html_text import extracted
 from .language import identify
 from .near_dedup import near_duplicates
 from .packing import pack
@@ -87,6 +88,12 @@ def op2_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), width=2)
 
 
+@query()
+def op3_html(spark: SparkSession, sf: str) -> DataFrame:
+    """The visible text of every page."""
+    return extracted(table(spark, sf, "pages"))
+
+
 @query()
 def op4_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """Every document written to token files and read back."""
