@@ -301,7 +301,8 @@ def find(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with every selected span of ``text`` replaced by its kind in angle brackets.
 
-    Overlapping spans become one, named after the first. Null text stays null.
+    Overlapping spans become one, named after the first. Null text stays null. A column
+    ``n_chars`` follows the new text.
     """
     columns = docs.columns
     work = proposals(docs.select(F.struct(*columns).alias("_row"), F.col("text").alias("text")))
@@ -320,4 +321,8 @@ def redacted(docs: DataFrame) -> DataFrame:
         return F.concat(F.array_join(done["parts"], ""), F.substring(F.col("text"), done["at"] + 1, F.length("text")))
 
     clean = F.when(F.size("spans") > 0, F.aggregate("spans", first, step, rest)).otherwise(F.col("text"))
-    return out.select(*(clean.alias("text") if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in columns))
+    values = {"text": clean}
+    if "n_chars" in columns:
+        size = F.when(F.size("spans") > 0, F.length(clean)).otherwise(F.col("_row.n_chars"))
+        values["n_chars"] = size.cast(docs.schema["n_chars"].dataType)
+    return out.select(*(values.get(c, F.col(f"_row.`{c}`")).alias(c) for c in columns))
