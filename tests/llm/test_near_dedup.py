@@ -52,10 +52,10 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("width,block,best", [(2, 1024, 4), (5, 1024, 4), (2, 16, 1)])
-def test_equals_brute_force(spark, docs, monkeypatch, width, block, best):
+@pytest.mark.parametrize("width,block", [(2, 512), (5, 512), (2, 16)])
+def test_equals_brute_force(spark, docs, monkeypatch, width, block):
     monkeypatch.setattr(nd, "BLOCK", block)
-    monkeypatch.setattr(nd, "BEST", best)
+    monkeypatch.setattr(nd, "COMPARED", 2 * block)
     monkeypatch.setattr(nd, "MEMBERS", 7)
     monkeypatch.setattr(nd, "SENT_IDS", 10 if block == 16 else 1 << 20)
     rows = corpus()
@@ -63,6 +63,19 @@ def test_equals_brute_force(spark, docs, monkeypatch, width, block, best):
     assert sorted((tuple(r) for r in got), key=lambda r: tuple(map(str, r))) == brute(rows, width)
 
 
+@pytest.mark.parametrize("n,pool", [(3, 10), (60, 40), (60, 5000), (400, 300)])
+def test_shared_counts(n, pool):
+    rng = random.Random(n)
+    sets = [nd.np.array(sorted({rng.randrange(pool) for _ in range(rng.randrange(30))}), nd.np.uint64) for _ in range(n)]
+    group = nd.np.arange(n) * 3 // n
+    got = nd.shared_counts(sets, group)
+    for a in range(0, n, 7):
+        for b in range(n):
+            if a != b:
+                want = len(set(sets[a].tolist()) & set(sets[b].tolist())) if group[a] == group[b] else 0
+                assert got[a, b] == want
+
+
 def test_collisions_follow_similarity():
     rng = random.Random(1)
     for share in (0.5, 0.8, 0.95):

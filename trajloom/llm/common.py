@@ -146,6 +146,24 @@ def hits(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return out
 
 
+def stars(linked: np.ndarray, ids: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that span the components of a block of links between ``ids`` (rows) and ``others`` (columns)."""
+    rows, cols = np.flatnonzero(linked.any(1)), np.flatnonzero(linked.any(0))
+    if not len(rows):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    linked = linked[np.ix_(rows, cols)]
+    left, right = ids[rows], others[cols]
+    top = np.iinfo(np.int64).max
+    while True:
+        new_left = np.minimum(left, np.where(linked, right[None, :], top).min(1))
+        new_right = np.minimum(right, np.where(linked, new_left[:, None], top).min(0))
+        if (new_left == left).all() and (new_right == right).all():
+            break
+        left, right = new_left, new_right
+    a, b = np.concatenate((ids[rows], others[cols])), np.concatenate((left, right))
+    return a[a != b], b[a != b]
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of the undirected ``links`` (a, b): columns node, component (its smallest node).
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stored
+from .common import components, stars, stored
 
 THRESHOLD = 0.9
 TILE = 4096
@@ -70,23 +70,6 @@ def links(x: Tile, y: Tile, threshold: float = THRESHOLD, rows: int = ROWS) -> I
         yield lo, sure
 
 
-def _stars(linked: np.ndarray, ids: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that span the components of a block of links."""
-    rows, cols = np.flatnonzero(linked.any(1)), np.flatnonzero(linked.any(0))
-    if not len(rows):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    linked = linked[np.ix_(rows, cols)]
-    left, right = ids[rows].copy(), others[cols].copy()
-    top = np.iinfo(np.int64).max
-    while True:
-        new_left = np.minimum(left, np.where(linked, right[None, :], top).min(1))
-        new_right = np.minimum(right, np.where(linked, new_left[:, None], top).min(0))
-        if (new_left == left).all() and (new_right == right).all():
-            break
-        left, right = new_left, new_right
-    return np.concatenate((ids[rows], others[cols])), np.concatenate((left, right))
-
-
 def _work(t: pa.Table, threshold: float) -> Iterator[tuple]:
     """Counts (id, links) and edges of one pair of tiles."""
     i, j, own, ids, copies = (t.column(k).to_numpy() for k in range(5))
@@ -111,8 +94,8 @@ def _work(t: pa.Table, threshold: float) -> Iterator[tuple]:
             of_a[lo + rows] += np.rint(part @ nb[cols]).astype(np.int64)
             if not same:
                 of_b[cols] += np.rint(na[lo + rows] @ part).astype(np.int64)
-            p, q = _stars(linked, a[lo : lo + len(linked)], b)
-            yield p[p != q], q[p != q], None
+            p, q = stars(linked, a[lo : lo + len(linked)], b)
+            yield p, q, None
         for who, n in ((a, of_a), (b, of_b)):
             yield who[n > 0], None, n[n > 0]
 

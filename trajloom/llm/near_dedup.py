@@ -7,13 +7,16 @@
    first entries of any common order of (coordinate, value) pairs. Entries are ordered
    rarest first, by counts over the whole corpus, hashed to a table of bounded size.
    A document is posted under its prefix entries only.
-3. *Merge and skip.* A first merge of every list pairs its smallest document with the
-   others, counts collisions, and confirms on the full sets. Lists whose documents are then all in one
-   component are skipped. The lists that remain are merged in full, in blocks of bounded
-   size, and every pair of two components that reaches ``T`` collisions is confirmed:
-   first the best few of each document and component, then all the rest. So groups of
-   thousands of copies need about one confirmation a document, and no candidate is lost.
-4. Components of the confirmed links.
+3. *First pairs.* Each document is paired with the first document of the list they share
+   most often; collisions are counted and the pair is confirmed on the full sets. That
+   links groups of thousands of near copies at one confirmation a document.
+4. *Merge and skip.* Lists are split by set size, since similar sets have similar sizes,
+   and those whose documents are all in one component are skipped. The others are merged
+   in blocks of bounded size: a pair counts in the first list that both documents share,
+   and what reaches ``T`` collisions stays. A document with such a partner is sent, once
+   for each block, with its text, and the block is compared on the full sets. What
+   travels is documents, never pairs, and a block returns stars that span its links.
+5. Components of the confirmed links.
 
 A pair of similarity 0.8 misses ``T`` = 25 of ``K`` = 48 collisions with probability
 below 1e-5, less above; everything after that is exact.
@@ -28,18 +31,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, components, forget, mix, slices, stored, text_bytes
+from .common import Words, components, mix, slices, stars, stored, text_bytes
 
 K, T = 48, 25
 WIDTH = 5
 #: Slots of the table of entry counts.
 SLOTS = 1 << 18
 #: Documents of one list merged in one group; longer lists are merged block by block.
-BLOCK = 1024
+BLOCK = 512
 #: Members confirmed against one document in one group.
 MEMBERS = 256
-#: Candidates confirmed first, for each document and other component in a list.
-BEST = 4
+#: Documents whose full sets are compared at once.
+COMPARED = 1024
+#: Sets whose sizes differ by more than this factor fall into classes that are not neighbours.
+SIZE_STEP = 1.26
 SLICE = 4 << 20
 #: Pairs of a merge compared at once.
 PAIRS = 1 << 20
@@ -149,7 +154,7 @@ def entry_counts(classes: DataFrame) -> np.ndarray:
 
 
 def postings(classes: DataFrame, counts: np.ndarray) -> DataFrame:
-    """The rarest ``K - T + 1`` entries of each class."""
+    """The rarest ``K - T + 1`` entries of each class, each with the coordinates of those before it as bits."""
     shared = classes.sparkSession.sparkContext.broadcast(counts)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,10 +163,13 @@ def postings(classes: DataFrame, counts: np.ndarray) -> DataFrame:
             often = shared.value[(entries >> _SHIFT).astype(np.int64)]
             first = np.lexsort((entries, often), axis=1)[:, : K - T + 1]
             keys = np.take_along_axis(entries, first, 1)
-            ids = np.repeat(b.column(0).to_numpy(zero_copy_only=False), keys.shape[1])
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], names=["entry", "id"])
+            bits = np.int64(1) << first
+            before = np.cumsum(bits, axis=1) - bits
+            ids, sizes = (np.repeat(b.column(k).to_numpy(), keys.shape[1]) for k in (0, 2))
+            columns = [pa.array(keys.ravel().view(np.int64)), pa.array(ids), pa.array(sizes), pa.array(before.ravel())]
+            yield pa.RecordBatch.from_arrays(columns, names=["entry", "id", "n", "before"])
 
-    return classes.select("id", "sig").mapInArrow(scan, "entry long, id long")
+    return classes.select("id", "sig", "n").mapInArrow(scan, "entry long, id long, n long, before long")
 
 
 def _agree(pairs: DataFrame) -> DataFrame:
@@ -188,9 +196,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     wanted = split.select("a", "g", F.lit(1).alias("role"), F.col("b").alias("id")).union(
         size.select("a", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("g"), F.lit(0).alias("role"), F.col("a").alias("id"))
     )
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    few = ids.count() <= SENT_IDS
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    texts = _texts(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = wanted.join(texts, "id").select("a", "g", "role", "id", "text")
     rows = rows.repartition(parts, "a", "g").sortWithinPartitions("a", "g", "role")
@@ -217,75 +223,147 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     return stored(rows.mapInArrow(scan, "a long, b long"), "links")
 
 
-def _merged(lists: DataFrame) -> DataFrame:
-    """Pairs of different components that collide often enough, from blocks of the lists.
-
-    ``lists`` holds entry, size, id, part (component), n and sig. ``rank`` is the place of
-    the pair among those of one of its documents with the other's component, most
-    collisions first.
-    """
+def _groups(batches: Iterator[pa.RecordBatch], keys: int, rows: int) -> Iterator[pa.Table]:
+    """Whole groups of a stream sorted by its first ``keys`` columns, together up to ``rows`` rows or one group."""
+    held: list[pa.RecordBatch] = []
+    size, last = 0, None
+    for b in batches:
+        key = np.stack([b.column(k).to_numpy() for k in range(keys)])
+        cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
+        edges = [0, *cuts.tolist(), b.num_rows] if b.num_rows else []
+        begin = 0
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            now = tuple(key[:, lo].tolist())
+            if now != last and size + (hi - lo) > rows and size:
+                if lo > begin:
+                    held.append(b.slice(begin, lo - begin))
+                yield pa.Table.from_batches(held)
+                held, size, begin = [], 0, lo
+            size, last = size + hi - lo, now
+        if b.num_rows > begin:
+            held.append(b.slice(begin))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _blocks(lists: DataFrame) -> DataFrame:
+    """Rows dealt into pairs of blocks (i, j) of their list and sorted by them; ``own`` is the row's own block."""
     parts = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = lists.withColumn("k", blocks).withColumn("own", F.pmod(F.xxhash64("id", "entry"), F.col("k")).cast("int"))
+    own = lists.withColumn("k", F.ceil(F.col("size") / BLOCK).cast("int"))
+    own = own.withColumn("own", F.pmod(F.xxhash64("id", "entry", "class"), F.col("k")).cast("int"))
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     own = own.select(
-        "entry", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "part", "n", "sig"
-    )
-    rows = own.repartition(parts, "entry", "i", "j").sortWithinPartitions("entry", "i", "j")
-
-    def pairs(t: pa.Table) -> pa.RecordBatch:
-        """Pairs within all groups of ``t``: every row with the later rows of its group."""
-        keys = np.stack([t.column(k).to_numpy() for k in range(3)])
-        own, ids, part, n = (t.column(k).to_numpy() for k in range(3, 7))
-        sig = _matrix(t.column(7).combine_chunks())
-        ends = np.append(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, t.num_rows)
-        later = ends[np.searchsorted(ends, np.arange(t.num_rows), side="right")] - np.arange(t.num_rows) - 1
-        within = keys[1] == keys[2]
-        found: list[np.ndarray] = []
-        turns = np.cumsum(later) // PAIRS
-        for turn in np.unique(turns):
-            rows_ = np.flatnonzero(turns == turn)
-            u = np.repeat(rows_, later[rows_])
-            v = u + 1 + np.arange(len(u)) - np.repeat(np.cumsum(later[rows_]) - later[rows_], later[rows_])
-            ok = (part[u] != part[v]) & (within[u] | (own[u] != own[v])) & (5 * np.minimum(n[u], n[v]) >= 4 * np.maximum(n[u], n[v]))
-            u, v = u[ok], v[ok]
-            same = np.zeros(len(u), np.int16)
-            for at in range(0, len(u), 1 << 16):
-                to = at + (1 << 16)
-                same[at:to] = (sig[u[at:to]] == sig[v[at:to]]).sum(1)
-            u, v, same = u[same >= T], v[same >= T], same[same >= T]
-            rank = np.full(len(u), np.iinfo(np.int64).max)
-            for first, second in ((u, v), (v, u)):
-                order = np.lexsort((-same, part[second], first))
-                f, p = first[order], part[second][order]
-                new = np.ones(len(f), bool)
-                new[1:] = (f[1:] != f[:-1]) | (p[1:] != p[:-1])
-                nth = np.arange(len(f)) - np.maximum.accumulate(np.where(new, np.arange(len(f)), 0))
-                rank[order] = np.minimum(rank[order], nth)
-            found.append(np.stack((np.minimum(ids[u], ids[v]), np.maximum(ids[u], ids[v]), rank)))
-        out = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
-        order = np.lexsort((out[2], out[1], out[0]))
-        out = out[:, order]
-        new = np.ones(out.shape[1], bool)
-        new[1:] = (out[:2, 1:] != out[:2, :-1]).any(0)
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in out[:, new]], names=["a", "b", "rank"])
+        "entry", F.col("class").cast("int").alias("class"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        "own", "id", "part", "n", "before", "sig",
+    )
+    key = ["entry", "class", "i", "j"]
+    return own.repartition(parts, *key).sortWithinPartitions(*key)
+
+
+def _candidates(lists: DataFrame) -> DataFrame:
+    """The rows of each block that have a partner of another component with enough collisions in it.
+
+    ``lists`` holds entry, class, size, id, part (component), n, before and sig.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        for b in batches:
-            t = pa.Table.from_batches([b])
-            t = t if rest is None else pa.concat_tables([rest, t])
-            keys = np.stack([t.column(k).to_numpy() for k in range(3)])
-            cut = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
-            if len(cut):
-                yield pairs(t.slice(0, cut[-1]))
-                t = t.slice(cut[-1])
-            rest = t
-        if rest is not None and rest.num_rows:
-            yield pairs(rest)
+        for t in _groups(batches, 4, 4096):
+            key = np.stack([t.column(k).to_numpy() for k in range(4)])
+            own, part, n, before = (t.column(k).to_numpy() for k in (4, 6, 7, 8))
+            sig = _matrix(t.column(9).combine_chunks())
+            ends = np.append(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1, t.num_rows)
+            later = ends[np.searchsorted(ends, np.arange(t.num_rows), side="right")] - np.arange(t.num_rows) - 1
+            within = key[2] == key[3]
+            level = np.floor(np.log(n) / np.log(SIZE_STEP)).astype(np.int64)
+            wanted = np.zeros(t.num_rows, bool)
+            turns = np.cumsum(later) // PAIRS
+            for turn in np.unique(turns):
+                rows = np.flatnonzero(turns == turn)
+                u = np.repeat(rows, later[rows])
+                v = u + 1 + np.arange(len(u)) - np.repeat(np.cumsum(later[rows]) - later[rows], later[rows])
+                ok = (part[u] != part[v]) & (within[u] | (own[u] != own[v]))
+                ok &= (level[u] != level[v]) | (level[u] == key[1][u])  # neighbours in size meet in one class only
+                u, v = u[ok], v[ok]
+                for at in range(0, len(u), 1 << 16):
+                    x, y = u[at : at + (1 << 16)], v[at : at + (1 << 16)]
+                    equal = sig[x] == sig[y]
+                    ok = equal.sum(1) >= T
+                    x, y, equal = x[ok], y[ok], equal[ok]
+                    packed = np.zeros((len(x), 8), np.uint8)
+                    packed[:, : K // 8] = np.packbits(equal, axis=1, bitorder="little")
+                    first = (packed.view(np.int64).ravel() & before[x] & before[y]) == 0
+                    wanted[x[first]] = wanted[y[first]] = True
+            yield from t.filter(pa.array(wanted)).select(range(7)).combine_chunks().to_batches()
+
+    schema = "entry long, class int, i int, j int, own int, id long, part long"
+    return stored(_blocks(lists).mapInArrow(scan, schema), "candidates")
+
+
+def shared_counts(sets: list[np.ndarray], group: np.ndarray) -> np.ndarray:
+    """Sizes of the pairwise intersections of sets of one group; 0 across groups.
+
+    Shingles that many sets hold are counted by a matrix product, the others by their pairs.
+    """
+    n = len(sets)
+    out = np.zeros((n, n), np.float32)
+    size = np.array([len(s) for s in sets])
+    row = np.repeat(np.arange(n), size)
+    value = np.concatenate(sets) if n else np.zeros(0, np.uint64)
+    value = mix(value ^ mix(group.astype(np.uint64))[row])
+    order = np.argsort(value, kind="stable")
+    value, row = value[order], row[order]
+    begins = np.flatnonzero(np.append(True, value[1:] != value[:-1])) if len(value) else np.zeros(0, int)
+    count = np.diff(np.append(begins, len(value)))
+    many = count > max(2, n // 16)
+    columns = np.flatnonzero(many)
+    for at in range(0, len(columns), 2048):
+        own = columns[at : at + 2048]
+        flat = np.repeat(begins[own] - np.concatenate(([0], np.cumsum(count[own])[:-1])), count[own]) + np.arange(int(count[own].sum()))
+        dense = np.zeros((n, len(own)), np.float32)
+        dense[row[flat], np.repeat(np.arange(len(own)), count[own])] = 1
+        out += dense @ dense.T
+    left = np.where(many, 0, count)
+    ends = np.repeat(begins + left, count)
+    later = np.maximum(ends - np.arange(len(value)) - 1, 0)
+    turns = np.cumsum(later) // (1 << 21)
+    for turn in np.unique(turns[later > 0]):
+        own = np.flatnonzero((turns == turn) & (later > 0))
+        x = np.repeat(own, later[own])
+        y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(later[own]) - later[own], later[own])
+        pairs = np.bincount(row[x] * n + row[y], minlength=n * n).reshape(n, n)
+        out += pairs + pairs.T
+    return out
+
+
+def _compared(rows: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between documents of each block, on their full sets, as stars that span them."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = _texts(docs, rows.select("id").distinct())
+    key = ["entry", "class", "i", "j"]
+    rows = rows.join(texts, "id").select(*key, "own", "id", "part", "text").repartition(parts, *key).sortWithinPartitions(*key)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups((s for b in batches for s in slices(b, "text", SLICE)), 4, COMPARED):
+            key = np.stack([t.column(k).to_numpy() for k in range(4)])
+            own, ids, part = (t.column(k).to_numpy() for k in range(4, 7))
+            group = np.cumsum(np.append(0, (key[:, 1:] != key[:, :-1]).any(0)))
+            sets = [s for c in t.column(7).chunks for s in shingle_sets(*text_bytes(c), width)]
+            both = shared_counts(sets, group).astype(np.float64)
+            size = np.array([len(s) for s in sets])
+            linked = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & (group[:, None] == group[None, :])
+            linked &= (part[:, None] != part[None, :]) & (size > 0)
+            linked &= (key[2] == key[3])[:, None] | (own[:, None] != own[None, :])
+            a, b = stars(linked, ids, ids)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return stored(rows.mapInArrow(scan, "a long, b long"), "links")
 
-    pairs_ = rows.mapInArrow(scan, "a long, b long, rank long").where("a <> b")
-    return stored(pairs_.groupBy("a", "b").agg(F.min("rank").alias("rank")), "candidates")
+
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Texts of the documents of ``ids``, sent to all executors only if they are few."""
+    ids = stored(ids, "ids")
+    few = ids.count() <= SENT_IDS
+    return docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 80, id_column: str = "doc_id") -> DataFrame:
@@ -316,20 +394,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 80, id_c
     links = confirmed(_agree(pairs), docs, width, percent)
     nodes = stored(components(links), "nodes")
     part = F.coalesce("component", "id").alias("part")
-    named = posts.join(lists.select("entry", "size"), "entry").join(nodes.withColumnRenamed("node", "id"), "id", "left")
-    named = stored(named.select("entry", "size", "id", part), "named")
-    live = named.groupBy("entry").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("entry")
-    found = _merged(named.join(live, "entry").join(classes.select("id", "n", "sig"), "id").select("entry", "size", "id", "part", "n", "sig"))
-    forget(named)
-    for wanted in (F.col("rank") < BEST, F.col("rank") >= BEST):
-        rest = found.where(wanted)
-        for side in ("a", "b"):
-            rest = rest.join(nodes.toDF(side, f"part_{side}"), side, "left")
-        apart = F.coalesce("part_a", "a") != F.coalesce("part_b", "b")
-        new = confirmed(rest.where(apart).select("a", "b"), docs, width, percent)
-        if not new.isEmpty():
-            links = stored(links.union(new), "links")
-            nodes = stored(components(links), "nodes")
+    named = posts.join(lists.select("entry"), "entry").join(nodes.withColumnRenamed("node", "id"), "id", "left")
+    level = F.floor(F.log("n") / F.log(F.lit(SIZE_STEP)))
+    classed = F.explode(F.array(level, level + 1)).alias("class")
+    named = stored(named.select("entry", "id", "n", "before", part, classed), "named")
+    live = named.groupBy("entry", "class").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("size"))
+    rows = named.join(live.where("lo < hi").select("entry", "class", "size"), ["entry", "class"])
+    links = links.union(_compared(_candidates(rows.join(sigs, "id")), docs, width, percent))
+    nodes = stored(components(links), "nodes")
     member = every.join(classes.select("p", "q", "n", "id"), ["p", "q", "n"], "left")
     member = member.join(nodes.withColumnRenamed("node", "id"), "id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id"))
