@@ -168,7 +168,7 @@ def blake_share(key: pa.Array) -> pa.Array:
     return pa.array(out, pa.float64())
 
 
-def sample_share(key: Column, algo: str = "blake2b") -> Column:
+def sample_share(key: Column, algo: str = "md5") -> Column:
     """Deterministic share of a key: ``blake2b`` for exact parity, ``md5`` to stay in the JVM."""
     if algo == "blake2b":
         return blake_share(key)

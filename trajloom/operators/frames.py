@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK, KEYS
+from .blocks import KEYS
 
 
 def to_frames(clips: DataFrame, arrays: Sequence[str], keys: Sequence[str] = KEYS, constants: Sequence[str] = ()) -> DataFrame:
@@ -24,11 +24,14 @@ def to_frames(clips: DataFrame, arrays: Sequence[str], keys: Sequence[str] = KEY
     )
 
 
-def to_clips(frames: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS, block: int = BLOCK) -> DataFrame:
-    """Clip arrays in frame order: one row per clip, or per block of a clip longer than ``block``."""
+def to_clips(frames: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS, block: int | None = None) -> DataFrame:
+    """Clip arrays in frame order: one row per clip, or on demand one per ``block`` frames of a clip.
+
+    A row of a whole clip must fit in a task; ask for blocks where clips have no bound.
+    """
     row = F.struct("frame_index", *cols)
     packed = (
-        frames.withColumn("block", F.expr(f"cast(frame_index div {int(block)} as bigint)"))
+        frames.withColumn("block", F.expr(f"cast(frame_index div {int(block)} as bigint)") if block else F.lit(0).cast("bigint"))
         .groupBy(*keys, "block")
         .agg(F.sort_array(F.collect_list(row)).alias("_rows"))
     )

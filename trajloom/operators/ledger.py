@@ -39,11 +39,24 @@ def _change(tasks: DataFrame, when: Column, changes: dict[str, Column]) -> DataF
 
 
 def _flagged(tasks: DataFrame, ids: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-    """Join the ids (and their payload) to the tasks; ``_hit`` marks the matches."""
-    marked = ids.select("sample_id", *extra).dropDuplicates(["sample_id"]).withColumn("_hit", F.lit(True))
+    """Join the ids (and their payload) to the tasks; ``_hit`` marks the matches.
+
+    Of several rows for one id the last counts: by ``at`` if there is such a column, then
+    by the payload itself, so the outcome does not depend on how rows are dealt.
+    """
+    marked = _last(ids, extra).withColumn("_hit", F.lit(True))
     return tasks.join(marked, "sample_id", "left").withColumn("_hit", F.coalesce("_hit", F.lit(False)))
 
 
+def _last(rows: DataFrame, extra: Sequence[str]) -> DataFrame:
+    """One row per id with the ``extra`` columns of its last row."""
+    order = [*(["at"] if "at" in rows.columns else []), *extra]
+    if not order:
+        return rows.select("sample_id").distinct()
+    top = rows.groupBy("sample_id").agg(F.max(F.struct(*order)).alias("_top"))
+    return top.select("sample_id", *[F.col("_top")[c].alias(c) for c in extra])
+
+
 def sync(tasks: DataFrame, clips: DataFrame, now: Column) -> DataFrame:
     """Upsert discovered clips (``sample_id, payload``).
 
@@ -51,7 +64,7 @@ def sync(tasks: DataFrame, clips: DataFrame, now: Column) -> DataFrame:
     ``updated_at`` only; ids not discovered stay as they are. ``_sync`` says which
     (new, refreshed, or NULL).
     """
-    found = clips.select("sample_id", F.col("payload").alias("_payload")).dropDuplicates(["sample_id"])
+    found = _last(clips, ["payload"]).withColumnRenamed("payload", "_payload")
     found = found.withColumn("_found", F.lit(True))
     both = tasks.withColumn("_known", F.lit(True)).join(found, "sample_id", "full_outer")
     known, seen = F.col("_known").isNotNull(), F.col("_found").isNotNull()
@@ -197,9 +210,17 @@ def _add(have: str, new: Column) -> Column:
     return F.array_union(F.coalesce(F.col(have), _none()), new)
 
 
+def _grouped(paths: DataFrame) -> DataFrame:
+    """All paths of an id in one list: rows by ``at`` if there is such a column, then by their paths."""
+    order = [c for c in ("at", "paths") if c in paths.columns]
+    rows = F.sort_array(F.collect_list(F.when(F.col("paths").isNotNull(), F.struct(*order))))
+    lists = F.array_distinct(F.flatten(F.transform(rows, lambda r: r["paths"])))
+    return paths.groupBy("sample_id").agg(lists.alias("_p"))
+
+
 def artifacts_add(tasks: DataFrame, paths: DataFrame, now: Column, column: str = "artifacts") -> DataFrame:
     """Append paths (``sample_id, paths``) that are not listed yet; order is kept."""
-    df = tasks.join(paths.select("sample_id", F.col("paths").alias("_p")), "sample_id", "left")
+    df = tasks.join(_grouped(paths), "sample_id", "left")
     new = F.size(F.array_except(F.col("_p"), F.coalesce(F.col(column), _none()))) > 0
     hit = F.col("_p").isNotNull() & new
     return df.withColumns(
@@ -212,7 +233,7 @@ def artifacts_add(tasks: DataFrame, paths: DataFrame, now: Column, column: str =
 
 def artifacts_remove(tasks: DataFrame, paths: DataFrame, now: Column, columns: Sequence[str] = ("temp_artifacts",)) -> DataFrame:
     """Remove paths (``sample_id, paths``) from the given lists."""
-    df = tasks.join(paths.select("sample_id", F.col("paths").alias("_p")), "sample_id", "left")
+    df = tasks.join(_grouped(paths), "sample_id", "left")
     hit = F.col("_p").isNotNull()
 
     def without(c: str) -> Column:
@@ -273,13 +294,14 @@ def status_report(tasks: DataFrame, ledger: str = "ledger", total: bool = False)
     """Counts per ledger, zero-filled, with completion ratio and verdict.
 
     ``total`` adds the row over all ledgers (NULL ledger, ``is_total``) through a
-    rollup. Tasks listed twice under one ledger count once.
+    rollup. A task listed twice under one ledger counts once, under its furthest status.
     """
     counts = [F.count_if(F.col("status") == s).alias(s) for s in STATUSES]
     every = F.count(F.lit(1)).alias("total")
+    place = F.array_position(F.array(*map(F.lit, STATUSES)), F.col("status"))
+    unique = tasks.groupBy(ledger, "sample_id").agg(F.max_by("status", place).alias("status"))
     if not total:
-        return _with_ratio(tasks.groupBy(ledger).agg(every, *counts))
-    unique = tasks.groupBy(ledger, "sample_id").agg(F.first("status").alias("status"))
+        return _with_ratio(unique.groupBy(ledger).agg(every, *counts))
     rolled = unique.rollup(ledger).agg(every, *counts, (F.grouping(ledger) == 1).alias("is_total"))
     return _with_ratio(rolled)
 

@@ -11,7 +11,7 @@ from ..functions.vectorized import sample_share
 from ..session import reliable
 
 
-def hash_sample(df: DataFrame, key: str, ratio: float, algo: str = "blake2b") -> DataFrame:
+def hash_sample(df: DataFrame, key: str, ratio: float, algo: str = "md5") -> DataFrame:
     """Keep a deterministic share of the keys."""
     if ratio <= 0.0:
         return df.limit(0)
@@ -20,7 +20,7 @@ def hash_sample(df: DataFrame, key: str, ratio: float, algo: str = "blake2b") ->
     return df.filter(sample_share(F.col(key), algo) < ratio)
 
 
-def visualize_flag(df: DataFrame, key: str, ratio: float, algo: str = "blake2b", out: str = "visualize") -> DataFrame:
+def visualize_flag(df: DataFrame, key: str, ratio: float, algo: str = "md5", out: str = "visualize") -> DataFrame:
     """Mark instead of keep."""
     if ratio <= 0.0 or ratio >= 1.0:
         return df.withColumn(out, F.lit(ratio >= 1.0))
@@ -39,14 +39,13 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], out: str = "rank")
     ranged = reliable(ranged.withColumn("_at", F.monotonically_increasing_id()))
     part, inside = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per partition
-    starts, total = {}, 0
+    starts, total = [], 0
     for row in sorted(sizes, key=lambda r: r["_part"]):
-        starts[row["_part"]] = total
+        starts.append((row["_part"], total))
         total += row["n"]
-    if not starts:
-        return df.withColumn(out, F.lit(0).cast("bigint"))
-    table = F.create_map(*[F.lit(v).cast("bigint") for kv in starts.items() for v in kv])
-    return ranged.withColumn(out, table[part] + inside).drop("_at")
+    table = df.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")
+    placed = ranged.withColumn("_part", part).join(F.broadcast(table), "_part")  # one row per partition
+    return placed.withColumn(out, F.col("_start") + inside).drop("_at", "_part", "_start")
 
 
 def shard(df: DataFrame, key: str, num_parts: int, part: int) -> DataFrame:
@@ -64,8 +63,18 @@ def shard(df: DataFrame, key: str, num_parts: int, part: int) -> DataFrame:
     return ranked.filter(F.pmod("_rank", F.lit(num_parts)) == part).drop("_rank", "_key")
 
 
+def page_after(df: DataFrame, key: str, last: object | None, size: int) -> DataFrame:
+    """The ``size`` rows that follow the key ``last`` (None: the first ones) in key order.
+
+    However deep the page lies, a task keeps ``size`` rows and the filter reaches the source.
+    """
+    if size <= 0:
+        raise ValueError("the page size must be positive")
+    return (df if last is None else df.filter(F.col(key) > F.lit(last))).orderBy(key).limit(int(size))
+
+
 def page(df: DataFrame, order: Sequence[str | Column], start: int, size: int) -> DataFrame:
-    """Ordered page ``[start, start + size)``."""
+    """Ordered page ``[start, start + size)``; for deep pages use :func:`page_after`, as this one keeps all before it."""
     if size <= 0:
         raise ValueError("the page size must be positive")
     return df.orderBy(*order).offset(int(start)).limit(int(size))

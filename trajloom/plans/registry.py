@@ -88,17 +88,21 @@ def isolate(
     fn: Callable[[pd.DataFrame], pd.DataFrame],
     schema: T.StructType,
     process: str,
+    unit: str | int,
     keys: Sequence[str] = KEYS,
-    block: int = 4096,
 ) -> tuple[DataFrame, DataFrame]:
-    """Run a pandas function per clip block; a failing clip becomes an error row, the rest complete.
+    """Run a pandas function per unit; a failing clip becomes an error row, the rest complete.
 
-    Returns the rows of the clips that worked and one row per failed clip with
-    ``error`` and ``last_process``. Blocks keep a group bounded; a clip counts as
-    failed as soon as one of its blocks does.
+    The caller states the unit, as it decides what the function sees: ``"clip"`` gives it
+    whole clips, each in one task and so in its memory, for functions that need the clip;
+    a number of frames gives it blocks of that many, for functions that work frame by
+    frame. Returns the rows of the clips that worked and one row per failed clip with
+    ``error`` and ``last_process``; a clip fails as soon as one of its blocks does.
     """
     keys = list(keys)
-    marked = with_block(df, block) if "frame_index" in df.columns else df.withColumn("_block", F.lit(0).cast("bigint"))
+    if unit != "clip" and not (isinstance(unit, int) and unit > 0):
+        raise ValueError("the unit is 'clip' or a positive number of frames")
+    marked = df.withColumn("_block", F.lit(0).cast("bigint")) if unit == "clip" else with_block(df, unit)
     # an error row has nothing but its keys
     full = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields]).add("error", T.StringType())
     names = [f.name for f in full.fields]

@@ -54,7 +54,7 @@ def hash_sampling_md5(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def hash_sampling_blake2b(spark: SparkSession, sf: str) -> DataFrame:
     o = fx.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("sample_id"))
-    return sampling.hash_sample(o, "sample_id", 0.25)
+    return sampling.hash_sample(o, "sample_id", 0.25, "blake2b")
 
 
 @query()
@@ -227,18 +227,21 @@ def frame_explosion(spark: SparkSession, sf: str) -> DataFrame:
     """Clip arrays to one row per frame, from the blocks of ``clip_arrays``."""
     from ..operators.frames import to_clips, to_frames
 
-    clips = to_clips(fx.signal(spark, sf), ["signal", "value"])
+    clips = to_clips(fx.signal(spark, sf), ["signal", "value"], block=32)
     return to_frames(clips, ["signal", "value"]).select(
         *KEYS, q6(F.col("signal")).alias("signal"), q6(F.col("value")).alias("value")
     )
 
 
 @query(given(fx.SIGNAL, f"""
-select sample_id, cast(0 as bigint) as block, cast(0 as integer) as first_frame, list({s6('value')} order by frame_index) as value from fx_signal group by 1"""))
+select sample_id, cast(0 as bigint) as block, cast(0 as integer) as first_frame, list({s6('value')} order by frame_index) as value from fx_signal group by 1
+union all
+select sample_id, frame_index // 20, min(frame_index), list({s6('value')} order by frame_index) from fx_signal where frame_index >= 20 group by 1, 2"""))
 def clip_arrays(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators.frames import to_clips
 
-    out = to_clips(fx.signal(spark, sf), ["value"])
+    frames = fx.signal(spark, sf)
+    out = to_clips(frames, ["value"]).unionByName(to_clips(frames, ["value"], block=20).filter("block > 0"))
     return out.select("sample_id", "block", "first_frame", _rounded(F.col("value")).alias("value"))
 
 

@@ -139,7 +139,7 @@ def isolated_step(spark: SparkSession, sf: str) -> DataFrame:
             raise ValueError("value out of range")
         return pdf
 
-    ok, failed = isolate(df, step, df.schema, "demo")
+    ok, failed = isolate(df, step, df.schema, "demo", "clip")
     good = ok.groupBy("sample_id").agg(F.count(F.lit(1)).alias("frames"), q6(F.sum("value")).alias("total"))
     none = F.lit(None).cast("string")
     return good.withColumns({"failed": F.lit(False), "last_process": none}).unionByName(
@@ -395,7 +395,7 @@ def trajectory_table(spark: SparkSession, sf: str) -> DataFrame:
     steps = build_steps(
         [
             {"type": "retarget", "params": {"fps": "fps", "center": (0.25, 0.0, 0.1)}},
-            {"type": "inverse_kinematics", "params": {"max_iterations": 24}},
+            {"type": "inverse_kinematics"},
             {"type": "write_data"},
         ]
     )
@@ -475,5 +475,5 @@ def sweep_ranking(spark: SparkSession, sf: str) -> DataFrame:
 def workspace_sweep(spark: SparkSession, sf: str) -> DataFrame:
     """The whole chain per grid point: retarget once, solve the arms at every point."""
     chain = arm.Chain.of(arm.ARM_JOINTS)
-    return sweep_workspace(both_hands(spark, sf), [0.2, 0.3], [0.0, 0.2], chain)
+    return sweep_workspace(both_hands(spark, sf), XS, ZS, chain)
 

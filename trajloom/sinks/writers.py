@@ -81,7 +81,7 @@ def publishable(tasks: DataFrame, trajectories: DataFrame, meta: DataFrame, root
 def index_entries(published: DataFrame, per_entry: int = 10000) -> DataFrame:
     """Index entries ``{sample_ids, output_dir}`` of bounded size, ids in order within and across entries.
 
-    The file form is a list of entries, so many bounded ones read the same as one.
+    Written as JSON there is one entry a line, which ``read_index`` reads back line by line.
     """
     ranged = published.repartitionByRange("sample_id").sortWithinPartitions("sample_id")
     at = F.floor(F.monotonically_increasing_id() / F.lit(int(per_entry)))

@@ -88,7 +88,7 @@ def scan_catalog(
     data_ext: str = ".pose3d_hand",
     tail: int | None = None,
     visualize: float = 0.0,
-    algo: str = "blake2b",
+    algo: str = "md5",
 ) -> DataFrame:
     """Clips of a catalog table: filters, id, data path and visualize flag.
 
@@ -117,15 +117,44 @@ def scan_catalog(
     ).withColumn("visualize", show)
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """Index file in list or dict form: ``pos, sample_id`` in order, single ids before the list."""
+def read_index(spark: SparkSession, path: str, document: bool = False) -> DataFrame:
+    """Index files: ``pos, sample_id`` in order, single ids before the list of their entry.
+
+    Lines are read apart, so a published index of any size splits over tasks. A line holds
+    one entry or a list of them; brackets and commas around the lines of a list may stand
+    alone. ``document`` reads each file as one JSON text laid out in any way, for small
+    files written by hand: such a file is one string in one task.
+    """
+    return parse_index(spark.read.text(path, wholetext=document))
+
+
+def parse_index(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Entries of index texts, one or a list of them in each."""
     entry = "struct<sample_id:string,sample_ids:array<string>>"
-    text = spark.read.text(path, wholetext=True)
-    doc = F.trim("value")
+    doc = _bare(column)
     entries = F.when(doc.startswith("["), F.from_json(doc, f"array<{entry}>")).otherwise(
         F.array(F.from_json(doc, entry))
     )
-    return index_ids(text.select(F.explode(entries).alias("e")).select("e.sample_id", "e.sample_ids"))
+    return index_ids(lines.select(F.explode(entries).alias("e")).select("e.sample_id", "e.sample_ids"))
+
+
+def _bare(column: str) -> Column:
+    """A line without white space and the comma behind it."""
+    return F.regexp_replace(F.col(column), r"^\s+|\s*,?\s*$", "")
+
+
+def read_render_index(spark: SparkSession, path: str, document: bool = False) -> DataFrame:
+    """Ids of rendered clips, from a list of ids or from lines with an id each."""
+    return parse_render_index(spark.read.text(path, wholetext=document))
+
+
+def parse_render_index(lines: DataFrame, column: str = "value") -> DataFrame:
+    """``sample_id`` of render index texts: ``[id, ...]``, ``"id"`` or ``{"sample_id": id}``."""
+    doc = _bare(column)
+    one = F.from_json(doc, "struct<sample_id:string>")["sample_id"]
+    quoted = F.from_json(F.concat(F.lit("["), doc, F.lit("]")), "array<string>")
+    ids = F.when(doc.startswith("["), F.from_json(doc, "array<string>")).when(doc.startswith("{"), F.array(one)).otherwise(quoted)
+    return lines.select(F.explode(ids).alias("sample_id")).where(F.length("sample_id") > 0)
 
 
 def index_ids(entries: DataFrame) -> DataFrame:
