@@ -24,7 +24,7 @@ _NOT_PLAIN = re.compile(r"[^\x20-\x26\x28-\x7e\nÀ-ÖØ-öø-ÿ]")
 #: White space by any definition besides space and line end, and combining marks that a normaliser may move.
 _OTHER = re.compile(r"[^\S \n]|[\x1c-\x1f\x85᠎​⁠﻿]")
 #: Pieces whose ids a worker process keeps from task to task; later ones are encoded again.
-CACHE = 500_000
+CACHE = 1_200_000
 _KNOWN: dict[str, dict[str, bytes]] = {}
 
 
