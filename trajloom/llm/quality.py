@@ -71,7 +71,9 @@ class Network:
         """The largest rectified response of each filter in each row, and what training needs."""
         x = np.concatenate((self.embed[laid].reshape(-1, CELL * EMBED), repeats(laid)), axis=1)
         response = x @ self.near[0] + self.bias
-        response[:-1] += x[1:] @ self.near[1]
+        second = x[1:] @ self.near[1]
+        second[first[1:-1] - 1] = 0  # the last cell of a row has no second half
+        response[:-1] += second
         np.maximum(response, 0, out=response)
         return np.maximum.reduceat(response, first[:-1], axis=0), (x, response)
 
@@ -96,7 +98,7 @@ class Network:
         for row in range(len(want)):
             at = first[row] + response[first[row] : first[row + 1]].argmax(0)
             for half in (0, 1):
-                ok = at + half < len(x)
+                ok = at + half < first[row + 1]
                 cell = np.minimum(at + half, len(x) - 1)
                 own = x[cell] * ok[:, None]
                 g_near[half] += own.T * d_top[row]
