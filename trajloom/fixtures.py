@@ -53,7 +53,7 @@ def quality(spark: SparkSession, sf: str) -> DataFrame:
             "right_orientation_error": right * 3.0,
             "left_reachable": F.coalesce(left <= 0.01, F.lit(False)),
             "right_reachable": F.coalesce(right <= 0.01, F.lit(False)),
-            "left_collision": (F.col("event_type") == "signup") & (F.col("value") > 90),
+            "left_collision": F.when(F.pmod(user, F.lit(7)) != 0, (F.col("event_type") == "signup") & (F.col("value") > 90)),
             "right_collision": (F.col("event_type") == "click") & (F.col("value") > 90),
         }
     )
@@ -70,7 +70,7 @@ fx_quality as (
   select *, left_position_error * 2.0 as left_orientation_error, right_position_error * 3.0 as right_orientation_error,
          coalesce(left_position_error <= 0.01, false) as left_reachable,
          coalesce(right_position_error <= 0.01, false) as right_reachable,
-         (event_type = 'signup' and value > 90) as left_collision,
+         case when user_id % 7 <> 0 then event_type = 'signup' and value > 90 end as left_collision,
          (event_type = 'click' and value > 90) as right_collision
   from fx_err)"""
 )
@@ -83,7 +83,7 @@ fx_meta as (
   select sample_id, min(user_id) as user_id, count(*) as frames,
          avg(case when left_position_error is not null then case when left_reachable then 1.0 else 0.0 end end) as left_reachable_ratio,
          avg(case when right_position_error is not null then case when right_reachable then 1.0 else 0.0 end end) as right_reachable_ratio,
-         count(*) filter (where left_collision) / count(*) as left_collision_ratio,
+         count(*) filter (where left_collision) / nullif(count(left_collision), 0) as left_collision_ratio,
          count(*) filter (where right_collision) / count(*) as right_collision_ratio
   from fx_quality group by sample_id)"""
 )
@@ -276,12 +276,16 @@ fx_clearance as (
 
 
 def link_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Link pairs that occur in the clearance table, with their smallest distance as rest distance."""
-    return clearance(spark, sf).groupBy("link_a", "link_b").agg(F.min("distance").alias("distance"), F.count("*").alias("n"))
+    """Link pairs that occur in the clearance table, with a rest distance; one in eleven touches at rest."""
+    pairs = clearance(spark, sf).groupBy("link_a", "link_b").agg(F.count("*").alias("n"))
+    number = lambda c: F.substring(c, 5, 2).cast("int")
+    return pairs.withColumn("distance", F.pmod(number("link_a") * 7 + number("link_b") * 3, F.lit(11)) / 100.0)
 
 
 LINK_PAIRS = (
     CLEARANCE
     + """,
-fx_pairs as (select link_a, link_b, min(distance) as distance, count(*) as n from fx_clearance group by all)"""
+fx_pairs as (
+  select link_a, link_b, (cast(link_a[5:] as integer) * 7 + cast(link_b[5:] as integer) * 3) % 11 / 100.0 as distance, count(*) as n
+  from fx_clearance group by all)"""
 )

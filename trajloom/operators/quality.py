@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,6 +47,54 @@ def error_counts(pos: Column, ori: Column) -> tuple[Column, Column]:
     return F.count_if(both_known(pos, ori)), F.count_if(~both_known(pos, ori))
 
 
+def _own_frames(side: str, columns: Sequence[str]) -> Column:
+    """Whether a frame of a wide table belongs to a side, which may end before the other."""
+    if f"{side}_own" in columns:
+        return F.coalesce(F.col(f"{side}_own"), F.lit(False))
+    values = ("pose", "joint_position", "reachable", "collision", "position_error", "orientation_error", "gripper_signal")
+    some = [F.col(f"{side}_{v}").isNotNull() for v in values if f"{side}_{v}" in columns]
+    return reduce(lambda a, b: a | b, some, F.lit(False))
+
+
+#: Settings of the collision check in clip metadata, fixed names and types.
+SOLVER_FIELDS = {
+    "available": "boolean", "enabled": "boolean", "mode": "string", "filter_adjacent_pairs": "boolean",
+    "filter_neutral_touching_pairs": "boolean", "ignore_links": "array<string>", "pair_count_total": "bigint",
+    "pair_count_active": "bigint", "pair_count_filtered": "bigint",
+}
+RUN_FIELDS = {
+    "mode": "string", "pair_filter_adjacent_pairs": "boolean", "pair_filter_neutral_touching_pairs": "boolean",
+    "ignore_links": "array<string>",
+}
+
+
+def with_solver_fields(
+    summary: DataFrame,
+    joint_names: Mapping[str, Sequence[str]],
+    solver: Mapping[str, Mapping[str, object]],
+    run: Mapping[str, object] = {},
+    sides: Sequence[str] = ("left", "right"),
+) -> DataFrame:
+    """Adds joint names and collision settings of each side, and those of the run, to clip metadata.
+
+    ``solver`` maps a side to values of :data:`SOLVER_FIELDS`, ``run`` holds values of
+    :data:`RUN_FIELDS`; both are settings of the whole run. What is not given is NULL, or
+    an empty list for joint names and a side's ignored links.
+    """
+
+    def typed(value: object, kind: str) -> Column:
+        if value is not None and kind.startswith("array"):
+            return F.array(*map(F.lit, value)).cast(kind)
+        return F.lit(value).cast(kind)
+
+    columns = {f"ik_collision_{n}": typed(run.get(n), k) for n, k in RUN_FIELDS.items()}
+    for s in sides:
+        columns[f"{s}_joint_names"] = typed(joint_names.get(s, ()), "array<string>")
+        own = {"ignore_links": (), **solver.get(s, {})}
+        columns |= {f"{s}_solver_collision_{n}": typed(own.get(n), k) for n, k in SOLVER_FIELDS.items()}
+    return summary.withColumns(columns)
+
+
 def clip_summary(
     frames: DataFrame,
     clips: DataFrame | None = None,
@@ -54,7 +104,10 @@ def clip_summary(
 ) -> DataFrame:
     """One row per clip with both sides' statistics as columns, in one aggregate.
 
-    Missing columns of a side give NULLs. ``clips`` adds identity and geometry.
+    Missing columns of a side give NULLs. Frames with and without errors are counted over
+    the side's own frames: those flagged by ``<side>_own`` where there is such a column,
+    else those with any value of the side; a side without frames has NULL counts.
+    ``clips`` adds identity and geometry.
     """
     have = set(frames.columns)
     none = F.lit(None)
@@ -67,7 +120,9 @@ def clip_summary(
             pos, ori = F.col(f"{s}_position_error"), F.col(f"{s}_orientation_error")
         else:
             pos = ori = none.cast("double")
-        seen, lost = error_counts(pos, ori)
+        own = _own_frames(s, frames.columns)
+        known = F.count_if(own) > 0
+        seen, lost = (F.when(known, F.count_if(own & c)) for c in (both_known(pos, ori), ~both_known(pos, ori)))
         reach = F.col(f"{s}_reachable") if f"{s}_reachable" in have else none.cast("boolean")
         hit = F.col(f"{s}_collision") if f"{s}_collision" in have else none.cast("boolean")
         stats += [
@@ -99,9 +154,11 @@ def quality_filter(
 ) -> DataFrame:
     """Annotate clips with ``render_filter_passed``; nothing is dropped.
 
-    One missing reachable ratio takes the default, two fail, and any missing
-    collision ratio fails. Both limits are strict.
+    One missing reachable ratio takes the default, which is also filled into its column;
+    two missing ones fail, and so does any missing collision ratio. Both limits are strict.
     """
+    if not math.isfinite(missing_default):
+        raise ValueError("the default for a missing ratio must be finite")
     left, right = safe_float(F.col("left_reachable_ratio")), safe_float(F.col("right_reachable_ratio"))
     lc, rc = safe_float(F.col("left_collision_ratio")), safe_float(F.col("right_collision_ratio"))
     lr = F.coalesce(left, F.when(right.isNotNull(), F.lit(float(missing_default))))
@@ -110,10 +167,13 @@ def quality_filter(
     return meta.withColumns(
         {
             "render_filter_passed": F.coalesce(passed, F.lit(False)),
+            "render_filter_threshold": F.lit(float(reachable)),
+            "render_filter_collision_threshold": F.lit(float(collision)),
             "render_filter_left_ratio": lr,
             "render_filter_right_ratio": rr,
             "render_filter_left_collision_ratio": lc,
             "render_filter_right_collision_ratio": rc,
+            **{n: F.coalesce(F.col(n), c.cast(meta.schema[n].dataType)) for n, c in (("left_reachable_ratio", lr), ("right_reachable_ratio", rr))},
         }
     )
 
@@ -134,23 +194,29 @@ def ratio_with_fallback(ratio: Column, alternative: Column | None, nested: Colum
     return F.coalesce(*picks)
 
 
-def _ratios() -> tuple[Column, Column, Column, Column]:
-    return (
-        F.col("left_reachable_ratio"),
-        F.col("right_reachable_ratio"),
-        F.col("left_collision_ratio"),
-        F.col("right_collision_ratio"),
-    )
+def _ratios(meta: DataFrame) -> list[Column]:
+    """Reachable and collision ratios of both sides, with the fallbacks that the metadata has columns for.
+
+    These are ``<side>_reachable``, a ratio under another name, and the lists of flags
+    ``<side>_reachable_values`` and ``<side>_collision_values``.
+    """
+
+    def ratio(side: str, what: str) -> Column:
+        other, values = (n if n in meta.columns else None for n in (f"{side}_{what}", f"{side}_{what}_values"))
+        scalar = F.col(other) if other and what == "reachable" else None
+        return ratio_with_fallback(F.col(f"{side}_{what}_ratio"), scalar, F.col(values) if values else None)
+
+    return [ratio(s, w) for w in ("reachable", "collision") for s in ("left", "right")]
 
 
-def _passes(reachable: float, collision: float) -> Column:
-    lr, rr, lc, rc = _ratios()
+def _passes(meta: DataFrame, reachable: float, collision: float) -> Column:
+    lr, rr, lc, rc = _ratios(meta)
     return F.coalesce((lr > reachable) & (rr > reachable) & (lc < collision) & (rc < collision), F.lit(False))
 
 
 def pass_report(meta: DataFrame, reachable: float = 0.95, collision: float = 0.05) -> DataFrame:
     """Counts of valid, missing, passing and failing clips; a missing value excludes the clip."""
-    lr, rr, lc, rc = _ratios()
+    lr, rr, lc, rc = _ratios(meta)
     no_ratio = lr.isNull() | rr.isNull()
     no_hit = ~no_ratio & (lc.isNull() | rc.isNull())
     agg = meta.agg(
@@ -158,7 +224,7 @@ def pass_report(meta: DataFrame, reachable: float = 0.95, collision: float = 0.0
         F.count_if(~no_ratio & ~no_hit).alias("valid"),
         F.count_if(no_ratio).alias("missing_ratio"),
         F.count_if(no_hit).alias("missing_collision_ratio"),
-        F.count_if(_passes(reachable, collision)).alias("pass_count"),
+        F.count_if(_passes(meta, reachable, collision)).alias("pass_count"),
     )
     rate = F.when(F.col("valid") > 0, F.col("pass_count") / F.col("valid")).otherwise(0.0)
     fail = F.greatest(F.col("valid") - F.col("pass_count"), F.lit(0))
@@ -167,7 +233,7 @@ def pass_report(meta: DataFrame, reachable: float = 0.95, collision: float = 0.0
 
 def passing_ids(meta: DataFrame, reachable: float = 0.95, collision: float = 0.05, keys: Sequence[str] = KEYS) -> DataFrame:
     """Ids of the clips that pass the report's limits."""
-    return meta.filter(_passes(reachable, collision)).select(*keys)
+    return meta.filter(_passes(meta, reachable, collision)).select(*keys)
 
 
 def success_ratio(index: DataFrame, renders: DataFrame) -> DataFrame:

@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cleaning import gripper_targets
 from ..functions.matrix import camera_constant, compose, inv_rigid, translation_frame
 from ..functions.vectorized import eef_pose
 from ..operators.arm import Chain, Solver, solve_ik
@@ -23,6 +24,9 @@ from ..operators.sweep import point_summary, with_grid
 
 SIDES = ("left", "right")
 LONG_KEYS = ("sample_id", "side")
+#: Columns of one side, and those a clip's frames share.
+SIDE_VALUES = ("pose", "joint_position", "reachable", "collision", "position_error", "orientation_error", "gripper_signal")
+CLIP_VALUES = ("fps", "image_height", "image_width", "intrinsics", "camera_extrinsics")
 
 
 @dataclass(frozen=True)
@@ -67,7 +71,7 @@ def retarget(frames: DataFrame, cfg: Retarget = Retarget(), fps: str | None = No
         sides.append(
             F.struct(F.lit(s).alias("side"), F.col(f"{s}_world").alias("pose"), opened.alias("gripper_signal"))
         )
-    keep = ["sample_id", "frame_index", "camera_extrinsics", *([fps] if fps else [])]
+    keep = ["sample_id", "frame_index", *dict.fromkeys([*(v for v in CLIP_VALUES if v in df.columns), *([fps] if fps else [])])]
     rows = df.select(*keep, F.explode(F.array(*sides)).alias("_s")).select(*keep, "_s.*")
     rows = smooth_hand(
         rows, "pose", "gripper_signal", cfg.pose_filter, cfg.gripper, cfg.smooth, fps, LONG_KEYS, long=long
@@ -96,19 +100,55 @@ def solve_trajectories(poses: DataFrame, chain: Chain, cfg: Solver = Solver(), l
 
 
 def to_wide(long_rows: DataFrame) -> DataFrame:
-    """Long sides to trajectory columns ``left_*`` and ``right_*``, one row per frame."""
-    values = ["pose", "joint_position", "reachable", "position_error", "orientation_error", "gripper_signal"]
-    have = [v for v in values if v in long_rows.columns]
-    row = F.struct(*have)
-    wide = long_rows.groupBy("sample_id", "frame_index").agg(
-        F.first("camera_extrinsics", ignorenulls=True).alias("camera_extrinsics"),
-        *[F.first(F.when(F.col("side") == s, row), ignorenulls=True).alias(s) for s in SIDES],
-    )
+    """Long sides to trajectory columns ``left_*`` and ``right_*``, one row per frame.
+
+    Frame rate, image size, intrinsics and extrinsics come along where the table has them;
+    ``left_own`` and ``right_own`` tell which sides have the frame at all. A frame has two
+    rows at most, which one ordered collect brings together.
+    """
+    have = [v for v in SIDE_VALUES if v in long_rows.columns]
+    shared = [v for v in CLIP_VALUES if v in long_rows.columns]
+    rows = F.sort_array(F.collect_list(F.struct("side", F.struct(*have, *shared).alias("row"))))
+    wide = long_rows.groupBy("sample_id", "frame_index").agg(rows.alias("_rows"))
+    for s in SIDES:
+        wide = wide.withColumn(s, F.get(_side("_rows", s), F.lit(0))["row"])
     return wide.select(
-        "sample_id", "frame_index", "camera_extrinsics", *[F.col(s)[v].alias(f"{s}_{v}") for s in SIDES for v in have]
+        "sample_id",
+        "frame_index",
+        *[F.coalesce(*[F.col(s)[v] for s in SIDES]).alias(v) for v in shared],
+        *[F.col(s)[v].alias(f"{s}_{v}") for s in SIDES for v in have],
+        *[F.col(s).isNotNull().alias(f"{s}_own") for s in SIDES],
     )
 
 
+def _side(rows: str, side: str) -> Column:
+    return F.filter(rows, lambda r: r["side"] == side)
+
+
+def with_fingers(wide: DataFrame, closed: Sequence[float], opened: Sequence[float]) -> DataFrame:
+    """Appends a target per finger, from the gripper signal, to the arm joints of both sides.
+
+    A side whose signal is missing in a frame has missing fingers, not fewer joints.
+    """
+    none = F.array(*[F.lit(None).cast("double") for _ in closed])
+    out = {}
+    for s in SIDES:
+        fingers = F.coalesce(gripper_targets(F.col(f"{s}_gripper_signal"), closed, opened), none)
+        arm = F.col(f"{s}_joint_position").cast("array<double>")
+        out[f"{s}_joint_position"] = F.when(arm.isNotNull(), F.concat(arm, fingers))
+    return wide.withColumns(out)
+
+
+def with_collisions(wide: DataFrame, flags: DataFrame) -> DataFrame:
+    """Adds the collision flags of the joint state (``sample_id, frame_index, collision``) to both sides.
+
+    The joint state runs to the longer side; a side keeps the flags of its own frames. A
+    frame that the flags do not hold has none.
+    """
+    both = wide.join(flags.select("sample_id", "frame_index", F.col("collision").alias("_hit")), ["sample_id", "frame_index"], "left")
+    return both.withColumns({f"{s}_collision": F.when(F.col(f"{s}_own"), F.col("_hit")) for s in SIDES}).drop("_hit")
+
+
 def sweep(
     frames: DataFrame,
     xs: Sequence[float],

@@ -9,7 +9,7 @@ from .. import fixtures as fx
 from ..functions.camera import arr
 from ..operators import arm, clearance, quality, sweep
 from ..plans.registry import isolate, when_passed
-from ..plans.trajectory import Retarget, retarget, solve_trajectories
+from ..plans.trajectory import Retarget, retarget, solve_trajectories, to_wide, with_collisions, with_fingers
 from ..plans.trajectory import sweep as sweep_workspace
 from ..sinks.writers import to_trajectory_schema
 from .base import given, q6, query, s6, sql_spread
@@ -34,7 +34,8 @@ def reachable_ratios(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(given(fx.QUALITY, f"""
-select sample_id, count(*) filter (where left_collision) as n, {s6("count(*) filter (where left_collision) / count(*)")} as ratio
+select sample_id, case when count(left_collision) > 0 then count(*) filter (where left_collision) end as n,
+       {s6("count(*) filter (where left_collision) / nullif(count(left_collision), 0)")} as ratio
 from fx_quality group by 1"""))
 def collision_summary(spark: SparkSession, sf: str) -> DataFrame:
     hit = F.col("left_collision")
@@ -56,8 +57,8 @@ def _side_sql(s: str) -> str:
  {s6(f"avg(case when {e} is not null then case when {s}_reachable then 1.0 else 0.0 end end)")} as {s}_reachable_ratio,
  {s6(f"avg({e})")} as {s}_mean_position_error, {s6(f"avg({s}_orientation_error)")} as {s}_mean_orientation_error,
  count({e}) as {s}_valid_error_frame_count, count(*) - count({e}) as {s}_invalid_error_frame_count,
- count(*) filter (where {s}_collision) as {s}_collision_count,
- {s6(f"count(*) filter (where {s}_collision) / count(*)")} as {s}_collision_ratio,
+ case when count({s}_collision) > 0 then count(*) filter (where {s}_collision) end as {s}_collision_count,
+ {s6(f"count(*) filter (where {s}_collision) / nullif(count({s}_collision), 0)")} as {s}_collision_ratio,
  cast(count(*) filter (where {s}_q > 80.00000001) as bigint) as {s}_limit_violation_count,
  {s6(f"max(abs({s}_q - {s}_p))")} as {s}_continuity_max_abs_delta, {s6(f"avg(abs({s}_q - {s}_p))")} as {s}_continuity_mean_abs_delta"""
 
@@ -84,7 +85,8 @@ fx_flag as (
   select *, coalesce(lr > 0.9 and rr > 0.9 and left_collision_ratio < 0.05 and right_collision_ratio < 0.05, false) as passed from fx_pass)"""
 
 
-@query(given(fx.META, FILTERED + f" select sample_id, passed, {s6('lr')} as l, {s6('rr')} as r from fx_flag"))
+@query(given(fx.META, FILTERED + f""" select sample_id, passed, {s6('lr')} as l, {s6('rr')} as r, {s6('lr')} as filled, 0.9 as threshold, 0.05 as collision_threshold,
+ {s6('left_collision_ratio')} as lc from fx_flag"""))
 def quality_filter_clips(spark: SparkSession, sf: str) -> DataFrame:
     df = quality.quality_filter(fx.meta(spark, sf))
     return df.select(
@@ -92,6 +94,10 @@ def quality_filter_clips(spark: SparkSession, sf: str) -> DataFrame:
         F.col("render_filter_passed").alias("passed"),
         q6(F.col("render_filter_left_ratio")).alias("l"),
         q6(F.col("render_filter_right_ratio")).alias("r"),
+        q6(F.col("left_reachable_ratio")).alias("filled"),
+        F.col("render_filter_threshold").alias("threshold"),
+        F.col("render_filter_collision_threshold").alias("collision_threshold"),
+        q6(F.col("render_filter_left_collision_ratio")).alias("lc"),
     )
 
 
@@ -171,16 +177,113 @@ def trajectory_schema(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def solved(spark: SparkSession, sf: str) -> DataFrame:
+    """Solved sides as long rows; the right one ends after 40 frames."""
+    q = fx.quality(spark, sf)
+    v = F.col("value")
+    sides = []
+    for s, k in (("left", 1.0), ("right", 1.5)):
+        sides.append(
+            F.struct(
+                F.lit(s).alias("side"),
+                F.array(*[v * k * (i + 1) / 10 for i in range(6)]).alias("pose"),
+                F.array(*[v * k * (i + 1) / 1000 for i in range(6)]).alias("joint_position"),
+                *[F.col(f"{s}_{n}").alias(n) for n in ("reachable", "position_error", "orientation_error")],
+                (F.col("signal") / k).alias("gripper_signal"),
+            )
+        )
+    rows = q.select(*KEYS, F.explode(F.when(F.col("frame_index") < 40, F.array(*sides)).otherwise(F.array(sides[0]))).alias("_s"))
+    size = {"fps": F.lit(30.0), "image_height": F.lit(720), "image_width": F.lit(1280)}
+    camera = {"intrinsics": arr(600, 0, 640, 0, 600, 360, 0, 0, 1), "camera_extrinsics": F.array(*[F.lit(float(i)) for i in range(16)])}
+    return rows.select(*KEYS, "_s.*").withColumns({**size, **camera})
+
+
+def complete(spark: SparkSession, sf: str) -> DataFrame:
+    """Wide rows with fingers and the collisions of the joint state, which some clips have not."""
+    flags = fx.quality(spark, sf).filter("left_collision is not null").select(*KEYS, F.col("left_collision").alias("collision"))
+    return with_collisions(with_fingers(to_wide(solved(spark, sf)), [0.0, 0.01], [0.05, -0.05]), flags)
+
+
+def _solved_sql(s: str, k: float) -> str:
+    own = "true" if s == "left" else "frame_index < 40"
+    arm = ", ".join(f"value * {k} * {i + 1} / 1000" for i in range(6))
+    fingers = f"signal / {k} * 0.05, 0.01 + signal / {k} * -0.06"
+    pose = ", ".join(f"value * {k} * {i + 1} / 10" for i in range(6))
+    f = lambda e: s6(f"({e})::float::double")
+    return f"""
+ case when {own} then list_transform([{pose}], lambda x: {f("x")}) end as {s}_pose,
+ case when {own} then list_transform([{arm}, {fingers}], lambda x: {f("x")}) end as {s}_joint_position,
+ case when {own} then {s}_reachable end as {s}_reachable, case when {own} then left_collision end as {s}_collision,
+ case when {own} then {f(f"{s}_position_error")} end as {s}_position_error,
+ case when {own} then {f(f"{s}_orientation_error")} end as {s}_orientation_error,
+ case when {own} then {f(f"signal / {k}")} end as {s}_gripper_signal"""
+
+
+ROWS = f""",
+fx_rows as (
+  select sample_id, frame_index, 30.0::double as fps, 720 as image_height, 1280 as image_width,
+         [600.0::double, 0, 640, 0, 600, 360, 0, 0, 1] as intrinsics, [x::double for x in range(16)] as camera_extrinsics,
+         {_solved_sql("left", 1.0)}, {_solved_sql("right", 1.5)}
+  from fx_quality)"""
+
+
+@query(given(fx.QUALITY, ROWS + " select * from fx_rows"))
+def trajectory_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """All 21 columns of the trajectory table, from solved sides of unequal length."""
+    out = to_trajectory_schema(complete(spark, sf))
+    cols = []
+    for f in out.schema.fields:
+        c = F.col(f.name)
+        if f.dataType.typeName() == "float":
+            c = q6(c.cast("double"))
+        elif f.dataType.typeName() == "array":
+            c = F.transform(c, lambda x: q6(x.cast("double")))
+        cols.append(c.alias(f.name))
+    return out.select(*cols)
+
+
+def _accepted_sql(s: str) -> str:
+    e, own = f"{s}_position_error", f"{s}_pose is not null"
+    return f"""
+ avg(case when {e} is not null then case when {s}_reachable then 1.0 else 0.0 end end) as {s}_r,
+ count(*) filter (where {s}_collision) / nullif(count({s}_collision), 0) as {s}_c,
+ case when count({s}_pose) > 0 then count(*) filter (where {own} and {e} is not null) end as {s}_valid,
+ case when count({s}_pose) > 0 then count(*) filter (where {own} and {e} is null) end as {s}_invalid"""
+
+
+@query(given(fx.QUALITY, ROWS + f""",
+fx_m as (select sample_id, count(*) as frame_count, {_accepted_sql("left")}, {_accepted_sql("right")} from fx_rows group by 1),
+fx_f as (select *, coalesce(left_r, case when right_r is not null then 1.0 end) as l, coalesce(right_r, case when left_r is not null then 1.0 end) as r from fx_m)
+select sample_id, frame_count, coalesce(l > 0.9 and r > 0.9 and left_c < 0.05 and right_c < 0.05, false) as passed,
+       {s6("l")} as l, {s6("r")} as r, {s6("left_c")} as lc, {s6("right_c")} as rc, left_valid, left_invalid, right_valid, right_invalid,
+       ['j1'] as names, 12 as active, 'combined' as mode from fx_f"""))
+def trajectory_acceptance(spark: SparkSession, sf: str) -> DataFrame:
+    """The filter on the summary of complete rows: clips pass, fail, and miss collisions."""
+    meta = quality.clip_summary(complete(spark, sf))
+    settings = {"left": {"enabled": True, "pair_count_active": 12}}
+    meta = quality.with_solver_fields(meta, {"left": ["j1"]}, settings, {"mode": "combined"})
+    out = quality.quality_filter(meta)
+    ratios = [("left_reachable_ratio", "l"), ("right_reachable_ratio", "r"), ("left_collision_ratio", "lc"), ("right_collision_ratio", "rc")]
+    return out.select(
+        "sample_id", "frame_count", F.col("render_filter_passed").alias("passed"), *[q6(F.col(c)).alias(n) for c, n in ratios],
+        *[F.col(f"{s}_{n}_error_frame_count").alias(f"{s}_{n}") for s in SIDES for n in ("valid", "invalid")],
+        F.col("left_joint_names").alias("names"), F.col("left_solver_collision_pair_count_active").cast("int").alias("active"),
+        F.col("ik_collision_mode").alias("mode"),
+    )
+
+
 STRICT = """,
 fx_strict as (
   select *, left_reachable_ratio is null or right_reachable_ratio is null as miss,
+         left_reachable_ratio is not null and right_reachable_ratio is not null
+         and (left_collision_ratio is null or right_collision_ratio is null) as no_hit,
          coalesce(left_reachable_ratio > 0.9 and right_reachable_ratio > 0.9 and left_collision_ratio < 0.05
                   and right_collision_ratio < 0.05, false) as ok from fx_meta)"""
 
 
 @query(given(fx.META, STRICT + f""",
-fx_n as (select count(*) as total, count(*) filter (where not miss) as valid, count(*) filter (where miss) as missing_ratio,
-         cast(0 as bigint) as missing_collision_ratio, count(*) filter (where ok) as pass_count from fx_strict)
+fx_n as (select count(*) as total, count(*) filter (where not miss and not no_hit) as valid, count(*) filter (where miss) as missing_ratio,
+         count(*) filter (where no_hit) as missing_collision_ratio, count(*) filter (where ok) as pass_count from fx_strict)
 select *, valid - pass_count as fail_count, {s6("pass_count / valid")} as pass_rate from fx_n"""))
 def pass_report(spark: SparkSession, sf: str) -> DataFrame:
     return quality.pass_report(fx.meta(spark, sf), 0.9, 0.05).withColumn("pass_rate", q6(F.col("pass_rate")))
