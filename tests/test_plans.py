@@ -36,3 +36,11 @@ def test_top_ids_are_cut_before_the_shuffle(spark, sf):
 def test_hand_smoothing_shuffles_frames_once(spark, sf):
     """One aggregate and join for the workspace, one shuffle for both hands' smoothers."""
     assert plan(spark, sf, "retarget_chain").count("REPARTITION_BY_NUM") == 1
+
+
+@pytest.mark.parametrize("name", ["robust_statistics_overall", "robust_statistics_by_group"])
+def test_percentiles_sort_nothing(spark, sf, name):
+    """No window, no nested-loop join, and three scans."""
+    text = plan(spark, sf, name)
+    assert "Window" not in text and "NestedLoopJoin" not in text
+    assert len(re.findall(r"FileScan", text)) <= 3

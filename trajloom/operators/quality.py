@@ -6,7 +6,7 @@ import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import finite, is_finite, safe_float
@@ -247,87 +247,96 @@ def success_ratio(index: DataFrame, renders: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- robust statistics
 
 
+BINS = 2048
+
+
 def safe_stats(df: DataFrame, col: str, by: Sequence[str] = (), q: float = 0.95) -> DataFrame:
     """n, mean, exact percentile (linear interpolation) and max of the finite values.
 
-    An exact percentile needs order, and sorting a group in one task does not
-    scale. A sketch with a proven rank error brackets the two order statistics
-    that matter; only the values inside the bracket (a sliver of the group) are
-    ranked. The counts prove the bracket; if it misses, the whole group is used.
+    Three scans, no sort of the values. The first takes counts and a sketch with a proven
+    rank error, which brackets the two order statistics that matter. The second counts the
+    values in ``BINS`` bins of the bracket and the two ends outside it; sums of at most
+    that many counts say which bins hold the ranks. The third collects the distinct values
+    of those bins, a few millionths of the group. If the bracket missed, a rank lies in an
+    end, which is then what is collected: the result stays exact.
     """
+    if not by:  # one group, by a key that no optimiser folds away
+        whole = df.withColumn("_all", F.pmod(F.xxhash64(F.col(col).cast("double")), F.lit(1)))
+        one = safe_stats(whole, col, ["_all"], q)
+        n = F.coalesce(F.max("n"), F.lit(0).cast("bigint")).alias("n")
+        return one.agg(n, *[F.max(c).alias(c) for c in ("mean", "p95", "max")])
     accuracy = 10000
     slack = 4.0 / accuracy
     by = list(by)
     data = df.select(*by, finite(F.col(col).cast("double")).alias("_v"))
     probes = F.array(F.lit(max(0.0, q - slack)), F.lit(min(1.0, q + slack)))
-    agg = [
+    base = data.groupBy(*by).agg(
         F.count("_v").alias("n"),
         F.avg("_v").alias("mean"),
         F.max("_v").alias("max"),
         F.percentile_approx("_v", probes, F.lit(accuracy)).alias("_p"),
-    ]
-    base = data.groupBy(*by).agg(*agg) if by else data.agg(*agg)
-    at = (F.col("n") - 1) * F.lit(float(q))
-    base = base.withColumns(
-        {
-            "_lo": F.col("_p")[0],
-            "_hi": F.col("_p")[1],
-            "_k0": F.floor(at),
-            "_k1": F.ceil(at),
-            "_frac": at - F.floor(at),
-        }
-    ).drop("_p")
-    bracket = base.select(*by, "_lo", "_hi", "_k0", "_k1")
-    with_b = _attach(data.filter(F.col("_v").isNotNull()), bracket, by, salt=F.col("_v"))
-    # equal values collapse to one row with a count before anything is ordered
-    inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
-    sides = with_b.groupBy(*by).agg(
-        F.count_if(F.col("_v") < F.col("_lo")).alias("_below"), F.count_if(inside).alias("_inside")
-    )
-    sides = _attach(sides, bracket.select(*by, "_k0", "_k1"), by)
-    sides = sides.select(
-        *by,
-        ((F.col("_below") <= F.col("_k0")) & (F.col("_below") + F.col("_inside") > F.col("_k1"))).alias("_ok"),
-        "_below",
     )
-    cand = _attach(with_b, sides, by, salt=F.col("_v")).filter(~F.col("_ok") | inside)
-    distinct = cand.groupBy(*by, "_v").agg(
-        F.count(F.lit(1)).alias("_c"),
-        F.first("_k0").alias("_k0"),
-        F.first("_k1").alias("_k1"),
-        F.first(F.when(F.col("_ok"), F.col("_below")).otherwise(0)).alias("_below"),
-    )
-    w = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = distinct.withColumn("_top", F.col("_below") + F.sum("_c").over(w))
-    start = F.col("_top") - F.col("_c")
+    facts = ["n", "mean", "max", "_lo", "_hi"]
+    base = base.select(*by, "n", "mean", "max", F.col("_p")[0].alias("_lo"), F.col("_p")[1].alias("_hi"))
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+    inner = F.when(hi > lo, F.least(F.floor((v - lo) / (hi - lo) * BINS), F.lit(BINS - 1))).otherwise(0)
+    place = F.when(v < lo, -1).when(v > hi, BINS).otherwise(inner).cast("int")
+
+    counted = _attach(data, base, by, facts).groupBy(*by, place.alias("_bin"))
+    counted = counted.agg(F.count("_v").alias("_c"), *[F.max(c).alias(c) for c in facts])
+    bins = F.array_sort(F.collect_list(F.when(F.col("_bin").isNotNull(), F.struct("_bin", "_c"))))
+    ranked = counted.groupBy(*by).agg(bins.alias("_bins"), *[F.max(c).alias(c) for c in facts])
+    at = (F.col("n") - 1) * F.lit(float(q))
+    ranked = ranked.withColumns({"_k0": F.floor(at), "_k1": F.ceil(at)})
+    none = F.lit(None).cast("bigint")
+    first = F.struct(F.lit(0).cast("bigint").alias("s"), none.alias("b0"), none.alias("s0"), none.alias("b1"))
+
+    def step(done: Column, x: Column) -> Column:
+        holds = lambda k: (F.col(k) >= done["s"]) & (F.col(k) < done["s"] + x["_c"])
+        return F.struct(
+            (done["s"] + x["_c"]).alias("s"),
+            F.when(holds("_k0"), x["_bin"].cast("bigint")).otherwise(done["b0"]).alias("b0"),
+            F.when(holds("_k0"), done["s"]).otherwise(done["s0"]).alias("s0"),
+            F.when(holds("_k1"), x["_bin"].cast("bigint")).otherwise(done["b1"]).alias("b1"),
+        )
 
-    def holds(k: str) -> Column:
-        return (F.col(k) >= start) & (F.col(k) < F.col("_top"))
+    ranked = ranked.withColumn("_r", F.aggregate("_bins", first, step)).drop("_bins")
+    facts += ["_k0", "_k1", "_r"]
+
+    held = _attach(data, ranked, by, facts)
+    empty = F.col("n") == 0  # such a group has no value to keep, but a row
+    held = held.filter((place == F.col("_r.b0")) | (place == F.col("_r.b1")) | empty)
+    known = held.groupBy(*by, "_v").agg(F.count("_v").alias("_c"), *[F.first(c).alias(c) for c in facts])
+    values = F.array_sort(F.collect_list(F.when(F.col("_v").isNotNull(), F.struct("_v", "_c"))))
+    out = known.groupBy(*by).agg(values.alias("_values"), *[F.first(c).alias(c) for c in facts])
+    missing = F.lit(None).cast("double")
+    begin = F.struct(F.coalesce("_r.s0", F.lit(0).cast("bigint")).alias("s"), missing.alias("a"), missing.alias("b"))
+
+    def pick(done: Column, x: Column) -> Column:
+        holds = lambda k: (F.col(k) >= done["s"]) & (F.col(k) < done["s"] + x["_c"])
+        return F.struct(
+            (done["s"] + x["_c"]).alias("s"),
+            F.when(holds("_k0"), x["_v"]).otherwise(done["a"]).alias("a"),
+            F.when(holds("_k1"), x["_v"]).otherwise(done["b"]).alias("b"),
+        )
 
-    picks = ranked.groupBy(*by).agg(
-        F.max(F.when(holds("_k0"), F.col("_v"))).alias("_a"), F.max(F.when(holds("_k1"), F.col("_v"))).alias("_b")
-    )
-    done = _attach(base, picks, by, "left")
-    value = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_frac")
-    return done.select(*by, "n", "mean", value.alias("p95"), "max")
+    out = out.withColumn("_ab", F.aggregate("_values", begin, pick))
+    value = F.col("_ab.a") + (F.col("_ab.b") - F.col("_ab.a")) * (at - F.floor(at))
+    return out.select(*by, F.coalesce("n", F.lit(0).cast("bigint")).alias("n"), "mean", value.alias("p95"), "max")
 
 
 SALTS = 64
 
 
-def _attach(df: DataFrame, small: DataFrame, by: Sequence[str], how: str = "inner", salt: Column | None = None) -> DataFrame:
-    """Join group facts on the group columns; without groups the facts are a single row.
+def _attach(df: DataFrame, small: DataFrame, by: Sequence[str], facts: Sequence[str]) -> DataFrame:
+    """The facts of a row's group beside it.
 
-    ``salt`` spreads a large group over ``SALTS`` tasks (the facts are repeated),
-    so that neither this join nor an aggregate after it meets a whole group at once.
+    Rows of a group are salted by their value over ``SALTS`` tasks and the facts repeated,
+    so neither this join nor an aggregate after it meets a whole group at once.
     """
-    if not by:
-        one = F.lit(1)
-        return df.withColumn("_one", one).join(F.broadcast(small.withColumn("_one", one)), "_one", how).drop("_one")
-    if salt is None:
-        return df.join(small, list(by), how)
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return df.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(SALTS)).cast("int")).join(copies, [*by, "_salt"], how).drop("_salt")
+    copies = small.select(*by, *facts, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    salted = df.withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("_v"), F.lit(SALTS)), F.lit(0)).cast("int"))
+    return salted.join(copies, [*by, "_salt"]).drop("_salt")
 
 
 # ---------------------------------------------------------------- consistency
