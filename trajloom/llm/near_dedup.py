@@ -10,15 +10,15 @@
 3. *First pairs.* Each document is paired with the first document of the list they share
    most often; collisions are counted and the pair is confirmed on the full sets. That
    links groups of thousands of near copies at one confirmation a document.
-4. *Merge and skip.* Lists are split by set size, since similar sets have similar sizes,
-   and those whose documents are all in one component are skipped. The others are merged
-   in blocks of bounded size: a pair counts in the first list that both documents share,
-   and what reaches ``T`` collisions stays. A document with such a partner is sent, once
+4. *Merge and skip.* Lists whose documents are all in one component are skipped. The others
+   are merged in blocks of bounded size: a pair counts in the first list that both
+   documents share, if their sizes allow the similarity, and what reaches ``T`` collisions
+   stays. A document with such a partner is sent, once
    for each block, with its text, and the block is compared on the full sets. What
    travels is documents, never pairs, and a block returns stars that span its links.
 5. Components of the confirmed links.
 
-A pair of similarity 0.8 misses ``T`` = 25 of ``K`` = 48 collisions with probability
+A pair of similarity 0.8 misses ``T`` = 15 of ``K`` = 32 collisions with probability
 below 1e-5, less above; everything after that is exact.
 """
 
@@ -31,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, components, mix, slices, stars, stored, text_bytes
+from .common import Words, components, forget, mix, slices, stars, stored, text_bytes
 
-K, T = 48, 25
+K, T = 32, 15
 WIDTH = 5
 #: Slots of the table of entry counts.
 SLOTS = 1 << 18
@@ -43,8 +43,6 @@ BLOCK = 512
 MEMBERS = 256
 #: Documents whose full sets are compared at once.
 COMPARED = 1024
-#: Sets whose sizes differ by more than this factor fall into classes that are not neighbours.
-SIZE_STEP = 1.26
 SLICE = 4 << 20
 #: Pairs of a merge compared at once.
 PAIRS = 1 << 20
@@ -153,23 +151,23 @@ def entry_counts(classes: DataFrame) -> np.ndarray:
     return counts
 
 
-def postings(classes: DataFrame, counts: np.ndarray) -> DataFrame:
-    """The rarest ``K - T + 1`` entries of each class, each with the coordinates of those before it as bits."""
-    shared = classes.sparkSession.sparkContext.broadcast(counts)
+def _prefix(sig: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Coordinates of the rarest ``K - T + 1`` entries of each signature in order, and the entries."""
+    entries = _entries(sig)
+    first = np.lexsort((entries, counts[(entries >> _SHIFT).astype(np.int64)]), axis=1)[:, : K - T + 1]
+    return first, np.take_along_axis(entries, first, 1).view(np.int64)
+
+
+def postings(classes: DataFrame, shared) -> DataFrame:
+    """The prefix entries of each class; ``shared`` is the broadcast of the entry counts."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            entries = _entries(_matrix(b.column(1)))
-            often = shared.value[(entries >> _SHIFT).astype(np.int64)]
-            first = np.lexsort((entries, often), axis=1)[:, : K - T + 1]
-            keys = np.take_along_axis(entries, first, 1)
-            bits = np.int64(1) << first
-            before = np.cumsum(bits, axis=1) - bits
-            ids, sizes = (np.repeat(b.column(k).to_numpy(), keys.shape[1]) for k in (0, 2))
-            columns = [pa.array(keys.ravel().view(np.int64)), pa.array(ids), pa.array(sizes), pa.array(before.ravel())]
-            yield pa.RecordBatch.from_arrays(columns, names=["entry", "id", "n", "before"])
+            keys = _prefix(_matrix(b.column(1)), shared.value)[1]
+            ids = np.repeat(b.column(0).to_numpy(), keys.shape[1])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], names=["entry", "id"])
 
-    return classes.select("id", "sig", "n").mapInArrow(scan, "entry long, id long, n long, before long")
+    return classes.select("id", "sig").mapInArrow(scan, "entry long, id long")
 
 
 def _agree(pairs: DataFrame) -> DataFrame:
@@ -250,31 +248,33 @@ def _blocks(lists: DataFrame) -> DataFrame:
     """Rows dealt into pairs of blocks (i, j) of their list and sorted by them; ``own`` is the row's own block."""
     parts = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = lists.withColumn("k", F.ceil(F.col("size") / BLOCK).cast("int"))
-    own = own.withColumn("own", F.pmod(F.xxhash64("id", "entry", "class"), F.col("k")).cast("int"))
+    own = own.withColumn("own", F.pmod(F.xxhash64("id", "entry"), F.col("k")).cast("int"))
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     own = own.select(
-        "entry", F.col("class").cast("int").alias("class"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "own", "id", "part", "n", "before", "sig",
-    )
-    key = ["entry", "class", "i", "j"]
+        "entry", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "part", "n", "sig"
+    )
+    key = ["entry", "i", "j"]
     return own.repartition(parts, *key).sortWithinPartitions(*key)
 
 
-def _candidates(lists: DataFrame) -> DataFrame:
+def _candidates(lists: DataFrame, shared, percent: int) -> DataFrame:
     """The rows of each block that have a partner of another component with enough collisions in it.
 
-    ``lists`` holds entry, class, size, id, part (component), n, before and sig.
+    ``lists`` holds entry, size, id, part (component), n and sig.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _groups(batches, 4, 4096):
-            key = np.stack([t.column(k).to_numpy() for k in range(4)])
-            own, part, n, before = (t.column(k).to_numpy() for k in (4, 6, 7, 8))
-            sig = _matrix(t.column(9).combine_chunks())
+        for t in _groups(batches, 3, 4096):
+            key = np.stack([t.column(k).to_numpy() for k in range(3)])
+            own, part, n = (t.column(k).to_numpy() for k in (3, 5, 6))
+            sig = _matrix(t.column(7).combine_chunks())
+            first, entries = _prefix(sig, shared.value)
+            bits = np.int64(1) << first
+            here = (entries == key[0][:, None]).argmax(1)
+            before = (np.cumsum(bits, axis=1) - bits)[np.arange(len(here)), here]  # coordinates of rarer entries
             ends = np.append(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1, t.num_rows)
             later = ends[np.searchsorted(ends, np.arange(t.num_rows), side="right")] - np.arange(t.num_rows) - 1
-            within = key[2] == key[3]
-            level = np.floor(np.log(n) / np.log(SIZE_STEP)).astype(np.int64)
+            within = key[1] == key[2]
             wanted = np.zeros(t.num_rows, bool)
             turns = np.cumsum(later) // PAIRS
             for turn in np.unique(turns):
@@ -282,7 +282,7 @@ def _candidates(lists: DataFrame) -> DataFrame:
                 u = np.repeat(rows, later[rows])
                 v = u + 1 + np.arange(len(u)) - np.repeat(np.cumsum(later[rows]) - later[rows], later[rows])
                 ok = (part[u] != part[v]) & (within[u] | (own[u] != own[v]))
-                ok &= (level[u] != level[v]) | (level[u] == key[1][u])  # neighbours in size meet in one class only
+                ok &= 100 * np.minimum(n[u], n[v]) >= percent * np.maximum(n[u], n[v])
                 u, v = u[ok], v[ok]
                 for at in range(0, len(u), 1 << 16):
                     x, y = u[at : at + (1 << 16)], v[at : at + (1 << 16)]
@@ -291,11 +291,11 @@ def _candidates(lists: DataFrame) -> DataFrame:
                     x, y, equal = x[ok], y[ok], equal[ok]
                     packed = np.zeros((len(x), 8), np.uint8)
                     packed[:, : K // 8] = np.packbits(equal, axis=1, bitorder="little")
-                    first = (packed.view(np.int64).ravel() & before[x] & before[y]) == 0
-                    wanted[x[first]] = wanted[y[first]] = True
-            yield from t.filter(pa.array(wanted)).select(range(7)).combine_chunks().to_batches()
+                    fresh = (packed.view(np.int64).ravel() & before[x] & before[y]) == 0
+                    wanted[x[fresh]] = wanted[y[fresh]] = True
+            yield from t.filter(pa.array(wanted)).select(range(6)).combine_chunks().to_batches()
 
-    schema = "entry long, class int, i int, j int, own int, id long, part long"
+    schema = "entry long, i int, j int, own int, id long, part long"
     return stored(_blocks(lists).mapInArrow(scan, schema), "candidates")
 
 
@@ -339,20 +339,20 @@ def _compared(rows: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     """Links between documents of each block, on their full sets, as stars that span them."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = _texts(docs, rows.select("id").distinct())
-    key = ["entry", "class", "i", "j"]
+    key = ["entry", "i", "j"]
     rows = rows.join(texts, "id").select(*key, "own", "id", "part", "text").repartition(parts, *key).sortWithinPartitions(*key)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _groups((s for b in batches for s in slices(b, "text", SLICE)), 4, COMPARED):
-            key = np.stack([t.column(k).to_numpy() for k in range(4)])
-            own, ids, part = (t.column(k).to_numpy() for k in range(4, 7))
+        for t in _groups((s for b in batches for s in slices(b, "text", SLICE)), 3, COMPARED):
+            key = np.stack([t.column(k).to_numpy() for k in range(3)])
+            own, ids, part = (t.column(k).to_numpy() for k in range(3, 6))
             group = np.cumsum(np.append(0, (key[:, 1:] != key[:, :-1]).any(0)))
-            sets = [s for c in t.column(7).chunks for s in shingle_sets(*text_bytes(c), width)]
+            sets = [s for c in t.column(6).chunks for s in shingle_sets(*text_bytes(c), width)]
             both = shared_counts(sets, group).astype(np.float64)
             size = np.array([len(s) for s in sets])
             linked = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & (group[:, None] == group[None, :])
             linked &= (part[:, None] != part[None, :]) & (size > 0)
-            linked &= (key[2] == key[3])[:, None] | (own[:, None] != own[None, :])
+            linked &= (key[1] == key[2])[:, None] | (own[:, None] != own[None, :])
             a, b = stars(linked, ids, ids)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
@@ -378,29 +378,32 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 80, id_c
     """
     if percent < 80:
         raise ValueError("the prefix is laid out for similarities of 80 percent or more")
+    spark = docs.sparkSession
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), "text")
     every = stored(sketch(docs, width), "sketch")
     classes = stored(
         every.where("n > 0 and doc_id is not null").groupBy("p", "q", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")),
         "classes",
     )
-    posts = stored(postings(classes, entry_counts(classes)), "postings")
-    lists = stored(posts.groupBy("entry").agg(F.min("id").alias("a"), F.count("*").alias("size")).where("size > 1"), "lists")
+    shared = spark.sparkContext.broadcast(entry_counts(classes))
+    every_post = stored(postings(classes, shared), "postings")
+    lists = every_post.groupBy("entry").agg(F.min("id").alias("a"), F.count("*").alias("size")).where("size > 1")
+    posts = stored(every_post.join(lists, "entry"), "lists")
+    forget(every_post)
     sigs = classes.select("id", "sig")
-    shared = posts.join(lists.select("entry", "a"), "entry").where("id <> a").groupBy("id", "a").count()
-    pairs = shared.groupBy(F.col("id").alias("b")).agg(F.max(F.struct("count", (-F.col("a")).alias("a"))).alias("m"))
+    met = posts.where("id <> a").groupBy("id", "a").count()
+    pairs = met.groupBy(F.col("id").alias("b")).agg(F.max(F.struct("count", (-F.col("a")).alias("a"))).alias("m"))
     pairs = pairs.select("b", (-F.col("m.a")).alias("a"))  # the first of a list with which most lists are shared
     pairs = pairs.join(sigs.toDF("b", "sb"), "b").join(sigs.toDF("a", "sa"), "a")
     links = confirmed(_agree(pairs), docs, width, percent)
     nodes = stored(components(links), "nodes")
     part = F.coalesce("component", "id").alias("part")
-    named = posts.join(lists.select("entry"), "entry").join(nodes.withColumnRenamed("node", "id"), "id", "left")
-    level = F.floor(F.log("n") / F.log(F.lit(SIZE_STEP)))
-    classed = F.explode(F.array(level, level + 1)).alias("class")
-    named = stored(named.select("entry", "id", "n", "before", part, classed), "named")
-    live = named.groupBy("entry", "class").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("size"))
-    rows = named.join(live.where("lo < hi").select("entry", "class", "size"), ["entry", "class"])
-    links = links.union(_compared(_candidates(rows.join(sigs, "id")), docs, width, percent))
+    named = posts.join(nodes.withColumnRenamed("node", "id"), "id", "left").select("entry", "size", "id", part)
+    named = stored(named, "named")
+    forget(posts)
+    live = named.groupBy("entry").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("entry")
+    rows = named.join(live, "entry").join(classes.select("id", "n", "sig"), "id")
+    links = links.union(_compared(_candidates(rows, shared, percent), docs, width, percent))
     nodes = stored(components(links), "nodes")
     member = every.join(classes.select("p", "q", "n", "id"), ["p", "q", "n"], "left")
     member = member.join(nodes.withColumnRenamed("node", "id"), "id", "left")
