@@ -58,6 +58,19 @@ def forget(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+#: What worker processes keep from task to task, by operator.
+_KEPT: dict[str, dict] = {}
+
+
+def kept(owner: str | None) -> dict:
+    """The cache of one operator in this worker; those of all others are dropped, as their tasks have passed."""
+    for name in [n for n in _KEPT if n != owner]:
+        del _KEPT[name]
+    if owner != "hashes":
+        _TABLES[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+    return _KEPT.setdefault(owner, {}) if owner else {}
+
+
 def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows holding about ``size`` bytes of text each; a row is never cut."""
     ends = text_bytes(batch.column(column))[1]
@@ -87,6 +100,7 @@ class Words:
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, kind: str):
+        kept("hashes")
         self.offsets = offsets
         self.data = low = _LOWER[data]
         inside = WORD_BYTES[kind][low]

@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from .common import Words, hits, slices, text_bytes
 
 WINDOW = 13
-SHARD_BYTES = 4 << 20
-BLOCK_BYTES = 16 << 20
+SHARD_BYTES = 2 << 20
+BLOCK_BYTES = 2 << 20
 SAMPLE = 8
 #: Occurrences located at once; more are taken in turns.
 LOCATE = 1 << 20

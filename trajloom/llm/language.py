@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes
+from .common import kept, slices, text_bytes
 
 RUN, HIDDEN, BATCH = 128, 8, 2048
 SAMPLE, WINDOW = 2000, 2048
 STEPS, TRAIN_RUN, TRAIN_BATCH, RATE = 300, 64, 128, 0.02
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 class Network:
@@ -197,6 +197,7 @@ def identify(docs: DataFrame, folds: int = 3, held: int = 1, net: Network | None
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept(None)
         net = shared.value
         names = np.array([*net.languages, "und"], dtype=object)
         for whole in batches:

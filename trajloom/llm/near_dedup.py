@@ -43,7 +43,7 @@ BLOCK = 512
 MEMBERS = 256
 #: Documents whose full sets are compared at once.
 COMPARED = 1024
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: Pairs of a merge compared at once.
 PAIRS = 1 << 20
 #: Up to so many ids are sent to all executors (8 MB); beyond, texts are joined by shuffle.

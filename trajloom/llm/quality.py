@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes
+from .common import kept, slices, text_bytes
 from .language import fold, sample
 
 CELL, LAGS, EMBED, FILTERS = 8, 24, 6, 16
@@ -29,7 +29,7 @@ PAD = LAGS // CELL + 1
 SAMPLE, WINDOW = 3000, 16384
 EPOCHS, BATCH, RATE = 14, 32, 0.01
 ACCEPT = 0.7
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 def cells(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,6 +152,7 @@ def scored(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, ne
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept(None)
         for whole in batches:
             for b in slices(whole, "text", SLICE):
                 p = shared.value.score(*text_bytes(b.column(2)))

@@ -17,15 +17,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from .common import kept
+
 _PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _FINE = re.compile(r"[ \n]*(?:[A-Za-z0-9À-ÖØ-öø-ÿ]+|[^ \nA-Za-z0-9À-ÖØ-öø-ÿ]+)|[ \n]+")
 #: What keeps a text from the fine cut: apostrophes, and characters that are neither ASCII nor letters of Latin-1.
 _NOT_PLAIN = re.compile(r"[^\x20-\x26\x28-\x7e\nÀ-ÖØ-öø-ÿ]")
 #: White space by any definition besides space and line end, and combining marks that a normaliser may move.
 _OTHER = re.compile(r"[^\S \n]|[\x1c-\x1f\x85᠎​⁠﻿]")
-#: Pieces whose ids a worker process keeps from task to task; later ones are encoded again.
-CACHE = 1_200_000
-_KNOWN: dict[str, dict[str, bytes]] = {}
+#: Pieces whose ids a worker process keeps from task to task (about 200 bytes each); later ones are encoded again.
+CACHE = 800_000
 
 
 class Encoder:
@@ -37,7 +38,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.kept = _KNOWN.setdefault(path, {})
+        self.kept: dict[str, bytes] = kept(f"pieces of {path}")
 
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), 20_000):
