@@ -44,6 +44,21 @@ def test_long_cells_keep_their_text():
     assert rows == ["x" * 500 + " | a", "y | b"]
 
 
+QUOTES = {
+    '<a href="x"">Link</a> kept text <b class="y">bold</b> tail': "Link kept text bold tail",
+    "<p title=it's>all the rest of the page": "all the rest of the page",
+    "<p a='b' 'hidden'>shown": "shown",
+    '<a href=x="y>z': "z",
+    '<a href="x"class="y>">in</a>': "in",
+    "<a href = 'x>y' b= \"q>\">z": "z",
+}
+
+
+@pytest.mark.parametrize("page", QUOTES)
+def test_quotes_open_only_values(page):
+    assert text_of(page) == QUOTES[page]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from("<p> </p> <li> <ul> </ul> <table> <tr> <td> </table> <pre> </pre> <div> </div> <b> <br> x y< & &amp; <script> </script> <a ' \" > \n".split(" ")), max_size=40))
 def test_no_page_breaks_it(parts):

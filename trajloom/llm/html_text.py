@@ -22,10 +22,16 @@ from pyspark.sql import functions as F
 #: Cells are padded to the widest of their column, up to this width; longer ones keep all their text.
 PAD_WIDTH = 60
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^\"'>]|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S
+#: An attribute: a quote opens a value only behind the equals sign, elsewhere it is a plain character.
+_VALUED = (
+    r"([^ \t\n\r\f/>][^ \t\n\r\f/>=]*+)"
+    r"(?:[ \t\n\r\f]*+=[ \t\n\r\f]*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^ \t\n\r\f>\"'][^ \t\n\r\f>]*+))?+)?+"
 )
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?", re.S)
+_ATTRIBUTE = re.compile(_VALUED)
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)"
+    rf"((?:[ \t\n\r\f/]++|{re.sub(r'[(](?=\[)', '(?:', _VALUED)})*+)(?:>|\Z)", re.S
+)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 
