@@ -2,10 +2,15 @@
 
 Base patterns with validators give spans that always stay. Generators of high recall
 propose further, overlapping spans in looser formats. Every candidate has format and
-context features in small bins; what the base spans confirm is its weak label. One
-aggregate over all candidates of the corpus counts each feature vector with its
-confirmed share, boosted trees are fitted to that table on the driver, and for each kind
-the lowest score at which the expected precision reaches ``PRECISION`` becomes the
+context features in small bins, among them its evidence: whether its normalised value
+passes the validator of its format, and which cue word stands last before it. One
+aggregate over all candidates of the corpus counts each feature vector with the share
+that base spans confirm. Not being a base match is no label: candidates that fail their
+validator or follow a contrary cue are false, confirmed ones and valid ones behind a cue of
+their kind or in a format that stands for itself are true, and of the other valid ones the
+share is estimated that is not valid by chance (``_expected``). Boosted trees are fitted to
+that table on the driver, and for each format of a kind the lowest score at which the
+expected precision of what is not confirmed already reaches ``PRECISION`` becomes the
 threshold. Trees are then a column expression, so scoring stays in the JVM.
 
 Patterns use possessive repeats and look-behinds where these change no match, so long
@@ -35,15 +40,38 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: Looser formats: named separators and other alphabets, six-part addresses, grouped digits, numbers without plus.
+_SEP = r"(?:@|\x20@\x20|\x20?(?:\(at\)|\[at\])\x20?)"
+_DOT = r"(?:\.|\x20\.\x20|\x20?(?:\(dot\)|\[dot\])\x20?)"
+_TIGHT = rf"[\p{{L}}{_LOCAL}]{{1,64}}+{_SEP}[\p{{L}}0-9-]{{1,63}}+(?:{_DOT}[\p{{L}}0-9-]{{1,63}}+){{1,8}}"
+_SHORT6 = r"(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}"
+#: Looser formats: named separators and other alphabets, colon addresses, grouped digits, numbers without plus.
 GENERATORS = {
     "email": [rf"(?<![\p{{L}}{_LOCAL}])[\p{{L}}{_LOCAL}]{{1,64}}+\x20?(?:@|\(at\)|\[at\])\x20?[\p{{L}}0-9-]{{1,63}}+"
-              r"(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[\p{L}0-9-]{1,63}+){0,8}+"],
-    "ip": [r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){5,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f])"],
-    "card": [r"(?<![0-9])[0-9]{4}(?:[\x20.-]?[0-9]{4}){2}[\x20.-]?[0-9]{2,7}(?![0-9])"],
+              r"(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[\p{L}0-9-]{1,63}+){0,8}+", rf"(?<![\p{{L}}{_LOCAL}]){_TIGHT}"],
+    "ip": [r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){5,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f])",
+           rf"(?<![0-9A-Za-z:.]){_SHORT6}(?![0-9A-Za-z:])"],
+    "card": [r"(?<![0-9])[0-9]{4}(?:[\x20.-]?[0-9]{4}){2}[\x20.-]?[0-9]{2,7}(?![0-9])", r"(?<![0-9])[0-9]{4}[\x20.-][0-9]{6}[\x20.-][0-9]{4,5}(?![0-9])"],
     "phone": [r"\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9])",
               r"(?<![0-9+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])"],
 }
+#: Share of random digits that pass the validator of a (kind, format); formats not named stand for themselves.
+CHANCE = {("card", 0): 0.1, ("card", 1): 0.1, ("card", 2): 0.1, ("phone", 2): 0.64}
+#: (kind, format) whose valid candidates without cue are as often true as those with one.
+CUED = {("email", 2)}
+#: Evidence of a candidate, in order.
+INVALID, CONTRARY, NEUTRAL, CUE = range(4)
+#: Cue words; the last one in ``AHEAD`` characters before a candidate counts.
+AHEAD = 40
+OWN = {
+    "email": "e-?mail|mail|contact|write|reach|address|kontakt|correo|courriel",
+    "ip": "ip|ipv[46]|address|server|host|adresse",
+    "card": "cards?|visa|mastercard|amex|credit|debit|pay|paid|karte|kreditkarte|tarjeta|carte",
+    "phone": "call|phones?|telephone|tel|fax|mobile|cell|dial|whatsapp|sms|reach|telefon|tel[eé]fono|t[eé]l[eé]phone|llamar?|appelez|anrufen",
+}
+AGAINST = (
+    "orders?|invoices?|ref|reference|sku|isbn|issn|ean|part|serial|ticket|tracking|account|case|version|item|id|"
+    "bestellung|commande|pedido|factura|facture|rechnung|artikel"
+)
 _OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
@@ -105,7 +133,49 @@ def base_spans(text: Column) -> Column:
 
 
 #: Feature names; all are small integers.
-FEATURES = ("kind", "digits", "marks", "groups", "letters", "before", "after", "plus")
+FEATURES = ("kind", "digits", "marks", "groups", "letters", "before", "after", "plus", "format", "evidence")
+
+
+def _format(s: Column) -> Column:
+    """The number of a candidate's format within its kind."""
+    v = s["value"]
+    email = F.when(v.rlike(r"\(at\)|\[at\]"), 1).when(v.contains(" @") | v.contains("@ "), 2).otherwise(0)
+    ip = F.when(v.contains("::"), 2).when(v.contains(":"), 1).otherwise(0)
+    card = F.when(v.contains("."), 2).when(v.rlike("[ -]"), 1).otherwise(0)
+    phone = F.when(v.startswith("+"), 0).when(v.startswith("("), 1).otherwise(2)
+    kinds = dict(zip(KINDS, (email, ip, card, phone)))
+    return F.coalesce(*(F.when(s["kind"] == KINDS.index(k), x) for k, x in kinds.items()))
+
+
+def _passes(s: Column, cued: Column) -> Column:
+    """Whether a candidate's normalised value is valid for its format.
+
+    A full colon address is no row of byte pairs, a short one lies in a prefix in use. Bare
+    phone numbers follow the numbering plan, unless a cue says what they are.
+    """
+    v = s["value"]
+    email = v.rlike(rf"^{_TIGHT}$") & v.rlike(r"(?:^|[^\p{L}])[\p{L}]{2,63}$")
+    full = v.rlike("^(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}$") & ~v.rlike("^(?:[0-9A-Fa-f]{2}:){7}")
+    short = v.rlike(rf"^{_SHORT6}$") & v.rlike("^(?:[23][0-9A-Fa-f]{3}|[fF][cdeCDE][0-9A-Fa-f]{2}):")
+    short = short & (F.size(F.split(v, ":+")) <= 7)
+    ip = F.when(v.contains("::"), short).when(v.contains(":"), full).otherwise(_valid("ip", v))
+    plan = cued | v.rlike(r"^[(+]") | v.rlike("^[2-9][0-9]{2}[^0-9][2-9]")
+    phone = plan & (_valid("phone", v))
+    kinds = dict(zip(KINDS, (email, ip, _valid("card", v), phone)))
+    return F.coalesce(*(F.when(s["kind"] == KINDS.index(k), x) for k, x in kinds.items()))
+
+
+def _evidence(text: Column, s: Column) -> Column:
+    ahead = F.lower(F.substring(text, F.greatest(s["start"] - AHEAD, F.lit(0)) + 1, F.least(s["start"], F.lit(AHEAD))))
+    word = r"(?s)^(?:.*[^\p{L}\p{N}])?(%s)(?![\p{L}\p{N}])"
+    lasts = []
+    for k in KINDS:
+        words = f"{OWN[k]}|{AGAINST}" if k in ("card", "phone") else OWN[k]
+        lasts.append(F.when(s["kind"] == KINDS.index(k), F.regexp_extract(ahead, word % words, 1)))
+    last = F.coalesce(*lasts)
+    against = s["kind"].isin([KINDS.index(k) for k in ("card", "phone")]) & (last.rlike(f"^(?:{AGAINST})$") | ahead.rlike(r"#\x20?$"))
+    cued = ~against & (last != "")
+    return F.when(~_passes(s, cued), INVALID).when(against, CONTRARY).when(cued, CUE).otherwise(NEUTRAL)
 
 
 def _class(c: Column) -> Column:
@@ -128,6 +198,8 @@ def _features(text: Column, s: Column, base: Column) -> Column:
         "before": F.when(s["start"] == 0, 0).otherwise(_class(F.substring(text, s["start"], F.lit(1)))),
         "after": _class(F.substring(text, s["end"] + 1, F.lit(1))),
         "plus": v.startswith("+").cast("int"),
+        "format": _format(s),
+        "evidence": _evidence(text, s),
     }
     columns = [values[n].cast("int").alias(n) for n in FEATURES]
     return F.struct(s["start"].alias("start"), s["end"].alias("end"), hit.alias("hit"), *columns)
@@ -144,7 +216,10 @@ def proposals(docs: DataFrame, text: str = "text") -> DataFrame:
 
 @dataclass
 class Boosted:
-    """Boosted trees of depth two over binned features, with a threshold for each kind."""
+    """Boosted trees of depth two over binned features.
+
+    Thresholds are by kind plus the number of kinds times the format.
+    """
 
     bias: float = 0.0
     trees: list[tuple] = field(default_factory=list)
@@ -170,7 +245,7 @@ def _best_split(rows: list[tuple], residual: list[float], weight: list[float]) -
     """The split (feature, bin) of least squared error, weighted by curvature; None without one."""
     total_g, total_h = sum(residual), sum(weight)
     best, gain = None, 1e-9
-    for f in range(len(FEATURES)):
+    for f in range(len(rows[0][0]) if rows else 0):
         sums: dict[int, list[float]] = {}
         for (x, _, _), g, h in zip(rows, residual, weight):
             at = sums.setdefault(x[f], [0.0, 0.0])
@@ -185,10 +260,20 @@ def _best_split(rows: list[tuple], residual: list[float], weight: list[float]) -
     return best
 
 
-def boost(rows: list[tuple[tuple[int, ...], float, float]], trees: int = TREES, rate: float = RATE, precision: float = PRECISION) -> Boosted:
-    """Fit trees to (feature vector, count, confirmed count) rows and calibrate the thresholds.
+def _threshold_key(x: tuple[int, ...]) -> int:
+    at = FEATURES.index("format")
+    return x[0] + len(KINDS) * (x[at] if at < len(x) else 0)
+
+
+def boost(
+    rows: list[tuple[tuple[int, ...], float, float]], trees: int = TREES, rate: float = RATE, precision: float = PRECISION,
+    open_: list[tuple[float, float]] | None = None,
+) -> Boosted:
+    """Fit trees to (feature vector, count, expected true count) rows and calibrate the thresholds.
 
-    A kind with fewer than ``SUPPORT`` confirmed candidates gets no threshold: it adds nothing.
+    ``open_`` holds for each row (count, expected true count) of the candidates that are to be
+    decided; precision is theirs alone. A format with fewer than ``SUPPORT`` true candidates
+    in all gets no threshold: it adds nothing.
     """
     model = Boosted()
     n, pos = sum(r[1] for r in rows), sum(r[2] for r in rows)
@@ -216,35 +301,62 @@ def boost(rows: list[tuple[tuple[int, ...], float, float]], trees: int = TREES,
                     score[k] += leaves[-1]
             sides.append(((FEATURES[cut[0]], cut[1]), *leaves))
         model.trees.append(((FEATURES[root[0]], root[1]), *sides))
-    for kind in range(len(KINDS)):
-        own = sorted(((s, r[1], r[2]) for s, r in zip(score, rows) if r[0][0] == kind), reverse=True)
-        seen = right = 0.0
-        for k, (s, count, hit) in enumerate(own):
+    decided = open_ or [(r[1], r[2]) for r in rows]
+    for key in {_threshold_key(r[0]) for r in rows}:
+        own = sorted(((s, r[2], *d) for s, r, d in zip(score, rows, decided) if _threshold_key(r[0]) == key), reverse=True)
+        support, seen, right = sum(x[1] for x in own), 0.0, 0.0
+        for k, (s, _, count, hit) in enumerate(own):
             seen, right = seen + count, right + hit
             last = k + 1 == len(own) or own[k + 1][0] < s
-            if last and right >= SUPPORT and right / seen >= precision:
-                model.thresholds[kind] = s - 1e-9
+            if last and support >= SUPPORT and seen and right / seen >= precision:
+                model.thresholds[key] = s - 1e-9
     return model
 
 
+def _expected(table: list[tuple[tuple[int, ...], float, float]]) -> list[float]:
+    """The expected share of true ones among the candidates of each vector that no base span confirms.
+
+    Where random digits pass a validator with chance q, V valid and I invalid candidates
+    without cue hold V - I q / (1 - q) that are not valid by chance.
+    """
+    at, of = FEATURES.index("evidence"), FEATURES.index("format")
+    mass: dict[tuple, list[float]] = {}
+    for x, n, hits in table:
+        mass.setdefault((KINDS[x[0]], x[of]), [0.0] * 4)[x[at]] += n - hits
+    neutral = {}
+    for key, m in mass.items():
+        if key in CHANCE:
+            q = CHANCE[key]
+            neutral[key] = max(0.0, 1 - m[INVALID] * q / (1 - q) / m[NEUTRAL]) if m[NEUTRAL] else 0.0
+        elif key in CUED:
+            neutral[key] = m[CUE] / (m[CUE] + m[CONTRARY] + m[INVALID]) if m[CUE] >= SUPPORT else 0.0
+        else:
+            neutral[key] = 1.0
+    return [{CUE: 1.0, NEUTRAL: neutral[(KINDS[x[0]], x[of])]}.get(x[at], 0.0) for x, _, _ in table]
+
+
 def fit(proposed: DataFrame, **options) -> Boosted:
     """Fit to the candidates of the whole corpus, counted by feature vector.
 
     The vectors are products of small bins, so their number does not grow with the corpus.
+    Confirmed candidates that are themselves invalid or behind a contrary cue teach nothing.
     """
     each = proposed.select(F.explode("proposed").alias("c"))
     rows = each.groupBy(*(F.col(f"c.{n}").alias(n) for n in FEATURES)).agg(
         F.count("*").alias("n"), F.sum(F.col("c.hit").cast("int")).alias("hits")
     )
-    table = [(tuple(r[: len(FEATURES)]), float(r["n"]), float(r["hits"])) for r in rows.collect()]
-    return boost(sorted(table), **options)
+    table = sorted((tuple(r[: len(FEATURES)]), float(r["n"]), float(r["hits"])) for r in rows.collect())
+    at = FEATURES.index("evidence")
+    open_ = [(n - hits, (n - hits) * p) for (_, n, hits), p in zip(table, _expected(table))]
+    sure = [hits if x[at] >= NEUTRAL else 0.0 for x, _, hits in table]
+    return boost([(x, a + h, b + h) for (x, _, _), (a, b), h in zip(table, open_, sure)], open_=open_, **options)
 
 
 def selected(proposed: DataFrame, model: Boosted) -> DataFrame:
     """Adds ``spans``: base spans and the candidates above their threshold.
 
     A candidate that touches a base span of its kind is that span already. Of touching
-    candidates of a kind the better scored one stays, then the longer, then the earlier.
+    candidates of a kind the longer one stays, then the better scored, then the earlier.
     """
     plain = F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["kind"].alias("kind"), b["end"].alias("end")))
     if not model.thresholds:
@@ -253,16 +365,17 @@ def selected(proposed: DataFrame, model: Boosted) -> DataFrame:
     scored = F.transform(
         F.filter("proposed", lambda c: ~c["hit"]),
         lambda c: F.struct(
-            model.column(c).alias("score"), (c["end"] - c["start"]).alias("size"), (-c["start"]).alias("back"),
+            (c["end"] - c["start"]).alias("size"), model.column(c).alias("score"), (-c["start"]).alias("back"),
             c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"),
+            c["format"].alias("format"), c["evidence"].alias("evidence"),
         ),
     )
 
     def above(c):
         limit = cut
-        for kind, t in model.thresholds.items():
-            limit = F.when(c["kind"] == kind, t).otherwise(limit)
-        return c["score"] >= limit
+        for key, t in model.thresholds.items():
+            limit = F.when(c["kind"] + len(KINDS) * c["format"] == key, t).otherwise(limit)
+        return (c["score"] >= limit) & (c["evidence"] > CONTRARY)
 
     good = proposed.withColumn("good", F.filter(scored, above))
     alone = F.filter(
