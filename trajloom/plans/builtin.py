@@ -86,9 +86,9 @@ def _catalog(spark: SparkSession, table: str, num_parts: int = 1, part: int = 0,
 
 
 @sources.register("processed", "processd")
-def _processed(spark: SparkSession, index: str, trajectories: str, meta: str, meta_schema: str, num_parts: int = 1, part: int = 0):
+def _processed(spark: SparkSession, index: str, trajectories: str, meta: str, meta_schema: str, num_parts: int = 1, part: int = 0, document: bool = False):
     clips = readers.processed_clips(
-        readers.read_index(spark, index),
+        readers.read_index(spark, index, document),
         spark.read.parquet(trajectories).select("sample_id").distinct(),
         readers.read_clip_meta(spark, meta, meta_schema),
     )

@@ -376,6 +376,20 @@ def index_reading(spark: SparkSession, sf: str) -> DataFrame:
     return readers.index_ids(entries).groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""
+with fx_x as (select l_orderkey as k, unnest(['p' || l_partkey, 's' || l_suppkey]) as sample_id from lineitem where l_linenumber <= 3)
+select form, sample_id, count(*) as n from fx_x, (select unnest(['line', 'indented']) as form) group by 1, 2""")
+def index_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries written as lines, several to a list, and as the indented documents of the older writer, parsed again."""
+    li = fx.table(spark, sf, "lineitem").filter("l_linenumber <= 3")
+    ids = F.array(F.concat(F.lit("p"), F.col("l_partkey").cast("string")), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")))
+    entries = li.groupBy("l_orderkey").agg(F.collect_list(F.struct(ids.alias("sample_ids"))).alias("e"))
+    line = entries.select(F.concat(F.to_json("e"), F.lit(",")).alias("value"))
+    indented = entries.select(F.regexp_replace(F.to_json("e", {"pretty": "true"}), " : ", ": ").alias("value"))
+    parsed = [readers.parse_index(t).select(F.lit(f).alias("form"), "sample_id") for f, t in (("line", line), ("indented", indented))]
+    return parsed[0].unionAll(parsed[1]).groupBy("form", "sample_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""
 select cast(o_orderkey as varchar) as sample_id, case when o_orderpriority = '2-HIGH' then 'pending' else 'completed' end as status,
        cast(o_custkey as integer) as attempts from orders where o_orderpriority <> '1-URGENT'""")

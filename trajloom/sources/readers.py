@@ -117,27 +117,50 @@ def scan_catalog(
     ).withColumn("visualize", show)
 
 
+_ENTRY = "struct<sample_id:string,sample_ids:array<string>>"
+
+
 def read_index(spark: SparkSession, path: str, document: bool = False) -> DataFrame:
     """Index files: ``pos, sample_id`` in order, single ids before the list of their entry.
 
     Lines are read apart, so a published index of any size splits over tasks. A line holds
     one entry or a list of them; brackets and commas around the lines of a list may stand
-    alone. ``document`` reads each file as one JSON text laid out in any way, for small
-    files written by hand: such a file is one string in one task.
+    alone. A file with any other line, such as an indented one, is read whole: it is one
+    string in one task then, and it is an error if that is no JSON text of entries either.
+    ``document`` reads every file so without trying its lines.
     """
-    return parse_index(spark.read.text(path, wholetext=document))
+    whole = spark.read.text(path, wholetext=True)
+    if document:
+        return parse_index(whole)
+    lines, file = spark.read.text(path), F.col("_metadata.file_path")
+    odd = lines.select(file.alias("file"), _unread("value").alias("odd")).where("odd").select("file").distinct().collect()
+    if not odd:
+        return parse_index(lines)
+    names = [r[0] for r in odd]
+    return parse_index(lines.where(~file.isin(names)).select("value").unionAll(whole.where(file.isin(names)).select("value")))
 
 
 def parse_index(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Entries of index texts, one or a list of them in each."""
-    entry = "struct<sample_id:string,sample_ids:array<string>>"
-    doc = _bare(column)
-    entries = F.when(doc.startswith("["), F.from_json(doc, f"array<{entry}>")).otherwise(
-        F.array(F.from_json(doc, entry))
-    )
+    """Entries of index texts, one or a list of them in each; other texts than lone brackets are an error."""
+    bad = F.raise_error(F.concat(F.lit("no index entry: "), F.substring(column, 1, 200)))
+    entries = F.when(_unread(column), bad.cast(f"array<{_ENTRY}>")).otherwise(_entries(column))
     return index_ids(lines.select(F.explode(entries).alias("e")).select("e.sample_id", "e.sample_ids"))
 
 
+def _entries(column: str) -> Column:
+    """The entries of a text, null where it is not one JSON object or list to its end."""
+    doc = _bare(column)
+    closed = F.concat(F.lit("["), doc, F.lit("]"))  # what stands behind the first value is not passed over
+    lists = F.flatten(F.from_json(closed, f"array<array<{_ENTRY}>>"))
+    return F.when(doc.startswith("["), lists).when(doc.startswith("{"), F.from_json(closed, f"array<{_ENTRY}>"))
+
+
+def _unread(column: str) -> Column:
+    """Whether a text is neither an entry nor a list nor a bracket, comma or blank between them."""
+    doc = _bare(column)
+    return doc.isNotNull() & ~doc.isin("", "[", "]") & _entries(column).isNull()
+
+
 def _bare(column: str) -> Column:
     """A line without white space and the comma behind it."""
     return F.regexp_replace(F.col(column), r"^\s+|\s*,?\s*$", "")
