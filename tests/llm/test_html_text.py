@@ -59,6 +59,24 @@ def test_quotes_open_only_values(page):
     assert text_of(page) == QUOTES[page]
 
 
+FOREIGN = {
+    "a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b": "a x=2 b",
+    "<math><semantics><mi>x</mi><annotation encoding=tex>\\x</annotation><annotation-xml><ci>q</ci></annotation-xml></semantics></math>y": "xy",
+    "<math><mtable><mtr><mtd><mn>1</mn><mtd/><mtd><mn>2</mn></mtr></mtable><mphantom><mi>q</mi></mphantom></math>": "1 2",
+    "<svg><title>t</title><desc>d</desc><metadata>m</metadata><defs><text>u</text></defs><text>Axis</text><text>Up</text></svg>z": "Axis\nUp\nz",
+    "<svg><title/><defs/><style/><path d='M0'/><text>seen</text></svg>after": "seen\nafter",
+    "<svg><style>a{b:c}</style><text><![CDATA[x < y]]> z</text></svg>": "x < y z",
+    "<svg><foreignObject><p>one<p>two</foreignObject><script>q</script></svg>": "one\n\ntwo",
+    "<svg><defs><p>out</p>": "out",
+    "<desc>d</desc> <metadata>m</metadata>": "d m",
+}
+
+
+@pytest.mark.parametrize("page", FOREIGN)
+def test_text_of_drawings_and_formulas(page):
+    assert text_of(page) == FOREIGN[page]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from("<p> </p> <li> <ul> </ul> <table> <tr> <td> </table> <pre> </pre> <div> </div> <b> <br> x y< & &amp; <script> </script> <a ' \" > \n".split(" ")), max_size=40))
 def test_no_page_breaks_it(parts):

@@ -3,7 +3,7 @@
 A tokenizer feeds a tree builder that closes elements whose end tags may be left out
 (paragraphs before blocks, list items, table parts, options) and ignores end tags that
 match nothing. The tree is then walked once, without recursion, by a renderer that skips
-what a browser does not show, collapses white space outside preformatted text, keeps
+what a browser does not show (of drawings and formulas too, whose text is kept), collapses white space outside preformatted text, keeps
 blocks apart as their margins do, marks and indents list items, and aligns table cells.
 Nothing is classified or left out as boilerplate: all visible text stays.
 """
@@ -38,17 +38,29 @@ _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|colla
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset(
-    "head script style template title noscript iframe noembed noframes object video audio canvas svg math datalist".split()
+    "head script style template title noscript iframe noembed noframes object video audio canvas datalist".split()
+)
+#: Parts of drawings and formulas that are not shown where they stand; elsewhere these names mean nothing.
+UNSEEN_FOREIGN = {
+    "svg": frozenset("title desc metadata defs symbol clippath mask marker pattern".split()),
+    "math": frozenset("annotation annotation-xml mphantom".split()),
+}
+#: Elements of drawings and formulas whose content is read as HTML again.
+HTML_INSIDE = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+#: HTML elements that end a drawing or formula left open.
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol "
+    "p pre ruby s small span strong strike sub sup table tt u ul var".split()
 )
 #: Blocks by the blank lines around them.
 MARGIN = {
     **dict.fromkeys("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure hr menu".split(), 1),
     **dict.fromkeys(
         "html body div li dt dd article section nav header footer main aside form fieldset legend address center "
-        "details summary figcaption caption tr thead tbody tfoot option optgroup hgroup search dialog".split(), 0),
+        "details summary figcaption caption tr thead tbody tfoot option optgroup hgroup search dialog text foreignobject mtr".split(), 0),
 }
 #: Elements whose start closes an open paragraph.
-ENDS_P = frozenset(MARGIN) - set("html body tr thead tbody tfoot caption option optgroup legend".split())
+ENDS_P = frozenset(MARGIN) - set("html body tr thead tbody tfoot caption option optgroup legend text foreignobject mtr".split())
 _ROWS, _CELLS, _PARTS = {"tr"}, {"td", "th"}, {"thead", "tbody", "tfoot"}
 #: For a start tag: which open elements it closes, and where the search for them stops.
 CLOSES = {
@@ -78,9 +90,11 @@ def build(html: str) -> Node:
     """The tree of a page."""
     root = Node("", {})
     stack, opened = [root], Counter()
+    foreign = [""]  # for each open element: "svg" or "math" where its content belongs to one
 
     def pop() -> None:
         opened[stack.pop().tag] -= 1
+        foreign.pop()
 
     def close(tags: set, stops: set) -> None:
         """Close the outermost open element of ``tags`` above the nearest of ``stops``."""
@@ -101,6 +115,10 @@ def build(html: str) -> Node:
             stack[-1].children.append(unescape(html[at : m.start()]))
         at = m.end()
         if m[2] is None:
+            if foreign[-1] and html.startswith("<![CDATA[", m.start()):
+                end = html.find("]]>", m.start())
+                stack[-1].children.append(html[m.start() + 9 : end if end >= 0 else len(html)])
+                at = end + 3 if end >= 0 else len(html)
             if at >= len(html):
                 break
             continue
@@ -115,17 +133,23 @@ def build(html: str) -> Node:
             elif tag == "p":
                 stack[-1].children.append(Node("p", {}))
             continue
-        if tag in ENDS_P:
+        if tag in ENDS_FOREIGN:
+            while foreign[-1]:
+                pop()
+        own = tag if tag in ("svg", "math") else foreign[-1]
+        if not own and tag in ENDS_P:
             close({"p"}, {"button", "td", "th", "table", "caption"})
-        if tag in CLOSES:
+        if not own and tag in CLOSES:
             close(*CLOSES[tag])
         if tag == "body":
             close({"head"}, set())
         node = Node(tag, _attributes(m[3]) if m[3] else {})
         stack[-1].children.append(node)
-        if tag in VOID:
+        if own and tag in UNSEEN_FOREIGN[own]:
+            node.attrs["hidden"] = ""
+        if m[3].endswith("/") if own else tag in VOID:
             continue
-        if tag in RAW:
+        if tag in RAW and not own:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?|\Z", re.I).search(html, at)
             text = html[at : end.start()]
             node.children.append(unescape(text) if tag in ("textarea", "title") else text)
@@ -133,6 +157,7 @@ def build(html: str) -> Node:
             continue
         stack.append(node)
         opened[tag] += 1
+        foreign.append("" if tag in HTML_INSIDE else own)
     if at < len(html):
         stack[-1].children.append(unescape(html[at:]))
     return root
@@ -271,7 +296,7 @@ def render(root: Node) -> str:
         if tag in ("td", "th") and tables:
             buffers.append(out)
             out = Lines()
-        elif tag in ("td", "th"):
+        elif tag in ("td", "th", "mtd"):
             out.text(" ", False)
         elif tag == "tr" and tables:
             tables[-1].append([])
