@@ -4,6 +4,8 @@ import zlib
 import numpy as np
 from inputs import EDGES, prose
 
+from pyspark.sql import functions as F
+
 from trajloom.llm import language, quality
 
 FRENCH = "le la les une dans pour avec être très où déjà maison rivière lumière musique eau sept huit".split()
@@ -68,6 +70,18 @@ def test_language_of_a_table(spark):
     assert language.identify(df.limit(0)).count() == 0
 
 
+def test_a_rare_language_is_learned(spark):
+    rows = [(k, f"the house {k}", "en") for k in range(6000)] + [(6001 + 7 * k, f"дом {k}", "ru") for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.each_sample(df, "lang", 50, 100)
+    assert sum(x == "en" for _, x in got) == 50 and sorted(t for t, x in got if x == "ru") == ["дом 0", "дом 1", "дом 2"]
+    order = df.where("lang = 'en'").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(50).collect()
+    assert [t for t, x in got if x == "en"] == [r.text for r in order]
+    many = df.where("lang = 'en'").unionAll(df.where("doc_id = 6008").withColumn("doc_id", F.lit(5).cast("long")))
+    assert language.train(many, held=2, window=100).languages == ["en", "ru"]
+    assert language.each_sample(df.limit(0), "lang", 50, 100) == []
+
+
 def test_convolution_gradient_is_the_slope():
     rng = np.random.default_rng(2)
     net = quality.Network()

@@ -4,9 +4,10 @@ The network reads runs of ``RUN`` bytes in both directions, labels every byte po
 with a distribution over languages, and a document's probabilities are the mean over all
 its bytes. Runs of many documents advance together, one byte a step, as matrix products.
 
-It is trained here, in numpy, by backpropagation through time, on a bounded sample: at
-most ``SAMPLE`` labelled documents, those of smallest hash, and of each a window of
-``WINDOW`` characters at a hashed place. Scoring reads every byte of every text.
+It is trained here, in numpy, by backpropagation through time, on a bounded sample: of
+every language that occurs at most ``EACH`` labelled documents, those of smallest hash, and
+of each a window of ``WINDOW`` characters at a hashed place. Scoring reads every byte of
+every text.
 """
 
 from __future__ import annotations
@@ -15,13 +16,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import kept, slices, text_bytes
 
 RUN, HIDDEN, BATCH = 128, 8, 2048
-SAMPLE, WINDOW = 2000, 2048
+EACH, WINDOW = 500, 2048
 STEPS, TRAIN_RUN, TRAIN_BATCH, RATE = 300, 64, 128, 0.02
 SLICE = 2 << 20
 
@@ -169,10 +170,33 @@ def sample(docs: DataFrame, label: str, size: int, window: int) -> list[tuple[st
     return [(r[0], r[1]) for r in rows.select(F.substring("text", begin.cast("int"), F.lit(window)), label).collect()]
 
 
-def train(docs: DataFrame, folds: int = 3, held: int = 1, size: int = SAMPLE, window: int = WINDOW) -> Network:
-    """Learn from documents outside the held-out fold that have text with a letter and a language."""
+def each_sample(docs: DataFrame, label: str, size: int, window: int) -> list[tuple[str, str]]:
+    """As ``sample``, at most ``size`` texts of every label, so a rare label is not lost among the others.
+
+    The largest hash to take is found for each label without the texts; ranks are cut before
+    rows are dealt, so no task gets more than ``size`` rows of a label from each other one.
+    """
+    hashed = docs.withColumn("_h", F.xxhash64("doc_id", F.lit(5)))
+    rank = F.row_number().over(Window.partitionBy(label).orderBy("_h", "doc_id"))
+    first = hashed.select(label, "doc_id", "_h").withColumn("_r", rank).where(F.col("_r") <= size)
+    cuts = {r[0]: r[1] for r in first.groupBy(label).agg(F.max("_h")).collect()}
+    if not cuts:
+        return []
+    cut = F.create_map(*(F.lit(x) for pair in cuts.items() for x in pair))
+    few = hashed.where(F.col("_h") <= cut[F.col(label)])
+    begin = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.greatest(F.length("text") - window, F.lit(0)) + 1) + 1
+    parts = few.select(F.substring("text", begin.cast("int"), F.lit(window)).alias("_t"), label, "doc_id", "_h")
+    rows = parts.withColumn("_r", rank).where(F.col("_r") <= size)
+    return [(r[0], r[1]) for r in rows.orderBy("_h", "doc_id").select("_t", label).collect()]
+
+
+def train(docs: DataFrame, folds: int = 3, held: int = 1, size: int = EACH, window: int = WINDOW) -> Network:
+    """Learn from documents outside the held-out fold that have text with a letter and a language.
+
+    The sample holds ``size`` documents of each language, so it is bounded by their number.
+    """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.coalesce(fold("doc_id", folds), F.lit(held)) != held))
-    rows = sample(known.select("doc_id", "text", "lang"), "lang", size, window)
+    rows = each_sample(known.select("doc_id", "text", "lang"), "lang", size, window)
     languages = sorted({lang for _, lang in rows})
     net = Network(languages)
     if len(languages) > 1:
