@@ -15,6 +15,7 @@ from .near_dedup import near_duplicates
 from .packing import pack
 from .pii import find
 from .quality import scored
+from .rules import STOP_WORDS, judged
 from .sharding import shards
 from .token_files import read, write
 
@@ -148,3 +149,40 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
     """The quality of every document."""
     return scored(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+_STOPS = ", ".join(f"'{w}'" for w in sorted({w for words in STOP_WORDS.values() for w in words.split()}))
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@query(
+    f"""
+    with t as (
+        select doc_id, coalesce(text, '') text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') w,
+               list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: translate(x, {_BLANKS}, '') <> '') l
+        from documents),
+    place as (select doc_id, w, unnest(range(1, len(w) - 1)) i from t where len(w) > 2),
+    gram as (select doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] g from place),
+    twice as (select doc_id, i from (select *, count(*) over (partition by doc_id, g) n from gram) where n > 1),
+    again as (select doc_id, count(distinct k) n from (select doc_id, unnest([i, i + 1, i + 2]) k from twice) group by 1),
+    c as (
+        select doc_id, len(w)::bigint n_words, length(translate(text, {_BLANKS}, ''))::bigint word_chars,
+               (length(text) - length(translate(text, '#*$%&|<>', '')))::bigint n_symbols,
+               (len(l) - len(list_distinct(l)))::bigint n_dup_lines, coalesce(n, 0)::bigint n_repeat_words, len(l) n_lines,
+               len(list_filter(w, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:?()"''', 'abcdefghijklmnopqrstuvwxyz') in ({_STOPS}))) stops,
+               len(list_filter(w, lambda x: translate(x, '0123456789!?.,;:-/()[]{{}}=+_~^''"#*$%&|<>', '') <> '')) lettered,
+               len(list_filter(l, lambda x: regexp_matches(ltrim(x), '^[-*•]'))) bullets,
+               len(list_filter(l, lambda x: regexp_matches(rtrim(x), '(\\.\\.\\.|…)$'))) cut
+        from t left join again using (doc_id))
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed,
+           n_words >= 50 and 100 * n_repeat_words <= 50 * n_words
+           and word_chars / n_words between 2 and 12 and n_symbols / n_words <= 0.1 and stops / n_words >= 0.05
+           and lettered / n_words >= 0.7 and n_dup_lines / n_lines <= 0.4 and bullets / n_lines <= 0.9 and cut / n_lines <= 0.3 kept
+    from c
+    """
+)
+def op13_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document against the table of quality rules."""
+    out = judged(table(spark, sf, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
