@@ -6,9 +6,11 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .decontamination import contamination
 from .embedding_dedup import near_vectors
+from .hard_negatives import mine
 from .html_text import extracted
 from .language import identify
 from .near_dedup import near_duplicates
@@ -186,3 +188,27 @@ def op13_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Every document against the table of quality rules."""
     out = judged(table(spark, sf, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query(
+    """
+    with v as (
+        select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end l,
+               list_transform(embedding, lambda x: floor(256 * x::double)) e
+        from embeddings
+        where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    s as (
+        select a.vec_id a, r.vec_id r, a.l = r.l same, list_dot_product(a.e, r.e)::bigint s
+        from v a join v r on a.vec_id <> r.vec_id where a.vec_id % 100 = 0),
+    p as (select a, r p, s from s where same qualify row_number() over (partition by a order by s desc, r) <= 5),
+    n as (
+        select p.a, p, r, p.s ps, s.s ns, row_number() over (partition by p.a, p order by s.s desc, r) k
+        from p join s on s.a = p.a and not same and 80 * p.s <= 100 * s.s and s.s <= p.s)
+    select a anchor_id, p positive_id, k::int rank, r negative_id, ps positive_score, ns negative_score from n where k <= 5
+    """
+)
+def op12_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Hard negatives of every hundredth vector among all vectors."""
+    v = table(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(v.withColumn("label", moved), F.col("vec_id") % 100 == 0)
