@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .conversations import damaged, repaired
 from .decontamination import contamination
 from .embedding_dedup import near_vectors
 from .hard_negatives import mine
@@ -212,3 +213,74 @@ def op12_negatives(spark: SparkSession, sf: str) -> DataFrame:
     v = table(spark, sf, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return mine(v.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def _then(value: str, cost: int | str, letter: str) -> str:
+    """SQL of a prefix (nine digits of cost, then letters) with one more edit."""
+    return f"(printf('%09d', substr({value}, 1, 9)::int + {cost}) || substr({value}, 10) || '{letter}')"
+
+
+_U = f"least(u, {_then('e', 3, 'I')}, {_then('s', 3, 'I')}, {_then('a', 3, 'I')})"
+_KEEP = "case when not gone and ini = '{}' then " + _then("{}", "more", "K") + " end"
+_TURN = "case when not gone then " + _then("{}", "(3 + more)", "R") + " end"
+
+
+@query(
+    f"""
+    with recursive c as (
+        select *, xor(4294967295, list_reduce([4294967295::bigint] || list_transform(
+            string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda x: ascii(x)::bigint),
+            lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda v, z: case when v & 1 = 1 then xor(3988292384, v >> 1) else v >> 1 end))) % 20 w
+        from conversations),
+    x as (
+        select conv_id, turn, case when w = 4 then 'user' else coalesce(role, ' ') end as role,
+               case when w = 1 then '' when w = 2 then regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') else coalesce(text, ' ') end as text,
+               unnest(range(case when w = 3 then 2 else 1 end)) k
+        from c where w <> 0),
+    o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text, k) i from x),
+    f as (
+        select *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) body,
+               row_number() over (partition by conv_id, role, text order by i) > 1 again, left(role, 1) ini from o),
+    g as (
+        select *, case when body = '' then 'b' when again then 'd' when right(body, 1) not in ('.', '!', '?') then 't' else '' end fault,
+               lag(ini) over (partition by conv_id order by i) || ini pair from f),
+    r as (select *, fault in ('b', 'd') gone, case when fault = 't' then 3 else 0 end more from g),
+    step as (
+        select distinct conv_id, 0::bigint i, '000000000' e, null::varchar s, null::varchar u, null::varchar a from conversations
+        union all
+        select conv_id, i, {_then('e', 4, 'D')},
+               least({_then('s', 4, 'D')}, {_KEEP.format('s', *['e'] * 2)}),
+               least({_then('u', 4, 'D')}, {', '.join(_KEEP.format('u', *[q] * 2) + ', ' + _TURN.format(*[q] * 2) for q in ('e', 's', 'a'))}),
+               least({_then('a', 4, 'D')}, {_KEEP.format('a', *['u'] * 2)}, {_TURN.format(*['u'] * 2)})
+        from (
+            select r.conv_id, r.i, r.ini, r.gone, r.more, e, s, u, least(a, {_then('u', 3, 'I')}) a
+            from (select conv_id, i, e, s, {_U} u, a from step) p join r on r.conv_id is not distinct from p.conv_id and r.i = p.i + 1)),
+    best as (
+        select conv_id, least(e, a, {_then('u', 3, 'I')}) z
+        from (select conv_id, i, e, s, {_U} u, a from step) p
+        qualify row_number() over (partition by conv_id order by i desc) = 1),
+    cut as (select conv_id, substr(z, 1, 9)::bigint cost, substr(z, 10) audit from best),
+    edit as (
+        select conv_id, j, l, sum((l <> 'I')::int) over w n, sum((l <> 'D')::int) over w m
+        from (select conv_id, unnest(range(1, length(audit) + 1)) j, substr(audit, j, 1) l from cut where audit <> '')
+        window w as (partition by conv_id order by j)),
+    kept as (
+        select edit.conv_id, j, l, m, case when l = 'I' then '' else text end as text, case when l = 'K' then role end own,
+               max((l = 'K' and m = 1 and ini = 's')::int) over (partition by edit.conv_id) led
+        from edit left join r on r.conv_id is not distinct from edit.conv_id and r.i = n where l <> 'D'),
+    made as (
+        select conv_id, string_agg(coalesce(own, case when (m - led) % 2 = 1 then 'user' else 'assistant' end) || ':' || text, chr(10) order by j) t
+        from kept group by 1),
+    told as (
+        select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) filter (fault = 'b') b,
+               count(*) filter (fault = 'd') d, count(*) filter (fault = 't') t, count(*) filter (pair not in ('su', 'ua', 'au')) bad
+        from r group by 1)
+    select cut.conv_id, coalesce(gaps, 0)::bigint gaps, coalesce(b, 0)::bigint blank, coalesce(d, 0)::bigint duplicate,
+           coalesce(told.t, 0)::bigint truncated, coalesce(bad, 0)::bigint illegal, cost, audit, sha256(coalesce(made.t, '')) repaired_sha256
+    from cut left join told on told.conv_id is not distinct from cut.conv_id left join made on made.conv_id is not distinct from cut.conv_id
+    """
+)
+def op11_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    """Every conversation, damaged and repaired."""
+    return repaired(damaged(table(spark, sf, "conversations")))
