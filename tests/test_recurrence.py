@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trajloom.operators import arm, series, smoothing
-from trajloom.operators.recurrence import is_long
+from trajloom.operators import arm, recurrence, series, smoothing, transfers
+
 
 RNG = np.random.default_rng(5)
 
@@ -207,7 +207,6 @@ def long_clips():
 def test_pose_smoother_blocks(spark):
     cfg = smoothing.PoseFilter(edge_pad=5)
     df = frame(spark, long_clips())
-    assert is_long(df, 40) and not is_long(df, 4096)
     whole = collect(smoothing.smooth_pose(df, "v", cfg, out="s", continuous=True), "s")
     parts = collect(smoothing.smooth_pose(df, "v", cfg, out="s", continuous=True, block=40), "s")
     for cid in whole:
@@ -384,3 +383,98 @@ def test_retry_takes_the_nearest_reachable_seed():
     out, _ = arm.retry_kernel(CHAIN, cfg, "pose").step(x, {}, active, np.full((1, 7), np.nan))
     after = arm._reached(cfg, out["_e2"][..., 0], out["_e2"][..., 1]).sum()
     assert after > before
+
+
+# ---------------------------------------------------------------- transfers
+
+
+def clamp(y, targets, limit):
+    for x in targets:
+        y = y + min(max(x - y, -limit), limit)
+    return y
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_clamp_map_is_the_composition(seed):
+    rng = np.random.default_rng(seed)
+    targets = np.cumsum(rng.normal(0, (0.2, 2.0)[seed % 2], rng.integers(1, 80))) * rng.choice([0.1, 1.0])
+    limit = float(rng.choice([0.05, 0.5, 3.0]))
+    knots, values = transfers.clamp_map(targets, limit)
+    assert (np.diff(knots) >= -1e-12).all() and (np.diff(values) >= -1e-12).all()
+    spread = np.concatenate([rng.uniform(-9, 9, 60), knots, targets])
+    got = [transfers.clamp_value(knots, values, y) for y in spread]
+    np.testing.assert_allclose(got, [clamp(y, targets, limit) for y in spread], atol=1e-9)
+
+
+def test_joint_covariance_is_that_of_the_steps():
+    cfg = smoothing.JointFilter()
+    now, path = tuple(np.array([v]) for v in (cfg.p_pos, 0.0, cfg.p_vel)), []
+    for _ in range(900):
+        path.append([float(v[0]) for v in now])
+        now = smoothing._correct(*smoothing._predict(*now, 1.0, (cfg.q_pos, 0.0, cfg.q_vel)), cfg.r, gain_limit=1e3)[2]
+    at = np.array([0, 3, 40, 899])
+    np.testing.assert_allclose(smoothing.joint_covariance(at, cfg), np.array(path)[at], rtol=1e-12)
+    far = smoothing.joint_covariance(np.array([10**9]), cfg)
+    np.testing.assert_allclose(far[0], path[-1], rtol=1e-9)
+
+
+def test_rounds():
+    """What does not depend on each other settles in one round; guesses take two."""
+    pose, _ = smoothing.pose_kernels("p", smoothing.PoseFilter(), continuous=True)
+    grip, _ = smoothing.gripper_kernels("g", "ok", smoothing.GripperFilter())
+    settles, _ = recurrence._levels(pose + grip)
+    assert settles[: len(pose)] == [1, 1, 3, 4, 5] and max(settles[len(pose) :]) == 4
+
+
+def jobs(spark, run):
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        df = run()
+        return df, len(spark.sparkContext.statusTracker().getJobIdsForGroup("planning"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_planning_starts_no_job_and_runs_the_source_once(spark):
+    df = frame(spark, long_clips())
+    smooth, n = jobs(spark, lambda: smoothing.smooth_pose(df, "v", smoothing.PoseFilter(edge_pad=5), out="s", block=40))
+    assert n == 0
+    smooth.collect()
+    plan = smooth._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert final.count("Scan ExistingRDD") <= 3  # the shuffle of the frames and the guard
+    assert "Reused" in final
+
+
+@pytest.mark.parametrize("jump", [0.0, 0.15])
+def test_short_clips_stay_bit_equal_beside_a_long_one(spark, jump):
+    cfg = smoothing.PoseFilter(edge_pad=4, gate_pos=0.05, gate_rot=0.4)
+    short = {"a": poses(30, jump=jump), "b": poses(11)}
+    hot = np.vstack([np.full((95, 6), np.nan), poses(300, jump=jump), np.full((90, 6), np.nan), poses(20)])
+    alone = collect(smoothing.smooth_pose(frame(spark, short), "v", cfg, out="s"), "s")
+    beside = collect(smoothing.smooth_pose(frame(spark, short | {"hot": hot}), "v", cfg, out="s", block=40), "s")
+    for cid in short:
+        assert alone[cid] == beside[cid]
+    np.testing.assert_allclose(dense(beside["hot"], 6), loop_pose(hot, cfg, 30.0), atol=1e-8)
+
+
+def test_long_unwrapping_and_limits_equal_plain_loops(spark):
+    spin = np.outer(np.cumsum(RNG.normal(0.1, 0.4, 420)), [0.0, 0.6, 0.8]) + RNG.normal(0, 0.01, (420, 3))
+    clips = {"a": smoothing.canonical_rotvec(spin)}
+    clips["a"][40:125] = np.nan
+    df = frame(spark, clips)
+    got = dense(collect(smoothing.unwrap_rotvec(df, "v", out="u", block=40), "u")["a"], 3)
+    assert np.array_equal(got, loop_unwrap(clips["a"]), equal_nan=True) or np.nanmax(np.abs(got - loop_unwrap(clips["a"]))) < 1e-11
+    slow = dense(collect(smoothing.rate_limit(df, "v", 3, 0.02, out="o", block=40), "o")["a"], 3)
+    prev, want = None, []
+    for v in clips["a"]:
+        prev = v if prev is None else np.where(np.isnan(v), prev, prev + np.clip(v - prev, -0.02, 0.02))
+        want.append(prev)
+    np.testing.assert_allclose(slow, want, atol=1e-10)
+
+
+def test_rows_without_a_clip_id_are_a_clip(spark):
+    df = frame(spark, {None: np.cumsum(RNG.normal(0, 0.1, (90, 2)), 0), "s": RNG.normal(0, 1, (3, 2))})
+    run = lambda b: sorted(smoothing.smooth_joints(df, "v", [-9.0] * 2, [9.0] * 2, out="o", block=b).collect(), key=str)
+    for x, y in zip(run(40), run(4096), strict=True):
+        np.testing.assert_allclose(x.o, y.o, atol=1e-10)

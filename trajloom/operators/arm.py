@@ -18,7 +18,9 @@ from pyspark.sql import types as T
 
 from ..functions.vectorized import to_dense
 from .blocks import KEYS
-from .recurrence import FRAMES, Kernel, is_long, pack, scan, unpack
+from ..session import reliable
+from .recurrence import FRAMES, Kernel, pack, scan, unpack
+from .transfers import Latest
 from .smoothing import JointFilter, joint_kernels
 
 # Joints 1-6 of one arm and its tool offset (xyz in metres, rpy in
@@ -310,7 +312,7 @@ def next_reached_kernel(cfg: Solver, dof: int) -> Kernel:
             out[t, :m] = cur[:m]
         return {"_next": out}, cur
 
-    return Kernel(step, {"_next": dof + 1}, dof + 1, reverse=True)
+    return Kernel(step, {"_next": dof + 1}, dof + 1, True, Latest(dof + 1), ("_q", "_e"))
 
 
 def retry_kernel(chain: Chain, cfg: Solver, pose: str) -> Kernel:
@@ -364,7 +366,7 @@ def measure_kernel(chain: Chain, pose: str, joints: str, clip: bool = True) -> K
             flat[ok, 1] = np.linalg.norm(err[:, 3:], axis=1)
         return {"_joints": q, "_errors": errs}, np.zeros((q.shape[1], 1))
 
-    return Kernel(step, {"_joints": dof, "_errors": 2}, 1)
+    return Kernel(step, {"_joints": dof, "_errors": 2}, 1, transfer=Latest(1), uses=(pose, joints))
 
 
 def _with_errors(df: DataFrame, cfg: Solver, prefix: str) -> DataFrame:
@@ -414,13 +416,11 @@ def solve_ik(
     prefix: str = "",
     keys: Sequence[str] = KEYS,
     block: int = FRAMES,
-    long: bool | None = None,
 ) -> DataFrame:
     """Joint trajectory of each clip: warm-started solve, retry, smoothing, final errors.
 
     Adds the joints and, from the smoothed joints, both errors and reachability.
     """
-    long = is_long(df, block) if long is None else long
     dof = chain.dof
     kernels = [track_kernel(chain, cfg, pose, initial), next_reached_kernel(cfg, dof), retry_kernel(chain, cfg, pose)]
     final = "_q2"
@@ -430,7 +430,8 @@ def solve_ik(
     # a lone frame needs no smoothing; the filter returns it unchanged
     kernels.append(measure_kernel(chain, pose, final, clip=cfg.smooth))
     emit = {"_joints": dof, "_errors": 2}
-    p = pack(df, {pose: 6, "frame_index": 1}, keys, block)
-    solved = unpack(scan(p, kernels, emit, long), p, emit, {"_joints": out})
+    # the solver has no transfer: its rounds read the poses often, so they are written once
+    p = pack(reliable(df), {pose: 6, "frame_index": 1}, keys, block)
+    solved = unpack(scan(p, kernels, emit), p, emit, {"_joints": out})
     return _with_errors(solved, cfg, prefix)
 

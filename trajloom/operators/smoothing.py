@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import clean_signal, clip_bounds, is_finite
-from ..session import reliable
 from .blocks import KEYS
-from .recurrence import FRAMES, Kernel, Packed, is_long, pack, recur, scan, unpack
+from .recurrence import FRAMES, Kernel, Packed, pack, recur, scan, unpack
+from .transfers import Affine, Choices, Clamps, FirstTwo, Latest, first_two, per_axis
 
 TWO_PI = 2.0 * np.pi
 
@@ -37,7 +37,7 @@ def ema_kernel(src: str, out: str, alpha: float, reverse: bool) -> Kernel:
             y[t, :m] = cur[:m]
         return {out: y}, cur
 
-    return Kernel(step, {out: 1}, 1, reverse)
+    return Kernel(step, {out: 1}, 1, reverse, Affine(1, [[0]]), (src,))
 
 
 def ema_bidir(
@@ -48,7 +48,6 @@ def ema_bidir(
     out: str | None = None,
     keys: Sequence[str] = KEYS,
     block: int = FRAMES,
-    long: bool | None = None,
 ) -> DataFrame:
     """Forward then backward exponential average, seeded with the first value, ``passes`` times."""
     kernels: list[Kernel] = []
@@ -56,7 +55,7 @@ def ema_bidir(
     for i in range(max(1, int(passes))):
         kernels += [ema_kernel(src, f"_f{i}", alpha, False), ema_kernel(f"_f{i}", f"_b{i}", alpha, True)]
         src = f"_b{i}"
-    return recur(df, {col: 1}, kernels, {src: 1}, {src: out or col}, keys, block, long)
+    return recur(df, {col: 1}, kernels, {src: 1}, {src: out or col}, keys, block)
 
 
 def rate_limit(
@@ -67,7 +66,6 @@ def rate_limit(
     out: str | None = None,
     keys: Sequence[str] = KEYS,
     block: int = FRAMES,
-    long: bool | None = None,
 ) -> DataFrame:
     """Clip every frame's change to +-limit relative to the limited previous frame."""
 
@@ -83,8 +81,8 @@ def rate_limit(
             y[t, :m] = cur[:m]
         return {"_limited": y}, cur
 
-    kernel = Kernel(step, {"_limited": dim}, dim)
-    return recur(df, {col: dim}, [kernel], {"_limited": dim}, {"_limited": out or col}, keys, block, long)
+    kernel = Kernel(step, {"_limited": dim}, dim, transfer=Clamps(dim, limit, lambda x: x[col]))
+    return recur(df, {col: dim}, [kernel], {"_limited": dim}, {"_limited": out or col}, keys, block)
 
 
 @dataclass(frozen=True)
@@ -124,11 +122,17 @@ def fill_kernels(src: str, ok: str, out: str) -> list[Kernel]:
         y = np.where(x[ok][..., 0] > 0, x[src][..., 0], np.nan_to_num(y))
         return {out: y[..., None]}, cur
 
-    return [Kernel(forward, {"_prev": 2}, 2), Kernel(backward, {out: 1}, 2, reverse=True)]
+    return [
+        Kernel(forward, {"_prev": 2}, 2, transfer=Latest(2), uses=(src, ok)),
+        Kernel(backward, {out: 1}, 2, True, Latest(2), uses=(src, ok, "_prev"), reads=(src, ok)),
+    ]
 
 
 def median_kernels(src: str, out: str, size: int) -> list[Kernel]:
-    """Centred moving median with replicated edges: the k values behind, then the k values ahead."""
+    """Centred moving median with replicated edges: the k values behind, then the k values ahead.
+
+    A block holds more than k frames, so its own last (or first) k values are its state.
+    """
     k = (size + 1 - size % 2) // 2
 
     def forward(x, _, active, state):
@@ -152,7 +156,10 @@ def median_kernels(src: str, out: str, size: int) -> list[Kernel]:
             cur[:m] = np.concatenate([cur[:m, 1:], v[t, :m]], axis=1)
         return {out: y}, cur
 
-    return [Kernel(forward, {"_behind": k}, k), Kernel(backward, {out: 1}, k, reverse=True)]
+    return [
+        Kernel(forward, {"_behind": k}, k, transfer=Latest(k), uses=(src,)),
+        Kernel(backward, {out: 1}, k, True, Latest(k), uses=(src, "_behind"), reads=(src,)),
+    ]
 
 
 def gripper_kernels(src: str, ok: str, cfg: GripperFilter) -> tuple[list[Kernel], str]:
@@ -181,7 +188,6 @@ def smooth_gripper(
     out: str | None = None,
     keys: Sequence[str] = KEYS,
     block: int = FRAMES,
-    long: bool | None = None,
 ) -> DataFrame:
     """Clean, fill gaps, median, two-way EMA, clip.
 
@@ -193,26 +199,30 @@ def smooth_gripper(
         return marked.drop("_ok")
     kernels, last = gripper_kernels(out, "_ok", cfg)
     inputs = {out: 1, "_ok": 1, "frame_index": 1}
-    done = recur(marked, inputs, kernels, {last: 1}, {last: out}, keys, block, long)
+    done = recur(marked, inputs, kernels, {last: 1}, {last: out}, keys, block)
     return done.drop("_ok").withColumn(out, _unit_range(out))
 
 
 # ---------------------------------------------------------------- rotation vectors
 
 
+def equivalents(v: np.ndarray, wraps: int) -> list[np.ndarray]:
+    """Rotation vectors of the same rotations, the given ones first."""
+    angle = np.linalg.norm(v, axis=1, keepdims=True)
+    tiny = angle < 1e-10
+    axis = np.divide(v, angle, out=np.zeros_like(v), where=~tiny)
+    return [v.copy(), *[np.where(tiny, 0.0, axis * (angle + k * TWO_PI)) for k in range(-wraps - 1, wraps + 1)]]
+
+
 def nearest_equivalent(v: np.ndarray, ref: np.ndarray, wraps: int) -> np.ndarray:
     """Rotation vector of the same rotation nearest to ``ref``, row by row.
 
     All equivalents lie on the axis line at ``angle + 2 pi k``; the flipped axis
     gives the same points with one further wrap at one end.
     """
-    angle = np.linalg.norm(v, axis=1, keepdims=True)
-    tiny = angle < 1e-10
-    axis = np.divide(v, angle, out=np.zeros_like(v), where=~tiny)
-    best = v.copy()
+    best, *others = equivalents(v, wraps)
     best_d = np.linalg.norm(v - ref, axis=1)
-    for k in range(-wraps - 1, wraps + 1):
-        cand = np.where(tiny, 0.0, axis * (angle + k * TWO_PI))
+    for cand in others:
         d = np.linalg.norm(cand - ref, axis=1)
         better = d < best_d
         best[better] = cand[better]
@@ -238,7 +248,11 @@ def unwrap_kernel(src: str, out: str, dim: int, wraps: int, at: int = 0) -> Kern
             cur[:m] = np.where(good[:, None], pick, cur[:m])
         return {out: y}, cur
 
-    return Kernel(step, {out: dim}, 3)
+    def vectors(x):
+        return x[src][..., at : at + 3], np.isfinite(x[src]).all(axis=2)
+
+    table = Choices(vectors, lambda v: np.stack(equivalents(v, wraps), axis=1))
+    return Kernel(step, {out: dim}, 3, transfer=table, uses=(src,))
 
 
 def unwrap_rotvec(
@@ -250,14 +264,13 @@ def unwrap_rotvec(
     out: str | None = None,
     keys: Sequence[str] = KEYS,
     block: int = FRAMES,
-    long: bool | None = None,
 ) -> DataFrame:
     """Make rotation vectors continuous along each clip.
 
     ``col`` may hold a whole pose of ``dim`` values with the rotation at ``at``.
     """
     kernel = unwrap_kernel(col, "_unwrapped", dim, wraps, at)
-    return recur(df, {col: dim}, [kernel], {"_unwrapped": dim}, {"_unwrapped": out or col}, keys, block, long)
+    return recur(df, {col: dim}, [kernel], {"_unwrapped": dim}, {"_unwrapped": out or col}, keys, block)
 
 
 def canonical_rotvec(v: np.ndarray) -> np.ndarray:
@@ -379,29 +392,52 @@ def _back(f: np.ndarray, nxt: np.ndarray, dt: np.ndarray, cfg: PoseFilter) -> np
     return np.concatenate([f[:, :6] + g[0] * dpos + g[1] * dvel, f[:, 6:12] + g[2] * dpos + g[3] * dvel], axis=1)
 
 
-def _lane_facts(obs: np.ndarray, const: dict, active: np.ndarray, cfg: PoseFilter):
-    """Frame interval, start values and frame count of the clip each lane belongs to.
+def _interval(const: dict, lanes: int, cfg: PoseFilter) -> np.ndarray:
+    """Frame interval of the clip each lane belongs to."""
+    return const["dt"][:, 0] if "dt" in const else np.full(lanes, 1.0 / max(cfg.fps, 1e-6))
 
-    For a clip of several blocks they come as constants, else from the lane.
-    """
-    steps, lanes = obs.shape[:2]
-    dt = const["dt"][:, 0] if "dt" in const else np.full(lanes, 1.0 / max(cfg.fps, 1e-6))
-    if "count" in const:
-        return dt, const["init"], const["count"][:, 0]
-    count = (active[:, None] > np.arange(lanes)[None, :]).sum(axis=0)
-    good = np.isfinite(obs).all(axis=2)
-    init, rows = np.full((lanes, 12), np.nan), np.arange(lanes)
-    some = good.any(axis=0)
-    init[some, :6] = obs[good.argmax(axis=0), rows][some]
-    init[some, 6:] = 0.0
-    later = good.copy()
-    later[0] = False
-    second = later.argmax(axis=0)
+
+def _count(const: dict, active: np.ndarray) -> np.ndarray:
+    """Frames of each lane's clip; a clip of several blocks has more than any limit here."""
+    lanes = active[0]
+    return np.where(const["_many"][:, 0] > 0, np.inf, (active[:, None] > np.arange(lanes)[None, :]).sum(axis=0))
+
+
+def _own_first(obs: np.ndarray, const: dict) -> np.ndarray:
+    """The first two valid rows (frame number, pose) of each lane."""
+    good, rows = np.isfinite(obs).all(axis=2), np.arange(obs.shape[1])
+    out = []
+    for _ in range(2):
+        at, any_ = good.argmax(axis=0), good.any(axis=0)[:, None]
+        out.append(np.where(any_, np.concatenate([const["_start"] + at[:, None], obs[at, rows]], axis=1), np.nan))
+        good = good.copy()
+        good[at, rows] = False
+    return np.concatenate(out, axis=1)
+
+
+def pose_first(src: str) -> Kernel:
+    """Carries the first two valid poses behind a block to it; a clip may start with blocks without any."""
+
+    def step(x, const, active, state):
+        return {"_later": state}, first_two(_own_first(x[src], const), state)
+
+    return Kernel(step, {"_later": 14}, 14, True, FirstTwo(7), uses=(src,))
+
+
+def _start(obs: np.ndarray, later: np.ndarray, dt: np.ndarray, const: dict, active: np.ndarray, cfg: PoseFilter) -> np.ndarray:
+    """Pose and velocity a clip starts from."""
+    own, count = _own_first(obs, const), _count(const, active)
+    both = first_two(own, later)
+    a, b = both[:, :7], both[:, 7:].copy()
+    b[:, 4:] = np.where(np.isnan(own[:, 7:8]), nearest_equivalent(b[:, 4:], a[:, 4:], cfg.wraps), b[:, 4:])
+    init = np.full((len(both), 12), np.nan)
+    some = np.isfinite(a[:, 0])
+    init[some, :6], init[some, 6:] = a[some, 1:], 0.0
     # Without padding, a clip that starts valid starts with the velocity to its next valid pose.
-    moving = ((cfg.edge_pad <= 0) | (count <= 1)) & good[0] & later.any(axis=0)
-    gap = np.maximum(second * dt, 1e-8)
-    init[moving, 6:] = ((obs[second, rows] - obs[0]) / gap[:, None])[moving]
-    return dt, init, count
+    moving = ((cfg.edge_pad <= 0) | (count <= 1)) & (a[:, 0] == 0) & np.isfinite(b[:, 0])
+    gap = np.maximum(b[:, 0] * dt, 1e-8)
+    init[moving, 6:] = ((b[:, 1:] - a[:, 1:]) / gap[:, None])[moving]
+    return init
 
 
 def pose_forward(src: str, cfg: PoseFilter) -> Kernel:
@@ -414,7 +450,8 @@ def pose_forward(src: str, cfg: PoseFilter) -> Kernel:
 
     def step(x, const, active, state):
         obs = x[src]
-        dt, init, count = _lane_facts(obs, const, active, cfg)
+        dt, count = _interval(const, obs.shape[1], cfg), _count(const, active)
+        init = _start(obs, x["_later"], dt, const, active, cfg)
         start = np.concatenate([init, np.tile([0.01, 0.0, 1.0, 0.01, 0.0, 1.0], (len(init), 1))], axis=1)
         padded = start.copy()
         for _ in range(cfg.edge_pad):
@@ -431,10 +468,11 @@ def pose_forward(src: str, cfg: PoseFilter) -> Kernel:
             filt[t, :m] = cur[:m]
         return {"_filt": filt}, cur
 
-    return Kernel(step, {"_filt": 24}, 24)
+    # gates make a step depend on its state: no transfer
+    return Kernel(step, {"_filt": 24}, 24, uses=(src, "_later"))
 
 
-def pose_backward(src: str, cfg: PoseFilter) -> Kernel:
+def pose_backward(cfg: PoseFilter) -> Kernel:
     """Backward (RTS) pass over the filtered states, started behind the trailing padding."""
 
     def tail(f: np.ndarray, dt: np.ndarray) -> np.ndarray:
@@ -450,7 +488,7 @@ def pose_backward(src: str, cfg: PoseFilter) -> Kernel:
 
     def step(x, const, active, state):
         filt = x["_filt"]
-        dt, _, count = _lane_facts(x[src], const, active, cfg)
+        dt, count = _interval(const, filt.shape[1], cfg), _count(const, active)
         out = np.full((*filt.shape[:2], 6), np.nan)
         cur = state.copy()
         for t in range(len(active) - 1, -1, -1):
@@ -466,54 +504,7 @@ def pose_backward(src: str, cfg: PoseFilter) -> Kernel:
             out[t, :m, 3:] = canonical_rotvec(cur[:m, 3:6])
         return {"_smooth": out}, cur
 
-    return Kernel(step, {"_smooth": 6}, 12, reverse=True)
-
-
-def _with_clip_facts(p: Packed, col: str, cfg: PoseFilter, rate: Column) -> Packed:
-    """Constants of clips longer than a block: start pose and velocity, frame count."""
-    dim = p.dims[col]
-    flat = F.col(f"_x_{col}")
-    items = F.transform(
-        F.sequence(F.lit(0), F.size("_frames") - 1),
-        lambda i: F.struct(F.col("_frames")[i].alias("f"), F.slice(flat, i * dim + 1, dim).alias("v")),
-    )
-    df = reliable(p.df)
-    slim = df.select(
-        *p.keys,
-        "_block",
-        F.filter(items, lambda r: F.forall(r["v"], is_finite)).alias("_good"),
-        (F.element_at("_frames", -1) + 1).alias("_count"),
-        F.greatest(F.lit(1.0) / F.greatest(rate, F.lit(1e-6)), F.lit(1e-8)).alias("_dt"),
-    ).select(
-        *p.keys,
-        "_block",
-        F.get("_good", F.lit(0)).alias("_first"),
-        F.get(F.filter("_good", lambda r: r["f"] > 0), F.lit(0)).alias("_second"),
-        "_count",
-        "_dt",
-    )
-    whole = Window.partitionBy(*p.keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    facts = slim.select(
-        *p.keys,
-        "_block",
-        F.first("_first", ignorenulls=True).over(whole).alias("_a"),
-        F.first("_second", ignorenulls=True).over(whole).alias("_b"),
-        F.max("_count").over(whole).alias("_n"),
-        "_dt",
-    )
-    a, b = F.col("_a"), F.col("_b")
-    padded = (F.col("_n") > 1) if cfg.edge_pad > 0 else F.lit(False)
-    gap = F.greatest(b["f"] * F.col("_dt"), F.lit(1e-8))
-    moving = ~padded & (a["f"] == 0) & b.isNotNull()
-    still = F.array_repeat(F.lit(0.0), 6)
-    speed = F.when(moving, F.zip_with(b["v"], a["v"], lambda q, p: (q - p) / gap)).otherwise(still)
-    consts = facts.select(
-        *p.keys,
-        "_block",
-        F.concat(a["v"], speed).alias("_c_init"),
-        F.array(F.col("_n").cast("double")).alias("_c_count"),
-    )
-    return Packed(df.join(consts, [*p.keys, "_block"]), p.keys, p.dims, p.rest, {**p.consts, "init": 12, "count": 1})
+    return Kernel(step, {"_smooth": 6}, 12, True, Affine(12, per_axis(6)), ("_filt",))
 
 
 def smooth_pose(
@@ -525,7 +516,6 @@ def smooth_pose(
     continuous: bool = False,
     keys: Sequence[str] = KEYS,
     block: int = FRAMES,
-    long: bool | None = None,
 ) -> DataFrame:
     """Constant-velocity Kalman filter and backward smoother of pose vectors.
 
@@ -534,31 +524,27 @@ def smooth_pose(
     frames are filled as long as the clip has a valid one; a clip without any
     stays NULL. Both ends are padded with copies of the first and last valid pose.
     """
-    long = is_long(df, block) if long is None else long
-    p = _pose_pack(df, {col: 6}, col, cfg, fps, keys, block, long)
+    p = _pose_pack(df, {col: 6}, fps, cfg, keys, block)
     kernels, last = pose_kernels(col, cfg, continuous)
-    return unpack(scan(p, kernels, {last: 6}, long), p, {last: 6}, {last: out or col})
+    return unpack(scan(p, kernels, {last: 6}), p, {last: 6}, {last: out or col})
 
 
 def pose_kernels(col: str, cfg: PoseFilter, continuous: bool) -> tuple[list[Kernel], str]:
     """Kernels of the pose smoother and the name of their last output."""
-    kernels = [unwrap_kernel(col, "_obs", 6, cfg.wraps, at=3), pose_forward("_obs", cfg), pose_backward("_obs", cfg)]
+    kernels = [unwrap_kernel(col, "_obs", 6, cfg.wraps, at=3), pose_first(col), pose_forward("_obs", cfg), pose_backward(cfg)]
     if not continuous:
         return kernels, "_smooth"
     return [*kernels, unwrap_kernel("_smooth", "_smooth2", 6, 2, at=3)], "_smooth2"
 
 
-def _pose_pack(
-    df: DataFrame, inputs: dict[str, int], col: str, cfg: PoseFilter, fps: str | None, keys: Sequence[str], block: int, long: bool
-) -> Packed:
-    """Packed frames with the clip constants of the pose smoother."""
+def _pose_pack(df: DataFrame, inputs: dict[str, int], fps: str | None, cfg: PoseFilter, keys: Sequence[str], block: int) -> Packed:
+    """Packed frames with the frame interval of each clip."""
     p = pack(df, inputs, keys, block)
-    rate = F.lit(float(cfg.fps))
-    if fps:
-        rate = F.coalesce(F.col("_rest")[0][fps].cast("double"), rate)
-        dt = F.lit(1.0) / F.greatest(rate, F.lit(1e-6))
-        p = Packed(p.df.withColumn("_c_dt", F.array(dt)), p.keys, p.dims, p.rest, {"dt": 1})
-    return _with_clip_facts(p, col, cfg, rate) if long else p
+    if not fps:
+        return p
+    rate = F.coalesce(F.col("_rest")[0][fps].cast("double"), F.lit(float(cfg.fps)))
+    dt = F.lit(1.0) / F.greatest(rate, F.lit(1e-6))
+    return replace(p, df=p.df.withColumn("_c_dt", F.array(dt)), consts={"dt": 1})
 
 
 def smooth_hand(
@@ -571,14 +557,12 @@ def smooth_hand(
     fps: str | None = None,
     keys: Sequence[str] = KEYS,
     block: int = FRAMES,
-    long: bool | None = None,
 ) -> DataFrame:
     """Pose smoothing (or only unwrapping) and gripper smoothing of the same clips in one shuffle."""
-    long = is_long(df, block) if long is None else long
     marked = df.withColumns({"_ok": is_finite(F.col(gripper)).cast("double"), gripper: clean_signal(F.col(gripper))})
     inputs = {pose: 6, gripper: 1, "_ok": 1, "frame_index": 1}
     if smooth:
-        p = _pose_pack(marked, inputs, pose, cfg, fps, keys, block, long)
+        p = _pose_pack(marked, inputs, fps, cfg, keys, block)
         kernels, last = pose_kernels(pose, cfg, continuous=True)
     else:
         p = pack(marked, inputs, keys, block)
@@ -587,7 +571,7 @@ def smooth_hand(
     if grip.enabled:
         more, signal = gripper_kernels(gripper, "_ok", grip)
         kernels, emit[signal], names[signal] = kernels + more, 1, gripper
-    done = unpack(scan(p, kernels, emit, long), p, emit, names).drop("_ok")
+    done = unpack(scan(p, kernels, emit), p, emit, names).drop("_ok")
     return done.withColumn(gripper, _unit_range(gripper))
 
 
@@ -650,12 +634,31 @@ def joint_kernels(src: str, out: str, dim: int, cfg: JointFilter) -> list[Kernel
             y[t, :m] = cur[:m, :dim]
         return {out: y}, cur
 
+    def known(starts):
+        return np.concatenate([np.zeros((len(starts), 2 * dim)), joint_covariance(starts, cfg)], axis=1)
+
+    size = 2 * dim + 3
     return [
-        Kernel(forward, {"_jf": 2 * dim + 3}, 2 * dim + 3),
-        Kernel(backward, {out: dim}, 2 * dim, reverse=True),
+        Kernel(forward, {"_jf": size}, size, transfer=Affine(size, per_axis(dim, 3), known), uses=(src,)),
+        Kernel(backward, {out: dim}, 2 * dim, True, Affine(2 * dim, per_axis(dim)), ("_jf",)),
     ]
 
 
+def joint_covariance(frames: np.ndarray, cfg: JointFilter) -> np.ndarray:
+    """Covariance ``[n, 3]`` behind so many frames: it follows from their number, and repeats itself before long."""
+    dt, q = max(cfg.dt, 1e-6), (cfg.q_pos, 0.0, cfg.q_vel)
+    path, place, last = [], {}, int(max(frames, default=0))
+    now = (float(cfg.p_pos), 0.0, float(cfg.p_vel))
+    while now not in place and len(path) <= last:
+        place[now] = len(path)
+        path.append(now)
+        _, _, new = _correct(*_predict(*[np.array([v]) for v in now], dt, q), cfg.r, gain_limit=1e3)
+        now = tuple(float(v[0]) for v in new)
+    back = place.get(now, len(path))
+    period = max(1, len(path) - back)
+    return np.array([path[int(n) if n < len(path) else back + (int(n) - back) % period] for n in frames]).reshape(-1, 3)
+
+
 def smooth_joints(
     df: DataFrame,
     col: str,
@@ -665,13 +668,12 @@ def smooth_joints(
     out: str | None = None,
     keys: Sequence[str] = KEYS,
     block: int = FRAMES,
-    long: bool | None = None,
 ) -> DataFrame:
     """Kalman filter and backward smoother of joint vectors, clipped to their limits."""
     dim = len(lower)
     out = out or col
     kernels = joint_kernels(col, "_joint", dim, cfg)
-    done = recur(df, {col: dim}, kernels, {"_joint": dim}, {"_joint": out}, keys, block, long)
+    done = recur(df, {col: dim}, kernels, {"_joint": dim}, {"_joint": out}, keys, block)
     return done.withColumn(out, clip_bounds(F.col(out), lower, upper))
 
 

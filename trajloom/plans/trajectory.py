@@ -18,7 +18,6 @@ from ..functions.vectorized import eef_pose
 from ..operators.arm import Chain, Solver, solve_ik
 from ..operators.hands import align_workspace, pinch
 from ..operators.quality import reachable_ratio
-from ..operators.recurrence import is_long
 from ..operators.smoothing import GripperFilter, PoseFilter, smooth_hand
 from ..operators.sweep import point_summary, with_grid
 
@@ -54,9 +53,8 @@ def world_poses(frames: DataFrame, cfg: Retarget = Retarget()) -> DataFrame:
     return df
 
 
-def retarget(frames: DataFrame, cfg: Retarget = Retarget(), fps: str | None = None, long: bool | None = None) -> DataFrame:
+def retarget(frames: DataFrame, cfg: Retarget = Retarget(), fps: str | None = None) -> DataFrame:
     """Hand keypoints to base-frame poses and gripper signals, one row per clip, side and frame."""
-    long = is_long(frames) if long is None else long
     df = align_workspace(
         world_poses(frames, cfg), ["left_world", "right_world"], "camera_extrinsics", cfg.center,
         {"_n": F.count(F.lit(1))}, at=(0, 1, 2),
@@ -74,7 +72,7 @@ def retarget(frames: DataFrame, cfg: Retarget = Retarget(), fps: str | None = No
     keep = ["sample_id", "frame_index", *dict.fromkeys([*(v for v in CLIP_VALUES if v in df.columns), *([fps] if fps else [])])]
     rows = df.select(*keep, F.explode(F.array(*sides)).alias("_s")).select(*keep, "_s.*")
     rows = smooth_hand(
-        rows, "pose", "gripper_signal", cfg.pose_filter, cfg.gripper, cfg.smooth, fps, LONG_KEYS, long=long
+        rows, "pose", "gripper_signal", cfg.pose_filter, cfg.gripper, cfg.smooth, fps, LONG_KEYS
     )
     # base frames are pure translations: the rotation stays, the position moves
     shift = {s: F.array(*[F.lit(float(v)) for v in (*cfg.bases[s], 0, 0, 0)]) for s in SIDES}
@@ -94,9 +92,9 @@ def base_to_camera(pose_mat: str, side: str, extrinsics: str, df: DataFrame, bas
     )
 
 
-def solve_trajectories(poses: DataFrame, chain: Chain, cfg: Solver = Solver(), long: bool | None = None) -> DataFrame:
+def solve_trajectories(poses: DataFrame, chain: Chain, cfg: Solver = Solver()) -> DataFrame:
     """Joint trajectories of both sides of a retargeted table."""
-    return solve_ik(poses, chain, "pose", cfg, keys=LONG_KEYS, long=long)
+    return solve_ik(poses, chain, "pose", cfg, keys=LONG_KEYS)
 
 
 def to_wide(long_rows: DataFrame) -> DataFrame:
@@ -158,7 +156,6 @@ def sweep(
     threshold: float = 0.95,
     cfg: Retarget = Retarget(),
     solver: Solver = Solver(),
-    long: bool | None = None,
 ) -> DataFrame:
     """Reachability of every grid point over all clips, one row per point.
 
@@ -168,12 +165,11 @@ def sweep(
     """
     from dataclasses import replace
 
-    long = is_long(frames) if long is None else long
-    poses = retarget(frames, replace(cfg, center=(0.0, 0.0, 0.0)), long=long).select(*LONG_KEYS, "frame_index", "pose")
+    poses = retarget(frames, replace(cfg, center=(0.0, 0.0, 0.0))).select(*LONG_KEYS, "frame_index", "pose")
     grid = with_grid(poses, xs, zs)
     move = F.array(F.col("point")["x"], F.lit(0.0), F.col("point")["z"], F.lit(0.0), F.lit(0.0), F.lit(0.0))
     placed = grid.withColumn("pose", F.zip_with("pose", move, lambda p, m: p + m)).withColumn("_ord", F.col("point")["ord"])
-    solved = solve_ik(placed, chain, "pose", solver, keys=("_ord", *LONG_KEYS), long=long)
+    solved = solve_ik(placed, chain, "pose", solver, keys=("_ord", *LONG_KEYS))
     per_clip = solved.groupBy("point", "sample_id").agg(
         *[
             reachable_ratio(
