@@ -391,8 +391,12 @@ def _with_states(p: Packed, states: DataFrame | None) -> Packed:
 
 def _long(p: Packed, kernels: Sequence[Kernel]) -> Packed:
     """Packed rows of clips that fill a block, with the incoming state of every kernel."""
-    marked = p.df.withColumn("_long", F.when(_fills(p.block), F.lit(1)))
-    rows = replace(p, df=marked.join(F.broadcast(p.guard), "_long", "left_semi").drop("_long"))
+
+    def filling(df: DataFrame) -> Packed:
+        marked = df.withColumn("_long", F.when(_fills(p.block), F.lit(1)))
+        return replace(p, df=marked.join(F.broadcast(p.guard), "_long").drop("_long"))
+
+    rows = filling(p.df.drop("_rest"))
     settles, ready = _levels(kernels)
     states: DataFrame | None = None
     for level in range(1, max(settles, default=0) + 1):
@@ -408,7 +412,7 @@ def _long(p: Packed, kernels: Sequence[Kernel]) -> Packed:
         for k in again:  # one at most, as guesses take turns
             off = _with_states(rows, states.where("_moved"))
             states = states.where("not _moved").drop("_moved").unionByName(_passed(off, kernels, known, k))
-    return _with_states(rows, states)
+    return _with_states(filling(p.df), states)
 
 
 def scan(p: Packed, kernels: Sequence[Kernel], emit: dict[str, int]) -> DataFrame:
@@ -435,7 +439,7 @@ def unpack(df: DataFrame, p: Packed, emit: dict[str, int], names: dict[str, str]
         return F.struct(*parts)
 
     rows = F.transform(F.sequence(F.lit(0), F.size("_frames") - 1), one)
-    return df.select(*p.keys, F.explode(rows).alias("_r")).select(*p.keys, "_r.*")
+    return df.select(*p.keys, F.inline(rows))
 
 
 def recur(
