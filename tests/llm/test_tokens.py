@@ -9,28 +9,67 @@ from hypothesis import strategies as st
 from inputs import EDGES, prose
 
 from trajloom.llm.packing import Plan, cut, pack, sequences
-from trajloom.llm.queries import TOKENIZERS
-from trajloom.llm.token_files import EliasFano, TokenFile, pack_file, read, write
-from trajloom.llm.tokens import Encoder
+from trajloom.llm.queries import vocabulary
+from trajloom.llm.token_files import EliasFano, TokenFile, _settle, pack_file, read, write
+from trajloom.llm.tokens import Encoder, Vocabulary
 
 tokenizers = pytest.importorskip("tokenizers")
-WORD, BYTE = (f"{TOKENIZERS}/{n}" for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
+WORD, BYTE = (vocabulary(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 
 
-def plain(path, texts):
+def plain(path, texts, special=False):
     t = tokenizers.Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    if special:
+        t.encode_special_tokens = True
     return [np.array(t.encode(x or "", add_special_tokens=False).ids + [2], np.uint32) for x in texts]
 
 
+@pytest.mark.parametrize("text_of_special", [False, True])
 @pytest.mark.parametrize("path", [WORD, BYTE])
-def test_cut_texts_encode_as_whole_ones(path):
+def test_cut_texts_encode_as_whole_ones(path, text_of_special):
     rng = random.Random(1)
     signs = " \n\t  ab'stéÀ́ß0 9.,!　́ <|>endof×µª²" + "漢😀ǅ"
     some = " \n'stéÀß0 9.,!|&"
     texts = ["".join(rng.choice(a) for _ in range(rng.randrange(40))) for a in (signs, some, some.replace("'", "")) for _ in range(4000)]
-    texts += ["<|endoftext|> a <|startoftext|>", " ́a b", "", None, prose(1, 500), "it's  we'll\n\n 'x' '. '", "x" * 5000]
-    assert all((np.append(a, np.uint32(2)) == b).all() for a, b in zip(Encoder(path)(texts), plain(path, texts), strict=True))
+    texts += ["abc <|endoftext|> def", "x<|endoftext|><|endoftext|>y <|ENDOFTEXT|>", "<|endoftext|> a <|startoftext|>", " ́a b", "", None, prose(1, 500), "it's  we'll\n\n 'x' '. '", "x" * 5000]
+    got = Encoder(Vocabulary.load(path, text_of_special))(texts)
+    for a, b in zip(got, plain(path, texts, text_of_special), strict=True):
+        assert np.array_equal(np.append(a, np.uint32(2)), b)
+
+
+def test_contract_call():
+    """The bare call takes the strings of special tokens as those tokens."""
+    t = tokenizers.Tokenizer.from_file(WORD)
+    want = t.encode("abc <|endoftext|> def", add_special_tokens=False).ids
+    assert Encoder(Vocabulary.load(WORD))(["abc <|endoftext|> def"])[0].tolist() == want and 49407 in want
+
+
+def test_ids_that_do_not_fit_are_an_error():
+    with pytest.raises(ValueError):
+        pack_file([1], [np.array([70_000], np.uint32)], 2)
+    assert TokenFile(pack_file([1], [np.array([70_000], np.uint32)], 4)).ids.tolist() == [70_000]
+    assert Vocabulary.load(WORD).width == 2
+
+
+def test_a_task_that_runs_again_leaves_the_file(tmp_path):
+    from pyarrow import fs
+
+    class NoReplace:  # a store whose renaming does not replace
+        def __init__(self):
+            self.own = fs.LocalFileSystem()
+
+        def move(self, a, b):
+            if self.own.get_file_info(b).type == fs.FileType.File:
+                raise OSError("exists")
+            self.own.move(a, b)
+
+        def __getattr__(self, name):
+            return getattr(self.own, name)
+
+    for _ in range(2):
+        (tmp_path / "passing").write_bytes(b"x")
+        _settle(NoReplace(), str(tmp_path / "passing"), str(tmp_path / "name"))
+    assert [p.name for p in tmp_path.iterdir()] == ["name"]
 
 
 @settings(max_examples=150, deadline=None)
@@ -45,7 +84,8 @@ def test_elias_fano(values, more):
 
 def test_elias_fano_is_small():
     ends = np.cumsum(np.random.default_rng(1).integers(1, 2000, 100_000))
-    assert EliasFano.encode(ends, int(ends[-1])).nbytes < len(ends) * 13 / 8
+    held = EliasFano.encode(ends, int(ends[-1]))
+    assert held.nbytes < len(ends) * 13 / 8 and held.before.nbytes <= held.high.nbytes / 16 + 8
 
 
 def test_file_bytes_round_trip():

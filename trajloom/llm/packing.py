@@ -1,22 +1,18 @@
-"""Best-fit packing of token sequences in bulk-synchronous supersteps.
+"""Best-fit packing of token sequences over counts by size.
 
 Texts are encoded once; pieces of at most ``CAPACITY`` ids, with the number they have
 among the pieces of their length in their block of rows, are written as a slim table.
-Documents and gaps have integer sizes up to the capacity, and those of equal size are
-interchangeable. So sorting by size is counting by size, and a superstep works on two
-tables of at most ``CAPACITY`` rows whatever the corpus holds:
-
-* it takes all pieces of one length, longest first;
-* a successor sweep over the sorted gaps matches them with the smallest gaps that hold
-  them, as many to a gap as fit, and opens new sequences for what no gap holds;
-* conflicts are settled by rank: of pieces of one length, those of the lowest ranks get
-  the first gaps; a match is one interval of ranks and one of sequences;
-* the gaps it used shrink by what they took, and the next length follows.
-
-That is exactly best-fit decreasing over all pieces. Ranks are counted distributively (a
-number within the block plus what earlier blocks hold of that length), and every piece
-looks its interval up: sequences are placed in one pass, without a sort of the rows and
-without a group that grows with the data.
+Documents and gaps have whole sizes up to the capacity, and those of equal size are
+interchangeable: sorting by size is counting by size. So the matching needs no distributed
+sort and no distributed sweep: one sweep on the driver over at most ``CAPACITY`` counts,
+longest length first, finds the successor among the sorted gaps for all pieces of a length
+at once, and notes intervals of ranks and of sequences. That is exactly best-fit decreasing
+over all pieces.
+
+Spark does what grows with the corpus. Ranks are counted distributively (a number within
+the block plus what earlier blocks hold of that length), and every piece looks its interval
+up: sequences are placed in one pass, without a sort of the rows and without a group that
+grows with the data.
 """
 
 from __future__ import annotations
@@ -32,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
-from .tokens import encoded
+from .tokens import Vocabulary, encoded
 
 CAPACITY = 1024
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, block int, nth long"
@@ -47,10 +43,11 @@ def cut(n: int, capacity: int) -> list[int]:
 def pieces(docs: DataFrame, tokenizer: str, end: int, capacity: int = CAPACITY, keep_ids: bool = False, id_column: str = "doc_id") -> DataFrame:
     """One row per piece, with its number ``nth`` among the pieces of its length in its block."""
     slim = docs.select(F.col(id_column).cast("long").alias("doc_id"), "text")
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(tokenizer))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
-        for b, found in encoded(batches, 1, tokenizer, end):
+        for b, found in encoded(batches, 1, shared.value, end):
             rows: list[tuple] = []
             kept: list = []
             for doc, ids in zip(b.column(0).to_pylist(), found):
@@ -71,7 +68,7 @@ def pieces(docs: DataFrame, tokenizer: str, end: int, capacity: int = CAPACITY,
 
 
 class Plan:
-    """Where pieces of each length go, by rank: the outcome of all supersteps.
+    """Where pieces of each length go, by rank: the outcome of the sweep.
 
     ``counts`` maps lengths to numbers of pieces. An interval (length, first rank, first
     sequence, pieces per sequence, offset) holds for the ranks up to the next interval.

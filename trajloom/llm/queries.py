@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +21,7 @@ from .rules import STOP_WORDS, judged
 from .sharding import shards
 from .token_files import read, write
 
-#: Where the public vocabularies lie.
-TOKENIZERS = os.environ.get("TRAJLOOM_TOKENIZERS", "/opt/tokenizers")
+#: The id behind each document.
 END = 2
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +31,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(sql: str | None = None) -> Callable:
     def add(fn: Callable[[SparkSession, str], DataFrame]) -> Callable:
         QUERIES[fn.__name__] = fn
@@ -101,13 +106,13 @@ def op3_html(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op4_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """Every document written to token files and read back."""
-    return read(write(table(spark, sf, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", END))
+    return read(write(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"), END))
 
 
 @query()
 def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Every document in sequences of 1024 ids."""
-    return pack(table(spark, sf, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", END)
+    return pack(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"), END)
 
 
 @query()

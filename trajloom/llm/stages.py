@@ -12,12 +12,18 @@ from . import near_dedup as near
 from . import packing, pii
 from . import quality as classifier
 from .decontamination import contamination
-from .queries import END, TOKENIZERS, table
+from .queries import END, table, vocabulary
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
-    """Documents that the quality classifier accepts; it learns from the labelled ones among them."""
-    verdict = classifier.scored(docs, table(spark, sf, "labels"))
+    """Documents that the quality classifier accepts; it learns from the labelled ones among them.
+
+    Where they are not labelled in both classes nothing can be learned, and all stay.
+    """
+    net = classifier.train(docs, table(spark, sf, "labels"))
+    if net is None:
+        return docs
+    verdict = classifier.scored(docs, table(spark, sf, "labels"), net=net)
     bad = verdict.where("predicted = 0").select("doc_id").distinct()
     return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
 
@@ -42,4 +48,4 @@ def redact(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
     """The pieces of all documents, placed in sequences of 1024 ids."""
-    return packing.pack(docs, f"{TOKENIZERS}/byte_bpe_50k.json", END)
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), END)

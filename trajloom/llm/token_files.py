@@ -8,7 +8,8 @@ sequences the packed low bits and the high bits, each padded to 8 bytes.
 A monotone sequence of n values up to u keeps l = log2(u / n) low bits of each value as
 they are, and the rest as a bit vector that has a one for each value and a zero for each
 step of the high part: about 2 + log2(u / n) bits a value, against 64 in an offset table.
-``select`` finds the i-th one by the counts of ones before each 64-bit word.
+``select`` finds the i-th one by the counts of ones before every eighth 64-bit word, in 32
+bits (a sixteenth of the high part), and then among the words of that run.
 
 Files are written by tasks to the shared folder under a passing name and then moved, so
 a task that runs again, or twice, leaves one whole file with the same content.
@@ -27,19 +28,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import new_path, stored
-from .tokens import encoded
+from .tokens import Vocabulary, encoded
 
 MAGIC = b"TLIDS1\0\0"
 #: Ids in a file before the next one is begun; a document is never split.
 FILE_IDS = 4 << 20
+#: Words between two counts of ones.
+RUN = 8
 
 
 class EliasFano:
-    """A monotone sequence of non-negative integers with constant-time access."""
+    """A monotone sequence of non-negative integers with access by place: a binary search over sampled counts."""
 
     def __init__(self, low: np.ndarray, high: np.ndarray, n: int, bits: int):
         self.low, self.high, self.n, self.bits = low, high, n, bits
-        self.before = np.concatenate(([0], np.cumsum(np.bitwise_count(high), dtype=np.int64)))
+        ones = np.bitwise_count(high)
+        counts = np.add.reduceat(ones, np.arange(0, len(ones), RUN), dtype=np.int64) if len(ones) else ones
+        self.before = np.concatenate(([0], np.cumsum(counts))).astype(np.uint32 if n < 1 << 32 else np.uint64)
 
     @classmethod
     def encode(cls, values: np.ndarray, universe: int) -> EliasFano:
@@ -67,9 +72,14 @@ class EliasFano:
     def select(self, i: np.ndarray) -> np.ndarray:
         """The values at places ``i``."""
         i = np.asarray(i, np.int64)
-        word = np.searchsorted(self.before, i, side="right") - 1
+        run = np.searchsorted(self.before, i.astype(self.before.dtype), side="right") - 1
+        words = np.minimum(run[:, None] * RUN + np.arange(RUN), max(0, len(self.high) - 1))
+        upto = self.before[run].astype(np.int64)[:, None] + np.cumsum(np.bitwise_count(self.high[words]), axis=1, dtype=np.int64)
+        inside = (upto > i[:, None]).argmax(axis=1)
+        word = run * RUN + inside
+        ahead = upto[np.arange(len(i)), inside] - np.bitwise_count(self.high[word])
         bits = np.unpackbits(self.high[word].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        inner = (np.cumsum(bits, axis=1, dtype=np.int16) == (i - self.before[word] + 1)[:, None]).argmax(axis=1)
+        inner = (np.cumsum(bits, axis=1, dtype=np.int16) == (i - ahead + 1)[:, None]).argmax(axis=1)
         out = (word * 64 + inner - i).astype(np.uint64) << np.uint64(self.bits)
         if self.bits:
             at = i * self.bits
@@ -88,6 +98,8 @@ class EliasFano:
 def pack_file(doc_ids: list[int | None], ids: list[np.ndarray], width: int) -> bytes:
     """The bytes of one file; documents in ascending order of id, those without id first."""
     flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+    if len(flat) and int(flat.max()) >> (8 * width):
+        raise ValueError(f"id {int(flat.max())} does not fit {width} bytes")
     known = [d for d in doc_ids if d is not None]
     first, span = (known[0], known[-1] - known[0]) if known else (0, 0)
     bounds = EliasFano.encode(np.cumsum([len(x) for x in ids], dtype=np.int64), len(flat))
@@ -135,17 +147,36 @@ def _files(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def write(docs: DataFrame, tokenizer: str, end: int, path: str | None = None, width: int = 2, file_ids: int = FILE_IDS,
+def _settle(store, passing: str, name: str) -> None:
+    """Give a written file its name; one that an earlier run of the task left has the same content and stays."""
+    from pyarrow import fs
+
+    there = lambda: store.get_file_info(name).type == fs.FileType.File
+    if not there():
+        try:
+            store.move(passing, name)
+            return
+        except OSError:
+            if not there():
+                raise
+    store.delete_file(passing)
+
+
+def write(docs: DataFrame, tokenizer: str, end: int, path: str | None = None, width: int | None = None, file_ids: int = FILE_IDS,
           id_column: str = "doc_id") -> DataFrame:
     """Encode every text and write the files in ascending id order; returns the manifest.
 
     The manifest has part, file, path, docs, ids and start (ids of all files before).
     Null text is an empty one, so every document has its end id at least. Rows of equal
     ids stand in the order of a hash of their texts; null ids come first. An empty table
-    gives no files. ``width`` is the size of an id in bytes and must hold the vocabulary.
+    gives no files. ``width`` is the size of an id in bytes, by default what the vocabulary
+    needs; an id that does not fit is an error.
     """
     spark = docs.sparkSession
     path = path or new_path(spark, "tokens")
+    vocabulary = Vocabulary.load(tokenizer)
+    width = width or vocabulary.width
+    shared = spark.sparkContext.broadcast(vocabulary)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = [F.asc_nulls_first("doc_id"), F.asc("tie")]
     slim = docs.select(F.col(id_column).cast("long").alias("doc_id"), "text").withColumn("tie", F.xxhash64("text"))
@@ -164,12 +195,12 @@ def write(docs: DataFrame, tokenizer: str, end: int, path: str | None = None, wi
             passing = f"{base}/.{uuid.uuid4().hex}"
             with store.open_output_stream(passing) as f:
                 f.write(pack_file(doc_ids, ids, width))
-            store.move(passing, name)
+            _settle(store, passing, name)
             uri = f"{path}/{name.rsplit('/', 1)[1]}"
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "file": pa.array([done], pa.int32()), "path": [uri],
                                                "docs": [len(ids)], "ids": [size]})
 
-        for b, found in encoded(batches, 1, tokenizer, end):
+        for b, found in encoded(batches, 1, shared.value, end):
             for doc, own in zip(b.column(0).to_pylist(), found):
                 doc_ids.append(doc)
                 ids.append(own)

@@ -5,14 +5,20 @@ other characters, nor a letter next to a sign other than an apostrophe. So a tex
 where a space or line end follows another character and, in plain Latin text without
 apostrophes, where letters and digits meet signs; distinct pieces are encoded once per
 task and their ids are joined: the same ids as of the whole text. Texts with any other
-white space are encoded whole. ``tests/llm`` compares both on random texts.
+white space are encoded whole, as are texts that hold the string of a special token: the
+tokenizer finds those before anything else. ``tests/llm`` compares both on random texts.
+
+A vocabulary file is read once, where the job is planned, and sent to the tasks.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -29,16 +35,39 @@ _OTHER = re.compile(r"[^\S \n]|[\x1c-\x1f\x85᠎​⁠﻿]")
 CACHE = 800_000
 
 
-class Encoder:
-    """Encodes texts of a batch; one per task."""
+@dataclass(frozen=True)
+class Vocabulary:
+    """A vocabulary file's content. ``plain`` takes the strings of special tokens in a text as ordinary text."""
+
+    content: str
+    plain: bool = False
 
-    def __init__(self, path: str):
+    @classmethod
+    def load(cls, path: str, plain: bool = False) -> Vocabulary:
+        return cls(Path(path).read_text(encoding="utf-8"), plain)
+
+    def tokenizer(self):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.kept: dict[str, bytes] = kept(f"pieces of {path}")
+        found = Tokenizer.from_str(self.content)
+        found.encode_special_tokens = self.plain
+        return found
+
+    @property
+    def width(self) -> int:
+        """Bytes that hold any id."""
+        return 2 if self.tokenizer().get_vocab_size() <= 1 << 16 else 4
+
+
+class Encoder:
+    """Encodes texts of a batch; one per task."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.tokenizer = vocabulary.tokenizer()
+        special = [] if vocabulary.plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)), re.IGNORECASE) if special else None
+        self.kept: dict[str, bytes] = kept(f"pieces of {zlib.crc32(vocabulary.content.encode())} {vocabulary.plain}")
 
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), 20_000):
@@ -51,6 +80,9 @@ class Encoder:
         for text in texts:
             if not text:
                 cut.append(())
+            elif self.special and self.special.search(text):
+                cut.append(None)
+                whole.append(text)
             elif not _NOT_PLAIN.search(text):
                 cut.append(_FINE.findall(text))
             elif _OTHER.search(text):
@@ -69,9 +101,9 @@ class Encoder:
         ]
 
 
-def encoded(batches: Iterator[pa.RecordBatch], column: int, path: str, end: int, rows: int = 512) -> Iterator[tuple]:
+def encoded(batches: Iterator[pa.RecordBatch], column: int, vocabulary: Vocabulary, end: int, rows: int = 512) -> Iterator[tuple]:
     """(batch, ids of each row with the end id) for runs of rows."""
-    encode = Encoder(path)
+    encode = Encoder(vocabulary)
     for whole in batches:
         for at in range(0, whole.num_rows, rows):
             b = whole.slice(at, rows)
