@@ -53,3 +53,10 @@ def test_pipeline(spark, sf):
             assert all((after[i] == t) or personal(t) for i, t in before.items())
             assert not any(personal(t) for t in after.values())
         before = after
+
+
+def test_the_quality_stage_keeps_all_where_nothing_can_be_learned(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for k, labels in enumerate(("doc_id < 0", "quality = 1")):
+        spark.read.parquet(f"{sf}/labels.parquet").where(labels).write.parquet(f"{tmp_path}/{k}/labels.parquet")
+        assert corpus_pipeline.STAGES[0][1](spark, docs, f"{tmp_path}/{k}").count() == docs.count()

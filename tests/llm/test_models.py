@@ -133,3 +133,68 @@ def test_quality_of_a_table(spark, docs):
     assert np.mean([(by[i].score >= 0.7) == (i < 200) for i in held]) > 0.95
     assert quality.scored(docs([]), labels).count() == 0
     assert quality.scored(docs(rows), labels.limit(0)).count() == len(rows)
+
+
+def test_quality_needs_labels_of_both_classes_among_the_documents(spark, docs):
+    rows = [(k, prose(k, 60) if k % 2 else "$$$ " * 60) for k in range(120)]
+    label = lambda pairs: spark.createDataFrame(pairs, "doc_id long, quality int, toxic int")
+    own = [(k, k % 2, 0) for k in range(120)]
+    foreign = label([(10_000 + k, k % 2, 0) for k in range(30_000)])
+    mixed = quality.scored(docs(rows), label(own).union(foreign)).collect()
+    alone = quality.scored(docs(rows), label(own)).collect()
+    assert [(r.doc_id, round(r.score, 6)) for r in mixed] == [(r.doc_id, round(r.score, 6)) for r in alone]
+    assert np.mean([r.predicted == r.doc_id % 2 for r in mixed]) > 0.9
+    for none in (foreign, label([]), label([(k, 1, 0) for k in range(120)]), label([(k, None, 0) for k in range(120)])):
+        got = quality.scored(docs(rows), none).collect()
+        assert len(got) == 120 and {(r.score, r.predicted) for r in got} == {(0.5, 0)}
+    assert quality.scored(docs([]), label([])).count() == 0
+
+
+def test_quality_equals_a_slow_forward_pass():
+    """Every chunk by itself: embedding, repeats, filters, largest response, logistic layer."""
+    net, rng = quality.Network(), np.random.default_rng(3)
+    net.bias[:] = rng.normal(0, 0.2, net.bias.shape)
+    texts = [b"", b"x", b"abcabcabc" * 9, "déjà vu\n".encode() * 30, bytes(rng.integers(1, 256, 333, dtype=np.uint8))]
+    got = net.score(np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts]))))
+    for t, p in zip(texts, got):
+        cells = -(-len(t) // quality.CELL)
+        laid = np.frombuffer(t.ljust(cells * quality.CELL, b"\0") + bytes(quality.PAD * quality.CELL), np.uint8)
+        best = np.zeros(quality.FILTERS)
+        for c in range(cells + quality.PAD):
+            total = net.bias.astype(float).copy()
+            for half in (0, 1):
+                if c + half >= cells + quality.PAD:
+                    continue
+                part = range((c + half) * quality.CELL, (c + half + 1) * quality.CELL)
+                flags = [sum(k >= lag and laid[k] and laid[k] == laid[k - lag] for k in part) / quality.CELL for lag in range(1, quality.LAGS + 1)]
+                x = np.concatenate([net.embed[laid[k]] for k in part] + [np.array(flags)])
+                total += x @ net.near[half].astype(float)
+            best = np.maximum(best, total)
+        want = 1 / (1 + np.exp(-(best @ net.out[:-1] + net.out[-1])))
+        assert abs(p - want) < 1e-4
+
+
+def test_language_equals_a_slow_forward_pass(spark):
+    """Byte by byte with one state, both ways, run by run; the mean of the labels of all bytes."""
+    net = language.Network(["a", "b", "c"], seed=5)
+    text = ("the house " * 30 + "été").encode()
+    sig = lambda v: 1 / (1 + np.exp(-v))
+    size, labels = net.h.shape[1], []
+    for lo in range(0, len(text), language.RUN):
+        run = text[lo : lo + language.RUN]
+        both = []
+        for way in (0, 1):
+            h, out = np.zeros(size), []
+            for b in run if way == 0 else run[::-1]:
+                row, rec = net.x[way][b].astype(float), h @ net.h[way].astype(float)
+                z, r = sig(row[:size] + rec[:size]), sig(row[size : 2 * size] + rec[size : 2 * size])
+                c = np.tanh(row[2 * size :] + r * rec[2 * size :])
+                h = z * h + (1 - z) * c
+                out.append(h)
+            both.append(out if way == 0 else out[::-1])
+        for f, g in zip(*both):
+            e = np.exp(np.concatenate([f, g, [1.0]]) @ net.o.astype(float))
+            labels.append(e / e.sum())
+    got = net.score(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
+    other = np.mean(labels, axis=0)
+    assert np.abs(got - other).max() < 1e-3

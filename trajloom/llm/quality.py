@@ -8,7 +8,7 @@ largest response, and a logistic layer combines the maxima into one probability.
 A text is laid out in cells of ``CELL`` bytes with empty cells behind it, so a chunk never
 spans two texts and a cell's part of a response is computed once for both chunks it is in.
 Training is Adam over mini-batches; the gradient of a maximum goes to the chunk it came
-from. It uses at most ``SAMPLE`` labelled texts of smallest hash, of each at most
+from. It uses at most ``SAMPLE`` labelled documents of smallest hash, of each at most
 ``WINDOW`` characters at a hashed place; scoring reads every byte of every text.
 """
 
@@ -127,16 +127,47 @@ class Network:
                     w -= now * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.995**step)) + 1e-7)
 
 
-def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, size: int = SAMPLE, window: int = WINDOW) -> Network:
-    """Learn ``quality`` from labelled documents outside the held-out fold."""
+def train(self, texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, seed: int = 4) -> None:
+        rng = np.random.default_rng(seed)
+        weights = [self.embed, self.near, self.bias, self.out]
+        first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
+        share = labels.mean()
+        self.out[-1] = np.log((share + 0.01) / (1 - share + 0.01))
+        per, step = max(1, len(texts) // BATCH), 0
+        for epoch in range(epochs):
+            for part in np.array_split(rng.permutation(len(texts)), per):
+                step += 1
+                own = [texts[k] for k in part]
+                offsets = np.concatenate(([0], np.cumsum([len(t) for t in own])))
+                _, grads = self.gradient(np.frombuffer(b"".join(own), np.uint8), offsets, labels[part])
+                now = rate * (1 - epoch / epochs) + 1e-4
+                for w, m, v, g in zip(weights, first, second, grads):
+                    m += 0.1 * (g - m)
+                    v += 0.005 * (g * g - v)
+                    w -= now * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.995**step)) + 1e-7)
+
+
+class Untrained(ValueError):
+    """The labels that documents have are not of two classes."""
+
+
+def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, size: int = SAMPLE, window: int = WINDOW) -> Network | None:
+    """Learn ``quality`` from labelled documents outside the held-out fold.
+
+    Labels of other tables' documents do not count: the sample is taken among documents
+    with text. None where those do not hold both classes: nothing can be learned then.
+    """
     known = labels.where(F.col("quality").isNotNull() & (F.coalesce(fold("doc_id", folds), F.lit(held)) != held))
-    few = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    few = few.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(size)  # at most ``size`` rows are broadcast
-    texts = docs.where("text is not null").join(F.broadcast(few), "doc_id").select("doc_id", "text", "quality")
-    rows = sample(texts, "quality", size, window)
+    known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    texts = docs.where("text is not null")
+    mine = texts.groupBy("doc_id").agg(F.count("*").alias("_n")).join(known, "doc_id")
+    few = mine.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(size).drop("_n")  # at most ``size`` rows are broadcast
+    rows = sample(texts.join(F.broadcast(few), "doc_id").select("doc_id", "text", "quality"), "quality", size, window)
+    marks = np.array([y for _, y in rows], np.float32)
+    if len(set(marks.tolist())) < 2:
+        return None
     net = Network()
-    if rows:
-        net.train([t.encode() for t, _ in rows], np.array([y for _, y in rows], np.float32))
+    net.train([t.encode() for t, _ in rows], marks)
     return net
 
 
@@ -144,8 +175,9 @@ def scored(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, ne
     """Per document doc_id, held_out, score and predicted (1 if the score is 0.7 or more).
 
     Empty and null texts are scored as no chunks at all. Rows without id are scored but
-    never learned from or held out. Without any labels every score is near one half of the
-    untrained network's. An empty table gives no rows; other columns are ignored.
+    never learned from or held out. Where the documents' labels are not of both classes
+    nothing is known of any text: all scores are one half. An empty table gives no rows;
+    other columns are ignored.
     """
     slim = docs.select(F.col(id_column).cast("long").alias("doc_id"), "text")
     net = net or train(slim, labels, folds, held)
@@ -155,7 +187,7 @@ def scored(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, ne
         kept(None)
         for whole in batches:
             for b in slices(whole, "text", SLICE):
-                p = shared.value.score(*text_bytes(b.column(2)))
+                p = shared.value.score(*text_bytes(b.column(2))) if shared.value else np.full(b.num_rows, 0.5)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), pa.array(p), pa.array((p >= ACCEPT).astype(np.int32))],
                     names=["doc_id", "held_out", "score", "predicted"],
