@@ -23,6 +23,8 @@ from .common import kept, slices, text_bytes
 
 RUN, HIDDEN, BATCH = 128, 8, 2048
 EACH, WINDOW = 500, 2048
+#: Languages learned at most, those of most documents; salts that a language is dealt over for its sample.
+MOST, SALTS = 1000, 64
 STEPS, TRAIN_RUN, TRAIN_BATCH, RATE = 300, 64, 128, 0.02
 SLICE = 2 << 20
 
@@ -173,20 +175,24 @@ def sample(docs: DataFrame, label: str, size: int, window: int) -> list[tuple[st
 def each_sample(docs: DataFrame, label: str, size: int, window: int) -> list[tuple[str, str]]:
     """As ``sample``, at most ``size`` texts of every label, so a rare label is not lost among the others.
 
-    The largest hash to take is found for each label without the texts; ranks are cut before
-    rows are dealt, so no task gets more than ``size`` rows of a label from each other one.
+    The largest hash to take is found for each label without the texts, first among the
+    rows of each salt, then among those that are left, so a label that a third of all rows
+    have is ranked by many tasks. Of more than ``MOST`` labels the most frequent are taken.
     """
     hashed = docs.withColumn("_h", F.xxhash64("doc_id", F.lit(5)))
+    common = docs.groupBy(label).count().orderBy(F.desc("count"), label).limit(MOST).select(label)
     rank = F.row_number().over(Window.partitionBy(label).orderBy("_h", "doc_id"))
-    first = hashed.select(label, "doc_id", "_h").withColumn("_r", rank).where(F.col("_r") <= size)
+    dealt = F.row_number().over(Window.partitionBy(label, "_salt").orderBy("_h", "doc_id"))
+    slim = hashed.join(F.broadcast(common), label).select(label, "doc_id", "_h", F.pmod("_h", F.lit(SALTS)).alias("_salt"))
+    first = slim.withColumn("_r", dealt).where(F.col("_r") <= size).withColumn("_r", rank).where(F.col("_r") <= size)
     cuts = {r[0]: r[1] for r in first.groupBy(label).agg(F.max("_h")).collect()}
     if not cuts:
         return []
     cut = F.create_map(*(F.lit(x) for pair in cuts.items() for x in pair))
-    few = hashed.where(F.col("_h") <= cut[F.col(label)])
+    few = hashed.where(F.col("_h") <= cut[F.col(label)]).withColumn("_salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)))
     begin = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.greatest(F.length("text") - window, F.lit(0)) + 1) + 1
-    parts = few.select(F.substring("text", begin.cast("int"), F.lit(window)).alias("_t"), label, "doc_id", "_h")
-    rows = parts.withColumn("_r", rank).where(F.col("_r") <= size)
+    parts = few.select(F.substring("text", begin.cast("int"), F.lit(window)).alias("_t"), label, "doc_id", "_h", "_salt")
+    rows = parts.withColumn("_r", dealt).where(F.col("_r") <= size).withColumn("_r", rank).where(F.col("_r") <= size)
     return [(r[0], r[1]) for r in rows.orderBy("_h", "doc_id").select("_t", label).collect()]
 
 
