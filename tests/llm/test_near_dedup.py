@@ -105,3 +105,13 @@ def test_empty_table_and_threshold(docs):
     assert nd.near_duplicates(docs([])).count() == 0
     with pytest.raises(ValueError):
         nd.near_duplicates(docs([]), percent=70)
+
+
+def test_an_id_of_several_texts_is_one_node(spark, docs):
+    t, u, v = prose(1, 80), prose(2, 80), prose(3, 80)
+    rows = [(5, t), (5, u), (3, u), (9, v), (9, t), (12, v), (20, edited(u, 4, 2)), (30, prose(9, 80)), (None, t), (40, None), (40, "")]
+    got = nd.near_duplicates(docs(rows), 2).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, set()).add((r.component_id, r.kept))
+    assert by == {5: {(3, False)}, 3: {(3, True)}, 9: {(3, False)}, 12: {(3, False)}, 20: {(3, False)}, 30: {(30, True)}, None: {(None, True)}, 40: {(40, True)}}

@@ -48,6 +48,8 @@ SLICE = 1 << 20
 PAIRS = 1 << 20
 #: Up to so many ids are sent to all executors (8 MB); beyond, texts are joined by shuffle.
 SENT_IDS = 1 << 20
+#: A key that more than this part of all rows have is joined by sending its one row to them; there are fewer than so many.
+SPREAD = 1000
 
 _MUL = mix(np.arange(1, K + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -366,6 +368,29 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi")
 
 
+def _members(every: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows (doc_id, n) with the name of their class, null for rows that have none.
+
+    Classes of more than a thousandth of all rows are sent to the rows, a thousand at most;
+    so no task gets more than that share of the rows by one key. Rows without words or id
+    belong to no class and do not meet any.
+    """
+    rows = every.select("doc_id", "n", "p", "q")
+    own = rows.where("n > 0 and doc_id is not null")
+    least = max(1, rows.count() // SPREAD)
+    found = _dealt(own, classes.select("p", "q", "n", "id", "copies"), ["p", "q", "n"], "copies", least)
+    none = rows.where("n = 0 or doc_id is null").select("doc_id", "n", F.lit(None).cast("long").alias("id"))
+    return found.select("doc_id", "n", "id").union(none)
+
+
+def _dealt(rows: DataFrame, table: DataFrame, keys: list[str], size: str, least: int) -> DataFrame:
+    """Inner join with a table of one row a key; keys of more than ``least`` rows are sent, the others shuffled."""
+    large, small = table.where(F.col(size) > least), table.where(F.col(size) <= least)
+    hot = rows.join(F.broadcast(large), keys)
+    rest = rows.join(F.broadcast(large.select(keys)), keys, "left_anti").join(small, keys)
+    return hot.unionByName(rest)
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 80, id_column: str = "doc_id") -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (smallest id reachable by links) and kept.
 
@@ -382,13 +407,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 80, id_c
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), "text")
     every = stored(sketch(docs, width), "sketch")
     classes = stored(
-        every.where("n > 0 and doc_id is not null").groupBy("p", "q", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")),
+        every.where("n > 0 and doc_id is not null").groupBy("p", "q", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.count("*").alias("copies")),
         "classes",
     )
     shared = spark.sparkContext.broadcast(entry_counts(classes))
     every_post = stored(postings(classes, shared), "postings")
     lists = every_post.groupBy("entry").agg(F.min("id").alias("a"), F.count("*").alias("size")).where("size > 1")
-    posts = stored(every_post.join(lists, "entry"), "lists")
+    most = max(1, every_post.count() // SPREAD)
+    posts = stored(_dealt(every_post, lists, ["entry"], "size", most), "lists")
     forget(every_post)
     sigs = classes.select("id", "sig")
     met = posts.where("id <> a").groupBy("id", "a").count()
@@ -401,11 +427,15 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 80, id_c
     named = posts.join(nodes.withColumnRenamed("node", "id"), "id", "left").select("entry", "size", "id", part)
     named = stored(named, "named")
     forget(posts)
-    live = named.groupBy("entry").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("entry")
-    rows = named.join(live, "entry").join(classes.select("id", "n", "sig"), "id")
+    live = named.groupBy("entry").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("_size"))
+    live = live.where("lo < hi").select("entry", "_size")
+    rows = _dealt(named, live, ["entry"], "_size", most).drop("_size").join(classes.select("id", "n", "sig"), "id")
     links = links.union(_compared(_candidates(rows, shared, percent), docs, width, percent))
+    member = stored(_members(every, classes), "members")
+    ids = member.where("id is not null").select("doc_id", "id").distinct()
+    if not ids.groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").isEmpty():
+        links = links.union(ids.where("doc_id <> id").toDF("a", "b"))  # an id of several texts is one node
     nodes = stored(components(links), "nodes")
-    member = every.join(classes.select("p", "q", "n", "id"), ["p", "q", "n"], "left")
     member = member.join(nodes.withColumnRenamed("node", "id"), "id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id"))
     return member.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
