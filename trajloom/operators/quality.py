@@ -328,15 +328,34 @@ def safe_stats(df: DataFrame, col: str, by: Sequence[str] = (), q: float = 0.95)
 SALTS = 64
 
 
-def _attach(df: DataFrame, small: DataFrame, by: Sequence[str], facts: Sequence[str]) -> DataFrame:
+def _attach(df: DataFrame, small: DataFrame, by: Sequence[str], facts: Sequence[str], salt: str = "_v") -> DataFrame:
     """The facts of a row's group beside it.
 
-    Rows of a group are salted by their value over ``SALTS`` tasks and the facts repeated,
-    so neither this join nor an aggregate after it meets a whole group at once.
+    Rows of a group are salted by a value over ``SALTS`` tasks and the facts repeated, so
+    neither this join nor an aggregate after it meets a whole group at once.
     """
-    copies = small.select(*by, *facts, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-    salted = df.withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("_v"), F.lit(SALTS)), F.lit(0)).cast("int"))
-    return salted.join(copies, [*by, "_salt"]).drop("_salt")
+    keys = [F.col(c).alias(f"_k_{c}") for c in by]
+    copies = small.select(*keys, *facts, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_copy"))
+    salted = df.withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(salt), F.lit(SALTS)), F.lit(0)).cast("int"))
+    on = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]
+    return salted.join(copies, [F.col("_salt") == F.col("_copy"), *on]).drop("_salt", "_copy", *[f"_k_{c}" for c in by])
+
+
+def stats_of(df: DataFrame, values: dict[str, Column], by: Sequence[str] = (), q: float = 0.95) -> DataFrame:
+    """``safe_stats`` of several values at once: one row for each group and name, in the same three scans.
+
+    A value that a group never has still gives its row, with n = 0.
+    """
+    pairs = F.array(*[F.struct(F.lit(n).alias("stat"), v.cast("double").alias("value")) for n, v in values.items()])
+    long = df.select(*by, F.inline(pairs))
+    return safe_stats(long, "value", [*by, "stat"], q)
+
+
+def with_first(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS, prefix: str = "first_") -> DataFrame:
+    """The values that columns have in the first frame of the clip, beside every frame."""
+    first = F.min_by(F.struct(*cols), "frame_index").alias("_first")
+    small = df.groupBy(*keys).agg(first).select(*keys, *[F.col("_first")[c].alias(prefix + c) for c in cols])
+    return _attach(df, small, keys, [prefix + c for c in cols], "frame_index")
 
 
 # ---------------------------------------------------------------- consistency

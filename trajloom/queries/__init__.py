@@ -1,4 +1,4 @@
 """Registered queries: every operator run over the given tables."""
 
-from . import column_queries, geometry_queries, ledger_queries, quality_queries, series_queries  # noqa: F401
+from . import audit_queries, column_queries, geometry_queries, ledger_queries, quality_queries, series_queries  # noqa: F401
 from .base import ORACLES, QUERIES  # noqa: F401
