@@ -67,6 +67,8 @@ class Encoder:
         self.tokenizer = vocabulary.tokenizer()
         special = [] if vocabulary.plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)), re.IGNORECASE) if special else None
+        #: How a special token may begin; looked for first, as that is far cheaper.
+        self.begins = sorted({re.match(r"[^\w\s]*", t)[0] for t in special})
         self.kept: dict[str, bytes] = kept(f"pieces of {zlib.crc32(vocabulary.content.encode())} {vocabulary.plain}")
 
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
@@ -80,7 +82,7 @@ class Encoder:
         for text in texts:
             if not text:
                 cut.append(())
-            elif self.special and self.special.search(text):
+            elif self.special and any(b in text for b in self.begins) and self.special.search(text):
                 cut.append(None)
                 whole.append(text)
             elif not _NOT_PLAIN.search(text):
