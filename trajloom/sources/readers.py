@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import sample_id, sibling, stem
 from ..functions.vectorized import sample_share
+from .json_pieces import index_pieces, task_pieces
 
 TRAJECTORY_SCHEMA = (
     "sample_id string, frame_index int, fps float, image_height int, image_width int, "
@@ -125,26 +126,31 @@ def read_index(spark: SparkSession, path: str, document: bool = False) -> DataFr
 
     Lines are read apart, so a published index of any size splits over tasks. A line holds
     one entry or a list of them; brackets and commas around the lines of a list may stand
-    alone. A file with any other line, such as an indented one, is read whole: it is one
-    string in one task then, and it is an error if that is no JSON text of entries either.
-    ``document`` reads every file so without trying its lines.
+    alone. A file with any other line, such as an indented one, is read as one document,
+    which splits over tasks at its commas; it is an error if that is no JSON text to its
+    end. ``document`` reads every file so without trying its lines. ``pos`` is
+    ``(file, entry, listed, n)``: entries in their order, single ids before lists.
     """
-    whole = spark.read.text(path, wholetext=True)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    odd = lines.where(_unread("value")).select("file").distinct()
+    pieces = index_pieces(spark, path, None if document else odd)
+    place = F.struct("file", F.col("entry").cast("long").alias("entry"), "listed", F.col("n").cast("long").alias("n"))
+    in_pieces = pieces.select(place.alias("pos"), "sample_id")
     if document:
-        return parse_index(whole)
-    lines, file = spark.read.text(path), F.col("_metadata.file_path")
-    odd = lines.select(file.alias("file"), _unread("value").alias("odd")).where("odd").select("file").distinct().collect()
-    if not odd:
-        return parse_index(lines)
-    names = [r[0] for r in odd]
-    return parse_index(lines.where(~file.isin(names)).select("value").unionAll(whole.where(file.isin(names)).select("value")))
+        return in_pieces
+    plain = parse_index(lines.join(odd, "file", "left_anti"), keep=("file",))
+    in_lines = plain.select(F.struct("file", F.col("pos._entry").alias("entry"), F.lit(False).alias("listed"), F.col("pos._pos").cast("long").alias("n")).alias("pos"), "sample_id")
+    return in_lines.unionByName(in_pieces)
 
 
-def parse_index(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Entries of index texts, one or a list of them in each; other texts than lone brackets are an error."""
+def parse_index(lines: DataFrame, column: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Entries of index texts, one or a list of them in each; other texts than lone brackets are an error.
+
+    Columns of ``keep`` come along.
+    """
     bad = F.raise_error(F.concat(F.lit("no index entry: "), F.substring(column, 1, 200)))
     entries = F.when(_unread(column), bad.cast(f"array<{_ENTRY}>")).otherwise(_entries(column))
-    return index_ids(lines.select(F.explode(entries).alias("e")).select("e.sample_id", "e.sample_ids"))
+    return index_ids(lines.select(*keep, F.explode(entries).alias("e")).select(*keep, "e.sample_id", "e.sample_ids"), keep)
 
 
 def _entries(column: str) -> Column:
@@ -180,13 +186,13 @@ def parse_render_index(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.select(F.explode(ids).alias("sample_id")).where(F.length("sample_id") > 0)
 
 
-def index_ids(entries: DataFrame) -> DataFrame:
+def index_ids(entries: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Index entries (``sample_id``, ``sample_ids``) to one row per listed id with its position."""
     single = F.when(F.length("sample_id") > 0, F.array("sample_id")).otherwise(F.array().cast("array<string>"))
     many = F.filter(F.coalesce("sample_ids", F.array().cast("array<string>")), lambda s: F.length(s) > 0)
     seq = entries.withColumn("_entry", F.monotonically_increasing_id())
-    return seq.select("_entry", F.posexplode(F.concat(single, many)).alias("_pos", "sample_id")).select(
-        F.struct("_entry", "_pos").alias("pos"), "sample_id"
+    return seq.select(*keep, "_entry", F.posexplode(F.concat(single, many)).alias("_pos", "sample_id")).select(
+        *keep, F.struct("_entry", "_pos").alias("pos"), "sample_id"
     )
 
 
@@ -197,15 +203,22 @@ def processed_clips(index: DataFrame, trajectories: DataFrame, meta: DataFrame)
 
 
 def read_task_json(spark: SparkSession, path: str) -> DataFrame:
-    """Legacy task file ``{"tasks": {id: {...}}}`` to ledger rows; entries that are no objects are skipped."""
-    text = spark.read.text(path, wholetext=True)
-    return parse_task_json(text, "value")
+    """Legacy task file ``{"tasks": {id: {...}}}`` to ledger rows; entries that are no objects are skipped.
+
+    The document splits over tasks at the commas between its entries.
+    """
+    return _task_rows(task_pieces(spark, path).select("sample_id", F.col("entry").alias("_entry")))
 
 
 def parse_task_json(df: DataFrame, col: str) -> DataFrame:
     """Explode the task map of a JSON text column."""
     raw = F.from_json(F.get_json_object(col, "$.tasks"), "map<string,string>")
-    rows = df.select(F.explode(raw).alias("sample_id", "_entry")).filter(F.col("_entry").startswith("{"))
+    return _task_rows(df.select(F.explode(raw).alias("sample_id", "_entry")))
+
+
+def _task_rows(entries: DataFrame) -> DataFrame:
+    """Ledger rows of (``sample_id``, ``_entry``: its JSON text)."""
+    rows = entries.filter(F.col("_entry").startswith("{"))
     e = F.from_json("_entry", TASK_ENTRY)
     rows = rows.withColumn("_e", e)
     stamp = lambda c: F.col("_e")[c].try_cast("timestamp").alias(c)
