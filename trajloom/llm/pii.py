@@ -15,18 +15,23 @@ threshold. Trees are then a column expression, so scoring stays in the JVM.
 
 Patterns use possessive repeats and look-behinds where these change no match, so long
 runs cost time linear in their length and no stack. Positions are code points; they come
-from the lengths of the parts between matches.
+from running sums of the lengths of the parts between matches, and what stands around a
+candidate from those parts themselves. Overlaps are told by running maxima over sorted
+spans. So the time of a text grows with its length and the number of its candidates (times
+its logarithm), not with their product.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
+from .rules import bind
 
 #: Kinds in the order of ties.
 KINDS = ("email", "ip", "card", "phone")
@@ -74,6 +79,13 @@ AGAINST = (
 )
 _OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
+_CANDIDATE = "array<struct<start:int,kind:int,end:int,value:string,ahead:string,next:string>>"
+#: Values of an array that one block of a running sum or maximum takes.
+SCAN = 256
+#: Characters of a piece that a text is cut into before spans are taken out.
+CHUNK = 1024
+#: Above any place in a text.
+_FAR = 1 << 32
 
 
 def _guard(kind: str, text: Column) -> Column:
@@ -83,22 +95,81 @@ def _guard(kind: str, text: Column) -> Column:
     return text.rlike("[0-9]")
 
 
-def _spans(text: Column, kind: str, pattern: str) -> Column:
-    """All matches in order, as (start, kind number, end, value)."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def _running(values: Column, start: int, join: Callable[[Column, Column], Column]) -> Column:
+    """What ``join`` (sum or max) makes of all earlier values, for each value of an array.
+
+    Values are taken in blocks, so that arrays grow by steps of a block only and the work
+    stays in proportion to the number of values.
+    """
+    none = F.expr("cast(array() as array<bigint>)")
+    long = lambda c: c.cast("long")
+
+    def upto(own: Column, first: Column) -> Column:
+        zero = F.struct(long(first).alias("now"), none.alias("out"))
+        step = lambda done, x: F.struct(long(join(done["now"], x)).alias("now"), F.concat(done["out"], F.array(done["now"])).alias("out"))
+        return F.aggregate(own, zero, step, lambda done: done["out"])
+
+    def total(own: Column) -> Column:
+        return F.aggregate(own, F.lit(start).cast("long"), lambda done, x: long(join(done, x)))
+
+    def all_(own: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(own) - 1) / SCAN).cast("int")), lambda k: F.slice(own, k * SCAN + 1, SCAN))
+
+        def within(cut: Column) -> Column:
+            firsts = upto(F.transform(cut, total), F.lit(start))
+            return bind(firsts, lambda at: F.flatten(F.transform(cut, lambda v, k: upto(v, at[k]))))
+
+        return bind(blocks, within)
+
+    return F.when(F.size(values) > 0, bind(F.transform(values, long), all_)).otherwise(none)
+
+
+def _summed(values: Column) -> Column:
+    return _running(values, 0, lambda a, b: a + b)
+
+
+def _highest(values: Column) -> Column:
+    return _running(values, -1, lambda a, b: F.greatest(a, b))
+
+
+def _distinct(sorted_: Column) -> Column:
+    """A sorted array without repeated elements."""
+    return bind(sorted_, lambda s: F.filter(s, lambda x, k: (k == 0) | (x != F.get(s, k - 1))))
+
+
+def _spans(text: Column, kind: str, pattern: str, context: bool = False) -> Column:
+    """All matches in order, as (start, kind number, end, value).
+
+    With ``context`` also ``ahead``, up to ``AHEAD`` characters before the match, and
+    ``next``, the one behind it: both from what lies between the matches, so a text is
+    passed over once however many matches it has.
+    """
+    empty = F.expr(f"cast(array() as {_CANDIDATE if context else _SPAN})")
     gaps = F.split(text, pattern, -1)
-    zipped = F.zip_with(hits, gaps, lambda h, g: F.struct(h.alias("h"), g.alias("g")))
-    known = F.filter(zipped, lambda x: x["h"].isNotNull())
-    first = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {_SPAN})").alias("out"))
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    zipped = F.zip_with(hits, gaps, lambda h, g: F.struct(F.coalesce(h, F.lit("")).alias("h"), g.alias("g")))
+
+    def around(z: Column, x: Column, k: Column) -> list[Column]:
+        earlier = F.transform(F.slice(z, F.greatest(k - AHEAD, F.lit(0)) + 1, F.least(k, F.lit(AHEAD))), lambda y: F.concat(y["g"], y["h"]))
+        near = F.when(F.length(x["g"]) >= AHEAD, x["g"]).otherwise(F.concat(F.array_join(earlier, ""), x["g"]))
+        after = F.concat(z[k + 1]["g"], z[k + 1]["h"])
+        return [F.right(near, F.lit(AHEAD)).alias("ahead"), F.substring(after, 1, 1).alias("next")]
+
+    def placed(z: Column) -> Column:
+        known = F.slice(z, 1, F.greatest(F.size(z) - 1, F.lit(0)))  # what is left is the last gap
+        before = _summed(F.transform(known, lambda x: F.length(x["g"]) + F.length(x["h"])))
+
+        def one(at: Column) -> Column:
+            def span(x: Column, k: Column) -> Column:
+                lo = (at[k] + F.length(x["g"])).cast("int")
+                base = [lo.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (lo + F.length(x["h"])).alias("end"), x["h"].alias("value")]
+                return F.struct(*base, *(around(z, x, k) if context else []))
+
+            return F.transform(known, span)
 
-    def step(done, x):
-        lo = done["at"] + F.length(x["g"])
-        hi = lo + F.length(x["h"])
-        one = F.struct(lo.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), hi.alias("end"), x["h"].alias("value"))
-        return F.struct(hi.alias("at"), F.concat(done["out"], F.array(one)).alias("out"))
+        return bind(before, one)
 
-    found = F.aggregate(known, first, step, lambda done: done["out"])
-    return F.when(_guard(kind, text), found).otherwise(F.expr(f"cast(array() as {_SPAN})"))
+    return F.when(_guard(kind, text), bind(zipped, placed)).otherwise(empty)
 
 
 def _luhn(value: Column) -> Column:
@@ -165,8 +236,8 @@ def _passes(s: Column, cued: Column) -> Column:
     return F.coalesce(*(F.when(s["kind"] == KINDS.index(k), x) for k, x in kinds.items()))
 
 
-def _evidence(text: Column, s: Column) -> Column:
-    ahead = F.lower(F.substring(text, F.greatest(s["start"] - AHEAD, F.lit(0)) + 1, F.least(s["start"], F.lit(AHEAD))))
+def _evidence(s: Column) -> Column:
+    ahead = F.lower(s["ahead"])
     word = r"(?s)^(?:.*[^\p{L}\p{N}])?(%s)(?![\p{L}\p{N}])"
     lasts = []
     for k in KINDS:
@@ -185,33 +256,54 @@ def _class(c: Column) -> Column:
     )
 
 
-def _features(text: Column, s: Column, base: Column) -> Column:
+def _features(s: Column, hit: Column) -> Column:
     v = s["value"]
     marks = sum((F.when(v.contains(m), 1 << k).otherwise(0) for k, m in enumerate((" ", "-", ".", "(", ":", "@"))), F.lit(0))
-    hit = F.exists(base, lambda b: (b["kind"] == s["kind"]) & (b["start"] < s["end"]) & (s["start"] < b["end"]))
     values = {
         "kind": s["kind"],
         "digits": F.least(F.length(F.regexp_replace(v, "[^0-9]", "")), F.lit(20)),
         "marks": marks,
         "groups": F.least(F.size(F.regexp_extract_all(v, F.lit("[0-9]+"), F.lit(0))), F.lit(8)),
         "letters": v.rlike(r"\p{L}").cast("int"),
-        "before": F.when(s["start"] == 0, 0).otherwise(_class(F.substring(text, s["start"], F.lit(1)))),
-        "after": _class(F.substring(text, s["end"] + 1, F.lit(1))),
+        "before": F.when(s["start"] == 0, 0).otherwise(_class(F.right(s["ahead"], F.lit(1)))),
+        "after": _class(s["next"]),
         "plus": v.startswith("+").cast("int"),
         "format": _format(s),
-        "evidence": _evidence(text, s),
+        "evidence": _evidence(s),
     }
     columns = [values[n].cast("int").alias(n) for n in FEATURES]
     return F.struct(s["start"].alias("start"), s["end"].alias("end"), hit.alias("hit"), *columns)
 
 
+def _touched(loose: Column, base: Column) -> Column:
+    """The candidates, each with whether it overlaps a base span of its kind.
+
+    Base spans of a kind do not overlap. So the last one that begins before a candidate ends
+    reaches furthest, and a running maximum over both, by kind and place, tells.
+    """
+    row = lambda s, at, last, reach, own: F.struct(s["kind"].alias("kind"), at.alias("at"), F.lit(last).alias("last"), reach.alias("reach"), own.alias("own"))
+    none = F.lit(None).cast(_CANDIDATE.removeprefix("array<").removesuffix(">"))
+    far = lambda s, c: s["kind"].cast("long") * _FAR + s[c]
+    of_base = F.transform(base, lambda s: row(s, s["start"], 1, far(s, "end"), none))
+    of_loose = F.transform(loose, lambda s: row(s, s["end"], 0, F.lit(-1).cast("long"), s))
+
+    def told(all_: Column) -> Column:
+        reach = _highest(F.transform(all_, lambda x: x["reach"]))
+        marked = lambda m: F.transform(all_, lambda x, k: F.struct(x["own"].alias("own"), (m[k] > far(x["own"], "start")).alias("hit")))
+        return F.filter(bind(reach, marked), lambda x: x["own"].isNotNull())
+
+    return bind(F.array_sort(F.concat(of_base, of_loose)), told)
+
+
 def proposals(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``base`` spans and candidate ``proposed`` spans with their features."""
     whole = F.coalesce(F.col(text), F.lit(""))
     out = docs.withColumn("base", base_spans(whole))
-    loose = F.concat(*(_spans(whole, k, p) for k in KINDS for p in GENERATORS[k]))
-    out = out.withColumn("loose", F.array_distinct(loose))
-    return out.withColumn("proposed", F.transform("loose", lambda s: _features(whole, s, F.col("base")))).drop("loose")
+    loose = _distinct(F.array_sort(F.concat(*(_spans(whole, k, p, context=True) for k in KINDS for p in GENERATORS[k]))))
+    out = out.withColumn("loose", loose)
+    found = F.transform(_touched(F.col("loose"), F.col("base")), lambda x: _features(x["own"], x["hit"]))
+    none = F.transform("loose", lambda s: _features(s, F.lit(False)))
+    return out.withColumn("proposed", F.when(F.size("loose") > 0, found).otherwise(none)).drop("loose")
 
 
 @dataclass
@@ -378,14 +470,27 @@ def selected(proposed: DataFrame, model: Boosted) -> DataFrame:
         return (c["score"] >= limit) & (c["evidence"] > CONTRARY)
 
     good = proposed.withColumn("good", F.filter(scored, above))
-    alone = F.filter(
-        "good",
-        lambda c: ~F.exists(
-            "good", lambda d: (d["kind"] == c["kind"]) & (d > c) & (d["start"] < c["end"]) & (c["start"] < d["end"])
-        ),
-    )
+    by_place = F.array_sort(F.transform("good", lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c.alias("c"))))
+
+    def clusters(all_: Column) -> Column:
+        """Runs of candidates of a kind of which each touches an earlier one."""
+        far = lambda x, c: x["kind"].cast("long") * _FAR + x["c"][c]
+        reach = _highest(F.transform(all_, lambda x: far(x, "end")))
+
+        def cut(m: Column) -> Column:
+            first = F.filter(F.transform(all_, lambda x, k: F.when(far(x, "start") >= m[k], k)), lambda k: k.isNotNull())
+            return bind(first, lambda at: F.transform(at, lambda lo, k: F.slice(all_, lo + 1, F.coalesce(F.get(at, k + 1), F.size(all_)) - lo)["c"]))
+
+        return bind(reach, cut)
+
+    def best(run: Column) -> Column:
+        better = lambda c: lambda d: (d > c) & (d["start"] < c["end"]) & (c["start"] < d["end"])
+        return F.filter(run, lambda c: ~F.exists(run, better(c)))
+
+    alone = F.flatten(F.transform(bind(by_place, clusters), best))
     added = F.transform(alone, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
-    return good.withColumn("spans", F.array_sort(F.array_distinct(F.concat(plain, added)))).drop("good")
+    both = F.when(F.size("good") > 0, _distinct(F.array_sort(F.concat(plain, added)))).otherwise(F.array_sort(plain))
+    return good.withColumn("spans", both).drop("good")
 
 
 def _said(spans: str) -> Column:
@@ -419,23 +524,28 @@ def redacted(docs: DataFrame) -> DataFrame:
     """
     columns = docs.columns
     work = proposals(docs.select(F.struct(*columns).alias("_row"), F.col("text").alias("text")))
-    model = fit(stored(work.select("proposed").where(F.size("proposed") > 0), "proposed"))
-    out = selected(work, model)
+    work = stored(work.withColumn("base", F.transform("base", lambda b: b.dropFields("value"))), "proposed")
+    out = selected(work, fit(work))
     names = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
-    first = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("parts"))
+    size = F.length("text")
+
+    def rebuilt(chunks: Column, s: Column, before: Column) -> Column:
+        """What lies between the spans, cut from the chunks it is in, and the names of the spans."""
 
-    def step(done, s):
-        fresh = s["start"] >= done["at"]
-        between = F.substring(F.col("text"), done["at"] + 1, s["start"] - done["at"])
-        parts = F.when(fresh, F.concat(done["parts"], F.array(between, names[s["kind"]]))).otherwise(done["parts"])
-        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), parts.alias("parts"))
+        def between(lo: Column, hi: Column) -> Column:
+            first = F.floor(lo / CHUNK)
+            some = F.array_join(F.slice(chunks, (first + 1).cast("int"), (F.floor((hi - 1) / CHUNK) - first + 1).cast("int")), "")
+            return F.when(hi > lo, F.substring(some, (lo - first * CHUNK + 1).cast("int"), (hi - lo).cast("int"))).otherwise("")
 
-    def rest(done):
-        return F.concat(F.array_join(done["parts"], ""), F.substring(F.col("text"), done["at"] + 1, F.length("text")))
+        part = lambda x, k: F.when(x["start"] >= before[k], F.concat(between(F.greatest(before[k], F.lit(0)), x["start"]), names[x["kind"]])).otherwise("")
+        end = F.greatest(F.element_at(before, -1), F.element_at(s, -1)["end"])
+        return F.concat(F.array_join(F.transform(s, part), ""), between(end, size))
 
-    clean = F.when(F.size("spans") > 0, F.aggregate("spans", first, step, rest)).otherwise(F.col("text"))
-    values = {"text": clean}
+    ends = _highest(F.transform("spans", lambda x: x["end"]))
+    chunks = F.regexp_extract_all(F.col("text"), F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    clean = bind(ends, lambda m: bind(chunks, lambda c: rebuilt(c, F.col("spans"), m)))
+    clean = F.when(F.size("spans") > 0, clean).otherwise(F.col("text"))
+    values = {"text": F.col("_clean")}
     if "n_chars" in columns:
-        size = F.when(F.size("spans") > 0, F.length(clean)).otherwise(F.col("_row.n_chars"))
-        values["n_chars"] = size.cast(docs.schema["n_chars"].dataType)
-    return out.select(*(values.get(c, F.col(f"_row.`{c}`")).alias(c) for c in columns))
+        values["n_chars"] = F.when(F.size("spans") > 0, F.length("_clean")).otherwise(F.col("_row.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return out.withColumn("_clean", clean).select(*(values.get(c, F.col(f"_row.`{c}`")).alias(c) for c in columns))
