@@ -20,6 +20,10 @@ CASES = {
     "<!-- c -->a<!-- <p>b</p> --><![CDATA[x]]>c": "ac",
     "&lt;b&gt; &amp;amp; &eacute;&#8364;": "<b> &amp; é€",
     "</div></p>a</span>b": "ab",
+    "<table><tr><td><pre>x\n|ab|</pre><td>c</table>": "x    | c\n|ab|",
+    "<table><tr><td>a<br>|<td>b</table>": "a | b\n|",
+    "<div><table><tr><td>a</div>b<td>c</table>d</div>e": "ab | c\n\nd\ne",
+    "<table><tr><td><p>a</p></table></table>b": "a\n\nb",
     "<dl><dt>t<dd>d1<dd>d2</dl>": "t\n    d1\n    d2",
     "<blockquote>q<p>r</blockquote>": "> q\n\n> r",
     "<select><option>a<option>b</select>": "a\nb",

@@ -86,14 +86,25 @@ def _attributes(source: str) -> dict[str, str]:
     return found
 
 
+#: Elements whose content an end tag of another kind does not reach out of, and those that may end across them.
+SCOPES = {"td", "th", "caption", "table"}
+TABLE_PARTS = SCOPES | {"tr", "tbody", "thead", "tfoot"}
+
+
 def build(html: str) -> Node:
     """The tree of a page."""
     root = Node("", {})
     stack, opened = [root], Counter()
     foreign = [""]  # for each open element: "svg" or "math" where its content belongs to one
 
+    inside = [Counter()]  # open elements by tag, since the nearest cell, caption or table
+
     def pop() -> None:
-        opened[stack.pop().tag] -= 1
+        tag = stack.pop().tag
+        opened[tag] -= 1
+        if tag in SCOPES:
+            inside.pop()
+        inside[-1][tag] -= 1
         foreign.pop()
 
     def close(tags: set, stops: set) -> None:
@@ -126,7 +137,7 @@ def build(html: str) -> Node:
         if m[1]:
             if tag == "br":
                 stack[-1].children.append(Node("br", {}))
-            elif opened[tag]:
+            elif opened[tag] if tag in TABLE_PARTS else inside[-1][tag]:
                 while stack[-1].tag != tag:
                     pop()
                 pop()
@@ -157,6 +168,9 @@ def build(html: str) -> Node:
             continue
         stack.append(node)
         opened[tag] += 1
+        inside[-1][tag] += 1
+        if tag in SCOPES:
+            inside.append(Counter())
         foreign.append("" if tag in HTML_INSIDE else own)
     if at < len(html):
         stack[-1].children.append(unescape(html[at:]))
@@ -236,8 +250,10 @@ def aligned(rows: list[list[list[str]]], widest: int = PAD_WIDTH) -> list[str]:
     out = []
     for row in rows:
         for k in range(max(map(len, row), default=0)):
-            parts = [(cell[k] if k < len(cell) else "").ljust(w) for cell, w in zip(row, widths)]
-            out.append(" | ".join(parts).rstrip(" |") if k or not any(parts) else " | ".join(parts).rstrip())
+            parts = [cell[k] if k < len(cell) else "" for cell in row]
+            if k or not any(parts):  # further lines end with their last text, not with separators
+                parts = parts[: max((n + 1 for n, x in enumerate(parts) if x), default=0)]
+            out.append(" | ".join(x.ljust(w) for x, w in zip(parts, widths)).rstrip())
     return [x for x in out if x]
 
 
