@@ -16,8 +16,10 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -27,6 +29,9 @@ from .common import kept
 
 _PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _FINE = re.compile(r"[ \n]*(?:[A-Za-z0-9À-ÖØ-öø-ÿ]+|[^ \nA-Za-z0-9À-ÖØ-öø-ÿ]+)|[ \n]+")
+#: The same without the space before a piece, for tokenizers that drop it.
+_BARE = re.compile(r"[A-Za-z0-9À-ÖØ-öø-ÿ]+|[^ \nA-Za-z0-9À-ÖØ-öø-ÿ]+")
+_CAPITALS = [chr(c) for c in [*range(65, 91), *range(0xC0, 0xDF)] if c != 0xD7]
 #: What keeps a text from the fine cut: apostrophes, and characters that are neither ASCII nor letters of Latin-1.
 _NOT_PLAIN = re.compile(r"[^\x20-\x26\x28-\x7e\nÀ-ÖØ-öø-ÿ]")
 #: White space by any definition besides space and line end, and combining marks that a normaliser may move.
@@ -69,12 +74,16 @@ class Encoder:
         self.special = re.compile("|".join(map(re.escape, special)), re.IGNORECASE) if special else None
         #: How a special token may begin; looked for first, as that is far cheaper.
         self.begins = sorted({re.match(r"[^\w\s]*", t)[0] for t in special})
+        ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        #: Whether capitals are as good as small letters, and spaces as none, so that more pieces are one.
+        self.folds = all(ids(f"x{c}y {c}") == ids(f"x{c.lower()}y {c.lower()}") for c in _CAPITALS)
+        self.fine = _BARE if ids(" \n a\n b ") == ids("a") + ids("b") and not ids(" \n") else _FINE
         self.kept: dict[str, bytes] = kept(f"pieces of {zlib.crc32(vocabulary.content.encode())} {vocabulary.plain}")
 
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), 20_000):
             for found in self.tokenizer.encode_batch_fast(texts[at : at + 20_000], add_special_tokens=False):
-                yield np.array(found.ids, np.uint32).tobytes()
+                yield array("I", found.ids).tobytes()
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; of none for a null text."""
@@ -86,21 +95,19 @@ class Encoder:
                 cut.append(None)
                 whole.append(text)
             elif not _NOT_PLAIN.search(text):
-                cut.append(_FINE.findall(text))
+                cut.append(self.fine.findall(text.lower() if self.folds else text))
             elif _OTHER.search(text):
                 cut.append(None)
                 whole.append(text)
             else:
                 cut.append(_PIECE.findall(text))
-        new = list({p for pieces in cut if pieces for p in pieces if p not in known})
+        distinct = set(chain.from_iterable(pieces for pieces in cut if pieces))
+        new = list(distinct.difference(known))
         if new and len(known) + len(new) > CACHE:
-            known = {p: known[p] for pieces in cut if pieces for p in pieces if p in known}
+            known = {p: known[p] for p in distinct if p in known}
         known.update(zip(new, self._encode(new)))
-        long = self._encode(whole)
-        return [
-            np.frombuffer(next(long) if pieces is None else b"".join([known[p] for p in pieces]), np.uint32)
-            for pieces in cut
-        ]
+        long, get = self._encode(whole), known.__getitem__
+        return [np.frombuffer(next(long) if pieces is None else b"".join(map(get, pieces)), np.uint32) for pieces in cut]
 
 
 def encoded(batches: Iterator[pa.RecordBatch], column: int, vocabulary: Vocabulary, end: int, rows: int = 512) -> Iterator[tuple]:
