@@ -143,8 +143,8 @@ def round_nested(df: DataFrame, digits: int | None) -> DataFrame:
 
     def walk(c: Column, t: T.DataType) -> Column:
         if isinstance(t, (T.DoubleType, T.FloatType)):
-            # bround works on the shortest decimal text; huge values overflow it, so keep them as they are
-            return F.when(F.abs(c) < 1e15, F.bround(c, digits)).otherwise(finite(c)).cast(t)
+            # from 2**53 on a double is a whole number, which no rounding to digits changes
+            return F.when(F.abs(c) < 2.0**53, F.bround(c, digits)).otherwise(finite(c)).cast(t)
         if isinstance(t, T.ArrayType):
             return F.transform(c, lambda x: walk(x, t.elementType))
         if isinstance(t, T.MapType):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -45,3 +48,8 @@ def spread(c: Column, names: Sequence[str]) -> list[Column]:
 
 def sql_spread(exprs: Sequence[str], names: Sequence[str]) -> str:
     return ", ".join(f"{s6(e)} as {n}" for e, n in zip(exprs, names))
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder for files of a query, where checkpoints go."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

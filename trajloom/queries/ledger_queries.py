@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
-from ..operators import ledger, sampling
+from ..operators import events, ledger, sampling
 from ..sinks import writers
 from ..sources import readers
-from .base import given, q6, query
+from .base import given, q6, query, s6, shared_path
 
 NOW = "2025-01-02 03:04:05"
 STATE = [
@@ -405,3 +405,108 @@ def legacy_task_rows(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("sample_id", "status", "attempts")
 
 
+# ---------------------------------------------------------------- events
+
+KIND = ("claim", "claim", "complete", "fail", "recover", "sync", "reset")
+
+
+def log(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of two workers: one per line item, some for tasks that are not there yet."""
+    li = fx.table(spark, sf, "lineitem")
+    key, part = F.col("l_orderkey").cast("string"), F.col("l_partkey") + F.col("l_linenumber")
+    kind = F.array(*map(F.lit, KIND))[F.pmod(part, F.lit(len(KIND))).cast("int")]
+    return li.select(
+        F.when(F.col("l_suppkey") % 5 == 0, F.concat(F.lit("n"), key)).otherwise(key).alias("sample_id"),
+        F.col("l_shipdate").cast("timestamp").alias("at"), F.col("l_linenumber").cast("long").alias("seq"), kind.alias("kind"),
+        F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("payload"),
+        F.concat(F.lit("w"), (F.col("l_suppkey") % 2).cast("string")).alias("worker"),
+        F.concat(F.lit("r"), F.col("l_linenumber").cast("string")).alias("result"), F.lit("broken").alias("error"),
+    )
+
+
+LOG = f""",
+fx_log as (
+  select case when l_suppkey % 5 = 0 then 'n' || l_orderkey else l_orderkey::varchar end as sample_id, l_shipdate::timestamp as ts,
+         l_linenumber::bigint as seq, ({list(KIND)!r})[(l_partkey + l_linenumber) % {len(KIND)} + 1] as kind, 'p' || l_partkey as payload,
+         'w' || l_suppkey % 2 as worker, 'r' || l_linenumber as result
+  from lineitem),
+fx_step as (select *, row_number() over (partition by sample_id order by ts, seq, kind, payload, worker, result) as i from fx_log),
+fx_start as (
+  select sample_id, status, payload, attempts, worker, last_error, started_at::timestamp as started_at, updated_at::timestamp as updated_at, summary
+  from fx_tasks
+  union all
+  select distinct sample_id, null, null, null::integer, null, null, null::timestamp, null::timestamp, null from fx_log
+  where sample_id not in (select sample_id from fx_tasks)),
+fx_run as (
+  select *, 0::bigint as i, 0::bigint as skipped, 0::bigint as skipped_w1 from fx_start
+  union all
+  select r.sample_id,
+    case when r.status is null then case when e.kind = 'sync' then 'pending' end
+         when e.kind = 'claim' and r.status = 'pending' then 'in_progress' when e.kind = 'complete' then 'completed'
+         when e.kind in ('fail', 'reset') or e.kind = 'recover' and r.status = 'in_progress' then 'pending' else r.status end,
+    case when e.kind = 'sync' then e.payload else r.payload end,
+    case when r.status is null then case when e.kind = 'sync' then 0 end when e.kind = 'reset' then 0
+         when e.kind = 'claim' and r.status = 'pending' then r.attempts + 1 else r.attempts end,
+    case when r.status is null then null when e.kind = 'claim' and r.status = 'pending' then e.worker
+         when e.kind in ('complete', 'fail', 'reset') or e.kind = 'recover' and r.status = 'in_progress' then null else r.worker end,
+    case when r.status is null then null when e.kind in ('complete', 'reset') or e.kind = 'claim' and r.status = 'pending' then null
+         when e.kind = 'fail' then 'broken' when e.kind = 'recover' and r.status = 'in_progress' then 'Recovered from unfinished in_progress task.'
+         else r.last_error end,
+    case when r.status is null or e.kind = 'reset' then null when e.kind = 'claim' and r.status = 'pending' then e.ts else r.started_at end,
+    case when r.status is null then case when e.kind = 'sync' then e.ts end
+         when e.kind in ('sync', 'complete', 'fail', 'reset') or e.kind = 'claim' and r.status = 'pending'
+              or e.kind = 'recover' and r.status = 'in_progress' then e.ts else r.updated_at end,
+    case when r.status is null or e.kind = 'reset' then null when e.kind = 'complete' then e.result else r.summary end,
+    e.i, r.skipped + (e.kind = 'claim' and r.status <> 'pending' and r.status is not null)::int,
+    r.skipped_w1 + (e.kind = 'claim' and r.status <> 'pending' and r.status is not null and e.worker = 'w1')::int
+  from fx_run r join fx_step e on e.sample_id = r.sample_id and e.i = r.i + 1),
+fx_end as (select * from fx_run qualify row_number() over (partition by sample_id order by i desc) = 1)"""
+FOLD_TIME = "strftime({0}, '%Y-%m-%d %H:%M:%S') as {0}"
+
+
+@query(given(fx.TASKS, LOG + f"""
+select sample_id, status, payload, attempts, worker, last_error, {FOLD_TIME.format("started_at")}, {FOLD_TIME.format("updated_at")}, summary,
+       skipped, skipped_w1 from fx_end where status is not null""", recursive=True))
+def ledger_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """The ledger behind a log of events, with the claims that came too late."""
+    out = events.fold(fx.tasks(spark, sf), log(spark, sf))
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return out.select(
+        "sample_id", "status", "payload", "attempts", "worker", "last_error", stamp("started_at"), stamp("updated_at"), "summary",
+        F.size("lost").cast("long").alias("skipped"), F.size(F.filter("lost", lambda x: x["worker"] == "w1")).cast("long").alias("skipped_w1"),
+    )
+
+
+@query(given(fx.TASKS, LOG + """
+select worker, case kind when 'complete' then 'completed' else 'failed' end as outcome, count(*) as n from fx_log where kind in ('complete', 'fail') group by 1, 2
+union all select 'w1', 'skipped', sum(skipped_w1)::bigint from fx_end having sum(skipped_w1) > 0
+union all select 'w0', 'skipped', sum(skipped - skipped_w1)::bigint from fx_end having sum(skipped - skipped_w1) > 0""", recursive=True))
+def ledger_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """What each worker completed, failed and lost to the other."""
+    own = log(spark, sf)
+    return events.outcomes(events.fold(fx.tasks(spark, sf), own), own)
+
+
+# ---------------------------------------------------------------- written and read back
+
+
+@query(given(fx.TASKS, OUTPUTS + """
+select distinct sample_id from fx_tasks where status = 'completed'
+and sample_id in (select sample_id from fx_traj) and sample_id in (select sample_id from fx_m)"""))
+def index_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """The published index, written as entries and read back from its files."""
+    path = shared_path(spark, "index")
+    t, traj, meta = outputs(spark, sf)
+    writers.publish_index(t, traj, meta, "/out", path)
+    done = readers.processed_clips(readers.read_index(spark, path), traj.distinct(), meta.distinct())
+    return done.select("sample_id")
+
+
+@query(given(fx.META, f"""
+select sample_id, {s6("left_reachable_ratio")} as l, {s6("right_collision_ratio")} as r, '2024-01-02T03:04:05.000000Z' as updated_at from fx_meta"""))
+def clip_meta_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Clip metadata, written as JSON and read back."""
+    path = shared_path(spark, "meta")
+    writers.write_clip_meta(fx.meta(spark, sf), path, F.to_timestamp(F.lit("2024-01-02 03:04:05")))
+    back = readers.read_clip_meta(spark, path, "sample_id string, left_reachable_ratio double, right_collision_ratio double, updated_at string", strict=True)
+    return back.select("sample_id", q6(F.col("left_reachable_ratio")).alias("l"), q6(F.col("right_collision_ratio")).alias("r"), "updated_at")

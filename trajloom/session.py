@@ -27,19 +27,23 @@ def local_session(cores: int = 8, app: str = "trajloom", **conf: str) -> SparkSe
     return spark
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a checkpoint in the shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local master without that setting gets a temporary folder.
+    Only a local master without that setting gets a temporary folder.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    name = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not name:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        name = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", name)
+    return name.rstrip("/")
+
+
+def reliable(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` with a checkpoint in the shared folder."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

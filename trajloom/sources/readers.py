@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.keys import sample_id, sibling, stem
 from ..functions.vectorized import sample_share
@@ -240,14 +241,20 @@ def _task_rows(entries: DataFrame) -> DataFrame:
 
 
 def read_trajectories(spark: SparkSession, path: str, cols: Sequence[str] | None = None) -> DataFrame:
-    """Trajectory columns; absent optional ones come back NULL, without any joint column it is an error."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    have = set(df.columns)
-    if not {"left_joint_position", "right_joint_position"} & have:
+    """Trajectory columns; absent optional ones come back NULL, without any joint column it is an error.
+
+    The fixed columns are asked for by their fixed types, so a file without one gives NULL
+    and one footer tells what else there is. All footers are read only where that one has no
+    joint column.
+    """
+    fixed = T.StructType.fromDDL(TRAJECTORY_SCHEMA)
+    found = spark.read.parquet(path).schema
+    have, joints = set(found.names), {"left_joint_position", "right_joint_position"}
+    if not joints & have and not joints & set(spark.read.option("mergeSchema", "true").parquet(path).columns):
         raise ValueError("the table has neither left nor right joint positions")
-    kinds = dict(part.strip().split(" ", 1) for part in TRAJECTORY_SCHEMA.split(", "))
-    wanted = list(cols) if cols is not None else list(kinds)
-    return df.select(*[F.col(c) if c in have else F.lit(None).cast(kinds[c]).alias(c) for c in wanted])
+    more = [f for f in found.fields if f.name not in fixed.names]
+    df = spark.read.schema(T.StructType([*fixed.fields, *more])).parquet(path)
+    return df.select(*(list(cols) if cols is not None else fixed.names))
 
 
 def read_clip_meta(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
