@@ -34,8 +34,15 @@ def test_top_ids_are_cut_before_the_shuffle(spark, sf):
 
 
 def test_hand_smoothing_shuffles_frames_once(spark, sf):
-    """One aggregate and join for the workspace, one shuffle for both hands' smoothers."""
-    assert plan(spark, sf, "retarget_chain").count("REPARTITION_BY_NUM") == 1
+    """One aggregate and join for the workspace, one shuffle for both hands' smoothers.
+
+    The rounds of long clips read that shuffle again, which the plan shows once it has run.
+    """
+    df = queries.QUERIES["retarget_chain"](spark, sf)
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    final = text[: text.index("Initial Plan")]
+    assert len([x for x in final.splitlines() if "REPARTITION_BY_NUM" in x and "ReusedExchange" not in x]) == 1
 
 
 @pytest.mark.parametrize("name", ["robust_statistics_overall", "robust_statistics_by_group"])
