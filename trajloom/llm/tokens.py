@@ -69,16 +69,24 @@ class Encoder:
     """Encodes texts of a batch; one per task."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.tokenizer = vocabulary.tokenizer()
-        special = [] if vocabulary.plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special)), re.IGNORECASE) if special else None
-        #: How a special token may begin; looked for first, as that is far cheaper.
-        self.begins = sorted({re.match(r"[^\w\s]*", t)[0] for t in special})
-        ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
-        #: Whether capitals are as good as small letters, and spaces as none, so that more pieces are one.
-        self.folds = all(ids(f"x{c}y {c}") == ids(f"x{c.lower()}y {c.lower()}") for c in _CAPITALS)
-        self.fine = _BARE if ids(" \n a\n b ") == ids("a") + ids("b") and not ids(" \n") else _FINE
-        self.kept: dict[str, bytes] = kept(f"pieces of {zlib.crc32(vocabulary.content.encode())} {vocabulary.plain}")
+        self.kept: dict = kept(f"pieces of {zlib.crc32(vocabulary.content.encode())} {vocabulary.plain}")
+        if None not in self.kept:  # once in a worker process, beside the pieces
+            self.kept[None] = self._made(vocabulary)
+        self.tokenizer, self.special, self.begins, self.folds, self.fine = self.kept[None]
+
+    @staticmethod
+    def _made(vocabulary: Vocabulary) -> tuple:
+        """The tokenizer, its special tokens and how they begin, and what it does with capitals and spaces."""
+        tokenizer = vocabulary.tokenizer()
+        special = [] if vocabulary.plain else [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        found = re.compile("|".join(map(re.escape, special)), re.IGNORECASE) if special else None
+        # how a special token may begin is looked for first, as that is far cheaper
+        begins = sorted({re.match(r"[^\w\s]*", t)[0] for t in special})
+        ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        # where capitals are as good as small letters, and spaces as none, more pieces are one
+        folds = all(ids(f"x{c}y {c}") == ids(f"x{c.lower()}y {c.lower()}") for c in _CAPITALS)
+        fine = _BARE if ids(" \n a\n b ") == ids("a") + ids("b") and not ids(" \n") else _FINE
+        return tokenizer, found, begins, folds, fine
 
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), 20_000):
