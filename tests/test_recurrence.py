@@ -385,6 +385,88 @@ def test_retry_takes_the_nearest_reachable_seed():
     assert after > before
 
 
+def loop_solve(cfg, pose, seed, prev):
+    """Damped least squares for one target, written out."""
+    rt, pt = arm.rotvec_matrix(pose[None, 3:]), pose[None, :3]
+    weight = np.repeat([cfg.position_weight, cfg.orientation_weight], 3)
+
+    def measure(q):
+        e = CHAIN.error(q[None], rt, pt)[0]
+        return e, np.linalg.norm(e[:3]), np.linalg.norm(e[3:]), (weight * e * e).sum() + cfg.continuity_weight * ((q - prev) ** 2).sum()
+
+    q, best = seed.copy(), seed.copy()
+    e, pe, oe, cost = measure(q)
+    best_cost, early = cost, cfg.early()
+    for _ in range(cfg.max_iterations):
+        if pe <= early[0] and oe <= early[1]:
+            break
+        jac = CHAIN.forward(q[None], jacobian=True)[2][0]
+        h = jac.T @ (weight[:, None] * jac) + (cfg.damping + cfg.continuity_weight) * np.eye(6)
+        step = np.linalg.solve(h, jac.T @ (weight * e) + cfg.continuity_weight * (prev - q))
+        step = np.clip(step, -cfg.max_joint_step, cfg.max_joint_step)
+        to, least = None, cost
+        for k in arm.TRIALS:
+            trial = CHAIN.clip(q + k * step)
+            c = measure(trial)[3]
+            if c + 1e-12 < least:
+                to, least = trial, c
+        if to is None:
+            break
+        moved = (np.abs(to - q) > 1e-10).any()
+        q = to
+        e, pe, oe, cost = measure(q)
+        if cost + 1e-12 < best_cost:
+            best, best_cost = q.copy(), cost
+        if not moved:
+            break
+    return best
+
+
+def test_solver_equals_the_loop():
+    """Reachable targets, far ones and joints at their limits, as lanes of several targets each."""
+    cfg = arm.Solver(max_iterations=40)
+    poses = np.stack([reachable_poses(3) for _ in range(12)], axis=1)
+    poses[1, :4, :3] += 0.3
+    poses[2, 4:8, 3:] = RNG.normal(0, 2, (4, 3))
+    seeds = np.clip(RNG.normal(0, 1.5, (3, 12, 6)), -arm.LIMIT, arm.LIMIT)
+    at, got = np.zeros(12, int), np.zeros((3, 12, 6))
+
+    def ask(idle):
+        new = idle[at[idle] < 3]
+        seed = seeds[at[new], new].T
+        return new, arm.target_of(poses[at[new], new]), seed, seed
+
+    def tell(done, q, pe, oe):
+        got[at[done], done] = q.T
+        at[done] += 1
+
+    arm.search(CHAIN, cfg, 12, ask, tell)
+    want = np.array([[loop_solve(cfg, poses[t, i], seeds[t, i], seeds[t, i]) for i in range(12)] for t in range(3)])
+    np.testing.assert_allclose(got, want, atol=1e-5)
+
+
+def test_lanes_do_not_wait_for_each_other(monkeypatch):
+    """Slow frames at different times cost the rounds of one lane, not of all; results are those of lanes alone."""
+    counts, search = [], arm.search
+    monkeypatch.setattr(arm, "search", lambda *a: counts.append(search(*a)))
+    cfg, n = arm.Solver(), 10
+    poses = np.stack([reachable_poses(n) for _ in range(n)], axis=1)
+    poses[np.arange(n), np.arange(n), :3] += 2.0
+
+    def solve(x):
+        x, active = {"pose": x, "frame_index": np.arange(float(n))[:, None, None].repeat(x.shape[1], 1)}, np.full(n, x.shape[1])
+        for k in (arm.track_kernel(CHAIN, cfg, "pose", [0.2] * 6), arm.next_reached_kernel(cfg, 6), arm.retry_kernel(CHAIN, cfg, "pose")):
+            x.update(k.step(x, {}, active, np.full((x["pose"].shape[1], k.state), np.nan))[0])
+        return x["_q2"]
+
+    alone = [solve(poses[:, [i]]) for i in range(n)]
+    each = np.array(counts).reshape(n, 2)
+    counts.clear()
+    whole = solve(poses)
+    assert (np.array(counts) <= each.max(axis=0) + n).all() and counts[0] < each[:, 0].sum() / 3
+    np.testing.assert_allclose(whole, np.concatenate(alone, axis=1), atol=1e-5)
+
+
 # ---------------------------------------------------------------- transfers
 
 

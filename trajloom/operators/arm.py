@@ -1,13 +1,13 @@
 """Arm trajectories as a batch job: forward kinematics, errors, inverse kinematics.
 
 A chain is a handful of joint rows, so it travels inside the task closure. All
-clips of an Arrow batch are solved together: time is the outer loop, and each
-numpy call works on every clip that still needs an iteration.
+clips of an Arrow batch are solved together, each at its own frame: a numpy call
+works on every clip that is not at its end.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,6 +35,7 @@ ARM_JOINTS = [
     {"ord": 7, "joint": "tcp", "type": "fixed", "xyz": [0.0, 0.0, 0.12], "rpy": [0.0, 0.0, 0.0]},
 ]
 LIMIT = 3.14159
+CHUNK = 8192  # frames measured at a time
 
 
 def rpy_matrix(rpy: Sequence[float]) -> np.ndarray:
@@ -210,89 +211,302 @@ class Solver:
 TRIALS = np.array([1.0, 0.5, 0.25, 0.125, -1.0, -0.5, -0.25, -0.125])
 
 
-def solve_pose(chain: Chain, cfg: Solver, pose: np.ndarray, seed: np.ndarray, prev: np.ndarray):
-    """Damped least squares for many targets at once: joints, position and orientation error."""
-    n, dof = seed.shape
-    rt, pt = rotvec_matrix(pose[:, 3:6]), pose[:, :3]
+class Links:
+    """A chain as turns about the local z axis with fixed links between them.
+
+    Values lie component first (``[6, N]``), so that numpy works along the poses. Where the
+    tool is, is found from its end: a point and a quaternion go through six turns and links.
+    """
+
+    def __init__(self, chain: Chain):
+        rot, off = np.eye(3), np.zeros(3)
+        links = []
+        for r, o, axis, moving in zip(chain.rot, chain.off, chain.axis, chain.moving):
+            off, rot = off + rot @ o, rot @ r
+            if moving:
+                to_z = _onto_z(axis)
+                links.append((rot @ to_z, off))
+                rot, off = to_z.T, np.zeros(3)
+        self.links, self.tail, self.tail_quat = links, off[:, None], _quaternion(rot)[:, None]
+        # a turn followed by a link is linear in the cosine and sine of the angle, or of half of it
+        flat, about, up = np.diag([1.0, 1.0, 0.0]), np.array([[0.0, -1, 0], [1, 0, 0], [0, 0, 0]]), np.diag([0.0, 0, 1])
+        half = np.array([[0.0, 0, 0, -1], [0, 0, -1, 0], [0, 1, 0, 0], [1, 0, 0, 0]])
+        self.moves = [np.concatenate([a @ flat, a @ about, a @ up]) for a, _ in links]
+        self.turns = []
+        for a, _ in links:
+            w, x, y, z = _quaternion(a)
+            left = np.array([[w, -x, -y, -z], [x, w, -z, y], [y, z, w, -x], [z, -y, x, w]])
+            self.turns.append(np.concatenate([left, left @ half]))
+
+    def tool(self, s: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Position ``[3, ...]`` and quaternion ``[4, ...]`` (w first) of the tool for sines and cosines of half angles ``[dof, ...]``."""
+        shape = s.shape[1:]
+        s, c = s.reshape(len(s), -1), c.reshape(len(c), -1)
+        s1, c1 = 2.0 * s * c, 1.0 - 2.0 * s * s
+        p, turn = self.tail, self.tail_quat
+        for j in range(len(s) - 1, -1, -1):
+            g = self.moves[j] @ p
+            p = c1[j] * g[:3]
+            p += s1[j] * g[3:6]
+            p += g[6:] + self.links[j][1][:, None]
+            g = self.turns[j] @ turn
+            turn = c[j] * g[:4]
+            turn += s[j] * g[4:]
+        return p.reshape(3, *shape), turn.reshape(4, *shape)
+
+    def axes(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Joint axes and origins in the base frame, each ``[3, dof, N]``."""
+        s, c = np.sin(q), np.cos(q)
+        n = q.shape[1]
+        # the columns of the rotation so far; a turn about z mixes the first two
+        x, y, z = (np.broadcast_to(e[:, None], (3, n)) for e in np.eye(3))
+        o = np.zeros((3, n))
+        axes, origins = np.empty((3, *q.shape)), np.empty((3, *q.shape))
+        for j, (a, b) in enumerate(self.links):
+            g = np.concatenate([a.T, b[None]]) @ np.stack([x, y, z], axis=1)
+            x, y, z = g[:, 0], g[:, 1], g[:, 2]
+            o = o + g[:, 3]
+            axes[:, j], origins[:, j] = z, o
+            x, y = c[j] * x + s[j] * y, c[j] * y - s[j] * x
+        return axes, origins
+
+    def remaining(self, s: np.ndarray, c: np.ndarray, target: np.ndarray):
+        """What is left to a target ``[7, ...]``: offset and quaternion in the base frame, position and orientation error."""
+        gap, tool = self.tool(s, c)
+        np.subtract(target[4:], gap, out=gap)
+        # target times the inverse of the tool
+        turn = np.empty_like(tool)
+        turn[0] = (target[:4] * tool).sum(axis=0)
+        turn[1:] = target[1:4] * tool[0] - target[0] * tool[1:] - _cross(target[1:4], tool[1:])
+        n = np.sqrt((turn[1:] * turn[1:]).sum(axis=0))
+        half = np.arctan2(n, np.abs(turn[0]))
+        # the logarithm keeps the part of the offset along the axis and stretches the rest
+        some = n > 1e-9
+        safe = np.where(some, n, 1.0)
+        grow = np.where(some, half / safe, 1.0) ** 2
+        along = (turn[1:] * gap).sum(axis=0) / safe
+        pe2 = grow * (gap * gap).sum(axis=0) + (1.0 - grow) * along * along
+        return gap, turn, np.sqrt(np.maximum(pe2, 0.0)), 2.0 * half
+
+
+def _onto_z(axis: np.ndarray) -> np.ndarray:
+    """A rotation whose third column is the axis."""
+    z = axis / np.linalg.norm(axis)
+    if z[2] == 1.0:
+        return np.eye(3)
+    x = np.cross([0.0, 1.0, 0.0] if abs(z[1]) < 0.9 else [1.0, 0.0, 0.0], z)
+    x /= np.linalg.norm(x)
+    return np.stack([x, np.cross(z, x), z], axis=1)
+
+
+def _quaternion(r: np.ndarray) -> np.ndarray:
+    """Unit quaternion of a matrix, w first."""
+    return target_of(np.concatenate([np.zeros(3), matrix_rotvec(r[None])[0]]))[:4]
+
+
+def target_of(pose: np.ndarray) -> np.ndarray:
+    """Poses ``[..., 6]`` as ``[7, ...]``: quaternion, then position."""
+    half = 0.5 * np.sqrt((pose[..., 3:] ** 2).sum(axis=-1))
+    turn = pose[..., 3:] * (0.5 * np.sinc(half / np.pi))[..., None]
+    return np.concatenate([np.cos(half)[None], np.moveaxis(turn, -1, 0), np.moveaxis(pose[..., :3], -1, 0)])
+
+
+def _cross(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a[1] * b[2] - a[2] * b[1]
+    out = np.empty((3, *x.shape))
+    out[0] = x
+    out[1] = a[2] * b[0] - a[0] * b[2]
+    out[2] = a[0] * b[1] - a[1] * b[0]
+    return out
+
+
+def _left(gap: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithm of the remaining transform in the base frame: translation and rotation part."""
+    sign = np.where(turn[0] < 0, -1.0, 1.0)
+    n = np.sqrt((turn[1:] ** 2).sum(axis=0))
+    half = np.arctan2(n, np.abs(turn[0]))
+    some = n > 1e-9
+    safe = np.where(some, n, 1.0)
+    w = turn[1:] * (sign * np.where(some, 2.0 * half / safe, 2.0))
+    a2 = 4.0 * half * half
+    small = a2 < 1e-8
+    coef = np.where(small, 1.0 / 12.0 + a2 / 720.0, (1.0 - half * np.abs(turn[0]) / safe) / np.where(small, 1.0, a2))
+    wg = _cross(w, gap)
+    return gap - 0.5 * wg + coef * _cross(w, wg), w
+
+
+def _solved(h: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """Solutions of many small positive definite systems ``[d, d, N]``, ``[d, N]``; both are overwritten."""
+    d = len(g)
+    for j in range(d - 1):
+        part = h[j + 1 :, j] / h[j, j]
+        h[j + 1 :, j + 1 :] -= part[:, None] * h[j, None, j + 1 :]
+        g[j + 1 :] -= part * g[j]
+    for j in range(d - 1, -1, -1):
+        g[j] /= h[j, j]
+        g[:j] -= h[:j, j] * g[j]
+    return g
+
+
+def _trial_turns(q: np.ndarray, step: np.ndarray, sin: np.ndarray, cos: np.ndarray) -> None:
+    """Sines and cosines of half the angles ``[dof, 8, N]`` of all trial steps, from those of the smallest one."""
+    s0, c0 = np.sin(0.5 * q), np.cos(0.5 * q)
+    least = 0.5 * TRIALS[3] * step
+    s, c = np.sin(least), np.cos(least)
+    for k in (3, 2, 1, 0):  # twice the step each time
+        a, b, x, y = s0 * c, c0 * s, c0 * c, s0 * s
+        np.add(a, b, out=sin[:, k])
+        np.subtract(x, y, out=cos[:, k])
+        np.subtract(a, b, out=sin[:, k + 4])
+        np.add(x, y, out=cos[:, k + 4])
+        s, c = 2.0 * s * c, 1.0 - 2.0 * s * s
+
+
+def search(chain: Chain, cfg: Solver, lanes: int, ask: Callable, tell: Callable) -> int:
+    """Damped least squares along many lanes, each from one target to its next at its own pace.
+
+    ``ask(idle)`` names those of the idle lanes that have another target, and gives the
+    targets ``[7, N]``, seeds and previous joints ``[dof, N]``. ``tell(lanes, joints,
+    position error, orientation error)`` takes what was found. No lane waits for another, so
+    the number of rounds, which is returned, is that of the slowest lane, not the sum of the
+    slowest frames. Seeds of new targets are measured along with the trial steps of the others.
+    """
+    dof, links, tries = chain.dof, Links(chain), len(TRIALS)
     early_p, early_o = cfg.early()
-    root = np.sqrt(np.repeat([cfg.position_weight, cfg.orientation_weight], 3))
-    ridge = (cfg.damping + cfg.continuity_weight) * np.eye(dof)
-
-    def measure(q, idx):
-        err = chain.error(q, rt[idx], pt[idx])
-        pe, oe = np.linalg.norm(err[:, :3], axis=1), np.linalg.norm(err[:, 3:], axis=1)
-        gap = q - prev[idx]
-        cost = (
-            cfg.position_weight * pe * pe
-            + cfg.orientation_weight * oe * oe
-            + cfg.continuity_weight * (gap * gap).sum(axis=1)
-        )
-        return err, pe, oe, cost
-
-    everyone = np.arange(n)
-    cur = seed.copy()
-    err, pe, oe, cost = measure(cur, everyone)
-    best, best_pe, best_oe, best_cost = cur.copy(), pe.copy(), oe.copy(), cost.copy()
-    live = everyone
-    for _ in range(cfg.max_iterations):
-        live = live[~((pe[live] <= early_p) & (oe[live] <= early_o))]
-        if not len(live):
-            break
-        q = cur[live]
-        _, _, jac = chain.forward(q, jacobian=True)
-        jw = jac * root[:, None]
-        jt = jw.transpose(0, 2, 1)
-        grad = np.einsum("nij,nj->ni", jt, err[live] * root) + cfg.continuity_weight * (prev[live] - q)
-        step = np.linalg.solve(jt @ jw + ridge, grad[:, :, None])[:, :, 0]
-        step = np.clip(step, -cfg.max_joint_step, cfg.max_joint_step)
-        trial = chain.clip(q[:, None, :] + TRIALS[None, :, None] * step[:, None, :])
-        wide = np.repeat(live, len(TRIALS))
-        t_err, t_pe, t_oe, t_cost = measure(trial.reshape(-1, dof), wide)
-        t_cost = t_cost.reshape(-1, len(TRIALS))
-        top, pick = cost[live].copy(), np.full(len(live), -1)
-        for k in range(len(TRIALS)):
-            better = t_cost[:, k] + 1e-12 < top
-            top, pick = np.where(better, t_cost[:, k], top), np.where(better, k, pick)
-        went = pick >= 0
-        rows, at = live[went], np.flatnonzero(went) * len(TRIALS) + pick[went]
-        moved = np.zeros(len(live), bool)
-        moved[went] = (np.abs(trial.reshape(-1, dof)[at] - q[went]) > 1e-10).any(axis=1)
-        cur[rows] = trial.reshape(-1, dof)[at]
-        err[rows], pe[rows], oe[rows], cost[rows] = t_err[at], t_pe[at], t_oe[at], t_cost.reshape(-1)[at]
-        gain = rows[cost[rows] + 1e-12 < best_cost[rows]]
-        best[gain], best_pe[gain], best_oe[gain], best_cost[gain] = cur[gain], pe[gain], oe[gain], cost[gain]
-        live = live[moved]
-    return best, best_pe, best_oe
+    lower, upper = chain.lower[:, None, None], chain.upper[:, None, None]
+    wp, wo, wc = cfg.position_weight, cfg.orientation_weight, cfg.continuity_weight
+    target, prev, cur, best = np.zeros((7, lanes)), *(np.zeros((dof, lanes)) for _ in range(3))
+    # of the joints: offset and quaternion left, errors and cost; of the best: errors and cost
+    gap, turn, score, top = np.zeros((3, lanes)), np.zeros((4, lanes)), np.zeros((3, lanes)), np.zeros((3, lanes))
+    rounds, stuck = np.zeros(lanes, int), np.zeros(lanes, bool)
+    live = new = np.arange(0)
+    idle, total = np.arange(lanes), 0
+    while True:
+        new = new[:0]
+        if len(idle):
+            new, target_new, seed, prev_new = ask(idle)
+            target[:, new], cur[:, new], best[:, new], prev[:, new] = target_new, seed, seed, prev_new
+            rounds[new], stuck[new] = 0, False
+        if not len(live) and not len(new):
+            return total
+        total += 1
+        n = len(live)
+        trial, sin, cos = (np.empty((dof, n * tries + len(new))) for _ in range(3))
+        q, was, aim = (x.take(live, axis=1) for x in (cur, prev, target))
+        if n:
+            axes, origins = links.axes(q)
+            here = gap.take(live, axis=1)
+            v, w = _left(here, turn.take(live, axis=1))
+            lin = _cross(axes, (aim[4:] - here)[:, None] - origins)
+            grad = wp * (lin * v[:, None]).sum(axis=0) + wo * (axes * w[:, None]).sum(axis=0) + wc * (was - q)
+            both = np.concatenate([lin * np.sqrt(wp), axes * np.sqrt(wo)])
+            h = np.einsum("ijn,ikn->jkn", both, both)
+            h[np.arange(dof), np.arange(dof)] += cfg.damping + wc
+            step = np.clip(_solved(h, grad), -cfg.max_joint_step, cfg.max_joint_step)
+            to, to_sin, to_cos = (x[:, : n * tries].reshape(dof, tries, n) for x in (trial, sin, cos))
+            np.add(q[:, None], TRIALS[:, None] * step[:, None], out=to)
+            _trial_turns(q, step, to_sin, to_cos)
+            cut = (to < lower) | (to > upper)
+            if cut.any():
+                np.clip(to, lower, upper, out=to)
+                to_sin[cut], to_cos[cut] = np.sin(0.5 * to[cut]), np.cos(0.5 * to[cut])
+        if len(new):
+            trial[:, n * tries :] = seed
+            sin[:, n * tries :], cos[:, n * tries :] = np.sin(0.5 * seed), np.cos(0.5 * seed)
+        aims, were = (np.concatenate([np.tile(x, tries), y[:, new]], axis=1) for x, y in ((aim, target), (was, prev)))
+        left, left_turn, pe, oe = links.remaining(sin, cos, aims)
+        cost = wp * pe * pe + wo * oe * oe + wc * ((trial - were) ** 2).sum(axis=0)
+        marks = np.stack([pe, oe, cost])
+
+        costs = cost[: n * tries].reshape(tries, n)
+        least, pick = score[2, live], np.full(n, -1)
+        for k in range(tries):
+            better = costs[k] + 1e-12 < least
+            least, pick = np.where(better, costs[k], least), np.where(better, k, pick)
+        went = np.flatnonzero(pick >= 0)
+        rows, at = live[went], pick[went] * n + went
+        rounds[live] += 1
+        stuck[live] = True
+        stuck[rows] = (np.abs(trial[:, at] - q[:, went]) <= 1e-10).all(axis=0)
+        rows, at = np.concatenate([rows, new]), np.concatenate([at, np.arange(n * tries, trial.shape[1])])
+        cur[:, rows], gap[:, rows], turn[:, rows], score[:, rows] = trial[:, at], left[:, at], left_turn[:, at], marks[:, at]
+        top[:, new] = score[:, new]
+        gain = rows[score[2, rows] + 1e-12 < top[2, rows]]
+        best[:, gain], top[:, gain] = cur[:, gain], score[:, gain]
+
+        live = np.concatenate([live, new])
+        now = score[:, live]
+        done = ((now[0] <= early_p) & (now[1] <= early_o)) | stuck[live] | (rounds[live] >= cfg.max_iterations)
+        idle, live = live[done], live[~done]
+        if len(idle):
+            tell(idle, best[:, idle], top[0, idle], top[1, idle])
 
 
 def _reached(cfg: Solver, pe, oe):
     return (pe <= cfg.position_tolerance) & (oe <= cfg.orientation_tolerance)
 
 
+def _lengths(active: np.ndarray, lanes: int) -> np.ndarray:
+    """Frames of each lane."""
+    return (active[:, None] > np.arange(lanes)[None, :]).sum(axis=0)
+
+
+def _next_true(flags: np.ndarray) -> np.ndarray:
+    """For every frame and lane the first frame from there on that is marked; one row more, for the end."""
+    steps, lanes = flags.shape
+    at = np.full((steps + 1, lanes), steps)
+    at[:steps] = np.where(flags, np.arange(steps)[:, None], steps)
+    return np.minimum.accumulate(at[::-1], axis=0)[::-1]
+
+
+def _last_true(flags: np.ndarray) -> np.ndarray:
+    """For every frame and lane the last frame up to there that is marked, or -1."""
+    return np.maximum.accumulate(np.where(flags, np.arange(len(flags))[:, None], -1), axis=0)
+
+
 def track_kernel(chain: Chain, cfg: Solver, pose: str, initial: Sequence[float] | None) -> Kernel:
     """Warm-started solution frame by frame; an invalid frame repeats the joints."""
     dof = chain.dof
     home = chain.clip(np.zeros(dof) if initial is None else np.asarray(initial, dtype=float))
+    low, high = chain.lower[:, None], chain.upper[:, None]
 
     def step(x, _, active, state):
         poses = x[pose]
-        shape = poses.shape[:2]
-        joints, errs = np.full((*shape, dof), np.nan), np.full((*shape, 2), np.nan)
-        cur = np.where(np.isnan(state), home, state)
-        for t in range(len(active)):
-            m = active[t]
-            ok = np.flatnonzero(np.isfinite(poses[t, :m]).all(axis=1))
-            if len(ok):
-                prev, target = cur[ok], poses[t, ok]
-                q, pe, oe = solve_pose(chain, cfg, target, prev, prev)
-                if cfg.max_frame_delta > 0:
-                    q = chain.clip(prev + np.clip(q - prev, -cfg.max_frame_delta, cfg.max_frame_delta))
-                    err = chain.error(q, rotvec_matrix(target[:, 3:6]), target[:, :3])
-                    pe, oe = np.linalg.norm(err[:, :3], axis=1), np.linalg.norm(err[:, 3:], axis=1)
-                cur[ok] = q
-                errs[t, ok, 0], errs[t, ok, 1] = pe, oe
-            joints[t, :m] = cur[:m]
-        return {"_q": joints, "_e": errs}, cur
+        steps, lanes = poses.shape[:2]
+        inside = np.arange(steps)[:, None] < _lengths(active, lanes)
+        ok = np.isfinite(poses).all(axis=2) & inside
+        coming, target = _next_true(ok), target_of(np.where(ok[..., None], poses, 0.0))
+        start = np.where(np.isnan(state), home, state)
+        cur, at = start.T.copy(), np.zeros(lanes, int)
+        joints, errs = np.full((steps, lanes, dof), np.nan), np.full((steps, lanes, 2), np.nan)
+
+        def ask(idle):
+            at[idle] = coming[at[idle], idle]
+            new = idle[at[idle] < steps]
+            return new, target[:, at[new], new], cur[:, new], cur[:, new]
+
+        def tell(done, q, pe, oe):
+            t = at[done]
+            if cfg.max_frame_delta > 0:
+                was = cur[:, done]
+                q = np.clip(was + np.clip(q - was, -cfg.max_frame_delta, cfg.max_frame_delta), low, high)
+            cur[:, done] = q
+            joints[t, done] = q.T
+            errs[t, done, 0], errs[t, done, 1] = pe, oe
+            at[done] += 1
+
+        search(chain, cfg, lanes, ask, tell)
+        if cfg.max_frame_delta > 0:
+            links = Links(chain)
+            rows = np.flatnonzero(ok.reshape(-1))
+            flat, flat_t, flat_e = joints.reshape(-1, dof), target.reshape(7, -1), errs.reshape(-1, 2)
+            for part in np.array_split(rows, len(rows) // CHUNK + 1):
+                half = 0.5 * flat[part].T
+                _, _, flat_e[part, 0], flat_e[part, 1] = links.remaining(np.sin(half), np.cos(half), flat_t[:, part])
+        seen = _last_true(ok)
+        filled = np.take_along_axis(joints, np.maximum(seen, 0)[..., None], axis=0)
+        joints = np.where((seen >= 0)[..., None], filled, start)
+        return {"_q": np.where(inside[..., None], joints, np.nan), "_e": errs}, cur.T.copy()
 
     return Kernel(step, {"_q": dof, "_e": 2}, dof)
 
@@ -322,28 +536,48 @@ def retry_kernel(chain: Chain, cfg: Solver, pose: str) -> Kernel:
     became so, the pool ahead those reachable from the start.
     """
     dof = chain.dof
+    low, high = chain.lower[:, None], chain.upper[:, None]
 
     def step(x, _, active, state):
-        poses, q, e, f, ahead = x[pose], x["_q"].copy(), x["_e"].copy(), x["frame_index"], x["_next"]
-        cur = state.copy()
-        for t in range(len(active)):
-            m = active[t]
-            hit = _reached(cfg, e[t, :m, 0], e[t, :m, 1])
-            back_d = f[t, :m, 0] - cur[:m, 0]
-            next_d = ahead[t, :m, 0] - f[t, :m, 0]
+        poses, q, e, f, ahead = x[pose], x["_q"].copy(), x["_e"].copy(), x["frame_index"][..., 0], x["_next"]
+        steps, lanes = poses.shape[:2]
+        inside = np.arange(steps)[:, None] < _lengths(active, lanes)
+        hit = _reached(cfg, e[..., 0], e[..., 1]) & inside
+        ok = np.isfinite(poses).all(axis=2) & inside
+        coming, target = _next_true(ok & ~hit), target_of(np.where(ok[..., None], poses, 0.0))
+        behind, again, at = _last_true(hit), np.full(lanes, -1), np.zeros(lanes, int)
+
+        def pool(t, lane):
+            """Frame number and joints of the last reachable frame before ``t``."""
+            b = np.maximum(np.where(t > 0, behind[np.maximum(t - 1, 0), lane], -1), again[lane])
+            here = np.concatenate([f[b, lane][:, None], q[b, lane]], axis=1)
+            return np.where((b >= 0)[:, None], here, state[lane])
+
+        def ask(idle):
+            at[idle] = coming[at[idle], idle]
+            new = idle[at[idle] < steps]
+            t = at[new]
+            back, then = pool(t, new), ahead[t, new]
+            back_d, next_d = f[t, new] - back[:, 0], then[:, 0] - f[t, new]
             use_back = np.isfinite(back_d) & ~(next_d < back_d)
-            near = np.where(use_back[:, None], cur[:m, 1:], ahead[t, :m, 1:])
-            todo = np.flatnonzero(~hit & np.isfinite(poses[t, :m]).all(axis=1) & np.isfinite(near).all(axis=1))
-            if len(todo):
-                seed = chain.clip(near[todo])
-                cand, pe, oe = solve_pose(chain, cfg, poses[t, todo], seed, near[todo])
-                old_p, old_o = e[t, todo, 0], e[t, todo, 1]
-                better = ~np.isfinite(old_p) | (pe < old_p - 1e-9) | ~np.isfinite(old_o) | (oe < old_o - 1e-9)
-                rows = todo[better]
-                q[t, rows], e[t, rows, 0], e[t, rows, 1] = cand[better], pe[better], oe[better]
-                hit = _reached(cfg, e[t, :m, 0], e[t, :m, 1])
-            cur[:m] = np.where(hit[:, None], np.concatenate([f[t, :m], q[t, :m]], axis=1), cur[:m])
-        return {"_q2": q, "_e2": e}, cur
+            near = np.where(use_back[:, None], back[:, 1:], then[:, 1:])
+            # without one on either side there is none for the frames to come either
+            some = np.isfinite(near).all(axis=1)
+            new, t, near = new[some], t[some], near[some].T
+            return new, target[:, t, new], np.clip(near, low, high), near
+
+        def tell(done, found, pe, oe):
+            t = at[done]
+            old_p, old_o = e[t, done, 0], e[t, done, 1]
+            better = ~np.isfinite(old_p) | (pe < old_p - 1e-9) | ~np.isfinite(old_o) | (oe < old_o - 1e-9)
+            rows, lane = t[better], done[better]
+            q[rows, lane], e[rows, lane, 0], e[rows, lane, 1] = found.T[better], pe[better], oe[better]
+            now = _reached(cfg, e[t, done, 0], e[t, done, 1])
+            again[done[now]] = t[now]
+            at[done] += 1
+
+        search(chain, cfg, lanes, ask, tell)
+        return {"_q2": q, "_e2": e}, pool(np.full(lanes, steps), np.arange(lanes))
 
     return Kernel(step, {"_q2": dof, "_e2": 2}, dof + 1)
 
@@ -358,12 +592,12 @@ def measure_kernel(chain: Chain, pose: str, joints: str, clip: bool = True) -> K
         errs = np.full((*q.shape[:2], 2), np.nan)
         flat_p, flat_q = poses.reshape(-1, poses.shape[2]), q.reshape(-1, dof)
         ok = np.flatnonzero(np.isfinite(flat_p).all(axis=1) & np.isfinite(flat_q).all(axis=1))
-        if len(ok):
-            target = flat_p[ok]
-            err = chain.error(flat_q[ok], rotvec_matrix(target[:, 3:6]), target[:, :3])
-            flat = errs.reshape(-1, 2)
-            flat[ok, 0] = np.linalg.norm(err[:, :3], axis=1)
-            flat[ok, 1] = np.linalg.norm(err[:, 3:], axis=1)
+        flat = errs.reshape(-1, 2)
+        for part in np.array_split(ok, len(ok) // CHUNK + 1):
+            target = flat_p[part]
+            err = chain.error(flat_q[part], rotvec_matrix(target[:, 3:6]), target[:, :3])
+            flat[part, 0] = np.linalg.norm(err[:, :3], axis=1)
+            flat[part, 1] = np.linalg.norm(err[:, 3:], axis=1)
         return {"_joints": q, "_errors": errs}, np.zeros((q.shape[1], 1))
 
     return Kernel(step, {"_joints": dof, "_errors": 2}, 1, transfer=Latest(1), uses=(pose, joints))

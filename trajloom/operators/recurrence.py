@@ -38,7 +38,7 @@ from .blocks import KEYS, spread_blocks
 from .transfers import Transfer
 
 FRAMES = 16384  # nine minutes at 30 frames per second
-LANES = 256
+LANES = 4096
 CELLS = 1 << 19  # frames a task holds as dense arrays at a time
 TOL = 1e-12  # guessed states this near to the true ones lead to the same states but for rounding
 
