@@ -5,6 +5,7 @@ import re
 import pytest
 
 from trajloom import queries
+from trajloom.operators import blocks
 
 NO_SINGLE = [
     "signal_interp_gaps", "signal_moving_median", "trajectory_continuity", "nearest_reachable_frame", "clip_metadata",
@@ -51,3 +52,16 @@ def test_percentiles_sort_nothing(spark, sf, name):
     text = plan(spark, sf, name)
     assert "Window" not in text and "NestedLoopJoin" not in text
     assert len(re.findall(r"FileScan", text)) <= 3
+
+
+def test_collision_frames_are_dealt_once(spark, sf):
+    """Rows are grouped behind their one shuffle by frame, not before it, and no join shuffles them by link."""
+    text = plan(spark, sf, "collision_flags")
+    assert text.count("hashpartitioning(sample_id") == 1 and "SortMergeJoin" not in text
+    assert text.index("partial_min") < text.index("hashpartitioning(sample_id")  # what runs later is printed first
+
+
+def test_tasks_stay_bounded(spark):
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = [blocks.bounded_parts(spark, rows) for rows in (0, 1 << 19, 1 << 25, 1 << 28, 1 << 29, 1 << 32)]
+    assert parts == [own, own, 64, 200, 200, 1024]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.cleaning import finite
-from .operators.blocks import number_frames
+from .operators.blocks import bounded_parts, number_frames
 from .operators.hands import HAND_JOINTS
 
 METACARPALS = ["IndexFingerMetacarpal", "MiddleFingerMetacarpal", "RingFingerMetacarpal", "LittleFingerMetacarpal"]
@@ -245,25 +245,32 @@ fx_tasks as (
   from fx_status)"""
 
 
-def clearance(spark: SparkSession, sf: str) -> DataFrame:
-    """Distances between link pairs per frame, from line items; the two links always differ."""
+def link_distances(spark: SparkSession, sf: str) -> DataFrame:
+    """Distances between links, from line items; the two links always differ, a pair may repeat in a frame."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_discount")
     a = F.pmod("l_suppkey", F.lit(25))
     b = F.pmod(a + 1 + F.pmod("l_partkey", F.lit(24)), F.lit(25))
     name = lambda c: F.concat(F.lit("link"), F.lpad(c.cast("string"), 2, "0"))
-    return (
-        li.select(
-            F.col("l_orderkey").cast("string").alias("sample_id"),
-            F.col("l_linenumber").alias("frame_index"),
-            F.least(name(a), name(b)).alias("link_a"),
-            F.greatest(name(a), name(b)).alias("link_b"),
-            (F.col("l_discount") / 10.0).alias("d"),
-        )
-        .groupBy("sample_id", "frame_index", "link_a", "link_b")
-        .agg(F.min("d").alias("distance"))
+    return li.select(
+        F.col("l_orderkey").cast("string").alias("sample_id"),
+        F.col("l_linenumber").alias("frame_index"),
+        F.least(name(a), name(b)).alias("link_a"),
+        F.greatest(name(a), name(b)).alias("link_b"),
+        (F.col("l_discount") / 10.0).alias("d"),
     )
 
 
+def clearance(spark: SparkSession, sf: str) -> DataFrame:
+    """Smallest distance of each link pair per frame.
+
+    Pairs hardly repeat, so grouping before the shuffle would hold a task's whole input and
+    save nothing: rows are dealt by frame first, which is also what work per frame needs.
+    """
+    parts = bounded_parts(spark, table(spark, sf, "lineitem").count())
+    rows = link_distances(spark, sf).repartition(parts, "sample_id", "frame_index")
+    return rows.groupBy("sample_id", "frame_index", "link_a", "link_b").agg(F.min("d").alias("distance"))
+
+
 CLEARANCE = """
 fx_ab as (
   select cast(l_orderkey as varchar) as sample_id, l_linenumber as frame_index, l_suppkey % 25 as a,

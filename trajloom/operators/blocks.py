@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 BLOCK = 8192
@@ -34,6 +34,17 @@ def spread_blocks(df: DataFrame, keys: Sequence[str] = KEYS, block: int = BLOCK,
     return marked.repartition(parts, *keys, "_block") if parts else marked.repartition(*keys, "_block")
 
 
+def bounded_parts(spark: SparkSession, rows: int, least: int = 1 << 19, most: int = 1 << 22, direct: int = 200) -> int:
+    """Number of tasks of a shuffle that keeps the rows of each bounded, however many there are.
+
+    A task gets ``least`` rows. Up to ``direct`` targets Spark writes rows straight to their
+    files, beyond that it first gathers those of a task in memory; so there are more targets
+    only where ``direct`` tasks would get over ``most`` rows each.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(min(direct, max(parts, -(-rows // least))), -(-rows // most))
+
+
 def block_window(keys: Sequence[str]) -> WindowSpec:
     """Frames of one block in order."""
     return Window.partitionBy(*keys, "_block").orderBy("frame_index")

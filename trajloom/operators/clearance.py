@@ -59,10 +59,11 @@ def collision_flags(
 ) -> DataFrame:
     """Per frame: does any active pair come closer than ``safe``, and the squared penalty.
 
-    Non-finite distances are ignored. The pair table is bounded by the robot, not
-    by the data; Spark broadcasts it by its size.
+    Non-finite distances are ignored. The pair table is bounded by the robot, not by the
+    data, so it is broadcast: a table dealt by frame stays so, and no shuffle by its few pairs
+    is planned.
     """
-    used = clearance if active is None else clearance.join(active, ["link_a", "link_b"], "left_semi")
+    used = clearance if active is None else clearance.join(F.broadcast(active), ["link_a", "link_b"], "left_semi")
     d = finite(F.col("distance"))
     close = F.coalesce(d < safe, F.lit(False))
     return used.groupBy(*keys, "frame_index").agg(

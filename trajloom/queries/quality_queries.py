@@ -441,7 +441,7 @@ select sample_id, frame_index, bool_or(distance < 0.002) as collision,
 from fx_clearance where link_a <> 'link01' group by 1, 2"""))
 def collision_flags(spark: SparkSession, sf: str) -> DataFrame:
     c = fx.clearance(spark, sf)
-    active = c.select("link_a", "link_b").distinct().filter("link_a <> 'link01'")
+    active = fx.link_distances(spark, sf).select("link_a", "link_b").distinct().filter("link_a <> 'link01'")
     out = clearance.collision_flags(c, active, 0.002)
     return out.withColumn("penalty", F.floor(F.col("penalty") * 1e12 + 0.5) / 1e12)
 
