@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 
@@ -71,3 +73,64 @@ def test_links_are_those_of_double_precision(dim):
 
 def test_empty_table(spark):
     assert ed.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_a_vector_travels_once_for_each_band(spark, monkeypatch):
+    """Bands are made for the tasks and not for the tiles, a task holds one group, and nothing is sorted for it."""
+    plans = {}
+
+    def stored(df, kind, stored=ed.stored):
+        plans[kind] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, kind)
+
+    monkeypatch.setattr(ed, "stored", stored)
+    df = spark.createDataFrame([(i, v) for i, v in vectors()], "vec_id long, embedding array<float>")
+    ed.near_vectors(df, tile=20).collect()  # 4 shuffle partitions: 10 groups of 4 bands, of 13 tiles
+    assert re.search(r"shufflepartitionidpassthrough\(.*, 10\), REPARTITION_BY_NUM", plans["found"]) and "Sort" not in plans["found"]
+
+
+@pytest.mark.parametrize("tile", [1, 3])
+def test_empty_bands(spark, tile):
+    rows = vectors()[:5]
+    got = ed.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), tile=tile).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
+def test_band_count():
+    assert ed.band_count(0, 0, 4096, 8) == ed.band_count(4096, 4096 * 64, 4096, 8) == 1
+    assert [ed.band_count(10**6, 64 * 10**6, 4096, p) for p in (1, 24, 200)] == [16, 16, 28]  # held by size, size, tasks
+    assert ed.band_count(10**6, 2048 * 10**6, 4096, 24) == 245  # a tile is the least
+
+
+@pytest.mark.parametrize("dim", [3, 64, 1024, 1500])
+def test_float32_products_of_quantised_vectors_are_exact(dim):
+    rng = np.random.default_rng(7)
+    x, y = ed.Tile(rng.normal(size=(20, dim))), ed.Tile(rng.choice([-1.0, 1.0], (20, dim)) * 10.0 ** rng.integers(-9, 9, (20, 1)))
+    whole = x.q.astype(np.int64) @ y.q.astype(np.int64).T
+    assert (ed.products(x.near, y.near) == whole * x.scale[:, None] * y.scale).all()
+    assert (np.frexp(x.scale)[0] == 0.5).all() and (np.abs(x.q).max(1) >= 63).all()
+
+
+def test_far_blocks_are_left_out():
+    """One row and one column hold a link; blocks of rows without any are not returned."""
+    x = np.eye(64)[np.arange(60) % 8]
+    x[40] = np.eye(64)[20]
+    got = list(ed.links(ed.Tile(x), ed.Tile(np.eye(64)[10:30]), rows=16))
+    assert [lo for lo, _ in got] == [32]
+    assert np.argwhere(got[0][1]).tolist() == [[8, 10]]
+
+
+@pytest.mark.parametrize("dense", [0.0, 1.0])
+def test_open_pairs_are_settled_alike_in_dense_blocks(monkeypatch, dense):
+    """Nearly all pairs lie at the threshold, some of them exactly on it."""
+    monkeypatch.setattr(ed, "DENSE", dense)
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=24) + rng.normal(0, 0.3, (300, 24))
+    v[:40], v[40:80] = [9.0, *[0.0] * 22, np.sqrt(19)], [1.0] + [0.0] * 23
+    t = ed.Tile(v)
+    got = np.concatenate([b for _, b in ed.links(t, t, rows=64)])
+    want = np.einsum("ik,jk->ij", t.unit, t.unit, optimize=False)
+    assert ((got == (want >= 0.9)) | (np.abs(want - 0.9) < 1e-15)).all()
+    assert (got[:80, :80] == got[:80, :80].T).all() and 0.1 < got[80:, 80:].mean() < 0.95
+    each = np.array([[np.einsum("ij,ij->i", t.unit[[a]], t.unit[[b]])[0] for b in range(30, 50)] for a in range(30, 50)])
+    assert (got[30:50, 30:50] == (each >= 0.9)).all()

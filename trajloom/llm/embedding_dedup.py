@@ -1,14 +1,18 @@
 """Embedding near-dedup by int8 tile products with error bounds.
 
-Equal vectors form a class and one of them goes on. Classes are dealt into tiles by a
-hash, and every pair of tiles is one group of work of bounded size: an all-pairs search
-in blocks, whose work is quadratic by its contract.
+Equal vectors form a class and one of them goes on. Classes are dealt into bands by a
+hash, and every pair of bands is one group of work of bounded size and one task: an
+all-pairs search in blocks, whose work is quadratic by its contract. A vector travels once
+for each band, so bands are as few as the tasks and their memory allow. A group goes
+through its bands tile by tile.
 
 In a tile every unit vector u is quantised to u' = s * q with int8 q, and the length of
 its error e = u - u' is kept. Then u.v differs from u'.v' by at most
-|u'||e_v| + |e_u||v'| + |e_u||e_v|, whatever the vectors. Products of q are sums of
-integers below 2^24 and so exact in float32 matrix products. Pairs certainly above or
-below the threshold are settled; the rest, a few thousandths, is computed again in double
+|u'||e_v| + |e_u||v'| + |e_u||e_v|, whatever the vectors. A scale s is a power of two, so
+that u'.v' is a sum of whole numbers below 2^24 times one power of two, and exact in a float32
+matrix product. One comparison with the largest bound of two tiles leaves the rows and
+columns that may hold links; only there each pair gets its own bound. Pairs certainly above
+or below the threshold are settled; the rest, a few thousandths, is computed again in double
 precision from the vectors themselves.
 
 Links are counted where they are found and never listed: a group returns the number of
@@ -17,10 +21,12 @@ links of each vector and, for each block of rows, the stars that span its compon
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,9 +34,13 @@ from .common import components, stars, stored
 
 THRESHOLD = 0.9
 TILE = 4096
-ROWS = 512
+ROWS, COLUMNS = 512, 1024
+#: Components of a band, unless one tile has more.
+BAND = 1 << 22
 #: Covers the rounding of double and float32 arithmetic around the bound.
 SLACK = 1e-6
+#: Above this share of open pairs a block is first multiplied in double precision, which settles all but this distance.
+DENSE, ROUNDING = 0.02, 1e-9
 
 
 class Tile:
@@ -38,65 +48,121 @@ class Tile:
 
     def __init__(self, vectors: np.ndarray):
         v = vectors.astype(np.float64)
-        self.unit = v / np.linalg.norm(v / np.abs(v).max(1, keepdims=True), axis=1)[:, None] / np.abs(v).max(1, keepdims=True)
-        self.scale = np.abs(self.unit).max(1) / 127
+        top = np.abs(v).max(1, keepdims=True)
+        length = np.linalg.norm(v / top, axis=1)[:, None]
+        self.unit = v / length / top
+        self.scale = np.ldexp(1.0, np.frexp((top / length / top)[:, 0] / 127)[1])
         q = np.rint(self.unit / self.scale[:, None])
         self.q = q.astype(np.int8)
         near = q * self.scale[:, None]
         self.error = np.linalg.norm(self.unit - near, axis=1)
         self.length = np.linalg.norm(near, axis=1)
 
+    @property
+    def near(self) -> np.ndarray:
+        """The quantised vectors u', which float32 holds exactly."""
+        return self.q * self.scale[:, None].astype(np.float32)
+
+
+def products(left: np.ndarray, right: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """Exact products of all rows of two :attr:`Tile.near`."""
+    step = 1024  # so many products of int8 stay below 2^24
+    if left.shape[1] <= step:
+        return np.matmul(left, right.T, out=out)
+    return sum((left[:, k : k + step] @ right[:, k : k + step].T).astype(np.float64) for k in range(0, left.shape[1], step))
+
 
 def links(x: Tile, y: Tile, threshold: float = THRESHOLD, rows: int = ROWS) -> Iterator[tuple[int, np.ndarray]]:
-    """(first row, block of booleans) of the pairs with cosine at or above the threshold."""
-    right = y.q.astype(np.float32)
-    step = 1024  # 1024 products of int8 stay below 2^24
+    """(first row, block of booleans) of the pairs with cosine at or above the threshold; blocks without one may be left out."""
+    whole, right = x.near, y.near
+    most = x.length.max() * y.error.max() + x.error.max() * (y.length.max() + y.error.max()) + SLACK
+    least = np.float32(threshold - most)
+    space = np.empty((rows, COLUMNS), np.float32)
     for lo in range(0, len(x.q), rows):
-        hi = min(len(x.q), lo + rows)
-        left = x.q[lo:hi].astype(np.float32)
-        dot = left[:, :step] @ right[:, :step].T
-        if left.shape[1] > step:
-            dot = dot.astype(np.float64)
-            for k in range(step, left.shape[1], step):
-                dot += left[:, k : k + step] @ right[:, k : k + step].T
-        dot = dot * x.scale[lo:hi, None].astype(np.float32) * y.scale[None, :].astype(np.float32)
-        e, n = x.error[lo:hi, None], x.length[lo:hi, None]
-        bound = (n * y.error + e * y.length + e * y.error + SLACK).astype(np.float32)
+        left = whole[lo : lo + rows]
+        linked = np.empty((len(left), len(right)), bool)
+        for k in range(0, len(right), COLUMNS):
+            part = right[k : k + COLUMNS]
+            dot = products(left, part, space[: len(left), : len(part)])
+            np.greater_equal(dot, least, out=linked[:, k : k + COLUMNS])
+        i, j = np.flatnonzero(linked.any(1)), np.flatnonzero(linked.any(0))
+        if not len(i):
+            continue
+        at = lo + i
+        dot = products(left[i], right[j])
+        e, n = x.error[at, None], x.length[at, None]
+        bound = (n * y.error[j] + e * (y.length[j] + y.error[j]) + SLACK).astype(np.float32)
         sure = dot - bound >= threshold
-        u, v = np.nonzero((dot + bound >= threshold) & ~sure)
-        for at in range(0, len(u), 1 << 16):
-            a, b = u[at : at + (1 << 16)], v[at : at + (1 << 16)]
-            sure[a, b] = np.einsum("ij,ij->i", x.unit[lo + a], y.unit[b]) >= threshold
-        yield lo, sure
-
-
-def _work(t: pa.Table, threshold: float) -> Iterator[tuple]:
-    """Counts (id, links) and edges of one pair of tiles."""
-    i, j, own, ids, copies = (t.column(k).to_numpy() for k in range(5))
-    size = np.array(t.column(6))
+        unsettled = (dot + bound >= threshold) & ~sure
+        if np.count_nonzero(unsettled) > DENSE * unsettled.size:
+            dot = x.unit[at] @ y.unit[j].T
+            sure |= unsettled & (dot >= threshold + ROUNDING)
+            unsettled &= np.abs(dot - threshold) < ROUNDING
+        u, v = np.divmod(np.flatnonzero(unsettled), len(j))
+        for k in range(0, len(u), 1 << 16):
+            a, b = u[k : k + (1 << 16)], v[k : k + (1 << 16)]
+            sure[a, b] = np.einsum("ij,ij->i", x.unit[at[a]], y.unit[j[b]]) >= threshold
+        linked[np.ix_(i, j)] = sure
+        yield lo, linked
+
+
+def band_count(classes: int, components: int, tile: int, parts: int) -> int:
+    """Bands of one tile at least: as few as make two groups for each of ``parts`` and keep to the size of a band."""
+    wanted = math.ceil((math.sqrt(1 + 16 * parts) - 1) / 2)
+    return max(1, min(-(-classes // tile), max(wanted, -(-components // BAND))))
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each group (first column), which follow each other."""
+    rest: list[pa.RecordBatch] = []
+    key = None
+    for batch in batches:
+        group = batch.column(0).to_numpy()
+        edges = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            if hi > lo:
+                if rest and key != group[lo]:
+                    yield pa.Table.from_batches(rest)
+                    rest = []
+                key = group[lo]
+                rest.append(batch.slice(lo, hi - lo))
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
+def _work(t: pa.Table, threshold: float, tile: int) -> Iterator[tuple]:
+    """Counts (id, links) and edges of one pair of bands."""
+    side, ids, copies = (t.column(k).to_numpy() for k in (1, 2, 3))
+    vectors = t.column(4).combine_chunks()
+    size = pc.list_value_length(vectors).to_numpy()
+    same = side[0] == 0
     for dim in np.unique(size):
-        at = np.flatnonzero(size == dim)
-        flat = np.asarray(t.column(5).take(pa.array(at)).combine_chunks().flatten()).reshape(-1, dim)
-        left, right = np.flatnonzero(own[at] == i[0]), np.flatnonzero(own[at] == j[0])
-        if not len(left) or not len(right):
-            continue
-        same = i[0] == j[0]
-        a, b = ids[at][left], ids[at][right]
-        na, nb = copies[at][left], copies[at][right]
-        x = Tile(flat[left])
-        y = x if same else Tile(flat[right])
-        of_a, of_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-        for lo, linked in links(x, y, threshold):
-            if same:
-                linked[np.arange(len(linked)), lo + np.arange(len(linked))] = False
-            rows, cols = np.flatnonzero(linked.any(1)), np.flatnonzero(linked.any(0))
-            part = linked[np.ix_(rows, cols)].astype(np.float64)
-            of_a[lo + rows] += np.rint(part @ nb[cols]).astype(np.int64)
-            if not same:
-                of_b[cols] += np.rint(na[lo + rows] @ part).astype(np.int64)
-            p, q = stars(linked, a[lo : lo + len(linked)], b)
-            yield p, q, None
-        for who, n in ((a, of_a), (b, of_b)):
+
+        def tiles(rows: np.ndarray, dim: int = dim) -> list[tuple]:
+            """(ids, copies, links so far, vectors) of each tile of a band."""
+            rows = np.flatnonzero(rows & (size == dim))
+            cut = (rows[at : at + tile] for at in range(0, len(rows), tile))
+            return [(ids[k], copies[k], np.zeros(len(k), np.int64), Tile(vectors.take(pa.array(k)).flatten().to_numpy().reshape(-1, dim))) for k in cut]
+
+        left = tiles(side <= 0)
+        right = left if same else tiles(side >= 0)
+        for k, (a, na, of_a, x) in enumerate(left):
+            edges = []
+            for b, nb, of_b, y in right[k:] if same else right:
+                for lo, linked in links(x, y, threshold):
+                    if x is y:
+                        linked[np.arange(len(linked)), lo + np.arange(len(linked))] = False
+                    rows, cols = np.flatnonzero(linked.any(1)), np.flatnonzero(linked.any(0))
+                    linked = linked[np.ix_(rows, cols)]
+                    part = linked.astype(np.float64)
+                    of_a[lo + rows] += np.rint(part @ nb[cols]).astype(np.int64)
+                    if x is not y:
+                        of_b[cols] += np.rint(na[lo + rows] @ part).astype(np.int64)
+                    edges.append(stars(linked, a[lo + rows], b[cols]))
+            if edges:
+                p, q = (np.concatenate(ends) for ends in zip(*edges))
+                yield p, q, None
+        for who, _, n, _ in left if same else left + right:
             yield who[n > 0], None, n[n > 0]
 
 
@@ -120,40 +186,24 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = T
     classes = stored(
         keyed.where("fine").groupBy("p", "q").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.first("v").alias("v")), "vectors"
     )
-    tiles = max(1, -(-classes.count() // tile))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = classes.select(F.pmod(F.xxhash64("id"), F.lit(tiles)).cast("int").alias("own"), "id", "copies", "v")
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
-    dealt = dealt.select(
-        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "copies", "v", F.size("v").alias("dim")
-    )
-    groups = tiles * (tiles + 1) // 2
-    dealt = dealt.repartition(max(parts, min(groups, 4 * parts)), "i", "j").sortWithinPartitions("i", "j")
+    bands = band_count(*classes.select(F.count("*"), F.coalesce(F.sum(F.size("v")), F.lit(0))).first(), tile, parts)
+    dealt = classes.select(F.pmod(F.xxhash64("id"), F.lit(bands)).cast("int").alias("own"), "id", "copies", "v")
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))))
+    dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    # A band with itself is half the work of others, and so comes last.
+    group = F.when(F.col("i") == F.col("j"), F.expr(f"{bands * (bands - 1) // 2} + i")).otherwise(F.expr("j * (j - 1) div 2 + i")).cast("int")
+    dealt = dealt.select(group.alias("group"), F.signum(F.col("own") - F.col("other")).cast("int").alias("side"), "id", "copies", "v")
+    dealt = dealt.repartitionById(bands * (bands + 1) // 2, "group")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            for a, b, n in _work(t, threshold):
+        for t in _groups(batches):
+            for a, b, n in _work(t, threshold, tile):
                 none = pa.nulls(len(a), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a), none if b is None else pa.array(b), none if n is None else pa.array(n)], names=["a", "b", "n"]
                 )
 
-        rest: list[pa.RecordBatch] = []
-        key = None
-        for batch in batches:
-            i, j = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cuts = np.flatnonzero((i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            edges = [0, *cuts.tolist(), batch.num_rows]
-            for lo, hi in zip(edges[:-1], edges[1:]):
-                if hi > lo:
-                    if key is not None and key != (i[lo], j[lo]):
-                        yield from out(pa.Table.from_batches(rest))
-                        rest = []
-                    key = (i[lo], j[lo])
-                    rest.append(batch.slice(lo, hi - lo))
-        if rest:
-            yield from out(pa.Table.from_batches(rest))
-
     found = stored(dealt.mapInArrow(scan, "a long, b long, n long"), "found")
     nodes = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "id")
     counts = found.where("n is not null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
